@@ -11,8 +11,13 @@ from __future__ import annotations
 DIMS = "game_id, event_date, platform, build, country_code"
 
 
+CATEGORY_CASE = """CASE event_type WHEN 'signup' THEN 'user' WHEN 'purchase' THEN 'business'
+        WHEN 'error' THEN 'error' WHEN 'click' THEN 'progression'
+        WHEN 'view' THEN 'resource' END AS category"""
+
+
 def envelope_sql() -> str:
-    return """
+    return f"""
     SELECT
       'e-' || event_id AS event_uuid,
       ts AS event_time,
@@ -20,9 +25,7 @@ def envelope_sql() -> str:
       'player-' || user_id AS user_id,
       'player-' || user_id || '-'
         || CAST(floor((epoch_us(ts) + 10800000000) / 21600000000) AS BIGINT) AS session_id,
-      CASE event_type WHEN 'signup' THEN 'user' WHEN 'purchase' THEN 'business'
-        WHEN 'error' THEN 'error' WHEN 'click' THEN 'progression'
-        WHEN 'view' THEN 'resource' END AS category,
+      {CATEGORY_CASE},
       CAST(NULL AS VARCHAR) AS event_id,
       CASE WHEN event_type = 'click' THEN
         CASE event_id % 3 WHEN 0 THEN 'start' WHEN 1 THEN 'complete' ELSE 'fail' END
@@ -164,3 +167,159 @@ def economy_body(min_group: int) -> str:
         FROM cur WHERE category = 'resource'
         GROUP BY {DIMS}, virtual_currency, item_type
       ) WHERE supporting_players >= {min_group}"""
+
+
+SUPPORTED_SQL = (
+    "('user', 'session_end', 'business', 'progression', 'resource', 'design', 'error', "
+    "'ad', 'impression')"
+)
+
+
+def pct(n: str, d: str) -> str:
+    """Percent to two decimals, half to even on the exact rational (integer arithmetic)."""
+    s = f"(CAST({n} AS BIGINT) * 10000)"
+    q, r = f"({s} // ({d}))", f"({s} % ({d}))"
+    bump = f"CASE WHEN 2 * {r} > ({d}) OR (2 * {r} = ({d}) AND {q} % 2 = 1) THEN 1 ELSE 0 END"
+    return f"CASE WHEN ({d}) = 0 THEN 0.0 ELSE CAST({q} + {bump} AS DOUBLE) / 100.0 END"
+
+
+def gate_body(source: str = "cur", run_date: str | None = None) -> str:
+    """The four checks per event date, or for one ``run_date`` (then without a date
+    column, and an empty day still yields its four rows)."""
+    missing = " OR ".join(
+        f"{c} IS NULL"
+        for c in ("event_uuid", "game_id", "player_key", "session_id", "event_time", "category")
+    )
+    if run_date is None:
+        key, where, day = "event_date, ", "", "CAST(event_date AS VARCHAR)"
+    else:
+        key, where, day = "", f"WHERE event_date = DATE '{run_date}'", f"'{run_date}'"
+    checks = [
+        ("row_count", "row_count > 0", f"'No events found for ' || {day}"),
+        ("missing_required", "missing_required = 0",
+         "CAST(missing_required AS VARCHAR) || ' rows have missing required fields'"),
+        ("duplicate_event_ids", "duplicate_event_ids = 0",
+         "CAST(duplicate_event_ids AS VARCHAR) || ' duplicate event identifiers were found'"),
+        ("unsupported_categories", "unsupported_categories = 0",
+         "CAST(unsupported_categories AS VARCHAR) || ' unsupported categories were found'"),
+    ]
+    union = "\n      UNION ALL ".join(
+        f"SELECT {key}{i} AS check_order, '{name}' AS check_name, {name} AS observed, "
+        f"{ok} AS passed, CASE WHEN NOT ({ok}) THEN {msg} END AS message FROM t"
+        for i, (name, ok, msg) in enumerate(checks)
+    )
+    group = "GROUP BY event_date" if run_date is None else ""
+    return f""",
+    per_id AS (
+      SELECT {key}event_uuid, count(*) AS n,
+        sum(CASE WHEN {missing} THEN 1 ELSE 0 END) AS m,
+        sum(CASE WHEN category NOT IN {SUPPORTED_SQL} THEN 1 ELSE 0 END) AS u
+      FROM {source} {where} GROUP BY {key}event_uuid),
+    t AS (
+      SELECT {key}CAST(coalesce(sum(n), 0) AS BIGINT) AS row_count,
+        CAST(coalesce(sum(m), 0) AS BIGINT) AS missing_required,
+        count(*) FILTER (WHERE n > 1) AS duplicate_event_ids,
+        CAST(coalesce(sum(u), 0) AS BIGINT) AS unsupported_categories
+      FROM per_id {group})
+      {union}"""
+
+
+def valid_cte() -> str:
+    """``env`` plus ``v``: the valid rows of the JSON-lines export of the envelope."""
+    return f"""
+    WITH env AS ({envelope_sql()}),
+    v AS (
+      SELECT *, CAST(event_time AS DATE) AS event_day FROM env
+      WHERE category IN {SUPPORTED_SQL} AND event_uuid <> '' AND user_id <> ''
+        AND session_id <> '' AND event_time IS NOT NULL AND signup_date IS NOT NULL
+    )"""
+
+
+def file_profile_body() -> str:
+    return """
+      SELECT (SELECT count(*) FROM env) AS events,
+        count(*) AS valid_events,
+        (SELECT count(*) FROM env) - count(*) AS invalid_events,
+        count(*) - count(DISTINCT event_uuid) AS duplicate_event_ids,
+        count(DISTINCT user_id) AS players,
+        count(DISTINCT session_id) AS sessions
+      FROM v"""
+
+
+def eligible_retention_body() -> str:
+    sel = []
+    for n in (1, 7, 30):
+        sel.append(f"count(*) FILTER (WHERE last_day - cohort_day >= {n}) AS eligible_d{n}")
+        sel.append(
+            f"count(*) FILTER (WHERE last_day - cohort_day >= {n} AND a{n} = 1) AS retained_d{n}"
+        )
+    pcts = ", ".join(f"{pct(f'retained_d{n}', f'eligible_d{n}')} AS d{n}_retention_percent" for n in (1, 7, 30))
+    return f""",
+    pd AS (SELECT user_id, event_day, min(signup_date) AS signup FROM v GROUP BY user_id, event_day),
+    pl AS (SELECT user_id, min(signup) AS cohort_day FROM pd GROUP BY user_id),
+    fl AS (
+      SELECT pl.user_id, pl.cohort_day,
+        max(CASE WHEN pd.event_day - pl.cohort_day = 1 THEN 1 ELSE 0 END) AS a1,
+        max(CASE WHEN pd.event_day - pl.cohort_day = 7 THEN 1 ELSE 0 END) AS a7,
+        max(CASE WHEN pd.event_day - pl.cohort_day = 30 THEN 1 ELSE 0 END) AS a30
+      FROM pl JOIN pd ON pl.user_id = pd.user_id GROUP BY pl.user_id, pl.cohort_day),
+    agg AS (
+      SELECT {', '.join(sel)}
+      FROM fl, (SELECT max(event_day) AS last_day FROM pd) m)
+    SELECT *, {pcts} FROM agg"""
+
+
+def level_counts_body() -> str:
+    return """
+      SELECT coalesce(nullif(progression_01, ''), 'unknown') AS level,
+        count(*) FILTER (WHERE progression_status = 'start') AS starts,
+        count(*) FILTER (WHERE progression_status = 'complete') AS completions
+      FROM v WHERE category = 'progression' GROUP BY 1"""
+
+
+def hardest_levels_body(min_starts: int) -> str:
+    return f"""
+      SELECT level, starts, completions, {pct('completions', 'starts')} AS completion_rate
+      FROM ({level_counts_body()}) WHERE starts >= {max(min_starts, 1)}
+      ORDER BY completion_rate, level LIMIT 5"""
+
+
+def sample_keys_body(salt: str) -> str:
+    return f"""
+      SELECT CAST(row_number() OVER (ORDER BY event_time, event_uuid) AS INTEGER) AS sample_rank,
+        sha256('{salt}' || user_id) AS player_key
+      FROM v ORDER BY event_time, event_uuid LIMIT 5"""
+
+
+def privacy_groups_body(threshold: int) -> str:
+    return f"""
+      SELECT count(*) AS privacy_groups,
+        count(*) FILTER (WHERE n < {threshold}) AS privacy_groups_suppressed,
+        {threshold} AS privacy_threshold
+      FROM (SELECT coalesce(country_code, 'unknown'), event_day, count(*) AS n
+            FROM v GROUP BY 1, 2)"""
+
+
+def summary_body(salt: str, threshold: int) -> str:
+    ret = eligible_retention_body().split("SELECT *,", 1)
+    return f"""{ret[0]},
+    ret AS (SELECT {ret[1].replace(' FROM agg', '')} FROM agg),
+    cats AS (SELECT category, count(*) AS events FROM v GROUP BY category),
+    hard AS ({hardest_levels_body(threshold)}),
+    keys AS ({sample_keys_body(salt)}),
+    prof AS ({file_profile_body()}),
+    err AS (SELECT count(DISTINCT CASE WHEN category = 'error' THEN session_id END) AS e,
+                   count(DISTINCT session_id) AS s FROM v),
+    rev AS (SELECT CAST(sum(CASE WHEN category = 'business' THEN coalesce(amount, 0) ELSE 0 END) AS BIGINT) AS c FROM v),
+    priv AS ({privacy_groups_body(threshold)})
+    SELECT prof.*,
+      (SELECT map_from_entries(list(struct_pack(k := category, v := events) ORDER BY category)) FROM cats) AS category_counts,
+      ret.d1_retention_percent, ret.d7_retention_percent, ret.d30_retention_percent,
+      {pct('err.e', 'err.s')} AS error_session_rate_percent,
+      round(CAST(coalesce(rev.c, 0) AS DOUBLE) / 100.0, 2) AS revenue_usd,
+      priv.privacy_groups_suppressed, priv.privacy_threshold,
+      (SELECT list(struct_pack(level := level, starts := starts, completions := completions,
+                               completion_rate := completion_rate) ORDER BY completion_rate, level)
+       FROM hard) AS hardest_levels,
+      (SELECT list(player_key ORDER BY sample_rank) FROM keys) AS sample_hashed_player_keys
+    FROM prof, ret, err, rev, priv"""

@@ -19,7 +19,9 @@ from playpulse.operators.engagement import build_daily_engagement, build_daily_r
 from playpulse.operators.funnel import build_economy_flows, build_progression_funnel
 from playpulse.operators.retention import build_retention, player_retention_flags
 from playpulse.operators.sessions import build_sessions, session_facts
-from playpulse.sources.fixtures import load_curated
+from playpulse.operators import profile as P
+from playpulse.operators.quality import quality_gate, quality_gate_by_date
+from playpulse.sources.fixtures import curated_events, load_curated, load_json_lines, read_table
 
 # Salt used for the fixture runs (jobs take theirs from configuration).
 FIXTURE_SALT = "fixture-salt"
@@ -29,6 +31,9 @@ MIN_ENGAGEMENT = 20
 MIN_RETENTION = 10
 MIN_FUNNEL = 2
 MIN_ECONOMY = 5
+MIN_LEVEL_STARTS = 75
+PRIVACY_EVENTS = 180
+GATE_RUN_DATE = "2024-01-15"
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -121,3 +126,91 @@ def q_level_progression(spark, sf_dir):
 @register("economy_flows", f"{CUR} {O.economy_body(MIN_ECONOMY)}")
 def q_economy_flows(spark, sf_dir):
     return build_economy_flows(_cur(spark, sf_dir), MIN_ECONOMY)
+
+
+# ---- C1 quality gate (A9-A12, P9-P11) ------------------------------------------------
+@register("quality_gate_by_date", f"{CUR} {O.gate_body('cur')}")
+def q_quality_gate_by_date(spark, sf_dir):
+    return quality_gate_by_date(_cur(spark, sf_dir))
+
+
+@register("quality_gate", f"{CUR} {O.gate_body('cur', GATE_RUN_DATE)}")
+def q_quality_gate(spark, sf_dir):
+    return quality_gate(_cur(spark, sf_dir), GATE_RUN_DATE)
+
+
+@register(
+    "quality_gate_untranslated",
+    f"{O.curated_cte(FIXTURE_SALT).replace(O.CATEGORY_CASE, 'event_type AS category')} {O.gate_body('cur')}",
+)
+def q_quality_gate_untranslated(spark, sf_dir):
+    ev = curated_events(read_table(spark, sf_dir, "events"), FIXTURE_SALT, translate_categories=False)
+    return quality_gate_by_date(ev)
+
+
+# ---- C5 file validation profile (P20, A13-A21, T1-T3) ---------------------------------
+def _parsed(spark, sf_dir):
+    return P.parse_lines(load_json_lines(spark, sf_dir))
+
+
+VALID = O.valid_cte()
+
+
+@register("file_profile", f"{VALID} {O.file_profile_body()}")
+def q_file_profile(spark, sf_dir):
+    return P.file_profile(_parsed(spark, sf_dir))
+
+
+@register("category_counts", f"{VALID} SELECT category, count(*) AS events FROM v GROUP BY category")
+def q_category_counts(spark, sf_dir):
+    return P.category_counts(_parsed(spark, sf_dir))
+
+
+@register(
+    "error_session_rate",
+    f"""{VALID} SELECT *, {O.pct('error_sessions', 'sessions')} AS error_session_rate_percent FROM (
+      SELECT count(DISTINCT CASE WHEN category = 'error' THEN session_id END) AS error_sessions,
+             count(DISTINCT session_id) AS sessions FROM v)""",
+)
+def q_error_session_rate(spark, sf_dir):
+    return P.error_session_rate(_parsed(spark, sf_dir))
+
+
+@register(
+    "total_revenue",
+    f"""{VALID} SELECT c AS revenue_cents, round(CAST(c AS DOUBLE) / 100.0, 2) AS revenue_usd FROM (
+      SELECT CAST(coalesce(sum(CASE WHEN category = 'business' THEN coalesce(amount, 0) ELSE 0 END), 0)
+             AS BIGINT) AS c FROM v)""",
+)
+def q_total_revenue(spark, sf_dir):
+    return P.total_revenue(_parsed(spark, sf_dir))
+
+
+@register("eligible_retention", f"{VALID} {O.eligible_retention_body()}")
+def q_eligible_retention(spark, sf_dir):
+    return P.eligible_retention(_parsed(spark, sf_dir))
+
+
+@register("level_event_counts", f"{VALID} {O.level_counts_body()}")
+def q_level_event_counts(spark, sf_dir):
+    return P.level_counts(_parsed(spark, sf_dir))
+
+
+@register("hardest_levels", f"{VALID} {O.hardest_levels_body(MIN_LEVEL_STARTS)}")
+def q_hardest_levels(spark, sf_dir):
+    return P.hardest_levels(_parsed(spark, sf_dir), MIN_LEVEL_STARTS)
+
+
+@register("sample_player_keys", f"{VALID} {O.sample_keys_body(FIXTURE_SALT)}")
+def q_sample_player_keys(spark, sf_dir):
+    return P.sample_player_keys(_parsed(spark, sf_dir), FIXTURE_SALT)
+
+
+@register("suppressed_privacy_groups", f"{VALID} {O.privacy_groups_body(PRIVACY_EVENTS)}")
+def q_suppressed_privacy_groups(spark, sf_dir):
+    return P.suppressed_privacy_groups(_parsed(spark, sf_dir), PRIVACY_EVENTS)
+
+
+@register("validation_summary", f"{VALID} {O.summary_body(FIXTURE_SALT, MIN_LEVEL_STARTS)}")
+def q_validation_summary(spark, sf_dir):
+    return P.validation_summary(_parsed(spark, sf_dir), FIXTURE_SALT, MIN_LEVEL_STARTS)

@@ -40,8 +40,12 @@ def _category(event_type: Column) -> Column:
     return out
 
 
-def events_to_envelope(events: DataFrame) -> DataFrame:
-    """Raw envelope (25 fields, raw ``user_id`` still present) from the generic table."""
+def events_to_envelope(events: DataFrame, translate_categories: bool = True) -> DataFrame:
+    """Raw envelope (25 fields, raw ``user_id`` still present) from the generic table.
+
+    ``translate_categories=False`` keeps the source event type as the category, as an
+    export lands when the vendor-to-canonical mapping is skipped.
+    """
     uid, eid, et = F.col("user_id"), F.col("event_id"), F.col("event_type")
     ts = F.col("ts").cast("timestamp")
     is_click, is_buy, is_view = et == "click", et == "purchase", et == "view"
@@ -56,7 +60,7 @@ def events_to_envelope(events: DataFrame) -> DataFrame:
         "session_id": F.concat(
             F.lit("player-"), uid.cast("string"), F.lit("-"), block.cast("long").cast("string")
         ),
-        "category": _category(et),
+        "category": _category(et) if translate_categories else et,
         "event_id": F.lit(None),
         "progression_status": F.when(is_click, status),
         "progression_01": F.when(
@@ -96,14 +100,15 @@ def envelope_to_json(envelope: DataFrame, value_column: str = "value") -> DataFr
     )
 
 
-def curated_events(events: DataFrame, salt: str) -> DataFrame:
+def curated_events(events: DataFrame, salt: str, translate_categories: bool = True) -> DataFrame:
     """Curated-table rows for the generic table, without the JSON round trip.
 
     Equal to ``ingest(envelope_to_json(events_to_envelope(events)), salt)`` minus
     ``ingested_at`` (set to null here): the generic table has unique ids and no
     missing fields, so validation and dedup remove nothing.
     """
-    env = events_to_envelope(events).withColumn("event_date", F.to_date("event_time"))
+    env = events_to_envelope(events, translate_categories)
+    env = env.withColumn("event_date", F.to_date("event_time"))
     env = env.withColumn("ingested_at", F.lit(None).cast("timestamp"))
     return pseudonymize_player_id(env, salt).select(*CURATED_EVENT_COLUMNS)
 
@@ -115,3 +120,4 @@ def load_curated(spark: SparkSession, sf_dir: str, salt: str) -> DataFrame:
 def load_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The generic table as raw JSON lines (column ``value``), as an export file holds them."""
     return envelope_to_json(events_to_envelope(read_table(spark, sf_dir, "events")))
+
