@@ -17,11 +17,43 @@ from pyspark.sql import types as T
 from playpulse import oracle as O
 from playpulse.operators.engagement import build_daily_engagement, build_daily_revenue
 from playpulse.operators.funnel import build_economy_flows, build_progression_funnel
-from playpulse.operators.retention import build_retention, player_retention_flags
+from playpulse.operators.retention import (
+    build_retention,
+    player_activity_days,
+    player_retention_flags,
+)
 from playpulse.operators.sessions import build_sessions, session_facts
 from playpulse.operators import profile as P
 from playpulse.operators.quality import quality_gate, quality_gate_by_date
-from playpulse.sources.fixtures import curated_events, load_curated, load_json_lines, read_table
+from playpulse.config import JobConfig, scratch_path
+from playpulse.functions.privacy import pseudonymize_player_id, suppress_small_groups
+from playpulse.operators.decode import decode_events
+from playpulse.operators.extras import (
+    build_monetization,
+    build_placement_exposure,
+    build_release_view,
+)
+from playpulse.operators.serving import (
+    read_serving,
+    serving_economy,
+    serving_engagement,
+    serving_progression,
+    serving_retention,
+    upsert_by_key,
+)
+from playpulse.plans.daily import run_daily
+from playpulse.schema import CURATED_EVENT_COLUMNS
+from playpulse.sources.fixtures import (
+    curated_events,
+    envelope_to_json,
+    events_to_envelope,
+    load_curated,
+    load_json_lines,
+    read_table,
+)
+from playpulse.sources.jsonlines import read_json_lines, write_json_lines
+from playpulse.sources.tables import compact, write_partitioned, write_table
+from playpulse.streaming.ingest import ingest, ingest_writer
 
 # Salt used for the fixture runs (jobs take theirs from configuration).
 FIXTURE_SALT = "fixture-salt"
@@ -214,3 +246,266 @@ def q_suppressed_privacy_groups(spark, sf_dir):
 @register("validation_summary", f"{VALID} {O.summary_body(FIXTURE_SALT, MIN_LEVEL_STARTS)}")
 def q_validation_summary(spark, sf_dir):
     return P.validation_summary(_parsed(spark, sf_dir), FIXTURE_SALT, MIN_LEVEL_STARTS)
+
+
+# ---- R6 ingest: batch, stream with replayed delivery, both dedup modes ----------------
+NO_INGEST_TIME = [c for c in CURATED_EVENT_COLUMNS if c != "ingested_at"]
+CURATED_SQL = f"{CUR} SELECT * FROM cur"
+
+
+@register("ingest_batch", CURATED_SQL)
+def q_ingest_batch(spark, sf_dir):
+    return ingest(load_json_lines(spark, sf_dir), FIXTURE_SALT).select(*NO_INGEST_TIME)
+
+
+def _replayed_stream(spark, sf_dir):
+    """The events file as a stream, delivered twice (at-least-once replay)."""
+    schema = read_table(spark, sf_dir, "events").schema
+
+    def one():
+        src = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+        return envelope_to_json(events_to_envelope(src.parquet(sf_dir)))
+
+    return one().unionByName(one())
+
+
+def _run_stream(spark, sf_dir, dedup):
+    out, ck = scratch_path(spark, "ingest-out"), scratch_path(spark, "ingest-ck")
+    curated = ingest(_replayed_stream(spark, sf_dir), FIXTURE_SALT, dedup=dedup)
+    ingest_writer(curated, ck, available_now=True).start(out).awaitTermination()
+    return spark.read.parquet(out).select(*NO_INGEST_TIME)
+
+
+@register("ingest_stream_dedup", CURATED_SQL)
+def q_ingest_stream_dedup(spark, sf_dir):
+    return _run_stream(spark, sf_dir, "watermark")
+
+
+@register("ingest_stream_state_dedup", CURATED_SQL)
+def q_ingest_stream_state_dedup(spark, sf_dir):
+    return _run_stream(spark, sf_dir, "state")
+
+
+# ---- K5 JSON-lines files: write gzip lines, scan and decode ------------------------------
+@register(
+    "json_lines_scan",
+    f"WITH env AS ({O.envelope_sql()}) SELECT * FROM env",
+)
+def q_json_lines_scan(spark, sf_dir):
+    path = scratch_path(spark, "json-lines")
+    write_json_lines(load_json_lines(spark, sf_dir), path, compression="gzip")
+    return decode_events(read_json_lines(spark, path))
+
+
+# ---- P7 / P8 as plain operators --------------------------------------------------------
+@register(
+    "pseudonymize",
+    f"WITH env AS ({O.envelope_sql()}) "
+    f"SELECT event_uuid, sha256('{FIXTURE_SALT}' || coalesce(user_id, 'missing')) AS player_key FROM env",
+)
+def q_pseudonymize(spark, sf_dir):
+    env = events_to_envelope(read_table(spark, sf_dir, "events"))
+    return pseudonymize_player_id(env, FIXTURE_SALT).select("event_uuid", "player_key")
+
+
+@register(
+    "suppress_small_groups",
+    f"""{CUR} SELECT * FROM (SELECT game_id, event_date, country_code,
+          count(DISTINCT player_key) AS players FROM cur GROUP BY ALL)
+        WHERE players >= {MIN_ENGAGEMENT}""",
+)
+def q_suppress_small_groups(spark, sf_dir):
+    players = _cur(spark, sf_dir).groupBy("game_id", "event_date", "country_code").agg(
+        F.countDistinct("player_key").alias("players")
+    )
+    return suppress_small_groups(players, "players", MIN_ENGAGEMENT)
+
+
+# ---- P14-P17 serving shapes -----------------------------------------------------------
+def _engagement_serving_sql(min_group: int, src: str = "cur") -> str:
+    body = O.engagement_body(min_group).replace("FROM cur", f"FROM {src}")
+    return f"""SELECT game_id, strftime(event_date, '%Y-%m') AS activity_month,
+          event_date AS activity_date, platform, build, country_code, dau, sessions,
+          avg_session_seconds, p95_session_seconds, crash_free_session_rate, revenue_usd
+        FROM ({body})"""
+
+
+SESSIONS_CTE = f"{CUR}, s AS ({O.sessions_body()})"
+SERVING_ENGAGEMENT_BODY = _engagement_serving_sql(MIN_ENGAGEMENT)
+SERVING_ENGAGEMENT_SQL = f"{SESSIONS_CTE} {SERVING_ENGAGEMENT_BODY}"
+
+
+@register("serving_engagement", SERVING_ENGAGEMENT_SQL)
+def q_serving_engagement(spark, sf_dir):
+    ev = _cur(spark, sf_dir)
+    return serving_engagement(build_daily_engagement(session_facts(ev), minimum_group_size=MIN_ENGAGEMENT))
+
+
+@register(
+    "serving_retention",
+    f"""{CUR} SELECT game_id, strftime(cohort_date, '%Y-%m') AS cohort_month, cohort_date,
+          platform, build, country_code, cohort_size, retained_d1_players, retained_d7_players,
+          retained_d30_players, d1_retention, d7_retention, d30_retention
+        FROM ({O.retention_body(MIN_RETENTION)})""",
+)
+def q_serving_retention(spark, sf_dir):
+    return serving_retention(build_retention(_cur(spark, sf_dir), MIN_RETENTION))
+
+
+@register("serving_progression", f"{CUR} {O.funnel_body(MIN_FUNNEL)}")
+def q_serving_progression(spark, sf_dir):
+    return serving_progression(build_progression_funnel(_cur(spark, sf_dir), MIN_FUNNEL))
+
+
+@register("serving_economy", f"{CUR} {O.economy_body(MIN_ECONOMY)}")
+def q_serving_economy(spark, sf_dir):
+    return serving_economy(build_economy_flows(_cur(spark, sf_dir), MIN_ECONOMY))
+
+
+# ---- K9 / J4 upsert: re-publishing recent days over an earlier, partial publication ------
+UPSERT_CUTOFF = "2024-01-20 12:00:00"  # the earlier publication saw events up to here
+UPSERT_FROM = "2024-01-20"  # the re-publication recomputes this day onward
+
+ENGAGEMENT_KEY = "game_id, activity_month, activity_date, platform, build, country_code"
+
+
+def _serving_engagement_of(events):
+    return serving_engagement(
+        build_daily_engagement(session_facts(events), minimum_group_size=MIN_ENGAGEMENT)
+    )
+
+
+@register(
+    "upsert_by_key",
+    f"""{CUR},
+    early AS (SELECT * FROM cur WHERE event_time < TIMESTAMP '{UPSERT_CUTOFF}'),
+    late AS (SELECT * FROM cur WHERE event_date >= DATE '{UPSERT_FROM}'),
+    s_early AS ({O.sessions_body().replace("FROM cur", "FROM early")}),
+    s_late AS ({O.sessions_body().replace("FROM cur", "FROM late")}),
+    existing AS ({_engagement_serving_sql(MIN_ENGAGEMENT).replace("FROM s ", "FROM s_early ").replace("FROM cur", "FROM early")}),
+    updates AS ({_engagement_serving_sql(MIN_ENGAGEMENT).replace("FROM s ", "FROM s_late ").replace("FROM cur", "FROM late")})
+    SELECT e.* FROM existing e ANTI JOIN updates u USING ({ENGAGEMENT_KEY})
+    UNION ALL SELECT * FROM updates""",
+)
+def q_upsert_by_key(spark, sf_dir):
+    ev = _cur(spark, sf_dir)
+    existing = _serving_engagement_of(ev.filter(F.col("event_time") < F.lit(UPSERT_CUTOFF).cast("timestamp")))
+    updates = _serving_engagement_of(ev.filter(F.col("event_date") >= F.lit(UPSERT_FROM).cast("date")))
+    return upsert_by_key(existing, updates, "daily_engagement_by_game_day")
+
+
+# ---- K10 / T4 keyed read ------------------------------------------------------------
+READ_GAME, READ_MONTH = "game-0", "2024-01"
+
+
+@register(
+    "serving_read",
+    f"""{SESSIONS_CTE} SELECT * FROM ({SERVING_ENGAGEMENT_BODY})
+    WHERE game_id = '{READ_GAME}' AND activity_month = '{READ_MONTH}'""",
+)
+def q_serving_read(spark, sf_dir):
+    rows = q_serving_engagement(spark, sf_dir)
+    return read_serving(rows, "daily_engagement_by_game_day", READ_GAME, READ_MONTH)
+
+
+# ---- K6 dynamic partition overwrite, K11 compaction ----------------------------------
+OVERWRITE_CUTOFF = "2024-01-25 12:00:00"
+OVERWRITE_FROM = "2024-01-25"
+
+
+@register("partition_overwrite", f"{CUR} {O.sessions_body()}")
+def q_partition_overwrite(spark, sf_dir):
+    """Sessions written from events up to a cutoff, then the days from the cutoff day
+    on recomputed and written with dynamic overwrite: earlier days must survive and the
+    partial day must be replaced."""
+    ev = _cur(spark, sf_dir)
+    path = scratch_path(spark, "player-sessions")
+    early = ev.filter(F.col("event_time") < F.lit(OVERWRITE_CUTOFF).cast("timestamp"))
+    late = ev.filter(F.col("event_date") >= F.lit(OVERWRITE_FROM).cast("date"))
+    write_table(build_sessions(early), "player_sessions", path, mode="static")
+    write_table(build_sessions(late), "player_sessions", path, mode="dynamic")
+    return spark.read.parquet(path)
+
+
+@register("compact_table", CURATED_SQL)
+def q_compact_table(spark, sf_dir):
+    """The curated table written as many small files, then compacted to a new path."""
+    src, dst = scratch_path(spark, "events-small"), scratch_path(spark, "events-compact")
+    write_partitioned(_cur(spark, sf_dir), src, "event_date", "static", max_records_per_file=50)
+    return compact(spark, src, dst, "event_date").select(*NO_INGEST_TIME)
+
+
+# ---- C4 gated daily run -------------------------------------------------------------
+DAILY_RUN_DATE = "2024-01-15"
+
+
+@register(
+    "daily_run",
+    f"""{SESSIONS_CTE} SELECT * FROM ({SERVING_ENGAGEMENT_BODY})
+    WHERE activity_date = DATE '{DAILY_RUN_DATE}'""",
+)
+def q_daily_run(spark, sf_dir):
+    """Land the curated table, then gate -> build -> publish -> compact for one day;
+    returns that day's published engagement rows."""
+    warehouse = scratch_path(spark, "warehouse")
+    config = JobConfig(warehouse=warehouse, player_salt=FIXTURE_SALT, minimum_privacy_group=MIN_ENGAGEMENT)
+    write_table(_cur(spark, sf_dir), "game_events", config.table_path(config.raw_table), "static")
+    result = run_daily(spark, config, DAILY_RUN_DATE, version="v1")
+    return spark.read.parquet(result.serving["daily_engagement_by_game_day"])
+
+
+# ---- X2-X4 ----------------------------------------------------------------------------
+MIN_EXTRA = 5
+
+
+@register(
+    "monetization",
+    f"""{CUR}, s AS (
+      SELECT game_id, player_key, session_id, event_date, platform, build, country_code,
+        sum(CASE WHEN category = 'business' THEN coalesce(amount, 0) END) AS revenue_cents
+      FROM cur GROUP BY ALL)
+    SELECT *, {O.rate('revenue_usd', 'dau')} AS revenue_per_active_player,
+      {O.rate('revenue_usd', 'paying_players')} AS revenue_per_paying_player
+    FROM (SELECT {O.DIMS}, count(DISTINCT player_key) AS dau,
+            count(DISTINCT CASE WHEN revenue_cents IS NOT NULL THEN player_key END) AS paying_players,
+            CAST(coalesce(sum(revenue_cents), 0) AS DOUBLE) / 100.0 AS revenue_usd
+          FROM s GROUP BY {O.DIMS})
+    WHERE dau >= {MIN_EXTRA}""",
+)
+def q_monetization(spark, sf_dir):
+    return build_monetization(session_facts(_cur(spark, sf_dir)), MIN_EXTRA)
+
+
+@register(
+    "release_view",
+    f"""{CUR}, s AS ({O.sessions_body()})
+    SELECT * FROM (SELECT game_id, event_date, build, count(DISTINCT player_key) AS dau,
+        count(DISTINCT session_id) AS sessions, avg(session_seconds) AS avg_session_seconds,
+        CAST(1.0 AS DOUBLE) - avg(CAST(has_error AS DOUBLE)) AS crash_free_session_rate
+      FROM s GROUP BY game_id, event_date, build) WHERE dau >= {MIN_EXTRA}""",
+)
+def q_release_view(spark, sf_dir):
+    return build_release_view(build_sessions(_cur(spark, sf_dir)), MIN_EXTRA)
+
+
+@register(
+    "placement_exposure",
+    f"""{CUR} SELECT * FROM (SELECT {O.DIMS}, category, event_id, count(*) AS events,
+        count(DISTINCT player_key) AS players FROM cur
+      WHERE category IN ('ad', 'impression', 'design') GROUP BY ALL) WHERE players >= {MIN_EXTRA}""",
+)
+def q_placement_exposure(spark, sf_dir):
+    return build_placement_exposure(_cur(spark, sf_dir), MIN_EXTRA)
+
+
+# ---- A4 activity days -----------------------------------------------------------------
+@register(
+    "player_activity_days",
+    f"""{CUR} SELECT game_id, player_key, event_date, signup_date, platform, build, country_code,
+        CAST(event_date - signup_date AS INTEGER) AS day_number
+      FROM (SELECT *, row_number() OVER (PARTITION BY game_id, player_key, event_date
+                                         ORDER BY event_time, event_uuid) AS rn
+            FROM cur WHERE signup_date IS NOT NULL) WHERE rn = 1""",
+)
+def q_player_activity_days(spark, sf_dir):
+    return player_activity_days(_cur(spark, sf_dir))
