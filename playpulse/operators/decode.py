@@ -15,15 +15,24 @@ def decode_events(raw: DataFrame, value_column: str = "value") -> DataFrame:
     Malformed JSON gives a row of nulls (dropped by :func:`validate_events`); a field of
     the wrong type becomes null on its own; unknown fields are ignored.
     """
-    return (
-        raw.select(
-            F.from_json(F.col(value_column).cast("string"), RAW_EVENT_SCHEMA).alias("event")
-        )
-        .select("event.*")
-        .withColumn("category", normalize_category("category"))
+    return parse_json_fields(raw, value_column, RAW_EVENT_SCHEMA).withColumn(
+        "category", normalize_category("category")
     )
 
 
+def parse_json_fields(raw: DataFrame, value_column: str, schema) -> DataFrame:
+    """``from_json`` flattened to one column per field, parsed exactly once per row.
+
+    The parse runs inside a generator (``inline`` of a one-element array). Filters
+    on the fields then stay above it: with a plain projection Catalyst pushes each
+    filter below the projection and inlines a separate ``from_json`` per referenced
+    field, parsing every message once per field. A malformed message gives a row of
+    nulls.
+    """
+    parsed = F.from_json(F.col(value_column).cast("string"), schema)
+    return raw.select(F.inline(F.array(parsed)))
+
+
 def validate_events(parsed: DataFrame, with_ingest_time: bool = True) -> DataFrame:
     """Keep events with every required field and a supported category; add
     ``event_date`` (UTC day of ``event_time``) and ``ingested_at``."""

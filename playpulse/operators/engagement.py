@@ -26,16 +26,6 @@ def build_daily_revenue(events: DataFrame, currency: str | None = None) -> DataF
     )
 
 
-def _engagement_aggregates() -> list:
-    return [
-        F.countDistinct("player_key").alias("dau"),
-        F.countDistinct("session_id").alias("sessions"),
-        F.avg("session_seconds").alias("avg_session_seconds"),
-        F.percentile_approx("session_seconds", 0.95).alias("p95_session_seconds"),
-        (F.lit(1.0) - F.avg(F.col("has_error").cast("double"))).alias("crash_free_session_rate"),
-    ]
-
-
 def build_daily_engagement(
     sessions: DataFrame,
     events: DataFrame | None = None,
@@ -47,38 +37,50 @@ def build_daily_engagement(
     ``minimum_group_size`` active players are withheld.
 
     When ``sessions`` carries ``revenue_cents`` (from :func:`session_facts`) revenue is
-    summed in the same aggregate: no second scan of the events and no join. Otherwise
-    revenue comes from ``events`` and is left-joined on the five dimensions.
+    summed from the session rows: the events are not scanned a second time. Otherwise
+    revenue is aggregated from ``events`` (business rows).
 
     ``null_safe_dimensions=False`` reproduces plain-equality join semantics: a group
     with a null platform, build or country gets revenue 0.0.
 
-    The two distinct counts are planned by Spark as an expand + two-level aggregate
-    keyed on the distinct values, which spreads a hot dimension group over all tasks;
-    ``percentile_approx`` merges fixed-size sketches map side.
+    Plan: the two distinct counts form their own aggregate (Spark expands rows per
+    distinct column; the buffers are plain counts), while mean, p95 and rates form a
+    second aggregate keyed only on the dimensions, so a ``percentile_approx`` sketch
+    exists once per group instead of once per expanded (player, session) key. The
+    parts are stacked and grouped once more by the dimensions; grouping treats null
+    keys as equal, so no null-safe join is needed.
     """
-    dims_present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in DAILY_DIMENSIONS])
+    distinct = sessions.groupBy(*DAILY_DIMENSIONS).agg(
+        F.countDistinct("player_key").alias("dau"),
+        F.countDistinct("session_id").alias("sessions"),
+    )
+    stats_cols = [
+        F.avg("session_seconds").alias("avg_session_seconds"),
+        F.percentile_approx("session_seconds", 0.95).alias("p95_session_seconds"),
+        (F.lit(1.0) - F.avg(F.col("has_error").cast("double"))).alias("crash_free_session_rate"),
+    ]
     if "revenue_cents" in sessions.columns:
-        revenue = F.coalesce(F.sum("revenue_cents"), F.lit(0)) / F.lit(100.0)
-        if not null_safe_dimensions:
-            revenue = F.when(dims_present, revenue).otherwise(F.lit(0.0))
-        out = sessions.groupBy(*DAILY_DIMENSIONS).agg(
-            *_engagement_aggregates(), revenue.alias("revenue_usd")
+        stats_cols.append(
+            (F.coalesce(F.sum("revenue_cents"), F.lit(0)) / F.lit(100.0)).alias("revenue_usd")
         )
+        parts = [distinct, sessions.groupBy(*DAILY_DIMENSIONS).agg(*stats_cols)]
     else:
         if events is None:
             raise ValueError("events are needed when sessions carry no revenue_cents")
-        engagement = sessions.groupBy(*DAILY_DIMENSIONS).agg(*_engagement_aggregates())
-        revenue = build_daily_revenue(events)
-        if null_safe_dimensions:
-            e, r = engagement.alias("e"), revenue.alias("r")
-            cond = reduce(
-                lambda a, b: a & b,
-                [F.col(f"e.{c}").eqNullSafe(F.col(f"r.{c}")) for c in DAILY_DIMENSIONS],
-            )
-            out = e.join(r, cond, "left").select("e.*", F.col("r.revenue_usd"))
-        else:
-            out = engagement.join(revenue, DAILY_DIMENSIONS, "left")
-        out = out.na.fill(0.0, ["revenue_usd"])
-    out = out.select(*DAILY_ENGAGEMENT_COLUMNS)
+        parts = [
+            distinct,
+            sessions.groupBy(*DAILY_DIMENSIONS).agg(*stats_cols),
+            build_daily_revenue(events),
+        ]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    value_cols = [c for c in DAILY_ENGAGEMENT_COLUMNS if c not in DAILY_DIMENSIONS]
+    out = stacked.groupBy(*DAILY_DIMENSIONS).agg(*[F.max(c).alias(c) for c in value_cols])
+    out = out.filter(F.col("dau").isNotNull())  # groups of the session rows only
+    revenue = F.coalesce(F.col("revenue_usd"), F.lit(0.0))
+    if not null_safe_dimensions:
+        dims_present = reduce(
+            lambda a, b: a & b, [F.col(c).isNotNull() for c in DAILY_DIMENSIONS]
+        )
+        revenue = F.when(dims_present, revenue).otherwise(F.lit(0.0))
+    out = out.withColumn("revenue_usd", revenue).select(*DAILY_ENGAGEMENT_COLUMNS)
     return suppress_small_groups(out, "dau", minimum_group_size)

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from playpulse.config import DEFAULT_MINIMUM_PRIVACY_GROUP
 from playpulse.functions.privacy import check_salt
 from playpulse.functions.rules import SUPPORTED_CATEGORIES, normalize_category, percent
+from playpulse.operators.decode import parse_json_fields
 
 PROFILE_SCHEMA = T.StructType(
     [
@@ -44,21 +45,16 @@ UNKNOWN = "unknown"
 def parse_lines(lines: DataFrame, value_column: str = "value") -> DataFrame:
     """Parsed rows with an ``is_valid`` flag and the UTC ``event_day``.
 
-    Valid: the line is a JSON object, the category (trimmed, lower case) is supported,
-    event id, player and session are non-empty, and event time and signup date parse.
-    A null id counts as missing.
+    Valid: the line is a JSON object (a malformed line parses to nulls), the category
+    (trimmed, lower case) is supported, event id, player and session are non-empty,
+    and event time and signup date parse. A null id counts as missing.
     """
-    e = F.from_json(F.col(value_column), PROFILE_SCHEMA)
-    parsed = lines.select(e.alias("e")).select(
-        F.col("e").isNotNull().alias("_parsed"),
-        *[F.col(f"e.{f.name}").alias(f.name) for f in PROFILE_SCHEMA.fields],
-    )
+    parsed = parse_json_fields(lines, value_column, PROFILE_SCHEMA)
     non_empty = [F.coalesce(F.length(c) > 0, F.lit(False)) for c in ("event_uuid", "user_id", "session_id")]
     parsed = parsed.withColumn("category", normalize_category("category"))
     valid = reduce(
         lambda a, b: a & b,
         [
-            F.col("_parsed"),
             F.coalesce(F.col("category").isin(*SUPPORTED_CATEGORIES), F.lit(False)),
             F.col("event_time").isNotNull(),
             F.col("signup_date").isNotNull(),
@@ -67,7 +63,7 @@ def parse_lines(lines: DataFrame, value_column: str = "value") -> DataFrame:
     )
     return parsed.withColumn("is_valid", valid).withColumn(
         "event_day", F.to_date("event_time")
-    ).drop("_parsed")
+    )
 
 
 def valid_rows(parsed: DataFrame) -> DataFrame:
@@ -124,7 +120,8 @@ def eligible_retention(parsed: DataFrame) -> DataFrame:
 
     Plan: distinct (player, day) rows first (map-side reduced), a window per player for
     the earliest signup (a player's rows are bounded by the number of days), then a
-    per-player aggregate. The file's last day is a scalar subquery, not a join.
+    per-player aggregate. The file's last day is a scalar subquery over the player-day
+    rows (sharing their shuffle), not a join.
     """
     days = valid_rows(parsed).groupBy("user_id", "event_day").agg(F.min("signup_date").alias("signup"))
     days = days.withColumn("cohort_day", F.min("signup").over(Window.partitionBy("user_id")))
@@ -132,7 +129,7 @@ def eligible_retention(parsed: DataFrame) -> DataFrame:
     players = days.groupBy("user_id", "cohort_day").agg(
         *[F.max(F.when(offset == n, 1).otherwise(0)).alias(f"active_d{n}") for n in RETENTION_DAYS]
     )
-    last_day = valid_rows(parsed).select(F.max("event_day")).scalar()
+    last_day = days.select(F.max("event_day")).scalar()
     span = F.datediff(last_day, F.col("cohort_day"))
     aggs = []
     for n in RETENTION_DAYS:
@@ -198,22 +195,51 @@ def suppressed_privacy_groups(
     ).withColumn("privacy_threshold", F.lit(minimum_group_size))
 
 
+def _totals(parsed: DataFrame) -> DataFrame:
+    """One global aggregate for the row-level totals, the distinct counts, revenue and
+    the count of each supported category (a fixed list, so no grouping is needed)."""
+    v = F.col("is_valid")
+    cat = F.col("category")
+    return parsed.agg(
+        F.count(F.lit(1)).alias("events"),
+        F.count_if(v).alias("valid_events"),
+        F.count_if(~v).alias("invalid_events"),
+        (F.count_if(v) - F.countDistinct(F.when(v, F.col("event_uuid")))).alias("duplicate_event_ids"),
+        F.countDistinct(F.when(v, F.col("user_id"))).alias("players"),
+        F.countDistinct(F.when(v, F.col("session_id"))).alias("sessions"),
+        F.countDistinct(F.when(v & (cat == "error"), F.col("session_id"))).alias("error_sessions"),
+        F.coalesce(
+            F.sum(F.when(v & (cat == "business"), F.coalesce(F.col("amount"), F.lit(0)))), F.lit(0)
+        ).cast("long").alias("revenue_cents"),
+        *[F.count_if(v & (cat == c)).alias(f"n_{c}") for c in sorted(SUPPORTED_CATEGORIES)],
+    )
+
+
 def validation_summary(
     parsed: DataFrame, salt: str, minimum_group_size: int = DEFAULT_MINIMUM_PRIVACY_GROUP
 ) -> DataFrame:
     """All file metrics in one row (nested: category map, level list, key list).
 
-    Every part is a global aggregate, used as a scalar subquery returning one struct;
-    the collected lists hold at most nine categories, five levels and five keys.
+    Five scalar subqueries (run concurrently): the totals aggregate, eligible
+    retention, privacy groups, hardest levels and sample keys. The collected lists
+    hold at most five levels and five keys.
     """
+
     def one(df: DataFrame, cols: list[str]) -> list:
         s = df.select(F.struct(*cols).alias("s")).scalar()
         return [s[c].alias(c) for c in cols]
 
-    cats = category_counts(parsed).agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("category", "events")))).alias(
-            "category_counts"
-        )
+    cats = sorted(SUPPORTED_CATEGORIES)
+    totals = _totals(parsed).select(
+        "events", "valid_events", "invalid_events", "duplicate_event_ids", "players", "sessions",
+        F.map_from_entries(
+            F.filter(
+                F.array(*[F.struct(F.lit(c).alias("k"), F.col(f"n_{c}").alias("v")) for c in cats]),
+                lambda e: e["v"] > 0,
+            )
+        ).alias("category_counts"),
+        percent("error_sessions", "sessions").alias("error_session_rate_percent"),
+        F.round(F.col("revenue_cents") / F.lit(100.0), 2).alias("revenue_usd"),
     )
     hard = hardest_levels(parsed, minimum_group_size).agg(
         F.transform(
@@ -232,12 +258,11 @@ def validation_summary(
             lambda s: s["player_key"],
         ).alias("sample_hashed_player_keys")
     )
+    t = one(totals, totals.columns)
     cols = (
-        one(file_profile(parsed), ["events", "valid_events", "invalid_events", "duplicate_event_ids", "players", "sessions"])
-        + one(cats, ["category_counts"])
+        t[:7]
         + one(eligible_retention(parsed), [f"d{n}_retention_percent" for n in RETENTION_DAYS])
-        + one(error_session_rate(parsed), ["error_session_rate_percent"])
-        + one(total_revenue(parsed), ["revenue_usd"])
+        + t[7:]
         + one(suppressed_privacy_groups(parsed, minimum_group_size), ["privacy_groups_suppressed", "privacy_threshold"])
         + one(hard, ["hardest_levels"])
         + one(keys, ["sample_hashed_player_keys"])
