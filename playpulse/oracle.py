@@ -318,8 +318,8 @@ def summary_body(salt: str, threshold: int) -> str:
       {pct('err.e', 'err.s')} AS error_session_rate_percent,
       round(CAST(coalesce(rev.c, 0) AS DOUBLE) / 100.0, 2) AS revenue_usd,
       priv.privacy_groups_suppressed, priv.privacy_threshold,
-      (SELECT list(struct_pack(level := level, starts := starts, completions := completions,
+      coalesce((SELECT list(struct_pack(level := level, starts := starts, completions := completions,
                                completion_rate := completion_rate) ORDER BY completion_rate, level)
-       FROM hard) AS hardest_levels,
+       FROM hard), []) AS hardest_levels,
       (SELECT list(player_key ORDER BY sample_rank) FROM keys) AS sample_hashed_player_keys
     FROM prof, ret, err, rev, priv"""
