@@ -42,3 +42,33 @@ def validate_events(parsed: DataFrame, with_ingest_time: bool = True) -> DataFra
     out = parsed.filter(cond).withColumn("event_date", F.to_date("event_time"))
     ingest_time = F.current_timestamp() if with_ingest_time else F.lit(None).cast("timestamp")
     return out.withColumn("ingested_at", ingest_time)
+
+
+def canonicalize_events(
+    vendor: DataFrame,
+    fields: dict[str, "str | F.Column"],
+    category_map: dict[str, str] | None = None,
+) -> DataFrame:
+    """Map a vendor export onto the canonical envelope ahead of ingest.
+
+    ``fields`` gives, per envelope field, a source column name or a Column
+    expression; envelope fields not given are null. ``category_map`` translates the
+    (lower-cased, trimmed) source category values; unmapped values pass through and
+    are then rejected by validation as unsupported. Output: the 25 envelope fields
+    with their declared types.
+    """
+    unknown = set(fields) - {f.name for f in RAW_EVENT_SCHEMA.fields}
+    if unknown:
+        raise ValueError(f"not envelope fields: {sorted(unknown)}")
+    cols = []
+    for f in RAW_EVENT_SCHEMA.fields:
+        src = fields.get(f.name)
+        c = F.lit(None) if src is None else (F.col(src) if isinstance(src, str) else src)
+        if f.name == "category" and category_map and src is not None:
+            key = normalize_category(c)
+            mapped = None
+            for k, v in category_map.items():
+                mapped = (F.when if mapped is None else mapped.when)(key == k.strip().lower(), F.lit(v))
+            c = mapped.otherwise(key)
+        cols.append(c.cast(f.dataType).alias(f.name))
+    return vendor.select(*cols)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import sys
+
 from pyspark.sql import DataFrame, SparkSession
 
-from playpulse.config import DEFAULT_MINIMUM_PRIVACY_GROUP, scratch_path
+from playpulse.config import DEFAULT_MINIMUM_PRIVACY_GROUP, argument, build_session, scratch_path
 from playpulse.operators.profile import parse_lines, validation_summary
 from playpulse.sources.jsonlines import read_json_lines
 
@@ -28,3 +31,24 @@ def profile_files(
     if summary_path:
         summary.coalesce(1).write.mode("overwrite").json(summary_path)
     return summary
+
+
+def main(argv: list[str] | None = None) -> int:
+    """``--input=<files> --json=<out dir> [--minimum-group-size=20]``; the salt comes
+    from ``--salt=`` or ``PLAYER_HASH_SALT``."""
+    argv = sys.argv[1:] if argv is None else argv
+    spark = build_session("playpulse-validate")
+    salt = argument(argv, "salt", os.environ.get("PLAYER_HASH_SALT", ""))
+    summary = profile_files(
+        spark,
+        argument(argv, "input", ""),
+        salt,
+        int(argument(argv, "minimum-group-size", str(DEFAULT_MINIMUM_PRIVACY_GROUP))),
+        argument(argv, "json", "") or None,
+    )
+    print(summary.toJSON().first())  # one row
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

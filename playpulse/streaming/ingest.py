@@ -126,3 +126,9 @@ def run_ingest(spark: SparkSession, config: JobConfig | None = None) -> None:
     """Entry point of the streaming job: Kafka -> curated table, until stopped."""
     config = config or JobConfig.from_env()
     start_ingest(read_kafka_stream(spark, config), config).awaitTermination()
+
+
+if __name__ == "__main__":
+    from playpulse.config import build_session
+
+    run_ingest(build_session("playpulse-ingest"))

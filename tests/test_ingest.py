@@ -114,3 +114,29 @@ def test_stream_equals_batch(spark, tmp_dir):
     batch = ingest(spark.read.text(src), "salt")
     assert got == sorted((r.event_uuid, r.event_time) for r in batch.collect())
     assert len(got) == 40
+
+
+def test_canonicalize_vendor_export(spark):
+    from playpulse.operators.decode import canonicalize_events
+
+    vendor = spark.createDataFrame(
+        [("x1", "2024-01-01 10:00:00", "u9", "Purchase", 499, "2023-12-31"),
+         ("x2", "2024-01-01 11:00:00", "u9", "heartbeat", None, "2023-12-31")],
+        "id string, at string, who string, kind string, cents long, joined string",
+    )
+    env = canonicalize_events(
+        vendor,
+        {"event_uuid": "id", "event_time": F.col("at"), "user_id": "who", "category": "kind",
+         "amount": "cents", "signup_date": "joined", "game_id": F.lit("g"),
+         "session_id": F.concat(F.col("who"), F.lit("-s"))},
+        {"purchase": "business"},
+    )
+    assert env.columns[:6] == ["event_uuid", "event_time", "game_id", "user_id", "session_id", "category"]
+    rows = {r.event_uuid: r for r in env.collect()}
+    assert rows["x1"].category == "business" and rows["x2"].category == "heartbeat"
+    from playpulse.sources.fixtures import envelope_to_json
+
+    curated = ingest(envelope_to_json(env), "s").collect()
+    assert [r.event_uuid for r in curated] == ["x1"]  # unsupported category rejected
+    with pytest.raises(ValueError):
+        canonicalize_events(vendor, {"nope": "id"})

@@ -141,3 +141,20 @@ def test_summary_row(spark):
     assert len(s.sample_hashed_player_keys) == 5
     assert s.hardest_levels == []
     assert s.privacy_threshold == 1
+
+
+def test_profile_files_gzip_with_bad_line(spark, tmp_dir):
+    import gzip
+    import os
+
+    from playpulse.plans.validate import profile_files
+
+    src = os.path.join(tmp_dir, "in")
+    os.makedirs(src)
+    with gzip.open(os.path.join(src, "part-0.json.gz"), "wt") as f:
+        f.write(_line(event_uuid="a") + "\n" + "{oops\n" + _line(event_uuid="b", category="business", amount=120) + "\n")
+    out = os.path.join(tmp_dir, "summary")
+    row = profile_files(spark, src, "salt", 1, out).first()
+    assert (row.events, row.valid_events, row.invalid_events, row.revenue_usd) == (3, 2, 1, 1.2)
+    written = spark.read.json(out).first()
+    assert written.events == 3
