@@ -11,9 +11,9 @@ from __future__ import annotations
 DIMS = "game_id, event_date, platform, build, country_code"
 
 
-CATEGORY_CASE = """CASE event_type WHEN 'signup' THEN 'user' WHEN 'purchase' THEN 'business'
+CATEGORY_CASE = """CASE lower(trim(event_type)) WHEN 'signup' THEN 'user' WHEN 'purchase' THEN 'business'
         WHEN 'error' THEN 'error' WHEN 'click' THEN 'progression'
-        WHEN 'view' THEN 'resource' END AS category"""
+        WHEN 'view' THEN 'resource' ELSE lower(trim(event_type)) END AS category"""
 
 
 def envelope_sql() -> str:

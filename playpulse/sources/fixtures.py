@@ -7,10 +7,11 @@ keep the two in step.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playpulse.functions.privacy import pseudonymize_player_id
+from playpulse.operators.decode import canonicalize_events
 from playpulse.schema import CURATED_EVENT_COLUMNS, RAW_EVENT_SCHEMA
 
 # Fixed values of the mapping: source event type -> category.
@@ -33,18 +34,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _category(event_type: Column) -> Column:
-    out = None
-    for source, target in EVENT_TYPE_CATEGORY.items():
-        out = (F.when if out is None else out.when)(event_type == source, F.lit(target))
-    return out
-
-
 def events_to_envelope(events: DataFrame, translate_categories: bool = True) -> DataFrame:
-    """Raw envelope (25 fields, raw ``user_id`` still present) from the generic table.
+    """Raw envelope (25 fields, raw ``user_id`` still present) from the generic table,
+    via the vendor-to-canonical mapping operator.
 
     ``translate_categories=False`` keeps the source event type as the category, as an
-    export lands when the vendor-to-canonical mapping is skipped.
+    export lands when the category translation is skipped.
     """
     uid, eid, et = F.col("user_id"), F.col("event_id"), F.col("event_type")
     ts = F.col("ts").cast("timestamp")
@@ -52,7 +47,7 @@ def events_to_envelope(events: DataFrame, translate_categories: bool = True) ->
     level_seed = F.get_json_object(F.col("props"), "$.k").cast("int")
     block = F.floor((F.unix_micros(ts) + F.lit(SESSION_SHIFT_MICROS)) / F.lit(SESSION_BLOCK_MICROS))
     status = F.when(eid % 3 == 0, "start").when(eid % 3 == 1, "complete").otherwise("fail")
-    cols = {
+    fields = {
         "event_uuid": F.concat(F.lit("e-"), eid.cast("string")),
         "event_time": ts,
         "game_id": F.concat(F.lit("game-"), (uid % 5 == 4).cast("int").cast("string")),
@@ -60,33 +55,25 @@ def events_to_envelope(events: DataFrame, translate_categories: bool = True) ->
         "session_id": F.concat(
             F.lit("player-"), uid.cast("string"), F.lit("-"), block.cast("long").cast("string")
         ),
-        "category": _category(et) if translate_categories else et,
-        "event_id": F.lit(None),
+        "category": et,
         "progression_status": F.when(is_click, status),
         "progression_01": F.when(
             is_click, F.concat(F.lit("level_"), (level_seed % 8).cast("string"))
         ),
-        "progression_02": F.lit(None),
-        "progression_03": F.lit(None),
         "currency": F.when(is_buy, F.lit("USD")),
         "amount": F.when(is_buy, F.round(F.col("value") * 100).cast("long")).when(
             is_view, F.round(F.col("value")).cast("long")
         ),
         "item_type": F.when(is_view, F.concat(F.lit("item_"), (eid % 2).cast("string"))),
-        "item_id": F.lit(None),
         "flow_type": F.when(is_view, F.when(eid % 2 == 0, "source").otherwise("sink")),
         "virtual_currency": F.when(is_view, F.lit("credits")),
-        "severity": F.lit(None),
-        "message": F.lit(None),
-        "value": F.lit(None),
         "platform": F.when(uid % 2 == 0, "ios").otherwise("android"),
-        "os_version": F.lit(None),
         "build": F.lit("1.0"),
         "country_code": F.when(uid % 5 == 0, "CA").otherwise("US"),
         "signup_date": F.date_add(F.lit(SIGNUP_BASE_DATE).cast("date"), (uid % 3).cast("int")),
     }
-    return events.select(
-        *[cols[f.name].cast(f.dataType).alias(f.name) for f in RAW_EVENT_SCHEMA.fields]
+    return canonicalize_events(
+        events, fields, EVENT_TYPE_CATEGORY if translate_categories else None
     )
 
 
