@@ -130,7 +130,8 @@ def eligible_retention(parsed: DataFrame) -> DataFrame:
         *[F.max(F.when(offset == n, 1).otherwise(0)).alias(f"active_d{n}") for n in RETENTION_DAYS]
     )
     last_day = days.select(F.max("event_day")).scalar()
-    span = F.datediff(last_day, F.col("cohort_day"))
+    players = players.withColumn("span", F.datediff(last_day, F.col("cohort_day")))  # once
+    span = F.col("span")
     aggs = []
     for n in RETENTION_DAYS:
         eligible = span >= n
@@ -195,6 +196,14 @@ def suppressed_privacy_groups(
     ).withColumn("privacy_threshold", F.lit(minimum_group_size))
 
 
+SUMMARY_COLUMNS = [
+    "events", "valid_events", "invalid_events", "duplicate_event_ids", "players", "sessions",
+    "category_counts", "d1_retention_percent", "d7_retention_percent", "d30_retention_percent",
+    "error_session_rate_percent", "revenue_usd", "privacy_groups_suppressed", "privacy_threshold",
+    "hardest_levels", "sample_hashed_player_keys",
+]
+
+
 def _totals(parsed: DataFrame) -> DataFrame:
     """One global aggregate for the row-level totals, the distinct counts, revenue and
     the count of each supported category (a fixed list, so no grouping is needed)."""
@@ -220,15 +229,13 @@ def validation_summary(
 ) -> DataFrame:
     """All file metrics in one row (nested: category map, level list, key list).
 
-    Five scalar subqueries (run concurrently): the totals aggregate, eligible
-    retention, privacy groups, hardest levels and sample keys. The collected lists
-    hold at most five levels and five keys.
+    The five parts (totals, eligible retention, privacy groups, hardest levels,
+    sample keys) are one-row aggregates with disjoint columns; they are stacked with
+    ``unionByName`` and folded into one row with ``first(ignorenulls)``: one job whose
+    scans run side by side, no join. The collected lists hold at most five levels
+    and five keys.
     """
 
-    def one(df: DataFrame, cols: list[str]) -> list:
-        s = df.select(F.struct(*cols).alias("s")).scalar()
-        return [s[c].alias(c) for c in cols]
-
     cats = sorted(SUPPORTED_CATEGORIES)
     totals = _totals(parsed).select(
         "events", "valid_events", "invalid_events", "duplicate_event_ids", "players", "sessions",
@@ -258,13 +265,14 @@ def validation_summary(
             lambda s: s["player_key"],
         ).alias("sample_hashed_player_keys")
     )
-    t = one(totals, totals.columns)
-    cols = (
-        t[:7]
-        + one(eligible_retention(parsed), [f"d{n}_retention_percent" for n in RETENTION_DAYS])
-        + t[7:]
-        + one(suppressed_privacy_groups(parsed, minimum_group_size), ["privacy_groups_suppressed", "privacy_threshold"])
-        + one(hard, ["hardest_levels"])
-        + one(keys, ["sample_hashed_player_keys"])
-    )
-    return parsed.sparkSession.range(1).select(*cols)
+    parts = [
+        totals,
+        eligible_retention(parsed).select(*[f"d{n}_retention_percent" for n in RETENTION_DAYS]),
+        suppressed_privacy_groups(parsed, minimum_group_size).select(
+            "privacy_groups_suppressed", "privacy_threshold"
+        ),
+        hard,
+        keys,
+    ]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return stacked.agg(*[F.first(c, ignorenulls=True).alias(c) for c in SUMMARY_COLUMNS])
