@@ -16,7 +16,7 @@ from playpulse.operators.quality import run_quality_gate
 from playpulse.plans.build import TABLES, build_and_write
 from playpulse.plans.publish import publish_all
 from playpulse.schema import SERVING_TABLES, TABLE_PARTITION_COLUMN
-from playpulse.sources.tables import compact, read_table_path
+from playpulse.sources.tables import compact_partitions, read_table_path
 
 
 @dataclass
@@ -39,8 +39,9 @@ def run_daily(
 ) -> DailyResult:
     """Run the four steps for ``run_date``.
 
-    ``version`` names the new serving and compacted directories of this run (the
-    previous run's ``previous_version`` is read for the upsert, never overwritten).
+    ``version`` names the new serving directories of this run (the previous run's
+    ``previous_version`` is read for the upsert, never overwritten). Compaction
+    rewrites only the run date's partitions of the curated and daily tables.
     """
     events = spark.read.parquet(config.table_path(config.raw_table))
     n = run_quality_gate(events, run_date)
@@ -62,10 +63,14 @@ def run_daily(
     left_out = publish_all(spark, tables, config, current, new_serving)
     result = DailyResult(run_date, n, paths, new_serving, left_out)
     if compact_tables:
+        # only the run date's partitions (cohort rows are rewritten whole each run)
         for t, p in paths.items():
-            target = f"{p}__compacted_{version}"
-            compact(spark, p, target, TABLE_PARTITION_COLUMN[t], table=t)
-            result.compacted[t] = target
+            if TABLE_PARTITION_COLUMN[t] == "event_date":
+                compact_partitions(spark, p, "event_date", [run_date], table=t)
+                result.compacted[t] = p
+        compact_partitions(
+            spark, config.table_path(config.raw_table), "event_date", [run_date], table="game_events"
+        )
     return result
 
 

@@ -52,7 +52,7 @@ from playpulse.sources.fixtures import (
     read_table,
 )
 from playpulse.sources.jsonlines import read_json_lines, write_json_lines
-from playpulse.sources.tables import compact, write_partitioned, write_table
+from playpulse.sources.tables import compact, compact_partitions, write_partitioned, write_table
 from playpulse.streaming.ingest import ingest, ingest_writer
 
 # Salt used for the fixture runs (jobs take theirs from configuration).
@@ -435,6 +435,19 @@ def q_compact_table(spark, sf_dir):
     return compact(spark, src, dst, "event_date").select(*NO_INGEST_TIME)
 
 
+@register("compact_partitions", CURATED_SQL)
+def q_compact_partitions(spark, sf_dir):
+    """The curated table written as many small files; ten days of it compacted in
+    place; the whole table read back."""
+    import datetime as _dt
+
+    path = scratch_path(spark, "events-small")
+    write_partitioned(_cur(spark, sf_dir), path, "event_date", "static", max_records_per_file=50)
+    days = [(_dt.date(2024, 1, 10) + _dt.timedelta(days=i)).isoformat() for i in range(10)]
+    compact_partitions(spark, path, "event_date", days, table="game_events")
+    return spark.read.parquet(path).select(*NO_INGEST_TIME)
+
+
 # ---- C4 gated daily run -------------------------------------------------------------
 DAILY_RUN_DATE = "2024-01-15"
 

@@ -102,6 +102,32 @@ def compact(
     return read_table_path(spark, target_path, table)
 
 
+def compact_partitions(
+    spark: SparkSession,
+    table_path: str,
+    partition_column: str,
+    values: list[str],
+    table: str | None = None,
+    max_records_per_file: int | None = None,
+) -> None:
+    """Rewrite only the given partitions of a table in place (a daily job's days).
+
+    The partitions' rows are first copied to a fresh folder below the shared
+    checkpoint folder, then written back with dynamic partition overwrite: only those
+    partitions are replaced, the rest of the table is not read or rewritten, and the
+    job never reads the path it overwrites. The row multiset is unchanged.
+    """
+    from playpulse.config import scratch_path
+
+    wanted = F.col(partition_column).isin([F.lit(v).cast("date") for v in values])
+    staged = scratch_path(spark, "compact-stage")
+    read_table_path(spark, table_path, table).filter(wanted).write.parquet(staged)
+    rows = spark.read.parquet(staged)
+    if table is not None:
+        rows = conform(rows, table)
+    write_partitioned(rows, table_path, partition_column, "dynamic", max_records_per_file)
+
+
 def file_count(spark: SparkSession, path: str) -> int:
     """Number of data files of a table (one row per file: the file list itself)."""
     return spark.read.parquet(path).select(F.input_file_name()).distinct().count()
