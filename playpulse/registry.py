@@ -243,6 +243,18 @@ def q_suppressed_privacy_groups(spark, sf_dir):
     return P.suppressed_privacy_groups(_parsed(spark, sf_dir), PRIVACY_EVENTS)
 
 
+@register("validate_json_files", f"{VALID} {O.summary_body(FIXTURE_SALT, MIN_LEVEL_STARTS)}")
+def q_validate_json_files(spark, sf_dir):
+    """The validation job end to end: the events exported as gzip JSON-lines files, then
+    parsed once into Parquet and profiled."""
+    from playpulse.plans.validate import profile_files
+
+    path = scratch_path(spark, "export-json")
+    lines = load_json_lines(spark, sf_dir)
+    write_json_lines(lines.repartition(max(spark.sparkContext.defaultParallelism, 1)), path, "gzip")
+    return profile_files(spark, path, FIXTURE_SALT, MIN_LEVEL_STARTS)
+
+
 @register("validation_summary", f"{VALID} {O.summary_body(FIXTURE_SALT, MIN_LEVEL_STARTS)}")
 def q_validation_summary(spark, sf_dir):
     return P.validation_summary(_parsed(spark, sf_dir), FIXTURE_SALT, MIN_LEVEL_STARTS)

@@ -41,6 +41,13 @@ def test_percent_rounds_exact_rational_half_even(spark, n, d, expected):
     assert df.select(percent("n", "d")).first()[0] == expected
 
 
+def test_percent_column_inputs_match_name_inputs(spark):
+    rows = [(n, d) for d in (0, 1, 3, 7, 32, 4000) for n in (0, 1, 2, 3, 107, 999)]
+    df = spark.createDataFrame(rows, "n long, d long")
+    got = df.select(percent("n", "d").alias("a"), percent(F.col("n"), F.col("d") + 0).alias("b")).collect()
+    assert all(r.a == r.b for r in got)
+
+
 def test_player_key_known_digest(spark):
     df = spark.createDataFrame([("player-42",), (None,)], "user_id string")
     got = [r[0] for r in df.select(player_key("user_id", "salt")).collect()]
