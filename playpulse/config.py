@@ -36,6 +36,7 @@ class JobConfig:
     trigger_interval: str = "1 minute"
     watermark: str = "24 hours"
     dedup_mode: str = "watermark"
+    state_store: str = "rocksdb"
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] | None = None) -> JobConfig:
@@ -53,6 +54,7 @@ class JobConfig:
             ),
             serving_format=env.get("SERVING_FORMAT", d.serving_format),
             dedup_mode=env.get("DEDUP_MODE", d.dedup_mode),
+            state_store=env.get("STATE_STORE", d.state_store),
         )
 
     def table_path(self, name: str) -> str:
@@ -126,9 +128,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not base:
         base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not base:
-        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if jdir.isDefined():
-            base = jdir.get()
+        base = spark.sparkContext.getCheckpointDir()
     if not base:
         base = tempfile.mkdtemp(prefix="playpulse-ckpt-")
         spark.sparkContext.setCheckpointDir(base)

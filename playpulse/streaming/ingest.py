@@ -32,6 +32,16 @@ from playpulse.schema import CURATED_EVENT_COLUMNS
 
 DEDUP_MODES = ("watermark", "state", "none")
 DEFAULT_WATERMARK = "24 hours"
+STATE_PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb_state(spark: SparkSession) -> None:
+    """Keep dedup state in RocksDB (on local disk, checkpointed as changelogs) instead of
+    the JVM heap: a day of event ids per state partition does not fit in memory at
+    scale. Takes effect for queries started afterwards with a new checkpoint."""
+    spark.conf.set(STATE_PROVIDER_KEY, ROCKSDB_PROVIDER)
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
 
 def ingest(
@@ -113,6 +123,8 @@ def start_ingest(
     """Start the ingest stream into a path or a catalog table (the long-running job)."""
     if not config.player_salt:
         raise ValueError("PLAYER_HASH_SALT must be set")
+    if config.state_store == "rocksdb":
+        use_rocksdb_state(raw.sparkSession)
     curated = ingest(raw, config.player_salt, config.dedup_mode, config.watermark)
     w = ingest_writer(
         curated, config.checkpoint_location, config.trigger_interval, available_now

@@ -140,3 +140,26 @@ def test_canonicalize_vendor_export(spark):
     assert [r.event_uuid for r in curated] == ["x1"]  # unsupported category rejected
     with pytest.raises(ValueError):
         canonicalize_events(vendor, {"nope": "id"})
+
+
+def test_start_ingest_with_rocksdb_state(spark, tmp_dir):
+    from playpulse.config import JobConfig
+    from playpulse.streaming.ingest import STATE_PROVIDER_KEY, start_ingest
+
+    src = os.path.join(tmp_dir, "in")
+    os.makedirs(src)
+    _drop_file(src, "a.json", [dict(event_uuid=f"e{i % 7}") for i in range(20)])
+    cfg = JobConfig(warehouse=tmp_dir, player_salt="salt", checkpoint_location=os.path.join(tmp_dir, "ck"))
+    previous = spark.conf.get(STATE_PROVIDER_KEY, None)
+    try:
+        start_ingest(read_json_stream(spark, src), cfg, available_now=True).awaitTermination()
+        assert "RocksDB" in spark.conf.get(STATE_PROVIDER_KEY)
+    finally:
+        if previous:
+            spark.conf.set(STATE_PROVIDER_KEY, previous)
+        else:
+            spark.conf.unset(STATE_PROVIDER_KEY)
+    out = spark.read.parquet(cfg.table_path(cfg.raw_table))
+    assert out.count() == 7
+    with pytest.raises(ValueError):
+        start_ingest(read_json_stream(spark, src), JobConfig(warehouse=tmp_dir))
