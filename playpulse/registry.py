@@ -420,6 +420,19 @@ def q_serving_read(spark, sf_dir):
     return read_serving(rows, "daily_engagement_by_game_day", READ_GAME, READ_MONTH)
 
 
+READ_DAY = "2024-01-15"
+
+
+@register(
+    "serving_read_day",
+    f"""{CUR} SELECT * FROM ({O.funnel_body(MIN_FUNNEL)})
+    WHERE game_id = '{READ_GAME}' AND event_date = DATE '{READ_DAY}'""",
+)
+def q_serving_read_day(spark, sf_dir):
+    rows = serving_progression(build_progression_funnel(_cur(spark, sf_dir), MIN_FUNNEL))
+    return read_serving(rows, "level_progression_by_game_day", READ_GAME, READ_DAY)
+
+
 # ---- K6 dynamic partition overwrite, K11 compaction ----------------------------------
 OVERWRITE_CUTOFF = "2024-01-25 12:00:00"
 OVERWRITE_FROM = "2024-01-25"
