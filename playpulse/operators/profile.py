@@ -171,14 +171,19 @@ def hardest_levels(parsed: DataFrame, minimum_starts: int = DEFAULT_MINIMUM_PRIV
 
 def sample_player_keys(parsed: DataFrame, salt: str) -> DataFrame:
     """Salted hashes of the players of the first five valid rows (by event time, then
-    id; repeats allowed) with their position 1..5."""
+    id; repeats allowed) with their position 1..5.
+
+    ``orderBy().limit()`` is a per-task top five merged once; the five rows are then
+    numbered by sorting them as one small array (no unpartitioned window).
+    """
     salt = check_salt(salt)
     first = valid_rows(parsed).orderBy("event_time", "event_uuid").limit(SAMPLE_KEYS)
-    ranked = first.withColumn(
-        "sample_rank", F.row_number().over(Window.orderBy("event_time", "event_uuid"))
-    )  # five rows
-    return ranked.select(
-        "sample_rank", F.sha2(F.concat(F.lit(salt), F.col("user_id")), 256).alias("player_key")
+    ordered = first.agg(
+        F.array_sort(F.collect_list(F.struct("event_time", "event_uuid", "user_id"))).alias("rows")
+    )
+    return ordered.select(F.posexplode("rows").alias("pos", "r")).select(
+        (F.col("pos") + 1).alias("sample_rank"),
+        F.sha2(F.concat(F.lit(salt), F.col("r.user_id")), 256).alias("player_key"),
     )
 
 
