@@ -18,18 +18,27 @@ def player_activity_days(events: DataFrame) -> DataFrame:
     """One row per (game, player, active day) with ``day_number`` since signup.
 
     Rows without a signup date are ignored. When a player shows several attribute sets
-    on one day (two builds, say), the earliest event of the day, by
-    (event_time, event_uuid), decides the day's signup date, platform, build and
-    country: a deterministic choice.
+    on one day (two builds, say), the set of the day's earliest event decides the day's
+    signup date, platform, build and country; an exact time tie goes to the lowest
+    attribute values (nulls first). Deterministic.
+
+    Plan: a hash aggregate per (game, player, day, attribute set) keeps only the set's
+    earliest time (a fixed-width buffer, reduced map side: one row per set and task);
+    the pick between sets then runs on those few rows. Carrying the row id for the
+    tie-break would turn the first step into a sort-based aggregate over every event.
     """
-    first = F.min_by(
+    firsts = (
+        events.filter(F.col("signup_date").isNotNull())
+        .groupBy("game_id", "player_key", "event_date", *_ATTRIBUTES)
+        .agg(F.min("event_time").alias("first_time"))
+    )
+    pick = F.min_by(
         F.struct(*[F.col(c) for c in _ATTRIBUTES]),
-        F.struct(F.col("event_time"), F.col("event_uuid")),
+        F.struct(F.col("first_time"), *[F.col(c) for c in _ATTRIBUTES]),
     )
     return (
-        events.filter(F.col("signup_date").isNotNull())
-        .groupBy("game_id", "player_key", "event_date")
-        .agg(first.alias("first"))
+        firsts.groupBy("game_id", "player_key", "event_date")
+        .agg(pick.alias("first"))
         .select("game_id", "player_key", "event_date", *[F.col(f"first.{c}").alias(c) for c in _ATTRIBUTES])
         .withColumn("day_number", F.datediff(F.col("event_date"), F.col("signup_date")))
     )

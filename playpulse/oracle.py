@@ -119,7 +119,9 @@ def retention_flags_body() -> str:
         max(CASE WHEN event_date - signup_date = 30 THEN 1 ELSE 0 END) AS retained_d30
       FROM (
         SELECT *, row_number() OVER (
-          PARTITION BY game_id, player_key, event_date ORDER BY event_time, event_uuid) AS rn
+          PARTITION BY game_id, player_key, event_date
+          ORDER BY event_time, signup_date NULLS FIRST, platform NULLS FIRST,
+                   build NULLS FIRST, country_code NULLS FIRST) AS rn
         FROM cur WHERE signup_date IS NOT NULL
       ) WHERE rn = 1
       GROUP BY game_id, player_key, signup_date, platform, build, country_code"""

@@ -542,7 +542,8 @@ def q_placement_exposure(spark, sf_dir):
     f"""{CUR} SELECT game_id, player_key, event_date, signup_date, platform, build, country_code,
         CAST(event_date - signup_date AS INTEGER) AS day_number
       FROM (SELECT *, row_number() OVER (PARTITION BY game_id, player_key, event_date
-                                         ORDER BY event_time, event_uuid) AS rn
+                ORDER BY event_time, signup_date NULLS FIRST, platform NULLS FIRST,
+                         build NULLS FIRST, country_code NULLS FIRST) AS rn
             FROM cur WHERE signup_date IS NOT NULL) WHERE rn = 1""",
 )
 def q_player_activity_days(spark, sf_dir):

@@ -124,3 +124,13 @@ def test_economy(spark):
     r = build_economy_flows(ev, 1).first()
     assert (r.supporting_players, r.currency_source, r.currency_sink, r.net_currency_flow) == (2, 100, 30, 70)
     assert build_economy_flows(ev, 3).count() == 0
+
+
+def test_retention_tie_break_is_deterministic(spark):
+    ev = curated(spark, [
+        dict(player_key="a", event_time="2024-01-02 09:00:00", build="2.0", event_uuid="x1"),
+        dict(player_key="a", event_time="2024-01-02 09:00:00", build="1.5", event_uuid="x2"),
+        dict(player_key="a", event_time="2024-01-02 10:00:00", build="0.9", event_uuid="x3"),
+    ])
+    days = player_activity_days(ev).collect()
+    assert [(d.build, d.day_number) for d in days] == [("1.5", 1)]
