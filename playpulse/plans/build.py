@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
+import sys
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playpulse.config import DEFAULT_MINIMUM_PRIVACY_GROUP, scratch_path
+from playpulse.config import (
+    DEFAULT_MINIMUM_PRIVACY_GROUP,
+    JobConfig,
+    argument,
+    build_session,
+    scratch_path,
+)
 from playpulse.operators.engagement import build_daily_engagement
 from playpulse.operators.funnel import build_economy_flows, build_progression_funnel
 from playpulse.operators.retention import build_retention
 from playpulse.operators.sessions import session_facts
 from playpulse.schema import PLAYER_SESSIONS_COLUMNS
-from playpulse.sources.tables import write_table
+from playpulse.sources.tables import read_table_path, write_table
 
 TABLES = ("player_sessions", "daily_engagement", "cohort_retention", "level_progression", "economy_flows")
 
@@ -79,3 +86,22 @@ def build_and_write(
     for name in TABLES:
         write_table(outputs[name], name, paths[name], mode)
     return BuiltTables(paths=dict(paths))
+
+
+def main(argv: list[str] | None = None) -> int:
+    """Rebuild all five tables from the full history (``--mode=static`` by default;
+    ``--start=``/``--end=`` with ``--mode=dynamic`` for a date range)."""
+    argv = sys.argv[1:] if argv is None else argv
+    config = JobConfig.from_env()
+    spark = build_session("playpulse-build")
+    events = read_table_path(spark, config.table_path(config.raw_table), "game_events")
+    start = argument(argv, "start", "") or None
+    end = argument(argv, "end", "") or None
+    mode = argument(argv, "mode", "static" if start is None else "dynamic")
+    paths = {t: config.table_path(t) for t in TABLES}
+    build_and_write(spark, events, paths, config.minimum_privacy_group, start, end, mode)
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import sys
+
 from pyspark.sql import DataFrame, SparkSession
 
-from playpulse.config import JobConfig
+from playpulse.config import JobConfig, argument, build_session
 from playpulse.operators.serving import SERVING_SHAPES, split_null_keys
+from playpulse.schema import SERVING_TABLES
 from playpulse.sources.serving import publish
+from playpulse.sources.tables import read_table_path
 
 
 def serving_rows(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -38,3 +42,26 @@ def publish_all(
             (new_paths or {}).get(name),
         )
     return left_out
+
+
+def main(argv: list[str] | None = None) -> int:
+    """Publish the four aggregate tables: ``--version=`` names the new Parquet versions,
+    ``--previous-version=`` the ones to upsert into (ignored for a keyed store)."""
+    argv = sys.argv[1:] if argv is None else argv
+    config = JobConfig.from_env()
+    spark = build_session("playpulse-publish")
+    version = argument(argv, "version", "current")
+    previous = argument(argv, "previous-version", "") or None
+    sources = {source for source, _ in SERVING_SHAPES.values()}
+    tables = {t: read_table_path(spark, config.table_path(t), t) for t in sources}
+    new = {s: f"{config.serving_path(s)}/{version}" for s in SERVING_TABLES}
+    current = {s: f"{config.serving_path(s)}/{previous}" for s in SERVING_TABLES} if previous else None
+    left_out = publish_all(spark, tables, config, current, new)
+    for name, n in left_out.items():
+        if n:
+            print(f"{name}: {n} rows with a null key part left out")
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

@@ -124,3 +124,27 @@ def test_daily_run_gate_stops_build(spark, tmp_dir):
     with pytest.raises(QualityGateError):
         run_daily(spark, cfg, "2024-01-05", version="v2", previous_version="v1")
     assert not os.path.exists(cfg.serving_path("daily_engagement_by_game_day") + "/v2")
+
+
+def test_job_entry_points(spark, tmp_dir, monkeypatch, capsys):
+    from playpulse.plans import build as build_job
+    from playpulse.plans import gate as gate_job
+    from playpulse.plans import maintain as maintain_job
+    from playpulse.plans import publish as publish_job
+
+    monkeypatch.setenv("WAREHOUSE_PATH", tmp_dir)
+    monkeypatch.setenv("MINIMUM_PRIVACY_GROUP", "1")
+    cfg = JobConfig.from_env()
+    ev = curated(spark, [dict(event_time="2024-01-02 10:00:00", category="business", amount=100),
+                         dict(event_time="2024-01-03 10:00:00")])
+    write_table(ev, "game_events", cfg.table_path(cfg.raw_table), "static")
+    assert gate_job.main(["--run-date=2024-01-02"]) == 0
+    assert "QUALITY_CHECK_PASSED: 1 events validated for 2024-01-02" in capsys.readouterr().out
+    assert gate_job.main(["--run-date=2024-02-01"]) == 1
+    assert "QUALITY_CHECK_FAILED: No events found for 2024-02-01" in capsys.readouterr().err
+    assert build_job.main([]) == 0
+    assert spark.read.parquet(cfg.table_path("daily_engagement")).count() == 2
+    assert publish_job.main(["--version=v1"]) == 0
+    assert spark.read.parquet(cfg.serving_path("daily_engagement_by_game_day") + "/v1").count() == 2
+    assert maintain_job.main(["--dates=2024-01-02"]) == 0
+    assert spark.read.parquet(cfg.table_path(cfg.raw_table)).count() == 2
