@@ -37,6 +37,7 @@ class JobConfig:
     watermark: str = "24 hours"
     dedup_mode: str = "watermark"
     state_store: str = "rocksdb"
+    max_offsets_per_trigger: int | None = None
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] | None = None) -> JobConfig:
@@ -55,6 +56,9 @@ class JobConfig:
             serving_format=env.get("SERVING_FORMAT", d.serving_format),
             dedup_mode=env.get("DEDUP_MODE", d.dedup_mode),
             state_store=env.get("STATE_STORE", d.state_store),
+            max_offsets_per_trigger=int(env["MAX_OFFSETS_PER_TRIGGER"])
+            if env.get("MAX_OFFSETS_PER_TRIGGER")
+            else None,
         )
 
     def table_path(self, name: str) -> str:

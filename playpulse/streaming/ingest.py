@@ -76,6 +76,9 @@ def read_kafka_stream(spark: SparkSession, config: JobConfig, **options: str) ->
         .option("startingOffsets", "latest")
         .option("failOnDataLoss", "false")
     )
+    if config.max_offsets_per_trigger:
+        # bounds each micro-batch, and with it what one dedup task can receive
+        reader = reader.option("maxOffsetsPerTrigger", str(config.max_offsets_per_trigger))
     for k, v in options.items():
         reader = reader.option(k, v)
     return reader.load().select(F.col("value").cast("string").alias("value"))
