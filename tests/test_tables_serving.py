@@ -148,3 +148,23 @@ def test_job_entry_points(spark, tmp_dir, monkeypatch, capsys):
     assert spark.read.parquet(cfg.serving_path("daily_engagement_by_game_day") + "/v1").count() == 2
     assert maintain_job.main(["--dates=2024-01-02"]) == 0
     assert spark.read.parquet(cfg.table_path(cfg.raw_table)).count() == 2
+
+
+def test_compaction_clusters_categories(spark, tmp_dir):
+    import pyarrow.parquet as pq
+
+    from playpulse.sources.tables import compact_partitions
+
+    path = os.path.join(tmp_dir, "events")
+    cats = ["user", "business", "progression", "resource"]
+    df = curated(spark, [dict(event_time=f"2024-01-01 10:{i // 60:02d}:{i % 60:02d}", category=cats[i % 4]) for i in range(400)])
+    write_partitioned(df, path, "event_date", "static")
+    compact_partitions(spark, path, "event_date", ["2024-01-01"], table="game_events", max_records_per_file=100)
+    day = os.path.join(path, "event_date=2024-01-01")
+    ranges = []
+    for f in sorted(os.listdir(day)):
+        if f.endswith(".parquet"):
+            t = pq.read_table(os.path.join(day, f), columns=["category"]).column("category").to_pylist()
+            ranges.append((min(t), max(t)))
+    assert all(lo == hi for lo, hi in ranges)  # one category per file after clustering
+    assert spark.read.parquet(path).count() == 400
