@@ -152,3 +152,82 @@ def test_gate_counts(spark, events):
         assert g.missing_required == missing
         assert g.duplicate_event_ids == sum(1 for n in ids.values() if n > 1)
         assert g.unsupported_categories == 0
+
+
+retention_event = st.fixed_dictionaries({
+    "player_key": st.sampled_from(["p0", "p1", "p2", "p3", "p4"]),
+    "day": st.integers(0, 35),
+    "second": st.integers(0, 86399),
+    "signup": st.sampled_from([None, 0, 1, 2]),
+    "build": st.sampled_from(["1.0", "2.0"]),
+})
+
+
+@SETTINGS
+@given(st.lists(retention_event, min_size=1, max_size=40))
+def test_cohort_retention(spark, events):
+    from playpulse.operators.retention import build_retention, player_retention_flags
+
+    base = dt.datetime(2024, 1, 1)
+    rows = [dict(player_key=e["player_key"], build=e["build"],
+                 event_time=base + dt.timedelta(days=e["day"], seconds=e["second"]),
+                 signup_date=None if e["signup"] is None else (base + dt.timedelta(days=e["signup"])).date())
+            for e in events]
+    ev = curated(spark, rows)
+    # the day's attributes: earliest event, exact time ties to the lowest (signup, build)
+    first = {}
+    for r in rows:
+        if r["signup_date"] is None:
+            continue
+        k = (r["player_key"], r["event_time"].date())
+        cand = (r["event_time"], r["signup_date"], r["build"])
+        if k not in first or cand < first[k]:
+            first[k] = cand
+    flags = defaultdict(lambda: [0, 0, 0])
+    for (p, day), (_, signup, build) in first.items():
+        f = flags[(p, signup, build)]
+        for i, n in enumerate((1, 7, 30)):
+            if (day - signup).days == n:
+                f[i] = 1
+    got = {(r.player_key, r.signup_date, r.build): [r.retained_d1, r.retained_d7, r.retained_d30]
+           for r in player_retention_flags(ev).collect()}
+    assert got == dict(flags)
+    cohorts = defaultdict(lambda: [0, 0, 0, 0])
+    for (p, signup, build), f in flags.items():
+        c = cohorts[(signup, build)]
+        c[0] += 1
+        for i in range(3):
+            c[i + 1] += f[i]
+    got = {(r.cohort_date, r.build): [r.cohort_size, r.retained_d1_players, r.retained_d7_players, r.retained_d30_players]
+           for r in build_retention(ev, 1).collect()}
+    assert got == dict(cohorts)
+
+
+@SETTINGS
+@given(st.lists(retention_event, min_size=1, max_size=40))
+def test_eligible_retention(spark, events):
+    import json
+
+    from playpulse.operators.profile import eligible_retention, parse_lines
+
+    base = dt.date(2024, 1, 1)
+    lines, active, signups = [], defaultdict(set), {}
+    for i, e in enumerate(events):
+        if e["signup"] is None:
+            continue
+        day = base + dt.timedelta(days=e["day"])
+        signup = base + dt.timedelta(days=e["signup"])
+        lines.append(json.dumps({"event_uuid": str(i), "event_time": f"{day}T10:00:00Z", "user_id": e["player_key"],
+                                 "session_id": "s", "category": "user", "signup_date": str(signup)}))
+        active[e["player_key"]].add(day)
+        signups[e["player_key"]] = min(signups.get(e["player_key"], signup), signup)
+    if not lines:
+        return
+    last = max(d for ds in active.values() for d in ds)
+    expected = []
+    for n in (1, 7, 30):
+        eligible = [p for p, s in signups.items() if (last - s).days >= n]
+        retained = [p for p in eligible if signups[p] + dt.timedelta(days=n) in active[p]]
+        expected += [len(eligible), len(retained)]
+    r = eligible_retention(parse_lines(spark.createDataFrame([(x,) for x in lines], "value string"))).first()
+    assert [r.eligible_d1, r.retained_d1, r.eligible_d7, r.retained_d7, r.eligible_d30, r.retained_d30] == expected
