@@ -95,7 +95,8 @@ def build_session(
 
     UTC session time zone (event times are UTC), adaptive execution with partition
     coalescing and skew-join splitting, and dynamic partition overwrite so a job that
-    writes some dates leaves the other dates of a table alone.
+    writes some dates leaves the other dates of a table alone. ``SHUFFLE_PARTITIONS``
+    in the environment sets the shuffle width for large inputs.
     """
     b = SparkSession.builder.appName(app_name)
     if master:
@@ -108,6 +109,12 @@ def build_session(
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.ui.enabled": "false",
     }
+    shuffle = os.environ.get("SHUFFLE_PARTITIONS")
+    if shuffle:
+        # size to roughly (largest shuffle input) / 128-256 MB; adaptive execution
+        # coalesces small partitions and splits skewed ones from there
+        base["spark.sql.shuffle.partitions"] = shuffle
+        base["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = shuffle
     base.update(conf or {})
     for k, v in base.items():
         b = b.config(k, v)

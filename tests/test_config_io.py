@@ -44,3 +44,12 @@ def test_keyed_store_writer_uses_configured_format(spark, tmp_dir):
     write_keyed_store(df, "daily_engagement_by_game_day", "parquet", {"path": path})
     write_keyed_store(df, "daily_engagement_by_game_day", "parquet", {"path": path})
     assert spark.read.parquet(path).count() == 2  # a file format appends; a keyed store upserts
+
+
+def test_shuffle_width_from_environment(spark, monkeypatch):
+    from playpulse.config import build_session
+
+    monkeypatch.setenv("SHUFFLE_PARTITIONS", "6")
+    s = build_session("again")  # the running session, settings applied
+    assert s.conf.get("spark.sql.shuffle.partitions") == "6"
+    s.conf.set("spark.sql.shuffle.partitions", "4")
