@@ -53,3 +53,4 @@ def test_shuffle_width_from_environment(spark, monkeypatch):
     s = build_session("again")  # the running session, settings applied
     assert s.conf.get("spark.sql.shuffle.partitions") == "6"
     s.conf.set("spark.sql.shuffle.partitions", "4")
+    s.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
