@@ -84,6 +84,17 @@ def file_profile(parsed: DataFrame) -> DataFrame:
     )
 
 
+def duplicate_measures(parsed: DataFrame) -> DataFrame:
+    """Both duplicate measures over the valid rows: ids seen more than once (the gate's
+    measure) and repeat occurrences (rows minus distinct ids, the profile's measure).
+    One aggregate per id, combined map side, then a global sum."""
+    per_id = valid_rows(parsed).groupBy("event_uuid").agg(F.count(F.lit(1)).alias("n"))
+    return per_id.agg(
+        F.count_if(F.col("n") > 1).alias("duplicate_ids"),
+        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("long").alias("repeat_occurrences"),
+    )
+
+
 def category_counts(parsed: DataFrame) -> DataFrame:
     """Valid rows per category, ordered by category name."""
     return (

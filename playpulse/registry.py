@@ -180,6 +180,23 @@ def q_quality_gate_untranslated(spark, sf_dir):
     return quality_gate_by_date(ev)
 
 
+def _replayed_lines(spark, sf_dir):
+    """The JSON export delivered twice (at-least-once replay of the whole export)."""
+    lines = load_json_lines(spark, sf_dir)
+    return lines.unionByName(lines)
+
+
+REPLAYED_CUR = f"""{CUR},
+    replay AS (SELECT * FROM cur UNION ALL SELECT * FROM cur)"""
+
+
+@register("quality_gate_replayed", f"{REPLAYED_CUR} {O.gate_body('replay')}")
+def q_quality_gate_replayed(spark, sf_dir):
+    """The gate over a replayed delivery ingested without dedup: every id twice."""
+    landed = ingest(_replayed_lines(spark, sf_dir), FIXTURE_SALT, dedup="none")
+    return quality_gate_by_date(landed)
+
+
 # ---- C5 file validation profile (P20, A13-A21, T1-T3) ---------------------------------
 def _parsed(spark, sf_dir):
     return P.parse_lines(load_json_lines(spark, sf_dir))
@@ -193,6 +210,17 @@ def q_file_profile(spark, sf_dir):
     return P.file_profile(_parsed(spark, sf_dir))
 
 
+@register(
+    "duplicate_measures",
+    f"""{VALID}, v2 AS (SELECT * FROM v UNION ALL SELECT * FROM v),
+    per_id AS (SELECT event_uuid, count(*) AS n FROM v2 GROUP BY event_uuid)
+    SELECT count(*) FILTER (WHERE n > 1) AS duplicate_ids,
+           CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS repeat_occurrences FROM per_id""",
+)
+def q_duplicate_measures(spark, sf_dir):
+    return P.duplicate_measures(P.parse_lines(_replayed_lines(spark, sf_dir)))
+
+
 @register("category_counts", f"{VALID} SELECT category, count(*) AS events FROM v GROUP BY category")
 def q_category_counts(spark, sf_dir):
     return P.category_counts(_parsed(spark, sf_dir))
