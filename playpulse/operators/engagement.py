@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from playpulse.config import DEFAULT_MINIMUM_PRIVACY_GROUP
@@ -26,6 +26,35 @@ def build_daily_revenue(events: DataFrame, currency: str | None = None) -> DataF
     )
 
 
+def nearest_rank_percentile(
+    rows: DataFrame, keys: list[str], value: str, numerator: int, denominator: int, alias: str
+) -> DataFrame:
+    """Exact percentile ``numerator / denominator`` of an integer column per key group:
+    the smallest value whose cumulative count reaches ``ceil(n * p)`` (nearest rank; the
+    same value as a discrete quantile, and as ``percentile_approx`` wherever that is
+    exact).
+
+    Plan: a histogram (count per key and value, reduced map side, so a hot group is
+    spread over its values), then a running count per group ordered by value. A
+    group's window holds one row per distinct value, so it stays bounded when values
+    have a bounded domain (session seconds within one day: at most 86,400).
+    """
+    hist = rows.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(
+        F.count(F.lit(1)).alias("_n")
+    )
+    group = Window.partitionBy(*keys)
+    running = group.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hist = hist.withColumn("_cum", F.sum("_n").over(running)).withColumn(
+        "_total", F.sum("_n").over(group)
+    )
+    rank = (F.col("_total") * numerator + (denominator - 1)) / denominator  # ceil, exact
+    return (
+        hist.filter(F.col("_cum") >= F.floor(rank))
+        .groupBy(*keys)
+        .agg(F.min(value).alias(alias))
+    )
+
+
 def build_daily_engagement(
     sessions: DataFrame,
     events: DataFrame | None = None,
@@ -43,32 +72,36 @@ def build_daily_engagement(
     ``null_safe_dimensions=False`` reproduces plain-equality join semantics: a group
     with a null platform, build or country gets revenue 0.0.
 
-    Plan: the two distinct counts form their own aggregate (Spark expands rows per
-    distinct column; the buffers are plain counts), while mean, p95 and rates form a
-    second aggregate keyed only on the dimensions, so a ``percentile_approx`` sketch
-    exists once per group instead of once per expanded (player, session) key. The
-    parts are stacked and grouped once more by the dimensions; grouping treats null
-    keys as equal, so no null-safe join is needed.
+    Plan: three parts keyed on the dimensions, stacked and grouped once more (grouping
+    treats null keys as equal, so no null-safe join is needed):
+
+    - the two distinct counts (Spark expands rows per distinct column; count buffers);
+    - the exact p95 from a histogram of session seconds (:func:`nearest_rank_percentile`):
+      no quantile sketch per map task to merge in one reducer for a hot group;
+    - mean seconds, crash-free rate and revenue (fixed-width buffers, hash aggregate).
     """
     distinct = sessions.groupBy(*DAILY_DIMENSIONS).agg(
         F.countDistinct("player_key").alias("dau"),
         F.countDistinct("session_id").alias("sessions"),
     )
+    p95 = nearest_rank_percentile(
+        sessions, DAILY_DIMENSIONS, "session_seconds", 95, 100, "p95_session_seconds"
+    )
     stats_cols = [
         F.avg("session_seconds").alias("avg_session_seconds"),
-        F.percentile_approx("session_seconds", 0.95).alias("p95_session_seconds"),
         (F.lit(1.0) - F.avg(F.col("has_error").cast("double"))).alias("crash_free_session_rate"),
     ]
     if "revenue_cents" in sessions.columns:
         stats_cols.append(
             (F.coalesce(F.sum("revenue_cents"), F.lit(0)) / F.lit(100.0)).alias("revenue_usd")
         )
-        parts = [distinct, sessions.groupBy(*DAILY_DIMENSIONS).agg(*stats_cols)]
+        parts = [distinct, p95, sessions.groupBy(*DAILY_DIMENSIONS).agg(*stats_cols)]
     else:
         if events is None:
             raise ValueError("events are needed when sessions carry no revenue_cents")
         parts = [
             distinct,
+            p95,
             sessions.groupBy(*DAILY_DIMENSIONS).agg(*stats_cols),
             build_daily_revenue(events),
         ]
