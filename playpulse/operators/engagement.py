@@ -26,32 +26,46 @@ def build_daily_revenue(events: DataFrame, currency: str | None = None) -> DataF
     )
 
 
-def nearest_rank_percentile(
-    rows: DataFrame, keys: list[str], value: str, numerator: int, denominator: int, alias: str
+def histogram_stats(
+    rows: DataFrame,
+    keys: list[str],
+    value: str,
+    numerator: int,
+    denominator: int,
+    alias: str,
+    sums: dict[str, F.Column] | None = None,
 ) -> DataFrame:
-    """Exact percentile ``numerator / denominator`` of an integer column per key group:
-    the smallest value whose cumulative count reaches ``ceil(n * p)`` (nearest rank; the
-    same value as a discrete quantile, and as ``percentile_approx`` wherever that is
-    exact).
-
-    Plan: a histogram (count per key and value, reduced map side, so a hot group is
-    spread over its values), then a running count per group ordered by value. A
-    group's window holds one row per distinct value, so it stays bounded when values
-    have a bounded domain (session seconds within one day: at most 86,400).
+    """Per key group: the exact percentile ``numerator / denominator`` of an integer
+    column (nearest rank: the smallest value whose running count reaches
+    ``ceil(n * p)``, the same value as a discrete quantile and as
+    ``percentile_approx`` wherever that is exact), the row count ``_rows``, the count
+    of non-null values ``_values``, their sum ``_value_sum``, and each additive column
+    of ``sums`` summed over the group.
+
+    Plan: a histogram (one row per key and value, reduced map side, so a hot group is
+    spread over its values), then a running count per group ordered by value, then a
+    per-group aggregate that reuses the window's partitioning. A group's window holds
+    one row per distinct value: bounded when values have a bounded domain (session
+    seconds within one day: at most 86,400).
     """
-    hist = rows.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(
-        F.count(F.lit(1)).alias("_n")
+    sums = sums or {}
+    present = F.col(value).isNotNull()
+    hist = rows.groupBy(*keys, value).agg(
+        F.count(F.lit(1)).alias("_n"), *[c.alias(name) for name, c in sums.items()]
     )
+    counted = F.when(present, F.col("_n")).otherwise(F.lit(0))
     group = Window.partitionBy(*keys)
     running = group.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hist = hist.withColumn("_cum", F.sum("_n").over(running)).withColumn(
-        "_total", F.sum("_n").over(group)
+    hist = hist.withColumn("_cum", F.sum(counted).over(running)).withColumn(
+        "_total", F.sum(counted).over(group)
     )
-    rank = (F.col("_total") * numerator + (denominator - 1)) / denominator  # ceil, exact
-    return (
-        hist.filter(F.col("_cum") >= F.floor(rank))
-        .groupBy(*keys)
-        .agg(F.min(value).alias(alias))
+    rank = F.floor((F.col("_total") * numerator + (denominator - 1)) / denominator)  # ceil
+    return hist.groupBy(*keys).agg(
+        F.min(F.when(present & (F.col("_cum") >= rank), F.col(value))).alias(alias),
+        F.sum("_n").alias("_rows"),
+        F.sum(counted).alias("_values"),
+        F.sum(F.col(value) * F.col("_n")).alias("_value_sum"),
+        *[F.sum(name).alias(name) for name in sums],
     )
 
 
@@ -72,39 +86,45 @@ def build_daily_engagement(
     ``null_safe_dimensions=False`` reproduces plain-equality join semantics: a group
     with a null platform, build or country gets revenue 0.0.
 
-    Plan: three parts keyed on the dimensions, stacked and grouped once more (grouping
+    Plan: two parts keyed on the dimensions, stacked and grouped once more (grouping
     treats null keys as equal, so no null-safe join is needed):
 
     - the two distinct counts (Spark expands rows per distinct column; count buffers);
-    - the exact p95 from a histogram of session seconds (:func:`nearest_rank_percentile`):
-      no quantile sketch per map task to merge in one reducer for a hot group;
-    - mean seconds, crash-free rate and revenue (fixed-width buffers, hash aggregate).
+    - a histogram of session seconds (:func:`histogram_stats`) giving the exact p95,
+      the mean and, as additive sums, the crash-free rate and revenue: no quantile
+      sketch per map task to merge in one reducer for a hot group.
     """
     distinct = sessions.groupBy(*DAILY_DIMENSIONS).agg(
         F.countDistinct("player_key").alias("dau"),
         F.countDistinct("session_id").alias("sessions"),
     )
-    p95 = nearest_rank_percentile(
-        sessions, DAILY_DIMENSIONS, "session_seconds", 95, 100, "p95_session_seconds"
+    sums = {"_errors": F.sum(F.col("has_error").cast("long"))}
+    fused_revenue = "revenue_cents" in sessions.columns
+    if fused_revenue:
+        sums["_cents"] = F.sum("revenue_cents")
+    hist = histogram_stats(
+        sessions, DAILY_DIMENSIONS, "session_seconds", 95, 100, "p95_session_seconds", sums
     )
-    stats_cols = [
-        F.avg("session_seconds").alias("avg_session_seconds"),
-        (F.lit(1.0) - F.avg(F.col("has_error").cast("double"))).alias("crash_free_session_rate"),
-    ]
-    if "revenue_cents" in sessions.columns:
-        stats_cols.append(
-            (F.coalesce(F.sum("revenue_cents"), F.lit(0)) / F.lit(100.0)).alias("revenue_usd")
-        )
-        parts = [distinct, p95, sessions.groupBy(*DAILY_DIMENSIONS).agg(*stats_cols)]
-    else:
+    stats = hist.select(
+        *DAILY_DIMENSIONS,
+        "p95_session_seconds",
+        F.try_divide(F.col("_value_sum").cast("double"), F.col("_values")).alias(
+            "avg_session_seconds"
+        ),
+        (F.lit(1.0) - F.col("_errors").cast("double") / F.col("_rows")).alias(
+            "crash_free_session_rate"
+        ),
+        *(
+            [(F.coalesce(F.col("_cents"), F.lit(0)) / F.lit(100.0)).alias("revenue_usd")]
+            if fused_revenue
+            else []
+        ),
+    )
+    parts = [distinct, stats]
+    if not fused_revenue:
         if events is None:
             raise ValueError("events are needed when sessions carry no revenue_cents")
-        parts = [
-            distinct,
-            p95,
-            sessions.groupBy(*DAILY_DIMENSIONS).agg(*stats_cols),
-            build_daily_revenue(events),
-        ]
+        parts.append(build_daily_revenue(events))
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     value_cols = [c for c in DAILY_ENGAGEMENT_COLUMNS if c not in DAILY_DIMENSIONS]
     out = stacked.groupBy(*DAILY_DIMENSIONS).agg(*[F.max(c).alias(c) for c in value_cols])
