@@ -33,13 +33,14 @@ def run_daily(
     spark: SparkSession,
     config: JobConfig,
     run_date: str,
-    version: str,
+    version: str | None = None,
     previous_version: str | None = None,
     compact_tables: bool = True,
 ) -> DailyResult:
     """Run the four steps for ``run_date``.
 
-    ``version`` names the new serving directories of this run (the previous run's
+    Serving tables are upserted in place, partition by partition. With ``version`` the
+    run instead writes new serving version directories (the previous run's
     ``previous_version`` is read for the upsert, never overwritten). Compaction
     rewrites only the run date's partitions of the curated and daily tables.
     """
@@ -55,13 +56,18 @@ def run_daily(
         df = read_table_path(spark, p, t)
         part = TABLE_PARTITION_COLUMN[t]
         tables[t] = df if part == "cohort_date" else df.filter(F.col(part) == F.to_date(F.lit(run_date)))
-    new_serving = {s: f"{config.serving_path(s)}/{version}" for s in SERVING_TABLES}
-    current = (
-        {s: f"{config.serving_path(s)}/{previous_version}" for s in new_serving}
-        if previous_version else None
-    )
-    left_out = publish_all(spark, tables, config, current, new_serving)
-    result = DailyResult(run_date, n, paths, new_serving, left_out)
+    if version:
+        new_serving = {s: f"{config.serving_path(s)}/{version}" for s in SERVING_TABLES}
+        current = (
+            {s: f"{config.serving_path(s)}/{previous_version}" for s in new_serving}
+            if previous_version else None
+        )
+        left_out = publish_all(spark, tables, config, current, new_serving)
+        serving = new_serving
+    else:
+        left_out = publish_all(spark, tables, config)
+        serving = {s: config.serving_path(s) for s in SERVING_TABLES}
+    result = DailyResult(run_date, n, paths, serving, left_out)
     if compact_tables:
         # only the run date's partitions (cohort rows are rewritten whole each run)
         for t, p in paths.items():
@@ -79,7 +85,7 @@ def main(argv: list[str] | None = None) -> int:
     config = JobConfig.from_env()
     spark = build_session("playpulse-daily")
     run_date = argument(argv, "run-date", default_run_date())
-    version = argument(argv, "version", run_date)
+    version = argument(argv, "version", "") or None
     previous = argument(argv, "previous-version", "") or None
     run_daily(spark, config, run_date, version, previous)
     return 0

@@ -45,16 +45,17 @@ def publish_all(
 
 
 def main(argv: list[str] | None = None) -> int:
-    """Publish the four aggregate tables: ``--version=`` names the new Parquet versions,
-    ``--previous-version=`` the ones to upsert into (ignored for a keyed store)."""
+    """Publish the four aggregate tables (Parquet: in-place partition upserts; with
+    ``--version=`` new version directories instead, upserting ``--previous-version=``;
+    a keyed store ignores both)."""
     argv = sys.argv[1:] if argv is None else argv
     config = JobConfig.from_env()
     spark = build_session("playpulse-publish")
-    version = argument(argv, "version", "current")
+    version = argument(argv, "version", "") or None
     previous = argument(argv, "previous-version", "") or None
     sources = {source for source, _ in SERVING_SHAPES.values()}
     tables = {t: read_table_path(spark, config.table_path(t), t) for t in sources}
-    new = {s: f"{config.serving_path(s)}/{version}" for s in SERVING_TABLES}
+    new = {s: f"{config.serving_path(s)}/{version}" for s in SERVING_TABLES} if version else None
     current = {s: f"{config.serving_path(s)}/{previous}" for s in SERVING_TABLES} if previous else None
     left_out = publish_all(spark, tables, config, current, new)
     for name, n in left_out.items():

@@ -516,7 +516,7 @@ def q_daily_run(spark, sf_dir):
     warehouse = scratch_path(spark, "warehouse")
     config = JobConfig(warehouse=warehouse, player_salt=FIXTURE_SALT, minimum_privacy_group=MIN_ENGAGEMENT)
     write_table(_cur(spark, sf_dir), "game_events", config.table_path(config.raw_table), "static")
-    result = run_daily(spark, config, DAILY_RUN_DATE, version="v1")
+    result = run_daily(spark, config, DAILY_RUN_DATE)  # serving upserted in place
     return spark.read.parquet(result.serving["daily_engagement_by_game_day"])
 
 

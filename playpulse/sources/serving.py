@@ -2,17 +2,25 @@
 
 A keyed store (any DataFrame source whose append is an upsert by primary key, such
 as a wide-column store connector) gets a plain append. On Parquet the same effect is
-produced with :func:`playpulse.operators.serving.upsert_by_key` into a new directory:
-the previous version is read, never overwritten in place.
+produced with :func:`playpulse.operators.serving.upsert_by_key`, either
+
+- in place, partition by partition (:func:`publish_partitions`, the default): the
+  table is partitioned by its period column (month or day), only the partitions the
+  update touches are read, merged and replaced; or
+- as a new version directory (:func:`publish_parquet`): the previous version is read
+  whole, never overwritten.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from playpulse.config import JobConfig
-from playpulse.operators.serving import upsert_by_key
+from playpulse.config import JobConfig, scratch_path
+from playpulse.operators.serving import split_null_keys, upsert_by_key
+from playpulse.schema import SERVING_TABLES
+from playpulse.sources.tables import write_partitioned
 
 
 def write_keyed_store(df: DataFrame, table: str, fmt: str, options: dict[str, str]) -> None:
@@ -40,6 +48,38 @@ def publish_parquet(
     return spark.read.parquet(new_path)
 
 
+def period_column(table: str) -> str:
+    """The period part of a serving table's partition key (month or day)."""
+    return SERVING_TABLES[table]["partition_key"][1]
+
+
+def publish_partitions(spark: SparkSession, rows: DataFrame, table: str, path: str) -> DataFrame:
+    """Upsert ``rows`` into the Parquet table at ``path``, touching only the periods
+    (months or days) that occur in ``rows``.
+
+    The list of touched periods is collected (bounded: the periods of one publish);
+    the existing rows of those partitions are read by partition pruning, merged by
+    primary key, staged in the shared folder and written back with dynamic partition
+    overwrite. Other partitions are neither read nor rewritten, so a daily publish
+    costs the size of its periods, not of the history. Rows with a null key part are
+    left out.
+    """
+    period = period_column(table)
+    good, _ = split_null_keys(rows, table)
+    periods = [r[0] for r in good.select(period).distinct().collect()]
+    existing = read_parquet_or_none(spark, path)
+    if not periods:
+        return existing if existing is not None else good
+    merged = good
+    if existing is not None:
+        touched = existing.filter(F.col(period).isin(periods))
+        merged = upsert_by_key(touched, good, table)
+    staged = scratch_path(spark, f"serving-{table}")
+    merged.write.parquet(staged)
+    write_partitioned(spark.read.parquet(staged), path, period, "dynamic")
+    return spark.read.parquet(path)
+
+
 def publish(
     spark: SparkSession,
     rows: DataFrame,
@@ -48,10 +88,12 @@ def publish(
     current_path: str | None = None,
     new_path: str | None = None,
 ) -> DataFrame | None:
-    """Write one serving table by the configured format."""
+    """Write one serving table by the configured format: a keyed store gets an append;
+    Parquet gets an in-place partition upsert at the configured serving path, or a new
+    version at ``new_path`` when one is given."""
     if config.serving_format == "parquet":
         if new_path is None:
-            raise ValueError("a new version path is needed for Parquet serving tables")
+            return publish_partitions(spark, rows, table, config.serving_path(table))
         return publish_parquet(spark, rows, table, current_path, new_path)
     write_keyed_store(rows, table, config.serving_format, dict(config.serving_options))
     return None

@@ -168,3 +168,34 @@ def test_compaction_clusters_categories(spark, tmp_dir):
             ranges.append((min(t), max(t)))
     assert all(lo == hi for lo, hi in ranges)  # one category per file after clustering
     assert spark.read.parquet(path).count() == 400
+
+
+def test_publish_partitions_in_place(spark, tmp_dir):
+    from playpulse.sources.serving import publish_partitions
+
+    table = "daily_engagement_by_game_day"
+    path = os.path.join(tmp_dir, "serving")
+    d1, d2, f1 = dt.date(2024, 1, 1), dt.date(2024, 1, 2), dt.date(2024, 2, 1)
+    first = _engagement_rows(spark, [("g", d1, "ios", "1", "US", 20, 1, 1.0, 1, 1.0, 0.0),
+                                     ("g", d2, "ios", "1", "US", 20, 1, 1.0, 1, 1.0, 0.0),
+                                     ("g", f1, "ios", "1", "US", 20, 1, 1.0, 1, 1.0, 0.0)])
+    publish_partitions(spark, first, table, path)
+    feb = os.path.join(path, "activity_month=2024-02")
+    feb_files = sorted(os.listdir(feb))
+    update = _engagement_rows(spark, [("g", d2, "ios", "1", "US", 30, 2, 2.0, 2, 0.5, 9.0),
+                                      ("g", d2, "ios", "1", "CA", 25, 2, 2.0, 2, 0.5, 1.0),
+                                      ("g", d2, None, "1", "US", 99, 2, 2.0, 2, 0.5, 1.0)])
+    out = publish_partitions(spark, update, table, path)
+    got = {(r.activity_date, r.country_code): r.dau for r in out.collect()}
+    assert got == {(d1, "US"): 20, (d2, "US"): 30, (d2, "CA"): 25, (f1, "US"): 20}
+    assert sorted(os.listdir(feb)) == feb_files  # an untouched month is not rewritten
+
+
+def test_daily_run_in_place_twice(spark, tmp_dir):
+    cfg = JobConfig(warehouse=tmp_dir, player_salt="s", minimum_privacy_group=1)
+    ev = curated(spark, [dict(event_time="2024-01-02 10:00:00"), dict(event_time="2024-01-03 11:00:00")])
+    write_table(ev, "game_events", cfg.table_path(cfg.raw_table), "static")
+    run_daily(spark, cfg, "2024-01-02")
+    res = run_daily(spark, cfg, "2024-01-03")
+    days = sorted(r.activity_date.day for r in spark.read.parquet(res.serving["daily_engagement_by_game_day"]).collect())
+    assert days == [2, 3]
