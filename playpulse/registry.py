@@ -52,6 +52,7 @@ from playpulse.sources.fixtures import (
     read_table,
 )
 from playpulse.sources.jsonlines import read_json_lines, write_json_lines
+from playpulse.sources.serving import read_serving_table
 from playpulse.sources.tables import compact, compact_partitions, write_partitioned, write_table
 from playpulse.streaming.ingest import ingest, ingest_writer
 
@@ -517,7 +518,8 @@ def q_daily_run(spark, sf_dir):
     config = JobConfig(warehouse=warehouse, player_salt=FIXTURE_SALT, minimum_privacy_group=MIN_ENGAGEMENT)
     write_table(_cur(spark, sf_dir), "game_events", config.table_path(config.raw_table), "static")
     result = run_daily(spark, config, DAILY_RUN_DATE)  # serving upserted in place
-    return spark.read.parquet(result.serving["daily_engagement_by_game_day"])
+    table = "daily_engagement_by_game_day"
+    return read_serving_table(spark, result.serving[table], table)
 
 
 # ---- X2-X4 ----------------------------------------------------------------------------

@@ -181,6 +181,33 @@ SERVING_TABLES = {
 }
 
 
+# Serving table columns (Spark SQL types).
+SERVING_DDL = {
+    "daily_engagement_by_game_day": (
+        "game_id STRING, activity_month STRING, activity_date DATE, platform STRING, "
+        "build STRING, country_code STRING, dau BIGINT, sessions BIGINT, "
+        "avg_session_seconds DOUBLE, p95_session_seconds BIGINT, "
+        "crash_free_session_rate DOUBLE, revenue_usd DOUBLE"
+    ),
+    "cohort_retention_by_game_day": (
+        "game_id STRING, cohort_month STRING, cohort_date DATE, platform STRING, "
+        "build STRING, country_code STRING, cohort_size BIGINT, retained_d1_players BIGINT, "
+        "retained_d7_players BIGINT, retained_d30_players BIGINT, d1_retention DOUBLE, "
+        "d7_retention DOUBLE, d30_retention DOUBLE"
+    ),
+    "level_progression_by_game_day": (
+        "game_id STRING, event_date DATE, platform STRING, build STRING, country_code STRING, "
+        "level STRING, players_started BIGINT, players_failed BIGINT, "
+        "players_completed BIGINT, completion_rate DOUBLE"
+    ),
+    "economy_flows_by_game_day": (
+        "game_id STRING, event_date DATE, platform STRING, build STRING, country_code STRING, "
+        "virtual_currency STRING, item_type STRING, supporting_players BIGINT, "
+        "currency_source BIGINT, currency_sink BIGINT, net_currency_flow BIGINT"
+    ),
+}
+
+
 def serving_primary_key(table: str) -> list[str]:
     spec = SERVING_TABLES[table]
     return spec["partition_key"] + spec["clustering_key"]

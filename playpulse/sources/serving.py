@@ -19,7 +19,7 @@ from pyspark.sql.utils import AnalysisException
 
 from playpulse.config import JobConfig, scratch_path
 from playpulse.operators.serving import split_null_keys, upsert_by_key
-from playpulse.schema import SERVING_TABLES
+from playpulse.schema import SERVING_DDL, SERVING_TABLES
 from playpulse.sources.tables import write_partitioned
 
 
@@ -69,7 +69,9 @@ def publish_partitions(spark: SparkSession, rows: DataFrame, table: str, path: s
     periods = [r[0] for r in good.select(period).distinct().collect()]
     existing = read_parquet_or_none(spark, path)
     if not periods:
-        return existing if existing is not None else good
+        if existing is None:  # first, empty publish: create the (empty) table
+            write_partitioned(good, path, period, "dynamic")
+        return read_serving_table(spark, path, table)
     merged = good
     if existing is not None:
         touched = existing.filter(F.col(period).isin(periods))
@@ -77,7 +79,12 @@ def publish_partitions(spark: SparkSession, rows: DataFrame, table: str, path: s
     staged = scratch_path(spark, f"serving-{table}")
     merged.write.parquet(staged)
     write_partitioned(spark.read.parquet(staged), path, period, "dynamic")
-    return spark.read.parquet(path)
+    return read_serving_table(spark, path, table)
+
+
+def read_serving_table(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """A Parquet serving table with its declared schema (empty tables read as empty)."""
+    return spark.read.schema(SERVING_DDL[table]).parquet(path)
 
 
 def publish(
