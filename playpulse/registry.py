@@ -54,7 +54,7 @@ from playpulse.sources.fixtures import (
 from playpulse.sources.jsonlines import read_json_lines, write_json_lines
 from playpulse.sources.serving import read_serving_table
 from playpulse.sources.tables import compact, compact_partitions, write_partitioned, write_table
-from playpulse.streaming.ingest import ingest, ingest_writer
+from playpulse.streaming.ingest import ingest, ingest_writer, read_json_stream
 
 # Salt used for the fixture runs (jobs take theirs from configuration).
 FIXTURE_SALT = "fixture-salt"
@@ -327,6 +327,23 @@ def q_ingest_stream_state_dedup(spark, sf_dir):
     return _run_stream(spark, sf_dir, "state")
 
 
+@register("ingest_stream_file_batches", CURATED_SQL)
+def q_ingest_stream_file_batches(spark, sf_dir):
+    """The export landed twice as several JSON-lines files and consumed one file per
+    micro-batch: copies arrive in different batches and are caught by the dedup
+    state. The watermark delay (45 days) exceeds the data's 30-day span, so no row is
+    late whatever order the files are read in, and the result equals the batch table."""
+    landing = scratch_path(spark, "landing")
+    lines = load_json_lines(spark, sf_dir).repartition(4)
+    write_json_lines(lines, landing)
+    write_json_lines(lines, landing, mode="append")  # the replayed delivery
+    out, ck = scratch_path(spark, "ingest-out"), scratch_path(spark, "ingest-ck")
+    stream = read_json_stream(spark, landing, max_files_per_trigger=1)
+    curated = ingest(stream, FIXTURE_SALT, dedup="watermark", watermark="45 days")
+    ingest_writer(curated, ck, available_now=True).start(out).awaitTermination()
+    return spark.read.parquet(out).select(*NO_INGEST_TIME)
+
+
 # ---- K5 JSON-lines files: write gzip lines, scan and decode ------------------------------
 @register(
     "json_lines_scan",
