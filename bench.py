@@ -8,6 +8,8 @@ of ``$BENCH_REPEATS`` runs (default 2, which damps the noise of a shared machine
 after one warm-up pass on the smallest scale factor:
 
 - ``ingest_json_files``: batch ingest of the export (parse, validate, hash, dedup)
+- ``stream_ingest_json_files``: the streaming ingest job over the same files (RocksDB
+  dedup state, checkpointed Parquet sink partitioned by day, ``availableNow``)
 - ``validate_json_files``: file validation job (parse once to Parquet, all metrics)
 - ``player_sessions`` ... ``upsert_by_key``: each metric over the curated table
 - ``build_all_tables``: the build job, five tables written
@@ -35,7 +37,7 @@ def main() -> None:
 
     from pyspark.sql import functions as F
 
-    from playpulse.config import build_session, scratch_path
+    from playpulse.config import JobConfig, build_session, scratch_path
     from playpulse.operators.engagement import build_daily_engagement
     from playpulse.operators.funnel import build_economy_flows, build_progression_funnel
     from playpulse.operators.quality import quality_gate_by_date
@@ -47,7 +49,7 @@ def main() -> None:
     from playpulse.sources.fixtures import load_curated, load_json_lines
     from playpulse.sources.jsonlines import write_json_lines
     from playpulse.sources.tables import read_table_path, write_table
-    from playpulse.streaming.ingest import ingest
+    from playpulse.streaming.ingest import ingest, read_json_stream, start_ingest
 
     spark = build_session(
         "playpulse-bench",
@@ -80,12 +82,21 @@ def main() -> None:
             updates = serving(ev.filter(F.col("event_date") >= F.lit("2024-01-20").cast("date")))
             noop(upsert_by_key(existing, updates, "daily_engagement_by_game_day"))
 
+        def stream_ingest():
+            cfg = JobConfig(
+                warehouse=scratch_path(spark, "bench-stream"),
+                player_salt=salt,
+                checkpoint_location=scratch_path(spark, "bench-stream-ck"),
+            )
+            start_ingest(read_json_stream(spark, files), cfg, available_now=True).awaitTermination()
+
         def build_all():
             base = scratch_path(spark, "bench-build")
             build_and_write(spark, ev, {t: f"{base}/{t}" for t in TABLES}, 20, mode="static")
 
         return {
             "ingest_json_files": lambda: noop(ingest(spark.read.text(files), salt)),
+            "stream_ingest_json_files": stream_ingest,
             "validate_json_files": lambda: profile_files(spark, files, salt).collect(),
             "player_sessions": lambda: noop(build_sessions(ev)),
             "daily_engagement": lambda: noop(build_daily_engagement(session_facts(ev), minimum_group_size=20)),
@@ -121,6 +132,7 @@ def main() -> None:
         "events": events,
         "validation_events_per_sec": round(events / times["validate_json_files"], 1),
         "ingest_events_per_sec": round(events / times["ingest_json_files"], 1),
+        "stream_ingest_events_per_sec": round(events / times["stream_ingest_json_files"], 1),
         "cpus": int(cpus),
         "repeats": repeats,
     }
