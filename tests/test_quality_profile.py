@@ -157,3 +157,11 @@ def test_profile_files_gzip_with_bad_line(spark, tmp_dir):
     assert (row.events, row.valid_events, row.invalid_events, row.revenue_usd) == (3, 2, 1, 1.2)
     written = spark.read.json(out).first()
     assert written.events == 3
+
+
+def test_summary_of_a_file_without_valid_rows(spark):
+    s = P.validation_summary(_parsed(spark, ["{broken", "", _line(category="unknown")]), "salt", 20).first()
+    assert (s.events, s.valid_events, s.invalid_events, s.players, s.sessions) == (3, 0, 3, 0, 0)
+    assert s.category_counts == {} and s.hardest_levels == [] and s.sample_hashed_player_keys == []
+    assert (s.d1_retention_percent, s.error_session_rate_percent, s.revenue_usd) == (0.0, 0.0, 0.0)
+    assert (s.privacy_groups_suppressed, s.privacy_threshold) == (0, 20)
