@@ -63,8 +63,8 @@ def build_retention(
     build, country). Young cohorts count as not retained (no eligibility cut-off).
 
     A player appears once per cohort row by construction, so ``count`` is the distinct
-    count without a distinct aggregate. Three shuffles, each on already reduced rows:
-    player-day, player, cohort.
+    count without a distinct aggregate. Four shuffles, each of rows already reduced map
+    side: (player-day, attribute set), player-day, player, cohort.
     """
     flags = player_retention_flags(events)
     cohort = flags.groupBy(
