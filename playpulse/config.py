@@ -38,6 +38,7 @@ class JobConfig:
     dedup_mode: str = "watermark"
     state_store: str = "rocksdb"
     max_offsets_per_trigger: int | None = None
+    state_partitions: int | None = None
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] | None = None) -> JobConfig:
@@ -59,6 +60,7 @@ class JobConfig:
             max_offsets_per_trigger=int(env["MAX_OFFSETS_PER_TRIGGER"])
             if env.get("MAX_OFFSETS_PER_TRIGGER")
             else None,
+            state_partitions=int(env["STATE_PARTITIONS"]) if env.get("STATE_PARTITIONS") else None,
         )
 
     def table_path(self, name: str) -> str:

@@ -54,7 +54,7 @@ from playpulse.sources.fixtures import (
 from playpulse.sources.jsonlines import read_json_lines, write_json_lines
 from playpulse.sources.serving import read_serving_table
 from playpulse.sources.tables import compact, compact_partitions, write_partitioned, write_table
-from playpulse.streaming.ingest import ingest, ingest_writer, read_json_stream
+from playpulse.streaming.ingest import ingest, ingest_writer, read_json_stream, state_partitions
 
 # Salt used for the fixture runs (jobs take theirs from configuration).
 FIXTURE_SALT = "fixture-salt"
@@ -313,7 +313,9 @@ def _replayed_stream(spark, sf_dir):
 def _run_stream(spark, sf_dir, dedup):
     out, ck = scratch_path(spark, "ingest-out"), scratch_path(spark, "ingest-ck")
     curated = ingest(_replayed_stream(spark, sf_dir), FIXTURE_SALT, dedup=dedup)
-    ingest_writer(curated, ck, available_now=True).start(out).awaitTermination()
+    with state_partitions(spark, spark.sparkContext.defaultParallelism):
+        query = ingest_writer(curated, ck, available_now=True).start(out)
+    query.awaitTermination()
     return spark.read.parquet(out).select(*NO_INGEST_TIME)
 
 
@@ -340,7 +342,9 @@ def q_ingest_stream_file_batches(spark, sf_dir):
     out, ck = scratch_path(spark, "ingest-out"), scratch_path(spark, "ingest-ck")
     stream = read_json_stream(spark, landing, max_files_per_trigger=1)
     curated = ingest(stream, FIXTURE_SALT, dedup="watermark", watermark="45 days")
-    ingest_writer(curated, ck, available_now=True).start(out).awaitTermination()
+    with state_partitions(spark, spark.sparkContext.defaultParallelism):
+        query = ingest_writer(curated, ck, available_now=True).start(out)
+    query.awaitTermination()
     return spark.read.parquet(out).select(*NO_INGEST_TIME)
 
 

@@ -21,6 +21,9 @@ crosses the network.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -36,6 +39,25 @@ STATE_PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, n: int | None) -> Iterator[None]:
+    """Start streaming queries inside this block with ``n`` state (shuffle) partitions.
+
+    A stream fixes its state partition count at its first start (it is recorded in
+    the checkpoint); size it to the state, not to the session default. A started
+    query keeps its own copy of the session settings, so the previous value is
+    restored as soon as the block ends.
+    """
+    key = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(key)
+    if n:
+        spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, previous)
+
+
 def use_rocksdb_state(spark: SparkSession) -> None:
     """Keep dedup state in RocksDB (on local disk, checkpointed as changelogs) instead of
     the JVM heap: a day of event ids per state partition does not fit in memory at
@@ -132,9 +154,10 @@ def start_ingest(
     w = ingest_writer(
         curated, config.checkpoint_location, config.trigger_interval, available_now
     )
-    if table:
-        return w.toTable(table)
-    return w.start(path or config.table_path(config.raw_table))
+    with state_partitions(raw.sparkSession, config.state_partitions):
+        if table:
+            return w.toTable(table)
+        return w.start(path or config.table_path(config.raw_table))
 
 
 def run_ingest(spark: SparkSession, config: JobConfig | None = None) -> None:

@@ -163,3 +163,19 @@ def test_start_ingest_with_rocksdb_state(spark, tmp_dir):
     assert out.count() == 7
     with pytest.raises(ValueError):
         start_ingest(read_json_stream(spark, src), JobConfig(warehouse=tmp_dir))
+
+
+def test_state_partitions_fixed_at_start_and_restored(spark, tmp_dir):
+    from playpulse.streaming.ingest import state_partitions
+
+    src, out, ck = (os.path.join(tmp_dir, x) for x in ("in", "out", "ck"))
+    os.makedirs(src)
+    _drop_file(src, "a.json", [dict(event_uuid=f"e{i % 3}") for i in range(9)])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with state_partitions(spark, 2):
+        q = ingest_writer(ingest(read_json_stream(spark, src), "s"), ck, available_now=True).start(out)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    q.awaitTermination()
+    ops = [p["stateOperators"][0] for p in q.recentProgress if p["stateOperators"]]
+    assert ops and all(o["numShufflePartitions"] == 2 for o in ops)
+    assert spark.read.parquet(out).count() == 3
