@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from playpulse.llm import mixing, quality_rules
 from playpulse.llm.ngram_join import jaccard_components
 from playpulse.llm.packing import pack_documents
 from playpulse.llm.token_counts import count_tokens
@@ -22,15 +23,23 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))[0]
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op6_packing, op8_ngram_join)
+    f.__name__: f for f in (op1_token_counts, op3_mixing, op6_packing, op7_quality_rules, op8_ngram_join)
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op3_mixing": mixing.sql(), "op7_quality_rules": quality_rules.sql()}
