@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from playpulse.llm import mixing, quality_rules
+from playpulse.llm import mixing, quality_rules, topk_search
 from playpulse.llm.ngram_join import jaccard_components
 from playpulse.llm.packing import pack_documents
+from playpulse.llm.secret_scan import scan_secrets
 from playpulse.llm.token_counts import count_tokens
+from playpulse.llm.url_filter import judge_urls
 
 TOKENIZER = "word_bpe_49k.json"
+QUERY_DIVISOR = 50  # queries are the vectors whose id it divides
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +27,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
@@ -39,7 +47,20 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(table(spark, sf_dir, "documents"))
+
+
+def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % QUERY_DIVISOR == 0)
+
+
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op3_mixing, op6_packing, op7_quality_rules, op8_ngram_join)
+    f.__name__: f for f in (op1_token_counts, op2_url_filters, op3_mixing, op6_packing, op7_quality_rules, op8_ngram_join,
+        op9_secret_scans, op10_topk_search)
+}
+SQL: dict[str, str] = {
+    "op3_mixing": mixing.sql(),
+    "op7_quality_rules": quality_rules.sql(),
+    "op10_topk_search": topk_search.sql(QUERY_DIVISOR),
 }
-SQL: dict[str, str] = {"op3_mixing": mixing.sql(), "op7_quality_rules": quality_rules.sql()}
