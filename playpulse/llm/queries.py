@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from playpulse.llm import mixing, quality_rules, topk_search
 from playpulse.llm.ngram_join import jaccard_components
 from playpulse.llm.packing import pack_documents
+from playpulse.llm.quality_crf import score_documents
 from playpulse.llm.secret_scan import scan_secrets
 from playpulse.llm.token_counts import count_tokens
 from playpulse.llm.url_filter import judge_urls
@@ -35,6 +36,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
@@ -56,7 +61,7 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_url_filters, op3_mixing, op6_packing, op7_quality_rules, op8_ngram_join,
+    f.__name__: f for f in (op1_token_counts, op2_url_filters, op3_mixing, op4_quality_classifier, op6_packing, op7_quality_rules, op8_ngram_join,
         op9_secret_scans, op10_topk_search)
 }
 SQL: dict[str, str] = {

@@ -5,8 +5,8 @@ rule's. The rule whose text is longest decides. URLs that no rule fits are judge
 gradient-boosted trees (Spark ML, on the JVM) trained on labelled URLs: by default the
 distinct URLs that the rules decide, ``TRAIN_ROWS`` of them at most, chosen by a hash.
 Features: length, depth, digit ratio, entropy, parameter count, the host's labels and hyphens,
-and for the host's suffix and the path's first part how many labelled URLs have it and which
-share of them is blocked, smoothed towards one half. Both verdicts weigh the same in training,
+and for the host's suffix and the path's first part the share of blocked ones among the
+labelled URLs that have it, smoothed towards one half. Both verdicts weigh the same in training,
 so a URL that resembles neither is not judged by which verdict has more labels.
 
 Null URLs and URLs without ``://`` have an empty host and path and are judged by the trees on
@@ -40,7 +40,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 GROUPS = ["suffix", "head"]
 FEATURES = [
     "url_length", "host_length", "depth", "digit_ratio", "entropy", "params", "labels", "hyphens",
-    *[f"{g}_{s}" for g in GROUPS for s in ("seen", "rate")],
+    *[f"{g}_rate" for g in GROUPS],
 ]
 
 
@@ -85,7 +85,6 @@ def with_features(df: DataFrame) -> DataFrame:
 def with_statistics(df: DataFrame, statistics: dict[str, DataFrame]) -> DataFrame:
     for g in GROUPS:
         df = df.join(statistics[g], g, "left").withColumns({
-            f"{g}_seen": F.log1p(F.coalesce(F.col(f"{g}_n"), F.lit(0))),
             f"{g}_rate": (F.coalesce(F.col(f"{g}_bad"), F.lit(0)) + SMOOTHING / 2) / (F.coalesce(F.col(f"{g}_n"), F.lit(0)) + SMOOTHING),
         })
     return df
@@ -114,7 +113,7 @@ def judge_urls(
     else:
         known = labelled.select(F.coalesce("url", F.lit("")).alias("url"), (F.col("verdict") == "block").cast("double").alias("label"))
         known = with_features(known.where("label is not null").withColumns({"host": host, "path": path}))
-    columns = ["host", "path", *FEATURES[: -2 * len(GROUPS)], *GROUPS]
+    columns = ["host", "path", *FEATURES[: -len(GROUPS)], *GROUPS]
     known = staged(known.groupBy("url").agg(F.max("label").alias("label"), *[F.first(c).alias(c) for c in columns]), "labelled-urls")
     total, bad = known.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     if not 0 < bad < total:
