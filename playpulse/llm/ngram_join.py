@@ -6,7 +6,7 @@ below works on sets. Let n be a set's size and t the similarity.
 1. ``signatures``: size and key of every document, and a count of all shingles in slots by
    hash. Slots far above the mean are hot; there are at most an eighth as many as slots, so
    they may be broadcast.
-2. ``prefixes``: every shingle goes, in blocks, to its hash range, which finds how many sets
+2. ``prefixes``: every shingle goes, in blocks, to its hash range, which finds how many texts
    hold it and returns those that two or more hold. Shingles of hot slots skip the range (no
    task gathers a frequent shingle's documents) and count as frequent as their slot. Per set,
    shingles are ordered rare first and those among the first n - ceil(t n) + 1 are kept.
@@ -34,6 +34,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -82,98 +83,142 @@ def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, np.diff(np.concatenate((at, [len(values)])))
 
 
-def blocks(group: np.ndarray, keys: np.ndarray, sizes: np.ndarray, values: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
-    """One row per group: its keys with their sizes and counts, and the values in the order of the keys."""
-    order = np.argsort(group, kind="stable")
-    group, keys, sizes = group[order], keys[order], sizes[order]
-    values = [v[order] for v in values]
-    at, length = runs(group)
-    cols: list[list[bytes]] = [[] for _ in range(3 + len(values))]
-    for a, b in zip(at.tolist(), (at + length).tolist(), strict=True):
-        first, count = runs(keys[a:b])
-        cols[0].append(keys[a:b][first].tobytes())
-        cols[1].append(sizes[a:b][first].astype("<u4").tobytes())
-        cols[2].append(count.astype("<u4").tobytes())
-        for c, v in zip(cols[3:], values, strict=True):
-            c.append(v[a:b].tobytes())
-    return pa.RecordBatch.from_arrays(
-        [pa.array(group[at].astype(np.int64)), *[pa.array(c, pa.binary()) for c in cols]], ["part", "keys", "sizes", "counts", *names]
-    )
+def packed_steps(ascending: np.ndarray) -> bytes:
+    """Steps between ascending numbers, a byte each where all fit, else two."""
+    step = np.diff(ascending, prepend=0)
+    return step.astype("<u1" if step.max(initial=0) < 256 else "<u2").tobytes()
+
+
+def unpacked_steps(data: bytes, n: int) -> np.ndarray:
+    return np.cumsum(np.frombuffer(data, "<u1" if len(data) == n else "<u2"), dtype=np.int64)
+
+
+GRAM_BITS = 24  # that a gram has below its range
+
+
+def packed_grams(low: np.ndarray) -> tuple[bytes, bytes]:
+    return (low & 0xFFFF).astype("<u2").tobytes(), (low >> 16).astype("<u1").tobytes()
+
+
+def unpacked_grams(low: bytes, high: bytes) -> np.ndarray:
+    return np.frombuffer(low, "<u2").astype(np.int64) | (np.frombuffer(high, "<u1").astype(np.int64) << 16)
+
 
+COLUMNS = ["part", "block", "range", "docs", "low", "high", "codes"]
+BLOCK_ROWS = "part long, block long, range long, docs binary, low binary, high binary, codes binary"
+BLOCK_DOCS = 50_000
 
-def joined(table: pa.Table, name: str, kind: str) -> np.ndarray:
-    return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
 
+def block_rows(part: list, block: list, range_: list, docs: list, low: list, high: list, codes: list) -> pa.RecordBatch:
+    ints = [pa.array(x, pa.int64()) for x in (part, block, range_)]
+    return pa.RecordBatch.from_arrays([*ints, *[pa.array(x, pa.binary()) for x in (docs, low, high, codes)]], COLUMNS)
 
-def prefixes(docs: DataFrame, words: int, percent: int, ranges: int, buckets: int, slot_counts: np.ndarray) -> DataFrame:
-    """(gram, key, n, pos): the prefix shingles that other sets may hold, at their place in the rare-first order."""
+
+def frequency_code(counts: np.ndarray) -> np.ndarray:
+    """Counts on a fine logarithmic scale of two bytes, for ordering alone."""
+    return np.round(1000 * np.log2(np.maximum(counts, 1))).astype("<u2")
+
+
+def prefixes(docs: DataFrame, words: int, percent: int, ranges: int, slot_counts: np.ndarray) -> DataFrame:
+    """(gram, key, n, pos): the prefix shingles that other sets may hold, at their place in the rare-first order.
+
+    A gram is a shingle's range and ``GRAM_BITS`` more bits of its hash; two shingles with one
+    gram only add candidates. Texts go in blocks of bounded size: a shingle travels to its
+    range as its gram and its text's number in the block, and back to its block if others hold
+    it too. A block's header with its sets' keys and sizes goes along by a group of its own.
+    """
     bits = int(math.log2(ranges))
-    slot_shift = np.uint64(64 - int(math.log2(len(slot_counts))))
-    gram_shift = np.uint64(32 - bits)  # a gram is the range and 32 bits more
+    slot_bits = int(math.log2(len(slot_counts)))
+    gram_shift = np.uint64(64 - bits - GRAM_BITS)
 
     def dealt(batches):
-        seen: set[int] = set()
-        for part in slices(batches, "text"):
-            hashes, begins = shingle_sets(part.column(1), words)
-            key, _ = set_keys(hashes, begins)
-            n = np.diff(begins)
-            new = np.zeros(len(n), bool)
-            for i in np.flatnonzero(n):
-                if key[i] not in seen:
-                    seen.add(key[i])
-                    new[i] = True
-            held = np.repeat(new, n)
-            hashes, keys, sizes = hashes[held], np.repeat(key[new], n[new]), np.repeat(n[new], n[new])
-            hot = slot_counts[(hashes >> slot_shift).astype(np.int64)] > 0
-            grams = hashes >> gram_shift
-            cold = ~hot
-            if cold.any():
-                low = (grams[cold] & np.uint64(0xFFFFFFFF)).astype("<u4")
-                yield blocks((grams[cold] >> np.uint64(32)).astype(np.int32), keys[cold], sizes[cold], [low], ["grams"])
-            if hot.any():
-                yield blocks(ranges + (keys[hot] & (ranges - 1)).astype(np.int32), keys[hot], sizes[hot], [grams[hot]], ["grams"])
+        task, seen, made = TaskContext.get().partitionId(), set(), 0
+        for whole in slices(batches, "text"):
+            for start in range(0, whole.num_rows, BLOCK_DOCS):
+                part = whole.slice(start, BLOCK_DOCS)
+                block = (task << 32) + made
+                made += 1
+                hashes, begins = shingle_sets(part.column(1), words)
+                key, _ = set_keys(hashes, begins)
+                n = np.diff(begins)
+                new = np.zeros(len(n), bool)
+                for i in np.flatnonzero(n):
+                    if key[i] not in seen:
+                        seen.add(key[i])
+                        new[i] = True
+                hashes = hashes[np.repeat(new, n)]
+                key, n = key[new], n[new]
+                if not len(n):
+                    continue
+                doc = np.repeat(np.arange(len(n)), n)
+                counts = slot_counts[(hashes >> np.uint64(64 - slot_bits)).astype(np.int64)]
+                grams = (hashes >> gram_shift).astype(np.int64)
+                # a hot shingle goes round its range, with its block's own group
+                through = ranges + block % ranges
+                group = np.where(counts > 0, ranges, grams >> GRAM_BITS).astype(np.int32)
+                order = np.argsort(group, kind="stable")
+                group, doc, grams, counts = group[order], doc[order], grams[order], counts[order]
+                at, length = runs(group)
+                rows: list[list] = [[] for _ in COLUMNS]
+                for a, b in zip(at.tolist(), (at + length).tolist(), strict=True):
+                    if group[a] < ranges:
+                        row = (int(group[a]), block, int(group[a]), packed_steps(doc[a:b]), *packed_grams(grams[a:b] & ((1 << GRAM_BITS) - 1)), b"")
+                    else:
+                        row = (through, block, ranges, packed_steps(doc[a:b]), grams[a:b].astype("<i8").tobytes(), b"", frequency_code(counts[a:b]).tobytes())
+                    for c, v in zip(rows, row, strict=True):
+                        c.append(v)
+                for c, v in zip(rows, (through, block, -1, key.astype("<i8").tobytes(), n.astype("<i8").tobytes(), b"", b""), strict=True):
+                    c.append(v)
+                yield block_rows(*rows)
 
     def shared(group: tuple, table: pa.Table) -> pa.Table:
-        at = group[0].as_py()
-        keys, sizes, counts = joined(table, "keys", "<i8"), joined(table, "sizes", "<u4"), joined(table, "counts", "<u4")
-        grams = joined(table, "grams", "<u4" if at < ranges else "<u8")
-        _, first = np.unique(keys, return_index=True)  # copies of a set come from several tasks
-        once = np.zeros(len(keys), bool)
-        once[first] = True
-        grams = grams[np.repeat(once, counts)]
-        keys, sizes = np.repeat(keys[once], counts[once]), np.repeat(sizes[once], counts[once])
-        if at < ranges:
-            order = np.argsort(grams, kind="stable")
-            begin, length = runs(grams[order])
-            held = np.repeat(length, length)
-            many = np.sort(order[held > 1])
-            df = np.empty(len(grams), np.int64)
-            df[order] = held
-            grams, keys, sizes, df = grams[many].astype("<u8") | np.uint64(at << 32), keys[many], sizes[many], df[many]
-        else:
-            slots = (grams >> np.uint64(32 + bits - int(math.log2(len(slot_counts))))).astype(np.int64)
-            df = slot_counts[slots]
-        order = np.argsort(keys, kind="stable")
-        keys, sizes, grams, df = keys[order], sizes[order], grams[order], df[order]
-        made = blocks((keys & (buckets - 1)).astype(np.int64), keys, sizes, [grams, df.astype("<i8")], ["grams", "dfs"])
-        return pa.Table.from_batches([made])
+        if group[0].as_py() >= ranges:
+            return table.set_column(0, "part", table.column("block"))
+        blocks, docs, lows, highs = (table.column(c).to_pylist() for c in ("block", "docs", "low", "high"))
+        sizes = np.array([len(x) for x in highs])
+        grams = np.concatenate([unpacked_grams(x, y) for x, y in zip(lows, highs, strict=True)])
+        order = np.argsort(grams, kind="stable")
+        _, length = runs(grams[order])
+        held = np.empty(len(grams), np.int64)
+        held[order] = np.repeat(length, length)
+        rows: list[list] = [[] for _ in COLUMNS]
+        end = 0
+        for block, doc, n in zip(blocks, docs, sizes.tolist(), strict=True):
+            start, end = end, end + n
+            many = held[start:end] > 1
+            if many.any():
+                row = (
+                    block, block, group[0].as_py(), packed_steps(unpacked_steps(doc, n)[many]), *packed_grams(grams[start:end][many]),
+                    frequency_code(held[start:end][many]).tobytes(),
+                )
+                for c, v in zip(rows, row, strict=True):
+                    c.append(v)
+        return pa.Table.from_batches([block_rows(*rows)])
 
     def first_ones(table: pa.Table) -> pa.Table:
-        counts = joined(table, "counts", "<u4")
-        keys, n = np.repeat(joined(table, "keys", "<i8"), counts), np.repeat(joined(table, "sizes", "<u4"), counts).astype(np.int64)
-        grams, df = joined(table, "grams", "<u8"), joined(table, "dfs", "<i8")
-        order = np.lexsort((grams, df, keys))
-        keys, n, grams = keys[order], n[order], grams[order]
-        begin, length = runs(keys)
-        pos = np.arange(len(keys)) - np.repeat(begin, length) + n - np.repeat(length, length)
+        parts: list[list[np.ndarray]] = [[], [], []]
+        keys = sizes = np.zeros(0, np.int64)
+        for range_, docs, low, high, codes in zip(*(table.column(c).to_pylist() for c in COLUMNS[2:]), strict=True):
+            if range_ < 0:
+                keys, sizes = np.frombuffer(docs, "<i8"), np.frombuffer(low, "<i8")
+                continue
+            grams = np.frombuffer(low, "<i8") if range_ == ranges else unpacked_grams(low, high) | (range_ << GRAM_BITS)
+            for c, v in zip(parts, (unpacked_steps(docs, len(grams)), grams, np.frombuffer(codes, "<u2")), strict=True):
+                c.append(v)
+        doc, grams, codes = (np.concatenate(c) if c else np.zeros(0, np.int64) for c in parts)
+        order = np.lexsort((grams, codes, doc))
+        doc, grams = doc[order], grams[order]
+        begin, length = runs(doc)
+        n = sizes[doc]
+        pos = np.arange(len(doc)) - np.repeat(begin, length) + n - np.repeat(length, length)
         kept = pos < n + (-percent * n // 100) + 1  # n - ceil(t n) + 1
-        return pa.table({"gram": grams[kept].view(np.int64), "key": keys[kept], "n": n[kept].astype(np.int32), "pos": pos[kept].astype(np.int32)})
+        return pa.table({"gram": grams[kept], "key": keys[doc[kept]], "n": n[kept].astype(np.int32), "pos": pos[kept].astype(np.int32)})
 
-    blob = "part long, keys binary, sizes binary, counts binary, grams binary"
     return (
-        docs.mapInArrow(dealt, blob)
-        .groupBy("part").applyInArrow(shared, blob + ", dfs binary")
+        docs.mapInArrow(dealt, BLOCK_ROWS)
+        .groupBy("part").applyInArrow(shared, BLOCK_ROWS)
         .groupBy("part").applyInArrow(first_ones, "gram long, key long, n int, pos int")
+        .distinct()  # copies of a set come from several blocks
     )
 
 
@@ -305,7 +350,7 @@ def jaccard_components(
     ship_code(spark)
     docs = id_and_text(docs, id_col, text_col)
     width = power_of_two(shared_setting(spark, "spark.sql.shuffle.partitions", 200))
-    ranges, buckets = max(64, 4 * width), max(16, width)
+    ranges = max(64, 4 * width)
     slots = max(1 << 14, 4 * ranges)
     signed = staged(signatures(docs, words, slots), "signatures")
     keyed = signed.where("kind = 0").drop("kind")
@@ -316,7 +361,7 @@ def jaccard_components(
     slot_counts = np.zeros(slots, np.int64)
     for r in per_slot.where(F.col("n") >= max(HOT, HOT * total / slots)).collect():  # slots / HOT rows at most
         slot_counts[r["slot"]] = r["n"]
-    entries = staged(prefixes(docs, words, percent, ranges, buckets, slot_counts), "prefixes")
+    entries = staged(prefixes(docs, words, percent, ranges, slot_counts), "prefixes")
 
     wanted = (
         entries.join(entries.groupBy("gram").agg(F.count("*").alias("m")).where("m > 1"), "gram", "left_semi").select("key").distinct()
