@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playpulse.llm import mixing, quality_rules, topk_search
+from playpulse.llm.html_extract import extract_text
 from playpulse.llm.ngram_join import jaccard_components
 from playpulse.llm.packing import pack_documents
 from playpulse.llm.quality_crf import score_documents
@@ -40,6 +41,10 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
@@ -61,7 +66,8 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_url_filters, op3_mixing, op4_quality_classifier, op6_packing, op7_quality_rules, op8_ngram_join,
+    f.__name__: f for f in (op1_token_counts, op2_url_filters, op3_mixing, op4_quality_classifier, op5_html_extraction,
+        op6_packing, op7_quality_rules, op8_ngram_join,
         op9_secret_scans, op10_topk_search)
 }
 SQL: dict[str, str] = {
