@@ -298,15 +298,20 @@ def similar_length(percent: int):
 
 
 def centre_pairs(entries: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Each set of a bucket with the bucket's centre, another one each turn."""
-    first = F.min(F.struct(F.xxhash64("key", F.lit(turn)).alias("h"), "key", "n"))
+    """Each set of a bucket with the bucket's centre, where they are in different components.
+
+    First the set in which the gram comes earliest: it has the fewest rare shingles, as the
+    text that its bucket's near copies were made from; then others by a hash.
+    """
+    early = F.col("pos") if turn == 0 else F.lit(0)
+    first = F.min(F.struct(early.alias("early"), F.xxhash64("key", F.lit(turn)).alias("h"), "key", "n", "comp"))
     centres = staged(
         entries.groupBy("gram").agg(first.alias("c"), F.count("*").alias("m")).where("m > 1")
-        .select("gram", F.col("c.key").alias("other"), F.col("c.n").alias("other_n")),
+        .select("gram", F.col("c.key").alias("other"), F.col("c.n").alias("other_n"), F.col("c.comp").alias("other_comp")),
         "centres",
     )
     return (
-        entries.join(centres, "gram").where((F.col("key") != F.col("other")) & similar_length(percent))
+        entries.join(centres, "gram").where((F.col("comp") != F.col("other_comp")) & similar_length(percent))
         .select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct()
     )
 
@@ -369,7 +374,7 @@ def jaccard_components(
     )
     sets = staged(whole_sets(docs, wanted, words), "sets")
     compared = links = comps = None
-    left = entries
+    left = entries.withColumn("comp", F.col("key"))
     for turn in range(CENTRES):
         pairs = centre_pairs(left, turn, percent)
         pairs = staged(pairs if compared is None else pairs.join(compared, ["a", "b"], "left_anti"), "pairs")
