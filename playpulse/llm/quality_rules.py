@@ -194,9 +194,12 @@ def kept_documents(
     rows = with_counts(docs, text_of(text_col), name).withColumn(
         stratum, F.coalesce(F.col(f"`{stratum_col}`").cast("string"), F.lit(""))
     )
-    passed = ~base_failed(F.col(name))
+    # each condition needs a column of the other side, else the optimizer would move it below
+    # the columns of with_counts and evaluate their lambdas inside one another
+    passed = F.lit(True)
     for r, limit in limits.items():
-        passed = passed & (per_thousand(F.col(name), r) <= F.coalesce(F.col(limit), F.lit(1000)))
+        value = F.when(base_failed(F.col(name)), 2000).otherwise(per_thousand(F.col(name), r))
+        passed = passed & (F.coalesce(F.col(limit), F.lit(1000)) >= value)
     return rows.join(chosen, stratum, "left").where(passed).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
@@ -210,9 +213,12 @@ WITH texts AS (
 words AS (
   SELECT rid, list_filter(regexp_split_to_array(text, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w,
          list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS l FROM texts),
+each AS (SELECT rid, unnest(w) AS x, unnest(range(len(w))) AS i FROM words),
 windows AS (
-  SELECT rid, i, array_to_string(w[i : i + {WINDOW - 1}], ' ') AS g
-  FROM (SELECT rid, w, unnest(range(1, len(w) - {WINDOW - 2})) AS i FROM words)),
+  SELECT * FROM (
+    SELECT rid, i, x || {" || ".join(f"' ' || lead(x, {k}) OVER here" for k in range(1, WINDOW))} AS g
+    FROM each WINDOW here AS (PARTITION BY rid ORDER BY i))
+  WHERE g IS NOT NULL),
 repeats AS (
   SELECT rid, count(DISTINCT p) AS n FROM (
     SELECT rid, unnest(range(i, i + {WINDOW})) AS p
