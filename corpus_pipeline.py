@@ -1,4 +1,10 @@
-"""Stages from raw documents to packed sequences; counted with ``playpulse.llm``."""
+"""From raw documents to packed sequences; counted with ``playpulse.llm``.
+
+Five stages, each over all that the one before it kept: quality rules drop documents, one
+document of each group of near duplicates stays, secrets are masked in the texts, sources are
+mixed to their target shares (rows in that order), and the texts are packed into sequences.
+All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
@@ -6,8 +12,32 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from playpulse.llm.common import staged
+from playpulse.llm.mixing import in_mix_order
+from playpulse.llm.ngram_join import one_of_each_group
 from playpulse.llm.packing import pack_documents
-from playpulse.llm.queries import TOKENIZER
+from playpulse.llm.quality_rules import kept_documents
+from playpulse.llm.queries import TOKENIZER, table
+from playpulse.llm.secret_scan import redacted
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules keep (operator 7), with cutoffs from the labelled ones."""
+    return kept_documents(docs, table(spark, sf_dir, "labels"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates (operator 8)."""
+    return one_of_each_group(docs)
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets masked (operator 9)."""
+    return redacted(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, in the order of the mix (operator 3)."""
+    return in_mix_order(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -15,14 +45,20 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_documents(docs, public_tokenizers.path(TOKENIZER))
 
 
-STAGES = [("packing", packed)]
+STAGES = [
+    ("quality rules", quality),
+    ("n-gram Jaccard join", near_duplicates),
+    ("secret scans", secrets),
+    ("mixing sources", mixed),
+    ("packing", packed),
+]
 #: The last stage needs a tokenizer, which SQL doesn't have; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages after one another over ``documents``; each is written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -35,10 +35,10 @@ import math
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from playpulse.llm.common import id_and_text, shared_setting, ship_code, slices, staged
+from playpulse.llm.common import free_name, id_and_text, shared_setting, ship_code, slices, staged, text_of
 from playpulse.llm.components import components
 from playpulse.llm.shingles import WORDS, set_keys, shingle_sets
 
@@ -54,7 +54,7 @@ def power_of_two(n: int) -> int:
 
 
 def signatures(docs: DataFrame, words: int, slots: int) -> DataFrame:
-    """Rows of kind 0 (doc_id, n, key, check) for documents and of kind 1 (slot, count)."""
+    """Rows of kind 0 (doc_id, n, key, check, hash of the text) for documents and of kind 1 (slot, count)."""
     shift = np.uint64(64 - int(math.log2(slots)))
 
     def signed(batches):
@@ -65,16 +65,22 @@ def signatures(docs: DataFrame, words: int, slots: int) -> DataFrame:
             key, check = set_keys(hashes, begins)
             n = np.diff(begins)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.zeros(len(n), np.int32)), part.column(0), pa.array(n), pa.array(key, mask=n == 0), pa.array(check, mask=n == 0)],
-                ["kind", "doc_id", "n", "key", "chk"],
+                [
+                    pa.array(np.zeros(len(n), np.int32)), part.column(0), pa.array(n), pa.array(key, mask=n == 0), pa.array(check, mask=n == 0),
+                    part.column(2),
+                ],
+                names,
             )
         used = np.flatnonzero(counts)
         none = pa.nulls(len(used), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.ones(len(used), np.int32)), pa.array(used), pa.array(counts[used]), none, none], ["kind", "doc_id", "n", "key", "chk"]
+            [pa.array(np.ones(len(used), np.int32)), pa.array(used), pa.array(counts[used]), none, none, none], names
         )
 
-    return docs.mapInArrow(signed, "kind int, doc_id long, n long, key long, chk long")
+    names = ["kind", "doc_id", "n", "key", "chk", "text_hash"]
+    return docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
+        signed, "kind int, doc_id long, n long, key long, chk long, text_hash long"
+    )
 
 
 def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -346,7 +352,7 @@ def remaining_pairs(cross: DataFrame, percent: int) -> DataFrame:
 def jaccard_components(
     docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id, n_verified) of every row.
+    """(doc_id, n_shingles, component_id, n_verified, text_hash) of every row.
 
     ``component_id``: the smallest id reachable by links; ``n_verified``: verified links of the
     document's set with other sets (of a bucket's pairs within a component, those that were compared).
@@ -390,10 +396,31 @@ def jaccard_components(
 
     ends = links.select(F.col("a").alias("key")).union(links.select("b")).groupBy("key").agg(F.count("*").alias("n_verified"))
     known = staged(comps.join(ends, "key", "left"), "components")
-    placed = staged(keyed.join(known, "key", "left").select("doc_id", "n", F.coalesce("comp", "key").alias("comp"), F.coalesce("n_verified", F.lit(0).cast("long")).alias("n_verified")), "placed")
+    placed = staged(keyed.join(known, "key", "left").select("doc_id", "text_hash", "n", F.coalesce("comp", "key").alias("comp"), F.coalesce("n_verified", F.lit(0).cast("long")).alias("n_verified")), "placed")
     names = staged(
         placed.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("name"), F.count("*").alias("m")).where("m > 1").drop("m"), "names"
     )
     return placed.join(names, "comp", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("name", "doc_id").alias("component_id"), "n_verified"
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("name", "doc_id").alias("component_id"), "n_verified", "text_hash"
+    )
+
+
+def one_of_each_group(
+    docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` without near duplicates, with all their columns.
+
+    Of a component the document that names it stays, once if its row is repeated. Documents
+    without a shingle all stay; those with a null id stay if no document of their component
+    has an id.
+    """
+    judged = jaccard_components(docs, words, percent, id_col, text_col)
+    n = {k: free_name(docs, f"group_{k}") for k in ("id", "hash", "empty", "copy")}
+    stays = judged.where(F.col("doc_id").eqNullSafe(F.col("component_id")) | (F.col("n_shingles") == 0)).select(
+        F.col("doc_id").alias(n["id"]), F.col("text_hash").alias(n["hash"]), (F.col("n_shingles") == 0).alias(n["empty"])
     )
+    hashed = docs.withColumn(n["copy"], F.xxhash64(text_of(text_col)))
+    same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col(n["id"])) & (F.col(n["copy"]) == F.col(n["hash"]))
+    rows = hashed.join(stays.distinct(), same)
+    copy = F.row_number().over(Window.partitionBy(n["id"], n["hash"]).orderBy(n["hash"]))
+    return rows.withColumn(n["copy"], copy).where((F.col(n["copy"]) == 1) | F.col(n["empty"])).select(*[F.col(f"`{c}`") for c in docs.columns])

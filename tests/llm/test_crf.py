@@ -1,0 +1,123 @@
+from itertools import product
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
+
+from playpulse.llm import html_extract
+from playpulse.llm.crf import Crf, fit, forward_backward, viterbi
+from playpulse.llm.html_blocks import parse
+from playpulse.llm.html_pages import labelled_pages
+from playpulse.llm.quality_crf import line_features, score_documents
+
+from . import odd
+
+
+def test_chains_against_enumeration():
+    r = np.random.default_rng(1)
+    begins = np.array([0, 4, 4, 5, 11])
+    scores, trans = r.normal(size=(11, 2)), r.normal(size=(2, 2))
+    alpha, beta, total = forward_backward(scores, trans, begins)
+    marginals = np.exp(alpha + beta - np.repeat(total, np.diff(begins))[:, None])
+    best = viterbi(scores, trans, begins)
+    for a, b in zip(begins[:-1], begins[1:]):
+        if a == b:
+            continue
+        paths = list(product((0, 1), repeat=b - a))
+        value = [sum(scores[a + i, y] for i, y in enumerate(p)) + sum(trans[x, y] for x, y in zip(p, p[1:])) for p in paths]
+        weight = np.exp(value) / np.exp(value).sum()
+        for i in range(b - a):
+            assert np.isclose(marginals[a + i, 1], sum(w for w, p in zip(weight, paths) if p[i]))
+        assert tuple(best[a:b]) == paths[int(np.argmax(value))]
+
+
+def test_neighbours_decide_unclear_elements():
+    r = np.random.default_rng(2)
+    y = np.repeat(np.tile([0, 1], 100), 10)
+    x = np.where(r.random(len(y)) < 0.3, 0, 2 * y - 1)[:, None] + r.normal(scale=0.3, size=(len(y), 1))
+    begins = np.arange(0, len(y) + 1, 100)
+    crf = fit(x, y, begins)
+    assert crf.trans[0, 0] > crf.trans[0, 1] and (crf.decode(x, begins) == y).mean() > (np.where(x[:, 0] > 0, 1, 0) == y).mean()
+    assert np.allclose(Crf(crf.mean, crf.scale, crf.weights, crf.trans).marginals(x, begins).sum(axis=1), 1)
+
+
+def test_line_features():
+    x, size, begins = line_features(pa.array(["", "AA bb!!\n\naa aa", "x"]))
+    assert size.tolist() == [0, 7, 0, 5, 1] and begins.tolist() == [0, 1, 4, 5]
+    part, _, _ = line_features(pa.array(["zz", "", "AA bb!!\n\naa aa", "x"]).slice(1))
+    assert np.allclose(part, x)
+
+
+def documents(spark, n, start=0):
+    rows = []
+    for i in range(start, start + n):
+        good = i % 3 > 0
+        lines = [odd.prose(i * 10 + k, 12).capitalize() + "." for k in range(4)]
+        rows.append((i, "\n".join(lines if good else [x.upper().replace(" ", "!! ") for x in lines]), int(good)))
+    return spark.createDataFrame(rows, "doc_id long, text string, quality int")
+
+
+def test_quality_on_held_out_documents(spark):
+    docs = documents(spark, 400)
+    labels = docs.select("doc_id", "quality").unionByName(odd.labels(spark, [(None, 1, 0), (1, 0, 0)]).select("doc_id", "quality"))
+    got = score_documents(docs.drop("quality").unionByName(odd.documents(spark).select("doc_id", "text")), labels)
+    rows = got.join(docs.select("doc_id", "quality"), "doc_id").where("held_out and doc_id >= 20").collect()
+    assert len(rows) > 40 and all(r.predicted == r.quality for r in rows)
+    assert got.count() == 400 + len(odd.texts())
+    assert got.where("score is null or score < 0 or score > 1 or predicted != cast(score >= 0.3 as int)").count() == 0
+    want = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    assert got.where("doc_id is not null").where(F.col("held_out") != want).count() == 0
+    assert score_documents(odd.empty(spark), labels).count() == 0
+
+
+def test_quality_without_both_kinds(spark):
+    docs = documents(spark, 10).drop("quality")
+    assert {r.score for r in score_documents(docs, odd.labels(spark)).collect()} == {0.5}
+    assert {r.score for r in score_documents(docs, odd.labels(spark, [(i, 1, 0) for i in range(10)])).collect()} == {1.0}
+
+
+PAGE = """<!DOCTYPE html><html><head><title>T &amp; t</title><script>if (a < b) "<p>no</p>"</script></head><body>
+<nav class=menu><ul><li><a href="/a">Home</a><li><a href='/b>'>About us</a></ul></nav><!-- <p>no</p> -->
+<div class="cookie-notice"><p>We use cookies. Please accept them all.</p><button>OK</button></div>
+<article><h1>A&nbsp;head  line</h1><p>First <b>bold &lt;b&gt;</b> para,
+ with two lines &amp and more of it.<br>Next line.<p>Second paragraph, unclosed, with enough words to look like text.
+<div class="ad">Buy this now!</div><p>Third paragraph with a <a href=/x>link</a> in it, and then some more words.</p>
+<section class="comments"><h2>Comments</h2><div class="comment"><p>I liked this article very much, thank you for it.</p></div></section></article>
+<aside><h3>Related</h3><ul><li><a href=/y>Other story</a></li></ul></aside>
+<form><label>Mail</label><input><button>Go</button></form><footer>&copy; example.org &middot; All rights.</footer>"""
+
+
+def test_parse():
+    blocks = parse(PAGE)
+    texts = [b.text for b in blocks]
+    assert "no" not in texts and texts[0] == "T & t" and "Home" in texts and "About us" in texts
+    assert "First bold <b> para, with two lines & and more of it. Next line." in texts
+    home = blocks[texts.index("Home")]
+    assert home.linked == 4 and "menu" in home.hints and home.tags[-2:] == ("ul", "li")
+    for odd_page in ("", "<", "<p", "<!-- x", "<script>x", "a<b", "</p></p>", "<p class='x>y", "&#x110000;&bogus;&amp", "<a><a></a>", "<div " + "x='" * 2000):
+        parse(odd_page)
+    assert [b.text for b in parse("a < b &amp; c <d")] == ["a < b & c"]
+
+
+def test_extraction(spark):
+    rows = [(1, "u", PAGE, 7), (2, None, None, 7), (None, "v", "", 7), (3, "w", "<p>", 7), (1, "u", PAGE, 7), (4, "x", "<div>" * 3000 + "y" * 100_000, 7)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, text int")
+    got = html_extract.extract_text(df).collect()
+    assert len(got) == len(rows)
+    want = [
+        "A head line", "First bold <b> para, with two lines & and more of it. Next line.",
+        "Second paragraph, unclosed, with enough words to look like text.", "Third paragraph with a link in it, and then some more words.",
+    ]
+    assert [r.text for r in got if r.page_id == 1] == ["\n\n".join(want)] * 2
+    assert all(r.n_chars == len(r.text) for r in got)
+    assert [r.text for r in got if r.page_id in (2, 3) or r.page_id is None] == ["", "", ""]
+    assert html_extract.extract_text(df.where("false")).count() == 0
+
+
+def test_extraction_on_held_out_pages():
+    crf = html_extract.trained()
+    pages = [parse(p) for p in labelled_pages(200, seed=9)]
+    x, begins = html_extract.matrices(pages)
+    labels = crf.decode(x, begins)
+    truth = np.array([b.marked for p in pages for b in p])
+    assert (labels == truth).mean() > 0.99

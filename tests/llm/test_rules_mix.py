@@ -1,0 +1,132 @@
+import math
+import re
+
+import duckdb
+from pyspark.sql import functions as F
+
+from playpulse.llm import mixing, quality_rules
+from playpulse.llm.url_filter import RULES, judge_urls
+
+from . import odd
+
+
+def in_duckdb(spark, sql, **tables):
+    c = duckdb.connect()
+    for name, df in tables.items():
+        c.register(f"{name}_", df.toArrow())
+        c.sql(f"create view {name} as select * from {name}_")
+    return sorted(map(repr, c.sql(sql).fetchall()))
+
+
+def rows_of(df, columns):
+    return sorted(repr(tuple(r[c] for c in columns)) for r in df.collect())
+
+
+def test_quality_rules_equal_sql(spark):
+    docs = odd.documents(spark).select("doc_id", "text", "lang", "score")
+    more = spark.createDataFrame(
+        [(100 + i, odd.prose(i, 30) + (" #$%" if i % 50 == 0 else ""), "en", None) for i in range(700)]
+        + [(900 + i, "A B! C " * 5 + odd.prose(i, 30).upper() + " ### *** |", "en", None) for i in range(50)],
+        docs.schema,
+    )
+    docs = docs.unionByName(more)
+    labels = odd.labels(spark, [(i, 1, 0) for i in range(1, 800)] + [(900, 0, 0), (3, 0, 0), (None, 1, 0)])
+    verdicts, chosen = quality_rules.judged(docs, labels)
+    columns = ["doc_id", *quality_rules.COUNTS, "base_failed", "kept", "n_lines", "n_shouts"]
+    assert rows_of(verdicts, columns) == in_duckdb(spark, quality_rules.sql(), documents=docs, labels=labels)
+    row = chosen.where("stratum = 'en'").first()
+    assert row.max_shouts is not None and row.max_symbols is not None
+    bad = verdicts.where("doc_id >= 900")
+    assert bad.where("kept").count() == 0 and bad.count() == 50
+    assert verdicts.where("doc_id between 100 and 799 and not kept").count() <= 0.05 * 700
+    kept = quality_rules.kept_documents(docs, labels)
+    assert kept.columns == docs.columns
+    assert rows_of(kept, ["doc_id"]) == rows_of(verdicts.where("kept"), ["doc_id"])
+    none, _ = quality_rules.judged(docs, odd.labels(spark))
+    assert none.where("kept = base_failed").count() == 0
+    assert quality_rules.judged(odd.empty(spark), labels)[0].count() == 0
+
+
+def test_repeats_against_brute_force(spark):
+    for r in quality_rules.judged(odd.documents(spark), odd.labels(spark))[0].join(odd.documents(spark).select("doc_id", "text"), "doc_id").collect():
+        w = re.findall(r"[^\x20\x09-\x0D]+", r.text or "")
+        seen = {}
+        for i in range(len(w) - 4):
+            seen.setdefault(tuple(w[i : i + 5]), []).append(i)
+        want = {p for at in seen.values() if len(at) > 1 for i in at for p in range(i, i + 5)}
+        assert (r.n_words, r.word_chars, r.n_repeat_words) == (len(w), sum(map(len, w)), len(want))
+
+
+def test_binomial_tail_is_exact(spark):
+    cases = [(0, 100), (1, 100), (3, 1000), (12, 2000), (100, 10_000), (12_000, 1_000_000), (60, 4000)]
+    df = spark.createDataFrame(cases, "k long, n long").select("k", "n", quality_rules.lower_tail(F.col("k"), F.col("n"), 0.0125).alias("p"))
+    for r in df.collect():
+        lg = math.lgamma
+        want = sum(
+            math.exp(lg(r.n + 1) - lg(j + 1) - lg(r.n - j + 1) + j * math.log(0.0125) + (r.n - j) * math.log1p(-0.0125)) for j in range(r.k + 1)
+        )
+        assert (abs(r.p - want) <= 1e-8 * want) if r.k < r.n * 0.0125 else r.p == 1
+
+
+def test_mixing_equals_sql(spark):
+    docs = odd.documents(spark).select("doc_id", "text", "source", "slot").dropDuplicates(["doc_id", "source"])
+    docs = docs.unionByName(spark.createDataFrame([(100 + i, None, f"src{i % 23}" if i % 3 else "src0", None) for i in range(3000)], docs.schema))
+    columns = ["doc_id", "source", "mix_source", "block", "slot", "position"]
+    mixed = mixing.mix_sources(docs)
+    assert rows_of(mixed, columns) == in_duckdb(spark, mixing.sql(), documents=docs)
+    assert mixed.select("position").distinct().count() == docs.count()
+    assert mixing.mix_sources(odd.empty(spark)).count() == 0
+    ordered = mixing.in_mix_order(docs)
+    assert ordered.columns == docs.columns
+    place = {r.doc_id: r.position for r in mixed.collect() if r.doc_id and r.doc_id >= 100}
+    assert [r.doc_id for r in ordered.collect() if r.doc_id in place] == sorted(place, key=place.get)
+
+
+def test_shares_deviate_by_less_than_a_block(spark):
+    weights = {"a": 50, "b": 23, "c": 7, "d": 7, "e": 1, "f": 1, "g": 10, mixing.OTHER: 1}
+    docs = spark.createDataFrame([(i, s) for s, w in weights.items() for i in range(2 * w)], "doc_id long, source string")
+    got = mixing.mix_sources(docs, weights, block=1).collect()
+    by_slot = {r.slot: r.mix_source for r in got}
+    assert sorted(by_slot) == list(range(200))
+    done = dict.fromkeys(weights, 0)
+    for t in range(200):
+        done[by_slot[t]] += 1
+        assert all(abs(done[s] - (t + 1) * w / 100) < 1 for s, w in weights.items())
+
+
+URLS = [
+    "http://example.com/en/1", "https://WWW.Example.COM/en/x?y=/z", "http://a.example.net/es/1", "http://example.net/FR/", "http://net/fr/", "http://xnet/fr/",
+    None, "", "example.com/en/", "http://example.com", "http://example.com?x=/en/", "http://example.com/en", "ftp://b.com/a://c.net/es/", "http://x.org/de/#a?b", "://", "http://É.com/en/",
+]
+
+
+def test_url_rules(spark):
+    rows = [(i, u) for i, u in enumerate(URLS)] + [(100 + i, f"http://h{i % 7}.example.{t}/{p}/{i}") for i in range(300) for t, p in [(["com", "net", "org"][i % 3], ["en", "es", "de"][i % 5 % 3])]]
+    df = spark.createDataFrame([(*r, "x") for r in [*rows, (None, None), rows[0]]], "page_id long, url string, host string")
+    got = judge_urls(df).collect()
+    assert len(got) == len(rows) + 2
+    urls = dict(rows) | {None: None}
+    for r in got:
+        u = urls[r.page_id] or ""
+        rest = u.partition("://")[2]
+        host, path = re.match(r"([^/?#]*)([^?#]*)", rest, re.S).groups()
+        host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
+        fits = [(len(h + p), h + p, v) for v, h, p in RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        rule, verdict = max(fits)[1:] if fits else (None, r.verdict)
+        assert (r.host, r.path, r.rule, r.verdict) == (host, path, rule, verdict)
+        assert r.verdict in ("allow", "block")
+    none = judge_urls(df.where("url is null")).collect()
+    assert {r.verdict for r in none} == {"allow"} and judge_urls(df.where("false")).count() == 0
+
+
+def test_url_trees_learn_from_labelled_urls(spark):
+    def url(i, bad):
+        if bad:
+            return f"http://x{i}-{i * 7919 % 9999}-win{i}.example.top/a/b/c/{i * 31 % 997}{i * 17 % 991}?a={i}&b=2&c=3&d=4"
+        return f"http://www.example.org/{'news' if i % 2 else 'blog'}/article-{'abcdefgh'[i % 8]}"
+
+    rows = [(url(i, i % 2), "block" if i % 2 else "allow") for i in range(600)]
+    labelled = spark.createDataFrame(rows[:400], "url string, verdict string")
+    test = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(rows[400:])], "page_id long, url string")
+    got = judge_urls(test, rules=[], labelled=labelled).collect()
+    assert sum(r.verdict == rows[400 + r.page_id][1] for r in got) >= 0.95 * len(got)
