@@ -7,25 +7,39 @@ overridden by ``--name=value`` arguments; see :func:`argument`.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import os
 import tempfile
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
 
 DEFAULT_MINIMUM_PRIVACY_GROUP = 20
+WRITE_BYTES = "256m"
+FIRST_WIDTH = "2000"
 
 
 @dataclass(frozen=True)
 class JobConfig:
-    """Settings shared by the ingest, build, publish and maintenance jobs."""
+    """Settings shared by the ingest, build, publish and maintenance jobs.
+
+    ``raw_table`` is the landing table: only the ingest stream writes to it.
+    ``curated_table`` holds its closed days, rebalanced and sorted; gate, build and
+    maintenance work on that one. A daily run takes its day and the ``lookback_days``
+    before it anew, since late rows are admitted until the watermark passes them: the
+    window must be no shorter than ``watermark`` (after an outage of the ingest, run
+    with a longer one).
+    """
 
     bootstrap_servers: str = "localhost:29092"
     topic: str = "gameplay-events"
     warehouse: str = "warehouse"
     raw_table: str = "raw/game_events"
+    curated_table: str = "curated/game_events"
+    lookback_days: int = 1
     analytics_namespace: str = "analytics"
     serving_namespace: str = "serving"
     checkpoint_location: str = "checkpoints/game-events"
@@ -40,6 +54,12 @@ class JobConfig:
     max_offsets_per_trigger: int | None = None
     state_partitions: int | None = None
 
+    def __post_init__(self) -> None:
+        amount, unit = self.watermark.split()
+        hours = float(amount) * {"day": 24, "hour": 1, "minute": 1 / 60, "second": 1 / 3600}[unit.rstrip("s")]
+        if 24 * self.lookback_days < hours:
+            raise ValueError(f"lookback_days={self.lookback_days} is shorter than the watermark of {self.watermark}")
+
     @classmethod
     def from_env(cls, env: Mapping[str, str] | None = None) -> JobConfig:
         env = os.environ if env is None else env
@@ -49,12 +69,15 @@ class JobConfig:
             topic=env.get("GAME_EVENT_TOPIC", d.topic),
             warehouse=env.get("WAREHOUSE_PATH", d.warehouse),
             raw_table=env.get("RAW_EVENT_TABLE", d.raw_table),
+            curated_table=env.get("CURATED_EVENT_TABLE", d.curated_table),
+            lookback_days=int(env.get("LOOKBACK_DAYS", str(d.lookback_days))),
             checkpoint_location=env.get("CHECKPOINT_LOCATION", d.checkpoint_location),
             player_salt=env.get("PLAYER_HASH_SALT") or None,
             minimum_privacy_group=int(
                 env.get("MINIMUM_PRIVACY_GROUP", str(d.minimum_privacy_group))
             ),
             serving_format=env.get("SERVING_FORMAT", d.serving_format),
+            serving_options=json.loads(env.get("SERVING_OPTIONS", "{}")),
             dedup_mode=env.get("DEDUP_MODE", d.dedup_mode),
             state_store=env.get("STATE_STORE", d.state_store),
             max_offsets_per_trigger=int(env["MAX_OFFSETS_PER_TRIGGER"])
@@ -98,7 +121,9 @@ def build_session(
     UTC session time zone (event times are UTC), adaptive execution with partition
     coalescing and skew-join splitting, and dynamic partition overwrite so a job that
     writes some dates leaves the other dates of a table alone. ``SHUFFLE_PARTITIONS``
-    in the environment sets the shuffle width for large inputs.
+    in the environment sets the shuffle width for large inputs; off a local master the
+    first width of a shuffle is large, as adaptive execution can only merge partitions.
+    The advisory size is that of rebalanced table writes, so files reach it.
     """
     b = SparkSession.builder.appName(app_name)
     if master:
@@ -110,6 +135,7 @@ def build_session(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.ui.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": WRITE_BYTES,
     }
     shuffle = os.environ.get("SHUFFLE_PARTITIONS")
     if shuffle:
@@ -120,7 +146,16 @@ def build_session(
     base.update(conf or {})
     for k, v in base.items():
         b = b.config(k, v)
-    return b.getOrCreate()
+    spark = b.getOrCreate()
+    first_width = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    if first_width not in base and not is_local(spark.sparkContext.master):
+        spark.conf.set(first_width, FIRST_WIDTH)
+    return spark
+
+
+def is_local(master: str) -> bool:
+    """Whether tasks run inside the driver (``local-cluster`` has executors of its own)."""
+    return master == "local" or master.startswith("local[")
 
 
 def _join(*parts: str) -> str:
@@ -134,8 +169,9 @@ def _join(*parts: str) -> str:
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment and every executor can reach it. Only
-    when it is unset (local tests) do we create one, under the system temp folder.
+    On a cluster this is set by the deployment and every executor can reach it; there a
+    missing setting is an error. Only a local session gets a folder of its own, under the
+    system temp folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
@@ -143,6 +179,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not is_local(spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="playpulse-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
     return base
@@ -151,3 +189,28 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location below the shared folder."""
     return _join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator["Scratch"]:
+    """Scratch folders that are deleted at the end of the block, also after an error."""
+    made = Scratch(spark)
+    try:
+        yield made
+    finally:
+        made.delete()
+
+
+class Scratch:
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def path(self, name: str) -> str:
+        self.paths.append(scratch_path(self.spark, name))
+        return self.paths[-1]
+
+    def delete(self) -> None:
+        from playpulse.sources.files import delete
+
+        for p in self.paths:
+            delete(self.spark, p)

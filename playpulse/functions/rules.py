@@ -46,23 +46,6 @@ def safe_rate(numerator: str | Column, denominator: str | Column) -> Column:
 
 
 def percent(numerator: str | Column, denominator: str | Column) -> Column:
-    """``100 * n / d`` rounded to two decimals, 0.0 when ``d`` is 0.
-
-    The rounding works on the exact rational in integer arithmetic (half to even on an
-    exact tie), so it does not depend on how an engine rounds a double.
-    """
-    if isinstance(numerator, str) and isinstance(denominator, str):
-        # the same arithmetic as one SQL expression (one call to build it, not ~30)
-        n, d = f"CAST(`{numerator}` AS BIGINT)", f"CAST(`{denominator}` AS BIGINT)"
-        sd = f"(CASE WHEN {d} = 0 THEN 1L ELSE {d} END)"
-        q, r = f"(({n} * 10000L) div {sd})", f"pmod({n} * 10000L, {sd})"
-        bump = f"CASE WHEN 2 * {r} > {sd} OR (2 * {r} = {sd} AND {q} % 2 = 1) THEN 1 ELSE 0 END"
-        return F.expr(f"CASE WHEN {d} = 0 THEN 0.0D ELSE CAST({q} + {bump} AS DOUBLE) / 100.0D END")
-    n, d = _col(numerator).cast("long"), _col(denominator).cast("long")
-    safe_d = F.when(d == 0, F.lit(1)).otherwise(d)  # ANSI mode: never divide by zero
-    scaled = n * F.lit(10000)
-    r = F.pmod(scaled, safe_d)
-    q = ((scaled - r) / safe_d).cast("long")  # exact: an integer quotient below 2**53
-    twice = r * 2
-    bump = F.when(twice > safe_d, 1).when((twice == safe_d) & (q % 2 == 1), 1).otherwise(0)
-    return F.when(d == 0, F.lit(0.0)).otherwise((q + bump).cast("double") / F.lit(100.0))
+    """``round(100.0 * n / d, 2)``, 0.0 when ``d`` is 0; ``round`` takes a tie away from zero."""
+    n, d = _col(numerator), _col(denominator)
+    return F.when(d != 0, F.round(F.lit(100.0) * n / d, 2)).otherwise(F.lit(0.0))

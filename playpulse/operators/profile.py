@@ -66,6 +66,13 @@ def parse_lines(lines: DataFrame, value_column: str = "value") -> DataFrame:
     )
 
 
+def hash_players(parsed: DataFrame, salt: str) -> DataFrame:
+    """Parsed rows with the salted hash in place of the player id. Every metric counts players
+    by equality alone, so it is the same on hashes; a missing id stays missing."""
+    hashed = F.when(F.length("user_id") > 0, F.sha2(F.concat(F.lit(check_salt(salt)), F.col("user_id")), 256))
+    return parsed.withColumn("user_id", hashed)
+
+
 def valid_rows(parsed: DataFrame) -> DataFrame:
     return parsed.filter("is_valid")
 
@@ -180,21 +187,22 @@ def hardest_levels(parsed: DataFrame, minimum_starts: int = DEFAULT_MINIMUM_PRIV
     return lv.orderBy("completion_rate", "level").limit(TOP_LEVELS)
 
 
-def sample_player_keys(parsed: DataFrame, salt: str) -> DataFrame:
+def sample_player_keys(parsed: DataFrame, salt: str | None) -> DataFrame:
     """Salted hashes of the players of the first five valid rows (by event time, then
     id; repeats allowed) with their position 1..5.
 
     ``orderBy().limit()`` is a per-task top five merged once; the five rows are then
-    numbered by sorting them as one small array (no unpartitioned window).
+    numbered by sorting them as one small array (no unpartitioned window). Without a salt
+    the ids are hashes already (:func:`hash_players`).
     """
-    salt = check_salt(salt)
+    key = F.col("r.user_id") if salt is None else F.sha2(F.concat(F.lit(check_salt(salt)), F.col("r.user_id")), 256)
     first = valid_rows(parsed).orderBy("event_time", "event_uuid").limit(SAMPLE_KEYS)
     ordered = first.agg(
         F.array_sort(F.collect_list(F.struct("event_time", "event_uuid", "user_id"))).alias("rows")
     )
     return ordered.select(F.posexplode("rows").alias("pos", "r")).select(
         (F.col("pos") + 1).alias("sample_rank"),
-        F.sha2(F.concat(F.lit(salt), F.col("r.user_id")), 256).alias("player_key"),
+        key.alias("player_key"),
     )
 
 
@@ -241,7 +249,7 @@ def _totals(parsed: DataFrame) -> DataFrame:
 
 
 def validation_summary(
-    parsed: DataFrame, salt: str, minimum_group_size: int = DEFAULT_MINIMUM_PRIVACY_GROUP
+    parsed: DataFrame, salt: str | None, minimum_group_size: int = DEFAULT_MINIMUM_PRIVACY_GROUP
 ) -> DataFrame:
     """All file metrics in one row (nested: category map, level list, key list).
 

@@ -36,6 +36,8 @@ def player_activity_days(events: DataFrame) -> DataFrame:
         F.struct(*[F.col(c) for c in _ATTRIBUTES]),
         F.struct(F.col("first_time"), *[F.col(c) for c in _ATTRIBUTES]),
     )
+    # one shuffle on the player serves this aggregate and the one per player after it
+    firsts = firsts.repartition("game_id", "player_key")
     return (
         firsts.groupBy("game_id", "player_key", "event_date")
         .agg(pick.alias("first"))
@@ -47,7 +49,11 @@ def player_activity_days(events: DataFrame) -> DataFrame:
 def player_retention_flags(events: DataFrame) -> DataFrame:
     """Per (game, player, signup, platform, build, country): 1 when the player was
     active exactly 1, 7 and 30 days after signup, else 0."""
-    days = player_activity_days(events)
+    return flags_of_days(player_activity_days(events))
+
+
+def flags_of_days(days: DataFrame) -> DataFrame:
+    """:func:`player_retention_flags` from (stored) player activity days."""
     return days.groupBy("game_id", "player_key", *_ATTRIBUTES).agg(
         *[
             F.max(F.when(F.col("day_number") == n, 1).otherwise(0)).alias(f"retained_d{n}")
@@ -63,10 +69,17 @@ def build_retention(
     build, country). Young cohorts count as not retained (no eligibility cut-off).
 
     A player appears once per cohort row by construction, so ``count`` is the distinct
-    count without a distinct aggregate. Four shuffles, each of rows already reduced map
-    side: (player-day, attribute set), player-day, player, cohort.
+    count without a distinct aggregate. Three shuffles, each of rows already reduced map
+    side: (player-day, attribute set), player, cohort.
     """
-    flags = player_retention_flags(events)
+    return retention_of_days(player_activity_days(events), minimum_group_size)
+
+
+def retention_of_days(
+    days: DataFrame, minimum_group_size: int = DEFAULT_MINIMUM_PRIVACY_GROUP
+) -> DataFrame:
+    """:func:`build_retention` from (stored) player activity days."""
+    flags = flags_of_days(days)
     cohort = flags.groupBy(
         "game_id", F.col("signup_date").alias("cohort_date"), *BREAKDOWN_DIMENSIONS
     ).agg(

@@ -14,14 +14,14 @@ from playpulse.config import (
     JobConfig,
     argument,
     build_session,
-    scratch_path,
+    scratch,
 )
 from playpulse.operators.engagement import build_daily_engagement
 from playpulse.operators.funnel import build_economy_flows, build_progression_funnel
-from playpulse.operators.retention import build_retention
+from playpulse.operators.retention import player_activity_days, retention_of_days
 from playpulse.operators.sessions import session_facts
 from playpulse.schema import PLAYER_SESSIONS_COLUMNS
-from playpulse.sources.tables import read_table_path, write_table
+from playpulse.sources.tables import read_table_path, replace_days, write_table
 
 TABLES = ("player_sessions", "daily_engagement", "cohort_retention", "level_progression", "economy_flows")
 
@@ -43,12 +43,14 @@ def build_tables(
     start: str | None = None,
     end: str | None = None,
     facts: DataFrame | None = None,
+    player_days: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """The five tables as DataFrames (not yet written).
 
-    ``start``/``end`` restrict the day-grained tables to a date range (a daily run);
-    retention always reads the full history, since a cohort's day-30 activity lies
-    30 days after its signup. ``facts`` are precomputed session facts of the range.
+    ``start``/``end`` restrict the day-grained tables to a date range (a daily run).
+    Retention needs the full history, since a cohort's day-30 activity lies 30 days after
+    its signup: ``player_days`` are the stored player activity days, without which they
+    come from ``events``. ``facts`` are precomputed session facts of the range.
     """
     day_events = _in_range(events, start, end)
     if facts is None:
@@ -56,7 +58,9 @@ def build_tables(
     return {
         "player_sessions": facts.select(*PLAYER_SESSIONS_COLUMNS),
         "daily_engagement": build_daily_engagement(facts, minimum_group_size=minimum_group_size),
-        "cohort_retention": build_retention(events, minimum_group_size),
+        "cohort_retention": retention_of_days(
+            player_activity_days(events) if player_days is None else player_days, minimum_group_size
+        ),
         "level_progression": build_progression_funnel(day_events, minimum_group_size),
         "economy_flows": build_economy_flows(day_events, minimum_group_size),
     }
@@ -69,41 +73,63 @@ def build_and_write(
     minimum_group_size: int = DEFAULT_MINIMUM_PRIVACY_GROUP,
     start: str | None = None,
     end: str | None = None,
-    mode: str = "dynamic",
+    mode: str = "static",
 ) -> BuiltTables:
-    """Compute and write all five tables.
+    """Compute and write all five tables and the player activity days behind retention.
+
+    With ``start``/``end`` the days of that range are replaced, days left without rows
+    included; player activity days are kept in ``paths["player_days"]`` (default: beside the
+    sessions), so cohorts come from all of them and not from all events. Without a range
+    every table is rebuilt from all of ``events`` (``mode="static"``, or ``"dynamic"`` to
+    leave days without events as they are).
 
     Session facts are computed once, written to the shared checkpoint folder (which
     cuts the lineage: a lost executor recomputes from those files, not from the raw
-    events), and both the sessions table and engagement read them. Each table is
-    written with dynamic partition overwrite by default (only recomputed days are
-    replaced); ``mode="static"`` rebuilds a table completely. The five writes run as
+    events), and both the sessions table and engagement read them. The five writes run as
     concurrent jobs.
     """
-    facts_path = scratch_path(spark, "session-facts")
-    session_facts(_in_range(events, start, end)).write.mode("overwrite").parquet(facts_path)
-    outputs = build_tables(
-        events, minimum_group_size, start, end, facts=spark.read.parquet(facts_path)
-    )
-    # The five writes are independent: submitted together, their stages share the
-    # executors instead of queueing behind each other's tail tasks.
-    with ThreadPoolExecutor(max_workers=len(TABLES)) as pool:
-        futures = [pool.submit(write_table, outputs[n], n, paths[n], mode) for n in TABLES]
-        for f in futures:
-            f.result()  # re-raises a failed write
-    return BuiltTables(paths=dict(paths))
+    days_path = paths.get("player_days", f"{paths['player_sessions'].rstrip('/')}_days")
+    ranged = start is not None and end is not None
+    with scratch(spark) as s:
+        facts_path = s.path("session-facts")
+        session_facts(_in_range(events, start, end)).write.mode("overwrite").parquet(facts_path)
+        days = player_activity_days(_in_range(events, start, end))
+        if ranged:
+            replace_days(days, "player_days", days_path, start, end)
+        else:
+            write_table(days, "player_days", days_path, mode)
+        outputs = build_tables(
+            events, minimum_group_size, start, end,
+            facts=spark.read.parquet(facts_path), player_days=read_table_path(spark, days_path, "player_days"),
+        )
+
+        def write(name: str) -> None:
+            if name == "cohort_retention":
+                write_table(outputs[name], name, paths[name], "static")  # every cohort, those below the threshold gone
+            elif ranged:
+                replace_days(outputs[name], name, paths[name], start, end)
+            else:
+                write_table(outputs[name], name, paths[name], mode)
+
+        # The five writes are independent: submitted together, their stages share the
+        # executors instead of queueing behind each other's tail tasks.
+        with ThreadPoolExecutor(max_workers=len(TABLES)) as pool:
+            futures = [pool.submit(write, n) for n in TABLES]
+            for f in futures:
+                f.result()  # re-raises a failed write
+    return BuiltTables(paths={**paths, "player_days": days_path})
 
 
 def main(argv: list[str] | None = None) -> int:
-    """Rebuild all five tables from the full history (``--mode=static`` by default;
-    ``--start=``/``--end=`` with ``--mode=dynamic`` for a date range)."""
+    """Rebuild all five tables from the whole curated table, or with ``--start= --end=`` the
+    days of a range."""
     argv = sys.argv[1:] if argv is None else argv
     config = JobConfig.from_env()
     spark = build_session("playpulse-build")
-    events = read_table_path(spark, config.table_path(config.raw_table), "game_events")
+    events = read_table_path(spark, config.table_path(config.curated_table), "game_events")
     start = argument(argv, "start", "") or None
     end = argument(argv, "end", "") or None
-    mode = argument(argv, "mode", "static" if start is None else "dynamic")
+    mode = argument(argv, "mode", "static")
     paths = {t: config.table_path(t) for t in TABLES}
     build_and_write(spark, events, paths, config.minimum_privacy_group, start, end, mode)
     return 0

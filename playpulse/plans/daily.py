@@ -1,4 +1,4 @@
-"""The gated daily run: quality gate -> build -> publish -> compact.
+"""The gated daily run: curate -> quality gate -> build -> publish -> compact.
 
 A failing step stops the later ones (the gate raises :class:`QualityGateError`).
 """
@@ -10,14 +10,14 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from playpulse.config import JobConfig, argument, build_session, default_run_date
 from playpulse.operators.quality import run_quality_gate
 from playpulse.plans.build import TABLES, build_and_write
-from playpulse.plans.publish import publish_all
+from playpulse.plans.curate import curate_days, first_day
+from playpulse.plans.publish import of_days, publish_all
 from playpulse.schema import SERVING_TABLES, TABLE_PARTITION_COLUMN
-from playpulse.sources.tables import compact_partitions, read_table_path
+from playpulse.sources.tables import compact_partitions, days_between, read_table_path
 
 
 @dataclass
@@ -38,50 +38,42 @@ def run_daily(
     previous_version: str | None = None,
     compact_tables: bool = True,
 ) -> DailyResult:
-    """Run the four steps for ``run_date``.
+    """Run the steps for ``run_date`` and the days before it that may have got late rows.
 
-    Serving tables are upserted in place, partition by partition. With ``version`` the
-    run instead writes new serving version directories (the previous run's
-    ``previous_version`` is read for the upsert, never overwritten). Compaction
-    rewrites only the run date's partitions of the curated and daily tables.
+    The days from ``run_date - lookback_days`` on are copied from the landing table into the
+    curated one, gated (``run_date`` alone), rebuilt and published anew, whatever of them
+    was published before. Serving tables are replaced in place, partition by partition.
+    With ``version`` the run instead writes new serving version directories (the previous
+    run's ``previous_version`` is read for the merge, never overwritten). The curated table
+    is written compact; compaction rewrites the same days of the daily tables.
     """
-    events = spark.read.parquet(config.table_path(config.raw_table))
+    days = (first_day(run_date, config), run_date)
+    curate_days(spark, config, *days)
+    events = read_table_path(spark, config.table_path(config.curated_table), "game_events")
     n = run_quality_gate(events, run_date)
-    paths = {t: config.table_path(t) for t in TABLES}
-    build_and_write(
-        spark, events, paths, config.minimum_privacy_group, start=run_date, end=run_date
-    )
-    # publish the run date's rows; cohort rows change for every cohort, so all of them
-    tables = {}
-    for t, p in paths.items():
-        df = read_table_path(spark, p, t)
-        part = TABLE_PARTITION_COLUMN[t]
-        tables[t] = df if part == "cohort_date" else df.filter(F.col(part) == F.to_date(F.lit(run_date)))
+    paths = {t: config.table_path(t) for t in (*TABLES, "player_days")}
+    build_and_write(spark, events, paths, config.minimum_privacy_group, *days)
+    tables = {t: of_days(read_table_path(spark, paths[t], t), t, days) for t in TABLES}
     if version:
-        new_serving = {s: f"{config.serving_path(s)}/{version}" for s in SERVING_TABLES}
+        serving = {s: f"{config.serving_path(s)}/{version}" for s in SERVING_TABLES}
         current = (
-            {s: f"{config.serving_path(s)}/{previous_version}" for s in new_serving}
+            {s: f"{config.serving_path(s)}/{previous_version}" for s in serving}
             if previous_version else None
         )
-        left_out = publish_all(spark, tables, config, current, new_serving)
-        serving = new_serving
+        left_out = publish_all(spark, tables, config, current, serving, days)
     else:
-        left_out = publish_all(spark, tables, config)
+        left_out = publish_all(spark, tables, config, days=days)
         serving = {s: config.serving_path(s) for s in SERVING_TABLES}
     result = DailyResult(run_date, n, paths, serving, left_out)
     if compact_tables:
-        # only the run date's partitions (cohort rows are rewritten whole each run);
         # the tables are independent, so they are compacted as concurrent jobs
         targets = {t: p for t, p in paths.items() if TABLE_PARTITION_COLUMN[t] == "event_date"}
-        targets["game_events"] = config.table_path(config.raw_table)
+        wanted = [d.isoformat() for d in days_between(*days)]
         with ThreadPoolExecutor(max_workers=len(targets)) as pool:
-            futures = [
-                pool.submit(compact_partitions, spark, p, "event_date", [run_date], table=t)
-                for t, p in targets.items()
-            ]
+            futures = [pool.submit(compact_partitions, spark, p, "event_date", wanted, table=t) for t, p in targets.items()]
             for f in futures:
                 f.result()
-        result.compacted = {t: p for t, p in targets.items() if t != "game_events"}
+        result.compacted = targets
     return result
 
 

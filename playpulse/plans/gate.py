@@ -18,7 +18,7 @@ def main(argv: list[str] | None = None) -> int:
     config = JobConfig.from_env()
     run_date = argument(argv, "run-date", default_run_date())
     spark = build_session("playpulse-quality-gate")
-    events = read_table_path(spark, config.table_path(config.raw_table), "game_events")
+    events = read_table_path(spark, config.table_path(config.curated_table), "game_events")
     try:
         n = run_quality_gate(events, run_date)
     except QualityGateError as e:

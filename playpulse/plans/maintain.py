@@ -1,4 +1,7 @@
-"""Maintenance job: compact the given days of the curated and daily tables in place."""
+"""Maintenance job: compact the given days of the curated and daily tables in place.
+
+The landing table is left to the stream that writes it.
+"""
 
 from __future__ import annotations
 
@@ -16,7 +19,7 @@ def main(argv: list[str] | None = None) -> int:
     config = JobConfig.from_env()
     spark = build_session("playpulse-maintenance")
     dates = argument(argv, "dates", default_run_date()).split(",")
-    targets = {"game_events": config.table_path(config.raw_table)}
+    targets = {"game_events": config.table_path(config.curated_table)}
     targets.update({t: config.table_path(t) for t in TABLES})
     for table, path in targets.items():
         compact_partitions(spark, path, TABLE_PARTITION_COLUMN[table], dates, table=table)

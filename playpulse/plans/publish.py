@@ -6,11 +6,12 @@ import sys
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from playpulse.config import JobConfig, argument, build_session
 from playpulse.operators.serving import SERVING_SHAPES, split_null_keys
-from playpulse.schema import SERVING_TABLES
-from playpulse.sources.serving import publish
+from playpulse.schema import SERVING_TABLES, TABLE_PARTITION_COLUMN
+from playpulse.sources.serving import ALL, publish
 from playpulse.sources.tables import read_table_path
 
 
@@ -21,16 +22,28 @@ def serving_rows(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
+def of_days(rows: DataFrame, table: str, days: tuple[str, str] | None) -> DataFrame:
+    """A table's rows of ``days``; all rows of cohort tables, where every day changes every cohort."""
+    part = TABLE_PARTITION_COLUMN[table]
+    if days is None or part == "cohort_date":
+        return rows
+    return rows.filter(F.col(part).between(*[F.to_date(F.lit(d)) for d in days]))
+
+
 def publish_all(
     spark: SparkSession,
     tables: dict[str, DataFrame],
     config: JobConfig,
     current_paths: dict[str, str] | None = None,
     new_paths: dict[str, str] | None = None,
+    days: tuple[str, str] | None = None,
 ) -> dict[str, int]:
-    """Upsert every serving table; returns, per table, the number of rows left out for a
-    null key part (they cannot be addressed in a keyed store). The four tables are
-    independent and are published as concurrent jobs."""
+    """Publish every serving table; returns, per table, the number of rows left out for a
+    null key part (they cannot be addressed in a keyed store).
+
+    ``tables`` hold the rows of ``days`` (None: of all days), which replace the published
+    ones of these days; cohort rows change with every day and are always all there, and
+    replace all. The four tables are independent and are published as concurrent jobs."""
 
     def one(name: str, rows: DataFrame) -> int:
         _, bad = split_null_keys(rows, name)
@@ -42,6 +55,7 @@ def publish_all(
             config,
             (current_paths or {}).get(name),
             (new_paths or {}).get(name),
+            ALL if days is None or TABLE_PARTITION_COLUMN[SERVING_TABLES[name]["source"]] == "cohort_date" else days,
         )
         return n
 
@@ -52,19 +66,21 @@ def publish_all(
 
 
 def main(argv: list[str] | None = None) -> int:
-    """Publish the four aggregate tables (Parquet: in-place partition upserts; with
-    ``--version=`` new version directories instead, upserting ``--previous-version=``;
-    a keyed store ignores both)."""
+    """Publish the four aggregate tables, all days or ``--start= --end=`` (Parquet: partitions
+    replaced in place; with ``--version=`` new version directories instead, merged with
+    ``--previous-version=``; a keyed store ignores both)."""
     argv = sys.argv[1:] if argv is None else argv
     config = JobConfig.from_env()
     spark = build_session("playpulse-publish")
     version = argument(argv, "version", "") or None
     previous = argument(argv, "previous-version", "") or None
+    start, end = argument(argv, "start", ""), argument(argv, "end", "")
+    days = (start, end) if start and end else None
     sources = {source for source, _ in SERVING_SHAPES.values()}
-    tables = {t: read_table_path(spark, config.table_path(t), t) for t in sources}
+    tables = {t: of_days(read_table_path(spark, config.table_path(t), t), t, days) for t in sources}
     new = {s: f"{config.serving_path(s)}/{version}" for s in SERVING_TABLES} if version else None
     current = {s: f"{config.serving_path(s)}/{previous}" for s in SERVING_TABLES} if previous else None
-    left_out = publish_all(spark, tables, config, current, new)
+    left_out = publish_all(spark, tables, config, current, new, days)
     for name, n in left_out.items():
         if n:
             print(f"{name}: {n} rows with a null key part left out")

@@ -7,8 +7,8 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playpulse.config import DEFAULT_MINIMUM_PRIVACY_GROUP, argument, build_session, scratch_path
-from playpulse.operators.profile import parse_lines, validation_summary
+from playpulse.config import DEFAULT_MINIMUM_PRIVACY_GROUP, argument, build_session, scratch
+from playpulse.operators.profile import hash_players, parse_lines, validation_summary
 from playpulse.sources.jsonlines import read_json_lines
 
 
@@ -21,13 +21,17 @@ def profile_files(
 ) -> DataFrame:
     """Parse the lines once into Parquet in the shared folder, then compute every metric
     from that copy. JSON parsing (the costly part) runs once; each metric reads only its
-    columns, and the parsed copy cuts the lineage back to the text files.
+    columns, and the parsed copy cuts the lineage back to the text files. The copy holds
+    hashed player ids only and is deleted once the summary, one row, is there.
 
-    When ``summary_path`` is given the one-row summary is written there as JSON.
+    When ``summary_path`` is given the summary is written there as JSON.
     """
-    parsed_path = scratch_path(spark, "parsed-lines")
-    parse_lines(read_json_lines(spark, input_path)).write.mode("overwrite").parquet(parsed_path)
-    summary = validation_summary(spark.read.parquet(parsed_path), salt, minimum_group_size)
+    with scratch(spark) as s:
+        parsed_path = s.path("parsed-lines")
+        parsed = hash_players(parse_lines(read_json_lines(spark, input_path)), salt)
+        parsed.write.mode("overwrite").parquet(parsed_path)
+        lazy = validation_summary(spark.read.schema(parsed.schema).parquet(parsed_path), salt=None, minimum_group_size=minimum_group_size)
+        summary = spark.createDataFrame(lazy.collect(), lazy.schema)  # one row
     if summary_path:
         summary.coalesce(1).write.mode("overwrite").json(summary_path)
     return summary

@@ -1,4 +1,8 @@
-"""Schemas and key lists shared by every job."""
+"""Schemas and key lists shared by every job.
+
+Fixed values: the names, types and order of the columns are the contract with producers
+of events and readers of the tables.
+"""
 
 from __future__ import annotations
 
@@ -114,6 +118,10 @@ TABLE_DDL = {
         "build STRING, country_code STRING, signup_date DATE, event_date DATE, "
         "ingested_at TIMESTAMP, player_key STRING"
     ),
+    "player_days": (
+        "game_id STRING, player_key STRING, event_date DATE, signup_date DATE, platform STRING, "
+        "build STRING, country_code STRING, day_number INT"
+    ),
     "player_sessions": (
         "game_id STRING, player_key STRING, session_id STRING, event_date DATE, "
         "platform STRING, build STRING, country_code STRING, session_started_at TIMESTAMP, "
@@ -145,6 +153,7 @@ TABLE_DDL = {
 # Date column each table is partitioned by on disk (daily partitions: see README).
 TABLE_PARTITION_COLUMN = {
     "game_events": "event_date",
+    "player_days": "event_date",
     "player_sessions": "event_date",
     "daily_engagement": "event_date",
     "cohort_retention": "cohort_date",
@@ -155,24 +164,28 @@ TABLE_PARTITION_COLUMN = {
 # Serving tables: partition key, clustering key and clustering direction of the date column.
 SERVING_TABLES = {
     "daily_engagement_by_game_day": {
+        "source": "daily_engagement",
         "partition_key": ["game_id", "activity_month"],
         "clustering_key": ["activity_date", "platform", "build", "country_code"],
         "date_column": "activity_date",
         "date_descending": True,
     },
     "cohort_retention_by_game_day": {
+        "source": "cohort_retention",
         "partition_key": ["game_id", "cohort_month"],
         "clustering_key": ["cohort_date", "platform", "build", "country_code"],
         "date_column": "cohort_date",
         "date_descending": True,
     },
     "level_progression_by_game_day": {
+        "source": "level_progression",
         "partition_key": ["game_id", "event_date"],
         "clustering_key": ["platform", "build", "country_code", "level"],
         "date_column": "event_date",
         "date_descending": False,
     },
     "economy_flows_by_game_day": {
+        "source": "economy_flows",
         "partition_key": ["game_id", "event_date"],
         "clustering_key": ["platform", "build", "country_code", "virtual_currency", "item_type"],
         "date_column": "event_date",

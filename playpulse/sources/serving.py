@@ -2,25 +2,35 @@
 
 A keyed store (any DataFrame source whose append is an upsert by primary key, such
 as a wide-column store connector) gets a plain append. On Parquet the same effect is
-produced with :func:`playpulse.operators.serving.upsert_by_key`, either
+produced with the merges of :mod:`playpulse.operators.serving`, either
 
 - in place, partition by partition (:func:`publish_partitions`, the default): the
   table is partitioned by its period column (month or day), only the partitions the
   update touches are read, merged and replaced; or
 - as a new version directory (:func:`publish_parquet`): the previous version is read
   whole, never overwritten.
+
+``replace`` says what a publication takes away: nothing (None, rows are upserted by key),
+the days of a range, (start, end), so that groups which the rebuilt days no longer have
+disappear, or everything (``"all"``). A keyed store is only appended to: rows that are no
+longer published must expire there by the store's own means.
+
+Rows with a null key part cannot be addressed and reach no store.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
-from playpulse.config import JobConfig, scratch_path
-from playpulse.operators.serving import split_null_keys, upsert_by_key
-from playpulse.schema import SERVING_DDL, SERVING_TABLES
-from playpulse.sources.tables import write_partitioned
+from playpulse.config import JobConfig, scratch
+from playpulse.operators.serving import replace_date_range, split_null_keys, upsert_by_key
+from playpulse.schema import SERVING_DDL, SERVING_TABLES, serving_primary_key
+from playpulse.sources.files import delete, exists
+from playpulse.sources.tables import days_between, write_partitioned
+
+ALL = "all"
+Replace = tuple[str, str] | str | None
 
 
 def write_keyed_store(df: DataFrame, table: str, fmt: str, options: dict[str, str]) -> None:
@@ -28,24 +38,27 @@ def write_keyed_store(df: DataFrame, table: str, fmt: str, options: dict[str, st
     df.write.format(fmt).mode("append").options(table=table, **options).save()
 
 
-def read_parquet_or_none(spark: SparkSession, path: str | None) -> DataFrame | None:
-    if not path:
-        return None
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+def merged_rows(existing: DataFrame | None, rows: DataFrame, table: str, replace: Replace) -> DataFrame:
+    if existing is None or replace == ALL:
+        return rows
+    if replace is None:
+        return upsert_by_key(existing, rows, table)
+    return replace_date_range(existing, rows, table, *replace)
 
 
 def publish_parquet(
-    spark: SparkSession, rows: DataFrame, table: str, current_path: str | None, new_path: str
+    spark: SparkSession, rows: DataFrame, table: str, current_path: str | None, new_path: str, replace: Replace = None
 ) -> DataFrame:
-    """Upsert ``rows`` into the Parquet version at ``current_path``, written to
-    ``new_path``; returns the new version."""
-    existing = read_parquet_or_none(spark, current_path)
-    merged = rows if existing is None else upsert_by_key(existing, rows, table)
-    merged.write.mode("overwrite").parquet(new_path)
-    return spark.read.parquet(new_path)
+    """Merge ``rows`` into the Parquet version at ``current_path``, written to ``new_path``;
+    returns the new version. A version that is named but doesn't exist is an error: taken
+    as empty, it would publish a version without any history."""
+    rows, _ = split_null_keys(rows, table)
+    if current_path and not exists(spark, current_path):
+        raise FileNotFoundError(f"no previous version at {current_path}")
+    existing = read_serving_table(spark, current_path, table) if current_path else None
+    merged = merged_rows(existing, rows, table, replace)
+    merged.sortWithinPartitions(*serving_primary_key(table)).write.mode("overwrite").parquet(new_path)
+    return read_serving_table(spark, new_path, table)
 
 
 def period_column(table: str) -> str:
@@ -53,32 +66,48 @@ def period_column(table: str) -> str:
     return SERVING_TABLES[table]["partition_key"][1]
 
 
-def publish_partitions(spark: SparkSession, rows: DataFrame, table: str, path: str) -> DataFrame:
-    """Upsert ``rows`` into the Parquet table at ``path``, touching only the periods
-    (months or days) that occur in ``rows``.
+def periods_between(table: str, start: str, end: str) -> set:
+    """The values of the table's period column that hold the days ``start`` .. ``end``."""
+    days = days_between(start, end)
+    if period_column(table) == SERVING_TABLES[table]["date_column"]:
+        return set(days)
+    return {d.strftime("%Y-%m") for d in days}
 
-    The list of touched periods is collected (bounded: the periods of one publish);
-    the existing rows of those partitions are read by partition pruning, merged by
-    primary key, staged in the shared folder and written back with dynamic partition
-    overwrite. Other partitions are neither read nor rewritten, so a daily publish
-    costs the size of its periods, not of the history. Rows with a null key part are
-    left out.
+
+def publish_partitions(
+    spark: SparkSession, rows: DataFrame, table: str, path: str, replace: Replace = None
+) -> DataFrame:
+    """Merge ``rows`` into the Parquet table at ``path``, touching only the periods
+    (months or days) that occur in ``rows`` or in the replaced range.
+
+    The rows are staged in the shared folder and the list of their periods is collected
+    (bounded: the periods of one publish); the existing rows of those partitions are read by
+    partition pruning, merged by primary key, staged and written back with dynamic partition
+    overwrite, sorted by primary key so that a read of one game skips row groups. Periods
+    left without a row are deleted. Other partitions are neither read nor rewritten, so a
+    daily publish costs the size of its periods, not of the history.
     """
     period = period_column(table)
+    key = [c for c in serving_primary_key(table) if c != period]
     good, _ = split_null_keys(rows, table)
-    periods = [r[0] for r in good.select(period).distinct().collect()]
-    existing = read_parquet_or_none(spark, path)
-    if not periods:
-        if existing is None:  # first, empty publish: create the (empty) table
-            write_partitioned(good, path, period, "dynamic")
-        return read_serving_table(spark, path, table)
-    merged = good
-    if existing is not None:
-        touched = existing.filter(F.col(period).isin(periods))
-        merged = upsert_by_key(touched, good, table)
-    staged = scratch_path(spark, f"serving-{table}")
-    merged.write.parquet(staged)
-    write_partitioned(spark.read.parquet(staged), path, period, "dynamic")
+    with scratch(spark) as s:
+        update, merged = s.path(f"serving-update-{table}"), s.path(f"serving-{table}")
+        good.write.parquet(update)
+        good = read_serving_table(spark, update, table)
+        present = exists(spark, path)
+        if replace == ALL or not present:
+            write_partitioned(good, path, period, "static", sort_within=key)
+            return read_serving_table(spark, path, table)
+        periods = {r[0] for r in good.select(period).distinct().collect()}
+        if replace is not None:
+            periods |= periods_between(table, *replace)
+        touched = read_serving_table(spark, path, table).filter(F.col(period).isin(list(periods)))
+        merged_rows(touched, good, table, replace).write.parquet(merged)
+        out = read_serving_table(spark, merged, table)
+        left = {r[0] for r in out.select(period).distinct().collect()}
+        write_partitioned(out, path, period, "dynamic", sort_within=key)
+    for p in periods - left:
+        delete(spark, f"{path.rstrip('/')}/{period}={p}")
     return read_serving_table(spark, path, table)
 
 
@@ -94,13 +123,15 @@ def publish(
     config: JobConfig,
     current_path: str | None = None,
     new_path: str | None = None,
+    replace: Replace = None,
 ) -> DataFrame | None:
     """Write one serving table by the configured format: a keyed store gets an append;
-    Parquet gets an in-place partition upsert at the configured serving path, or a new
+    Parquet gets an in-place partition merge at the configured serving path, or a new
     version at ``new_path`` when one is given."""
+    rows, _ = split_null_keys(rows, table)
     if config.serving_format == "parquet":
         if new_path is None:
-            return publish_partitions(spark, rows, table, config.serving_path(table))
-        return publish_parquet(spark, rows, table, current_path, new_path)
+            return publish_partitions(spark, rows, table, config.serving_path(table), replace)
+        return publish_parquet(spark, rows, table, current_path, new_path, replace)
     write_keyed_store(rows, table, config.serving_format, dict(config.serving_options))
     return None

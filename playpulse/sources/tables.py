@@ -9,10 +9,14 @@ does not end up in one task, and small days do not leave a file per task.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from playpulse.config import scratch
 from playpulse.schema import TABLE_DDL, TABLE_PARTITION_COLUMN
+from playpulse.sources.files import delete, is_streamed
 
 WRITE_MODES = ("dynamic", "static", "append")
 
@@ -80,6 +84,35 @@ def write_table(df: DataFrame, name: str, path: str, mode: str = "dynamic") -> N
     write_partitioned(conform(df, name), path, TABLE_PARTITION_COLUMN[name], mode)
 
 
+def days_between(start: str, end: str) -> list[_dt.date]:
+    first, last = _dt.date.fromisoformat(start), _dt.date.fromisoformat(end)
+    return [first + _dt.timedelta(days=i) for i in range((last - first).days + 1)]
+
+
+def replace_days(
+    df: DataFrame, name: str, path: str, start: str, end: str, sort_within: list[str] | None = None
+) -> None:
+    """Replace the days ``start`` .. ``end`` of a day-partitioned table by ``df``.
+
+    Unlike a dynamic overwrite alone, a day without a row in ``df`` loses its old rows (a
+    group that fell below the privacy threshold, say). ``df`` is staged in the shared
+    folder, so it may come from the table itself.
+    """
+    part = TABLE_PARTITION_COLUMN[name]
+    with scratch(df.sparkSession) as s:
+        staged = s.path(f"{name}-days")
+        conform(df, name).write.parquet(staged)
+        rows = read_table_path(df.sparkSession, staged, name)
+        written = {r[0] for r in rows.select(part).distinct().collect()}  # days of the range
+        wanted = days_between(start, end)
+        if not written <= set(wanted):
+            raise ValueError(f"{name}: rows outside {start} .. {end}")
+        write_partitioned(rows, path, part, "dynamic", sort_within=sort_within or TABLE_SORT_COLUMNS.get(name))
+    for day in wanted:
+        if day not in written:
+            delete(df.sparkSession, f"{path.rstrip('/')}/{part}={day.isoformat()}")
+
+
 def read_table_path(spark: SparkSession, path: str, name: str | None = None) -> DataFrame:
     """Read a partitioned table; filters on the partition column prune directories.
 
@@ -126,18 +159,23 @@ def compact_partitions(
     checkpoint folder, then written back with dynamic partition overwrite: only those
     partitions are replaced, the rest of the table is not read or rewritten, and the
     job never reads the path it overwrites. The row multiset is unchanged.
-    """
-    from playpulse.config import scratch_path
 
+    A folder that a stream writes to is refused: its readers list the stream's log, which
+    knows nothing of rewritten files, and rows may arrive meanwhile.
+    """
+    if is_streamed(spark, table_path):
+        raise ValueError(f"{table_path} is written by a stream; copy its closed days to another table")
     wanted = F.col(partition_column).isin([F.lit(v).cast("date") for v in values])
-    staged = scratch_path(spark, "compact-stage")
-    read_table_path(spark, table_path, table).filter(wanted).write.parquet(staged)
-    rows = spark.read.parquet(staged)
-    if table is not None:
-        rows = conform(rows, table)
-    if sort_within is None and table is not None:
-        sort_within = TABLE_SORT_COLUMNS.get(table)
-    write_partitioned(rows, table_path, partition_column, "dynamic", max_records_per_file, sort_within)
+    with scratch(spark) as s:
+        staged = s.path("compact-stage")
+        source = read_table_path(spark, table_path, table).filter(wanted)
+        source.write.parquet(staged)
+        rows = spark.read.schema(source.schema).parquet(staged)
+        if table is not None:
+            rows = conform(rows, table)
+        if sort_within is None and table is not None:
+            sort_within = TABLE_SORT_COLUMNS.get(table)
+        write_partitioned(rows, table_path, partition_column, "dynamic", max_records_per_file, sort_within)
 
 
 def file_count(spark: SparkSession, path: str) -> int:

@@ -54,3 +54,51 @@ def test_shuffle_width_from_environment(spark, monkeypatch):
     assert s.conf.get("spark.sql.shuffle.partitions") == "6"
     s.conf.set("spark.sql.shuffle.partitions", "4")
     s.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+
+
+def test_a_cluster_needs_a_shared_folder(monkeypatch):
+    import pytest
+
+    from playpulse import config
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "local-cluster[2,1,1024]"
+
+        def getConf(self):
+            return Conf()
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        config.shared_dir(Session())
+
+
+def test_the_window_covers_the_watermark():
+    import pytest
+
+    JobConfig(watermark="36 hours", lookback_days=2)
+    with pytest.raises(ValueError, match="watermark"):
+        JobConfig(watermark="36 hours")
+
+
+def test_scratch_is_deleted_after_an_error(spark):
+    import os
+
+    import pytest
+
+    from playpulse.config import scratch
+
+    with pytest.raises(RuntimeError):
+        with scratch(spark) as s:
+            path = s.path("x")
+            spark.range(3).write.parquet(path)
+            raise RuntimeError
+    assert not os.path.exists(path)

@@ -34,9 +34,9 @@ def test_safe_rate(spark):
 
 @pytest.mark.parametrize(
     "n,d,expected",
-    [(1, 3, 33.33), (2, 3, 66.67), (0, 0, 0.0), (1, 32, 3.12), (3, 32, 9.38), (7, 7, 100.0), (107, 4000, 2.68)],
+    [(1, 3, 33.33), (2, 3, 66.67), (0, 0, 0.0), (1, 32, 3.13), (3, 32, 9.38), (7, 7, 100.0), (107, 4000, 2.68), (1, 4000, 0.03)],
 )
-def test_percent_rounds_exact_rational_half_even(spark, n, d, expected):
+def test_percent_takes_ties_away_from_zero(spark, n, d, expected):
     df = spark.createDataFrame([(n, d)], "n long, d long")
     assert df.select(percent("n", "d")).first()[0] == expected
 

@@ -1,3 +1,4 @@
+import dataclasses
 import datetime as dt
 import os
 
@@ -5,8 +6,9 @@ import pytest
 from helpers import curated
 from pyspark.sql import functions as F
 
-from playpulse.config import JobConfig
+from playpulse.config import JobConfig, shared_dir
 from playpulse.operators.quality import QualityGateError
+from playpulse.operators.retention import build_retention, player_activity_days
 from playpulse.operators.serving import (
     read_serving,
     replace_date_range,
@@ -15,7 +17,9 @@ from playpulse.operators.serving import (
     upsert_by_key,
 )
 from playpulse.operators.sessions import build_sessions
+from playpulse.plans.build import build_and_write, build_tables
 from playpulse.plans.daily import run_daily
+from playpulse.sources.serving import read_serving_table
 from playpulse.sources.tables import (
     compact,
     create_table_sql,
@@ -128,6 +132,7 @@ def test_daily_run_gate_stops_build(spark, tmp_dir):
 
 def test_job_entry_points(spark, tmp_dir, monkeypatch, capsys):
     from playpulse.plans import build as build_job
+    from playpulse.plans import curate as curate_job
     from playpulse.plans import gate as gate_job
     from playpulse.plans import maintain as maintain_job
     from playpulse.plans import publish as publish_job
@@ -138,6 +143,7 @@ def test_job_entry_points(spark, tmp_dir, monkeypatch, capsys):
     ev = curated(spark, [dict(event_time="2024-01-02 10:00:00", category="business", amount=100),
                          dict(event_time="2024-01-03 10:00:00")])
     write_table(ev, "game_events", cfg.table_path(cfg.raw_table), "static")
+    assert curate_job.main(["--start=2024-01-01", "--end=2024-01-03"]) == 0
     assert gate_job.main(["--run-date=2024-01-02"]) == 0
     assert "QUALITY_CHECK_PASSED: 1 events validated for 2024-01-02" in capsys.readouterr().out
     assert gate_job.main(["--run-date=2024-02-01"]) == 1
@@ -147,7 +153,7 @@ def test_job_entry_points(spark, tmp_dir, monkeypatch, capsys):
     assert publish_job.main(["--version=v1"]) == 0
     assert spark.read.parquet(cfg.serving_path("daily_engagement_by_game_day") + "/v1").count() == 2
     assert maintain_job.main(["--dates=2024-01-02"]) == 0
-    assert spark.read.parquet(cfg.table_path(cfg.raw_table)).count() == 2
+    assert spark.read.parquet(cfg.table_path(cfg.curated_table)).count() == 2
 
 
 def test_compaction_clusters_categories(spark, tmp_dir):
@@ -199,3 +205,113 @@ def test_daily_run_in_place_twice(spark, tmp_dir):
     res = run_daily(spark, cfg, "2024-01-03")
     days = sorted(r.activity_date.day for r in spark.read.parquet(res.serving["daily_engagement_by_game_day"]).collect())
     assert days == [2, 3]
+
+
+def _days(spark, cfg, name):
+    return sorted(tuple(r) for r in read_table_path(spark, cfg.table_path(name), name).collect())
+
+
+def test_late_rows_reach_every_day_grained_table(spark, tmp_dir):
+    early = [dict(event_time=f"2024-01-02 {h:02d}:00:00", category=c, amount=100, progression_01="L1", progression_status="start",
+                  virtual_currency="gold", item_type="x", flow_type="source") for h in (1, 2) for c in ("business", "progression", "resource")]
+    late = [{**e, "event_time": e["event_time"].replace(" 0", " 2")} for e in early]
+    last = [{**e, "event_time": e["event_time"].replace("-02 ", "-03 ")} for e in early]
+    tables = ("player_sessions", "daily_engagement", "level_progression", "economy_flows", "cohort_retention", "player_days")
+    runs, whole = (JobConfig(warehouse=os.path.join(tmp_dir, d), player_salt="s", minimum_privacy_group=1) for d in ("a", "b"))
+    write_table(curated(spark, early), "game_events", runs.table_path(runs.raw_table), "append")
+    run_daily(spark, runs, "2024-01-02")
+    write_table(curated(spark, [{**e, "event_uuid": f"l{i}"} for i, e in enumerate(late + last)]), "game_events", runs.table_path(runs.raw_table), "append")
+    run_daily(spark, runs, "2024-01-03")
+    write_table(read_table_path(spark, runs.table_path(runs.raw_table), "game_events"), "game_events", whole.table_path(whole.curated_table), "static")
+    build_and_write(spark, read_table_path(spark, whole.table_path(whole.curated_table), "game_events"), {t: whole.table_path(t) for t in tables}, 1)
+    for t in tables:
+        assert _days(spark, runs, t) == _days(spark, whole, t) != [], t
+
+
+def test_suppressed_groups_leave_all_tables(spark, tmp_dir):
+    cfg = JobConfig(warehouse=tmp_dir, player_salt="s", minimum_privacy_group=1)
+    ev = curated(spark, [dict(event_time="2024-01-02 10:00:00"), dict(event_time="2024-01-03 10:00:00")])
+    write_table(ev, "game_events", cfg.table_path(cfg.raw_table), "static")
+    run_daily(spark, cfg, "2024-01-02")
+    res = run_daily(spark, cfg, "2024-01-03")
+    serving = res.serving["daily_engagement_by_game_day"]
+    assert spark.read.parquet(serving).count() == 2
+    res = run_daily(spark, dataclasses.replace(cfg, minimum_privacy_group=5), "2024-01-03")
+    for table, path in res.serving.items():
+        assert read_serving_table(spark, path, table).count() == 0
+    assert _days(spark, cfg, "daily_engagement") == [] and _days(spark, cfg, "cohort_retention") == []
+    assert len(_days(spark, cfg, "player_sessions")) == 2
+
+
+def test_rows_with_null_keys_reach_no_store(spark, tmp_dir, monkeypatch):
+    from playpulse.sources import serving as S
+
+    table, day = "daily_engagement_by_game_day", dt.date(2024, 1, 2)
+    rows = _engagement_rows(spark, [("g", day, "ios", "1", "US", 20, 1, 1.0, 1, 1.0, 0.0), ("g", day, None, "1", "US", 9, 1, 1.0, 1, 1.0, 0.0)])
+    sent = []
+    monkeypatch.setattr(S, "write_keyed_store", lambda df, *a: sent.append((df.count(), *a)))
+    cfg = JobConfig.from_env({"SERVING_FORMAT": "store", "SERVING_OPTIONS": '{"keyspace": "k"}', "WAREHOUSE_PATH": tmp_dir})
+    S.publish(spark, rows, table, cfg)
+    assert sent == [(1, table, "store", {"keyspace": "k"})]
+    for kwargs in ({}, {"new_path": tmp_dir + "/v1"}):
+        out = S.publish(spark, rows, table, JobConfig(warehouse=tmp_dir), **kwargs)
+        assert out.count() == 1
+
+
+def test_a_missing_previous_version_is_an_error(spark, tmp_dir):
+    from playpulse.sources.serving import publish_parquet
+
+    rows = _engagement_rows(spark, [("g", dt.date(2024, 1, 2), "ios", "1", "US", 20, 1, 1.0, 1, 1.0, 0.0)])
+    with pytest.raises(FileNotFoundError):
+        publish_parquet(spark, rows, "daily_engagement_by_game_day", tmp_dir + "/v0", tmp_dir + "/v1")
+    assert not os.path.exists(tmp_dir + "/v1")
+
+
+def test_a_streamed_folder_is_not_compacted(spark, tmp_dir):
+    from playpulse.sources.tables import compact_partitions
+
+    path = os.path.join(tmp_dir, "landing")
+    write_table(curated(spark, [dict(event_time="2024-01-02 10:00:00")]), "game_events", path, "static")
+    os.makedirs(path + "/_spark_metadata")
+    with pytest.raises(ValueError, match="stream"):
+        compact_partitions(spark, path, "event_date", ["2024-01-02"], table="game_events")
+
+
+def test_rows_that_land_during_a_run_are_kept(spark, tmp_dir, monkeypatch):
+    """They wait in the landing table, which no job rewrites, for the next run."""
+    from playpulse.plans import daily
+
+    cfg = JobConfig(warehouse=tmp_dir, player_salt="s", minimum_privacy_group=1)
+    landing = cfg.table_path(cfg.raw_table)
+    write_table(curated(spark, [dict(event_time="2024-01-02 10:00:00")]), "game_events", landing, "static")
+    late = curated(spark, [dict(event_uuid="late", event_time="2024-01-02 11:00:00")])
+    build = daily.build_and_write
+    monkeypatch.setattr(daily, "build_and_write", lambda *a: (write_table(late, "game_events", landing, "append"), build(*a)))
+    run_daily(spark, cfg, "2024-01-02")
+    monkeypatch.undo()
+    assert read_table_path(spark, landing, "game_events").count() == 2
+    run_daily(spark, cfg, "2024-01-02")
+    assert read_table_path(spark, cfg.table_path(cfg.curated_table), "game_events").count() == 2
+
+
+def test_a_run_leaves_no_scratch(spark, tmp_dir):
+    before = set(os.listdir(shared_dir(spark)))
+    cfg = JobConfig(warehouse=tmp_dir, player_salt="s", minimum_privacy_group=1)
+    write_table(curated(spark, [dict(event_time="2024-01-02 10:00:00")]), "game_events", cfg.table_path(cfg.raw_table), "static")
+    run_daily(spark, cfg, "2024-01-02")
+    assert set(os.listdir(shared_dir(spark))) == before
+
+
+def test_retention_reads_stored_player_days(spark, tmp_dir):
+    """A daily build's cohorts come from the player days; events of other days are not read."""
+    cfg = JobConfig(warehouse=tmp_dir, player_salt="s", minimum_privacy_group=1)
+    ev = curated(spark, [dict(event_time="2024-01-01 10:00:00"), dict(event_time="2024-01-02 10:00:00")])
+    path = cfg.table_path("player_days")
+    write_table(player_activity_days(ev), "player_days", path, "static")
+    days = read_table_path(spark, path, "player_days")
+    tables = build_tables(ev, 1, "2024-01-02", "2024-01-02", player_days=days)
+    plan = tables["cohort_retention"]._jdf.queryExecution().executedPlan().toString()
+    assert "player_days" in plan and plan.count("Exchange hashpartitioning") == 2
+    full = build_retention(ev, 1)._jdf.queryExecution().executedPlan().toString()
+    assert full.count("Exchange hashpartitioning") == 3
+    assert sorted(map(tuple, tables["cohort_retention"].collect())) == sorted(map(tuple, build_retention(ev, 1).collect()))
