@@ -178,11 +178,8 @@ SUPPORTED_SQL = (
 
 
 def pct(n: str, d: str) -> str:
-    """Percent to two decimals, half to even on the exact rational (integer arithmetic)."""
-    s = f"(CAST({n} AS BIGINT) * 10000)"
-    q, r = f"({s} // ({d}))", f"({s} % ({d}))"
-    bump = f"CASE WHEN 2 * {r} > ({d}) OR (2 * {r} = ({d}) AND {q} % 2 = 1) THEN 1 ELSE 0 END"
-    return f"CASE WHEN ({d}) = 0 THEN 0.0 ELSE CAST({q} + {bump} AS DOUBLE) / 100.0 END"
+    """Percent to two decimals, ties away from zero; 0.0 when ``d`` is 0."""
+    return f"CASE WHEN ({d}) = 0 THEN 0.0 ELSE round(100.0::DOUBLE * ({n}) / ({d}), 2) END"
 
 
 def gate_body(source: str = "cur", run_date: str | None = None) -> str:
@@ -210,19 +207,17 @@ def gate_body(source: str = "cur", run_date: str | None = None) -> str:
         f"{ok} AS passed, CASE WHEN NOT ({ok}) THEN {msg} END AS message FROM t"
         for i, (name, ok, msg) in enumerate(checks)
     )
-    group = "GROUP BY event_date" if run_date is None else ""
+    rows = f"(SELECT * FROM {source} {where})"
+    if run_date is None:
+        repeated = f"(SELECT count(*) FROM (SELECT event_uuid FROM {rows} r WHERE r.event_date = days.event_date GROUP BY event_uuid HAVING count(*) > 1))"
+        counted = f"(SELECT event_date, {{}} FROM {rows} GROUP BY event_date) AS days"
+    else:
+        repeated = f"(SELECT count(*) FROM (SELECT event_uuid FROM {rows} GROUP BY event_uuid HAVING count(*) > 1))"
+        counted = f"(SELECT {{}} FROM {rows})"
+    counts = f"""count(*) AS row_count, count(*) FILTER (WHERE {missing}) AS missing_required,
+        count(*) FILTER (WHERE category NOT IN {SUPPORTED_SQL}) AS unsupported_categories"""
     return f""",
-    per_id AS (
-      SELECT {key}event_uuid, count(*) AS n,
-        sum(CASE WHEN {missing} THEN 1 ELSE 0 END) AS m,
-        sum(CASE WHEN category NOT IN {SUPPORTED_SQL} THEN 1 ELSE 0 END) AS u
-      FROM {source} {where} GROUP BY {key}event_uuid),
-    t AS (
-      SELECT {key}CAST(coalesce(sum(n), 0) AS BIGINT) AS row_count,
-        CAST(coalesce(sum(m), 0) AS BIGINT) AS missing_required,
-        count(*) FILTER (WHERE n > 1) AS duplicate_event_ids,
-        CAST(coalesce(sum(u), 0) AS BIGINT) AS unsupported_categories
-      FROM per_id {group})
+    t AS (SELECT *, {repeated} AS duplicate_event_ids FROM {counted.format(counts)})
       {union}"""
 
 

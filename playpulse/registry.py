@@ -8,7 +8,10 @@ both engines compare zone-free values.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +20,7 @@ from pyspark.sql import types as T
 from playpulse import oracle as O
 from playpulse.config import JobConfig, scratch_path
 from playpulse.functions.privacy import pseudonymize_player_id, suppress_small_groups
+from playpulse.functions.rules import is_valid_progression_status
 from playpulse.operators import profile as P
 from playpulse.operators.decode import decode_events
 from playpulse.operators.engagement import build_daily_engagement, build_daily_revenue
@@ -41,7 +45,9 @@ from playpulse.operators.serving import (
     upsert_by_key,
 )
 from playpulse.operators.sessions import build_sessions, session_facts
+from playpulse.plans.build import TABLES, build_and_write
 from playpulse.plans.daily import run_daily
+from playpulse.plans.publish import publish_all
 from playpulse.schema import CURATED_EVENT_COLUMNS
 from playpulse.sources.fixtures import (
     curated_events,
@@ -53,8 +59,8 @@ from playpulse.sources.fixtures import (
 )
 from playpulse.sources.jsonlines import read_json_lines, write_json_lines
 from playpulse.sources.serving import read_serving_table
-from playpulse.sources.tables import compact, compact_partitions, write_partitioned, write_table
-from playpulse.streaming.ingest import ingest, ingest_writer, read_json_stream, state_partitions
+from playpulse.sources.tables import compact, compact_partitions, read_table_path, write_partitioned, write_table
+from playpulse.streaming.ingest import ingest, ingest_writer, read_json_stream, start_ingest, state_partitions
 
 # Salt used for the fixture runs (jobs take theirs from configuration).
 FIXTURE_SALT = "fixture-salt"
@@ -524,25 +530,254 @@ def q_compact_partitions(spark, sf_dir):
 
 
 # ---- C4 gated daily run -------------------------------------------------------------
-DAILY_RUN_DATE = "2024-01-15"
+DAILY_FIRST_DATE, DAILY_RUN_DATE, DAILY_NEXT_DATE = "2024-01-14", "2024-01-15", "2024-01-16"
+
+
+def _landed(spark, events, minimum):
+    """A new warehouse with the events in its landing table."""
+    config = JobConfig(warehouse=scratch_path(spark, "warehouse"), player_salt=FIXTURE_SALT, minimum_privacy_group=minimum)
+    write_table(events, "game_events", config.table_path(config.raw_table), "static")
+    return config
 
 
 @register(
     "daily_run",
     f"""{SESSIONS_CTE} SELECT * FROM ({SERVING_ENGAGEMENT_BODY})
-    WHERE activity_date = DATE '{DAILY_RUN_DATE}'""",
+    WHERE activity_date BETWEEN DATE '{DAILY_FIRST_DATE}' AND DATE '{DAILY_RUN_DATE}'""",
 )
 def q_daily_run(spark, sf_dir):
-    """Land the curated table, then gate -> build -> publish -> compact for one day;
-    returns that day's published engagement rows."""
-    warehouse = scratch_path(spark, "warehouse")
-    config = JobConfig(warehouse=warehouse, player_salt=FIXTURE_SALT, minimum_privacy_group=MIN_ENGAGEMENT)
-    write_table(_cur(spark, sf_dir), "game_events", config.table_path(config.raw_table), "static")
-    result = run_daily(spark, config, DAILY_RUN_DATE)  # serving upserted in place
+    """Land the events, then curate -> gate -> build -> publish -> compact for one day;
+    returns the engagement rows published for it and for the day before, taken anew."""
+    config = _landed(spark, _cur(spark, sf_dir), MIN_ENGAGEMENT)
+    result = run_daily(spark, config, DAILY_RUN_DATE)  # serving replaced in place
     table = "daily_engagement_by_game_day"
     return read_serving_table(spark, result.serving[table], table)
 
 
+@register(
+    "daily_rerun_suppressed",
+    f"""{SESSIONS_CTE} SELECT * FROM ({SERVING_ENGAGEMENT_BODY})
+    WHERE activity_date BETWEEN DATE '{DAILY_FIRST_DATE}' AND DATE '{DAILY_RUN_DATE}'""",
+)
+def q_daily_rerun_suppressed(spark, sf_dir):
+    """A day run without a privacy threshold, then again with one: groups below it are gone
+    from the analytical and from the serving table (the rows that both hold are returned)."""
+    config = _landed(spark, _cur(spark, sf_dir), 1)
+    run_daily(spark, config, DAILY_RUN_DATE)
+    result = run_daily(spark, replace(config, minimum_privacy_group=MIN_ENGAGEMENT), DAILY_RUN_DATE)
+    table = "daily_engagement_by_game_day"
+    built = serving_engagement(read_table_path(spark, result.tables["daily_engagement"], "daily_engagement"))
+    published = read_serving_table(spark, result.serving[table], table)
+    return published.unionByName(built).distinct()
+
+
+LATE_CUTOFF = "2024-01-15 08:00:00"  # what had landed when the first day was run
+
+
+@register(
+    "daily_run_late",
+    f"""{CUR}, days AS (SELECT * FROM cur WHERE event_date BETWEEN DATE '{DAILY_FIRST_DATE}' AND DATE '{DAILY_NEXT_DATE}')
+    {O.sessions_body().replace("FROM cur", "FROM days")}""",
+)
+def q_daily_run_late(spark, sf_dir):
+    """A day run while part of it is still to land, the rest appended, the next day run:
+    the sessions of all days that the two runs took are those of a full build."""
+    events = _cur(spark, sf_dir)
+    early = F.col("event_time") < F.lit(LATE_CUTOFF).cast("timestamp")
+    config = _landed(spark, events.filter(early), MIN_ENGAGEMENT)
+    run_daily(spark, config, DAILY_RUN_DATE)
+    write_table(events.filter(~early), "game_events", config.table_path(config.raw_table), "append")
+    result = run_daily(spark, config, DAILY_NEXT_DATE)
+    return read_table_path(spark, result.tables["player_sessions"], "player_sessions")
+
+
+@register(
+    "stream_then_daily",
+    f"{CUR} SELECT * FROM cur WHERE event_date BETWEEN DATE '{DAILY_FIRST_DATE}' AND DATE '{DAILY_NEXT_DATE}'",
+)
+def q_stream_then_daily(spark, sf_dir):
+    """The ingest stream lands the export, two days are run one after the other with
+    compaction; returns the curated table, which later reads still find whole."""
+    landing, warehouse = scratch_path(spark, "landing"), scratch_path(spark, "warehouse")
+    write_json_lines(load_json_lines(spark, sf_dir), landing)
+    config = JobConfig(
+        warehouse=warehouse, player_salt=FIXTURE_SALT, minimum_privacy_group=MIN_ENGAGEMENT,
+        checkpoint_location=scratch_path(spark, "ingest-ck"), state_partitions=spark.sparkContext.defaultParallelism,
+    )
+    start_ingest(read_json_stream(spark, landing), config, available_now=True).awaitTermination()
+    run_daily(spark, config, DAILY_RUN_DATE)
+    run_daily(spark, config, DAILY_NEXT_DATE)
+    return read_table_path(spark, config.table_path(config.curated_table), "game_events").select(*NO_INGEST_TIME)
+
+
+# ---- C2 build, C3 publish: every table of a full build and publication --------------------
+def _full_build(spark, sf_dir):
+    config = JobConfig(warehouse=scratch_path(spark, "warehouse"), player_salt=FIXTURE_SALT, minimum_privacy_group=MIN_ECONOMY)
+    paths = {t: config.table_path(t) for t in TABLES}
+    build_and_write(spark, _cur(spark, sf_dir), paths, MIN_ECONOMY)
+    return config, {t: read_table_path(spark, p, t) for t, p in paths.items()}
+
+
+def _built(table):
+    return lambda spark, sf_dir: _full_build(spark, sf_dir)[1][table]
+
+
+def _published(table):
+    def run(spark, sf_dir):
+        config, tables = _full_build(spark, sf_dir)
+        publish_all(spark, tables, config)
+        return read_serving_table(spark, config.serving_path(table), table)
+
+    return run
+
+
+BUILT_SQL = {
+    "player_sessions": f"{CUR} {O.sessions_body()}",
+    "daily_engagement": f"{SESSIONS_CTE} {O.engagement_body(MIN_ECONOMY)}",
+    "cohort_retention": f"{CUR} {O.retention_body(MIN_ECONOMY)}",
+    "level_progression": f"{CUR} {O.funnel_body(MIN_ECONOMY)}",
+    "economy_flows": f"{CUR} {O.economy_body(MIN_ECONOMY)}",
+}
+for _name, _sql in BUILT_SQL.items():
+    register(f"built_{_name}", _sql)(_built(_name))
+PUBLISHED_SQL = {
+    "daily_engagement_by_game_day": f"{SESSIONS_CTE} {_engagement_serving_sql(MIN_ECONOMY)}",
+    "cohort_retention_by_game_day": f"""{CUR} SELECT strftime(cohort_date, '%Y-%m') AS cohort_month, *
+        FROM ({O.retention_body(MIN_ECONOMY)})""",
+    "level_progression_by_game_day": BUILT_SQL["level_progression"],
+    "economy_flows_by_game_day": BUILT_SQL["economy_flows"],
+}
+for _name, _sql in PUBLISHED_SQL.items():
+    register(f"published_{_name}", _sql)(_published(_name))
+
+
+# ---- input that fails checks, injected on both sides --------------------------------------
+def _changed(events: DataFrame, changes: dict[str, str]) -> DataFrame:
+    """``events`` with columns replaced by SQL over ``n``, the number in the event id."""
+    n = events.withColumn("n", F.substring("event_uuid", 3, 18).cast("long"))
+    return n.withColumns({c: F.expr(e) for c, e in changes.items()}).drop("n")
+
+
+def _changed_sql(name: str, changes: dict[str, str]) -> str:
+    columns = ", ".join(f"{e} AS {c}" for c, e in changes.items())
+    return f"""{CUR}, numbered AS (SELECT *, CAST(substr(event_uuid, 3) AS BIGINT) AS n FROM cur),
+    {name} AS (SELECT * EXCLUDE (n) REPLACE ({columns}) FROM numbered)"""
+
+
+DAMAGED = {
+    "game_id": "CASE WHEN n % 97 = 0 THEN NULL ELSE game_id END",
+    "session_id": "CASE WHEN n % 101 = 0 THEN NULL ELSE session_id END",
+    "category": "CASE WHEN n % 89 = 0 THEN 'bogus' WHEN n % 83 = 0 THEN NULL ELSE category END",
+    "event_uuid": "CASE WHEN n % 79 = 0 THEN 'e-again' WHEN n % 103 = 0 THEN NULL ELSE event_uuid END",
+}
+VARIED = {
+    "platform": "CASE WHEN n % 5 = 0 THEN NULL ELSE platform END",
+    "build": "CASE WHEN n % 3 = 0 THEN '1.1' ELSE build END",
+    "event_id": "CASE WHEN n % 7 < 3 THEN concat('place_', CAST(n % 4 AS VARCHAR(20))) ELSE event_id END",
+    "category": "CASE n % 7 WHEN 0 THEN 'ad' WHEN 1 THEN 'impression' WHEN 2 THEN 'design' ELSE category END",
+    "progression_status": "CASE WHEN n % 13 = 0 THEN 'bogus' WHEN n % 17 = 0 THEN 'START' ELSE progression_status END",
+}
+VARIED_SQL = _changed_sql("varied", VARIED)
+
+
+def _varied(spark, sf_dir):
+    return _changed(_cur(spark, sf_dir), VARIED)
+
+
+@register("quality_gate_damaged", f"{_changed_sql('damaged', DAMAGED)} {O.gate_body('damaged')}")
+def q_quality_gate_damaged(spark, sf_dir):
+    """The gate over rows with missing fields, repeated and null ids and unknown categories."""
+    return quality_gate_by_date(_changed(_cur(spark, sf_dir), DAMAGED))
+
+
+@register(
+    "progression_status",
+    f"""{VARIED_SQL} SELECT event_uuid, progression_status,
+      coalesce(lower(progression_status) IN ('start', 'fail', 'complete'), false) AS is_valid FROM varied""",
+)
+def q_progression_status(spark, sf_dir):
+    return _varied(spark, sf_dir).select(
+        "event_uuid", "progression_status", is_valid_progression_status("progression_status").alias("is_valid")
+    )
+
+
+@register(
+    "placement_exposure_varied",
+    f"""{VARIED_SQL} SELECT * FROM (SELECT {O.DIMS}, category, event_id, count(*) AS events,
+        count(DISTINCT player_key) AS players FROM varied
+      WHERE category IN ('ad', 'impression', 'design') GROUP BY ALL) WHERE players >= {MIN_FUNNEL}""",
+)
+def q_placement_exposure_varied(spark, sf_dir):
+    return build_placement_exposure(_varied(spark, sf_dir), MIN_FUNNEL)
+
+
+@register(
+    "daily_engagement_null_dimensions",
+    f"""{VARIED_SQL}, s AS ({O.sessions_body().replace("FROM cur", "FROM varied")})
+    {O.engagement_body(MIN_FUNNEL).replace("FROM cur", "FROM varied")}""",
+)
+def q_daily_engagement_null_dimensions(spark, sf_dir):
+    return build_daily_engagement(session_facts(_varied(spark, sf_dir)), minimum_group_size=MIN_FUNNEL)
+
+
+@register(
+    "player_activity_days_varied",
+    f"""{VARIED_SQL} SELECT game_id, player_key, event_date, signup_date, platform, build, country_code,
+        CAST(event_date - signup_date AS INTEGER) AS day_number
+      FROM (SELECT *, row_number() OVER (PARTITION BY game_id, player_key, event_date
+                ORDER BY event_time, signup_date NULLS FIRST, platform NULLS FIRST,
+                         build NULLS FIRST, country_code NULLS FIRST) AS rn
+            FROM varied WHERE signup_date IS NOT NULL) WHERE rn = 1""",
+)
+def q_player_activity_days_varied(spark, sf_dir):
+    """Players with several builds and a missing platform on one day."""
+    return player_activity_days(_varied(spark, sf_dir))
+
+
+@register(
+    "file_profile_bad_lines",
+    f"""{VALID} SELECT p.* REPLACE (events + k AS events, invalid_events + k AS invalid_events)
+    FROM ({O.file_profile_body()}) p,
+      (SELECT 3 * count(*) AS k FROM env WHERE CAST(substr(event_uuid, 3) AS BIGINT) % 50 = 0)""",
+)
+def q_file_profile_bad_lines(spark, sf_dir):
+    """The export with malformed lines, lines without fields and lines of an unknown category."""
+    path = scratch_path(spark, "export-bad")
+    env = events_to_envelope(read_table(spark, sf_dir, "events"))
+    some = env.filter(F.substring("event_uuid", 3, 18).cast("long") % 50 == 0)
+    bad = [
+        some.select(F.concat(F.lit('{"event_uuid": "'), "event_uuid").alias("value")),
+        some.select(F.concat(F.lit('{"event_uuid": "'), "event_uuid", F.lit('"}')).alias("value")),
+        envelope_to_json(some.withColumn("category", F.lit("bogus"))),
+    ]
+    write_json_lines(reduce(DataFrame.unionByName, [envelope_to_json(env), *bad]), path, "gzip")
+    return P.file_profile(P.parse_lines(read_json_lines(spark, path)))
+
+
+LATE_FROM = "2024-01-20"
+
+
+@register("ingest_stream_late", f"{CUR} SELECT * FROM cur WHERE event_date >= DATE '{LATE_FROM}'")
+def q_ingest_stream_late(spark, sf_dir):
+    """Days in order, then days that the watermark has long passed: these rows are dropped.
+
+    A micro-batch drops what is behind the watermark of the batch before the last, so two
+    batches come first."""
+    landing, out, ck = (scratch_path(spark, x) for x in ("landing", "ingest-out", "ingest-ck"))
+    env = events_to_envelope(read_table(spark, sf_dir, "events"))
+    day = F.to_date("event_time")
+    parts = [day.between(LATE_FROM, "2024-01-25"), day > "2024-01-25", day < "2024-01-10"]
+    for i, part in enumerate(parts):
+        if i:
+            time.sleep(1.1)  # files are taken by their time
+        write_json_lines(envelope_to_json(env.filter(part)).coalesce(1), landing, mode="append" if i else "overwrite")
+    curated = ingest(read_json_stream(spark, landing, max_files_per_trigger=1), FIXTURE_SALT)
+    with state_partitions(spark, spark.sparkContext.defaultParallelism):
+        query = ingest_writer(curated, ck, available_now=True).start(out)
+    query.awaitTermination()
+    return spark.read.parquet(out).select(*NO_INGEST_TIME)
+
+
 # ---- X2-X4 ----------------------------------------------------------------------------
 MIN_EXTRA = 5
 
