@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -136,28 +136,33 @@ def eligible_retention(parsed: DataFrame) -> DataFrame:
     n when the last event day of the file is at least n days after it, and retained
     when active exactly n days after it.
 
-    Plan: distinct (player, day) rows first (map-side reduced), a window per player for
-    the earliest signup (a player's rows are bounded by the number of days), then a
-    per-player aggregate. The file's last day is a scalar subquery over the player-day
-    rows (sharing their shuffle), not a join.
+    Plan: one aggregate per player keeps the earliest signup and the set of active days
+    (bounded by the number of days), one per cohort day counts players; the cohort days, a
+    row each, then meet the file's last day, which the same rows carry. One scan, and no
+    shuffle but these two.
     """
-    days = valid_rows(parsed).groupBy("user_id", "event_day").agg(F.min("signup_date").alias("signup"))
-    days = days.withColumn("cohort_day", F.min("signup").over(Window.partitionBy("user_id")))
-    offset = F.datediff("event_day", "cohort_day")
-    players = days.groupBy("user_id", "cohort_day").agg(
-        *[F.max(F.when(offset == n, 1).otherwise(0)).alias(f"active_d{n}") for n in RETENTION_DAYS]
+    players = valid_rows(parsed).groupBy("user_id").agg(
+        F.min("signup_date").alias("cohort_day"), F.collect_set("event_day").alias("days")
     )
-    last_day = days.select(F.max("event_day")).scalar()
-    players = players.withColumn("span", F.datediff(last_day, F.col("cohort_day")))  # once
-    span = F.col("span")
-    aggs = []
-    for n in RETENTION_DAYS:
-        eligible = span >= n
-        aggs += [
-            F.count_if(eligible).alias(f"eligible_d{n}"),
-            F.count_if(eligible & (F.col(f"active_d{n}") == 1)).alias(f"retained_d{n}"),
+    active = [F.array_contains("days", F.date_add("cohort_day", n)) for n in RETENTION_DAYS]
+    cohorts = players.groupBy("cohort_day").agg(
+        F.count(F.lit(1)).alias("players"),
+        *[F.count_if(a).alias(f"active_d{n}") for n, a in zip(RETENTION_DAYS, active, strict=True)],
+        F.max(F.array_max("days")).alias("last_day"),
+    )
+    all_cohorts = cohorts.agg(F.max("last_day").alias("last_day"), F.collect_list(F.struct(*cohorts.columns)).alias("cohorts"))
+
+    def total(n: int, column: str) -> F.Column:
+        eligible = F.filter("cohorts", lambda c: F.datediff(F.col("last_day"), c["cohort_day"]) >= n)
+        return F.aggregate(eligible, F.lit(0).cast("long"), lambda t, c: t + c[column])
+
+    out = all_cohorts.select(
+        *[
+            x
+            for n in RETENTION_DAYS
+            for x in (total(n, "players").alias(f"eligible_d{n}"), total(n, f"active_d{n}").alias(f"retained_d{n}"))
         ]
-    out = players.agg(*aggs)
+    )
     for n in RETENTION_DAYS:
         out = out.withColumn(f"d{n}_retention_percent", percent(f"retained_d{n}", f"eligible_d{n}"))
     return out
