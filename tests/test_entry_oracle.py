@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from playpulse import registry
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["events"]
@@ -51,14 +52,15 @@ def test_entry(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(registry.SPARK) == set(registry.SQL)
+    assert set(registry.SPARK) <= set(E.queries()) and set(registry.SQL) <= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(registry.SPARK))
 def test_query_matches_duckdb(spark, con, name):
-    df = E.queries()[name](spark, SF)
+    df = registry.SPARK[name](spark, SF)
     cols, got = df.columns, [tuple(r) for r in df.collect()]
-    cur = con.execute(E.oracle_sql()[name])
+    cur = con.execute(registry.SQL[name])
     dcols = [d[0] for d in cur.description]
     assert sorted(cols) == sorted(dcols)
     assert _rows(cols, got) == _rows(dcols, cur.fetchall())
