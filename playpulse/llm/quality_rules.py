@@ -6,12 +6,13 @@ pass the base rules: in a stratum with n of them, a cutoff that rejects k is val
 exact (Clopper-Pearson) upper bound of its false rejection rate is at most ``ALPHA`` / rules,
 that is if the binomial probability of k or fewer among n at that rate is at most
 ``DELTA`` / (strata * rules * cutoffs) (Bonferroni over everything tried). Of the valid cutoffs
-the lowest is taken; without one the rule is off. So, with probability 1 - ``DELTA``, no
-stratum loses more than ``ALPHA`` of its good documents to the rules.
+the one that rejects most labelled bad documents less the good ones is taken, the highest of
+equals; without a valid one the rule is off. So, with probability 1 - ``DELTA``, no stratum
+loses more than ``ALPHA`` of its good documents to the rules, whichever cutoffs are taken.
 
 Null texts count as empty (and fail the base rules); a null stratum is the stratum ''; a null
 or unlabelled id is judged like any other, but doesn't take part in the choice; a document
-labelled both good and bad is not good; repeated ids and rows give a row each; without labels
+labelled both good and bad takes no part either; repeated ids and rows give a row each; without labels
 all rules are off; an empty table gives no row; further columns are ignored.
 """
 
@@ -124,27 +125,31 @@ def lower_tail(k: Column, n: Column, p: float) -> Column:
     return F.when(k < n * p, F.exp(top) * down).otherwise(1.0)
 
 
-def choose_cutoffs(good: DataFrame, alpha: float, delta: float, cutoffs: list[int]) -> DataFrame:
-    """(stratum, one column per rule) from (stratum, one value per rule) of good documents; at most one row a stratum."""
+def choose_cutoffs(labelled: DataFrame, alpha: float, delta: float, cutoffs: list[int]) -> DataFrame:
+    """(stratum, one column per rule) from (stratum, label, one value per rule); at most one row a stratum."""
     rate = alpha / len(RULES)
     values = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("value")) for r in RULES]))
-    counted = good.select("stratum", values.alias("x")).groupBy("stratum", "x.rule", "x.value").agg(F.count("*").alias("m"))
+    counted = labelled.select("stratum", "label", values.alias("x")).groupBy("stratum", "label", "x.rule", "x.value").agg(F.count("*").alias("m"))
+    good, above = F.col("label") == 1, F.col("value") > F.col("cutoff")
     tried = (
         counted.withColumn("cutoff", F.explode(F.array(*map(F.lit, cutoffs))))
         .groupBy("stratum", "rule", "cutoff")
-        .agg(F.sum(F.when(F.col("value") > F.col("cutoff"), F.col("m")).otherwise(0)).alias("k"), F.sum("m").alias("n"))
+        .agg(*[F.sum(F.when(w, F.col("m")).otherwise(0)).alias(n) for n, w in (("k", good & above), ("n", good), ("bad", ~good & above))])
     )
-    strata = good.agg(F.count_distinct("stratum").alias("strata"))
+    strata = labelled.where(good).agg(F.count_distinct("stratum").alias("strata"))
     risk = F.lit(delta) / (F.greatest(F.col("strata"), F.lit(1)) * len(RULES) * len(cutoffs))
     valid = tried.join(F.broadcast(strata)).where(lower_tail(F.col("k"), F.col("n"), rate) <= risk)  # one row
-    return valid.groupBy("stratum").agg(*[F.min(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"max_{r}") for r in RULES])
+    best = lambda r: F.max(F.when(F.col("rule") == r, F.struct((F.col("bad") - F.col("k")).alias("gain"), F.col("cutoff").alias("cutoff"))))
+    return valid.groupBy("stratum").agg(*[best(r)["cutoff"].alias(f"max_{r}") for r in RULES])
 
 
-def good_ids(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
+def labels_of(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
+    """(doc_id, label 0 or 1) of the documents with one label."""
+    label = F.col(f"`{label_col}`")
     return (
-        labels.where(F.col(f"`{id_col}`").isNotNull())
+        labels.where(F.col(f"`{id_col}`").isNotNull() & label.isin(0, 1))
         .groupBy(F.col(f"`{id_col}`").cast("long").alias("doc_id"))
-        .agg(F.min(F.col(f"`{label_col}`")).alias("label")).where("label = 1").select("doc_id")
+        .agg(F.min(label).cast("int").alias("label"), F.max(label).cast("int").alias("other")).where("label = other").drop("other")
     )
 
 
@@ -169,8 +174,8 @@ def judged(
     values = counts.select(
         "doc_id", "stratum", "c.*", base_failed(F.col("c")).alias("base_failed"), *[per_thousand(F.col("c"), r).alias(r) for r in RULES]
     )
-    good = values.where(~F.col("base_failed")).join(good_ids(labels, id_col, label_col), "doc_id", "left_semi")
-    chosen = staged(choose_cutoffs(good, alpha, delta, cutoffs), "rule-cutoffs")
+    labelled = values.where(~F.col("base_failed")).join(labels_of(labels, id_col, label_col), "doc_id")
+    chosen = staged(choose_cutoffs(labelled, alpha, delta, cutoffs), "rule-cutoffs")
     passed = ~F.col("base_failed")
     for r in RULES:
         passed = passed & (F.col(r) <= F.coalesce(F.col(f"max_{r}"), F.lit(1000)))
@@ -234,18 +239,21 @@ vals AS (
   SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed,
          {", ".join(f"{value(*RULES[r])} AS {r}" for r in RULES)}
   FROM counts),
-good AS (
-  SELECT stratum, {", ".join(RULES)} FROM vals
-  WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1)),
+labelled AS (
+  SELECT stratum, label, {", ".join(RULES)} FROM vals JOIN (
+    SELECT doc_id, min(quality) AS label FROM labels WHERE doc_id IS NOT NULL AND quality IN (0, 1)
+    GROUP BY doc_id HAVING min(quality) = max(quality)) USING (doc_id)
+  WHERE NOT base_failed),
 tried AS (
-  SELECT stratum, rule, cutoff, count(*) FILTER (value > cutoff) AS k, count(*) AS n
-  FROM ({" UNION ALL ".join(f"SELECT stratum, '{r}' AS rule, {r} AS value FROM good" for r in RULES)})
+  SELECT stratum, rule, cutoff, count(*) FILTER (value > cutoff AND label = 1) AS k, count(*) FILTER (label = 1) AS n,
+         count(*) FILTER (value > cutoff AND label = 0) AS bad
+  FROM ({" UNION ALL ".join(f"SELECT stratum, label, '{r}' AS rule, {r} AS value FROM labelled" for r in RULES)})
   CROSS JOIN (SELECT unnest({cutoffs}) AS cutoff) GROUP BY ALL),
 valid AS (
-  SELECT stratum, rule, min(cutoff) AS cutoff FROM tried
+  SELECT stratum, rule, arg_max(cutoff, (bad - k) * 10000 + cutoff) AS cutoff FROM tried
   WHERE k < n * {rate} AND list_sum(list_transform(range(0, k + 1), lambda j: exp(
           lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({rate}) + (n - j) * ln(1 - {rate}))))
-        <= {delta} / ((SELECT count(DISTINCT stratum) FROM good) * {len(RULES) * len(cutoffs)})
+        <= {delta} / ((SELECT count(DISTINCT stratum) FROM labelled WHERE label = 1) * {len(RULES) * len(cutoffs)})
   GROUP BY ALL),
 chosen AS (
   SELECT stratum, {", ".join(f"min(cutoff) FILTER (rule = '{r}') AS max_{r}" for r in RULES)} FROM valid GROUP BY stratum)

@@ -30,7 +30,9 @@ def test_quality_rules_equal_sql(spark):
         docs.schema,
     )
     docs = docs.unionByName(more)
-    labels = odd.labels(spark, [(i, 1, 0) for i in range(1, 800)] + [(900, 0, 0), (3, 0, 0), (None, 1, 0)])
+    labels = odd.labels(
+        spark, [(i, 1, 0) for i in range(1, 800)] + [(i, 0, 0) for i in range(900, 940)] + [(3, 0, 0), (None, 1, 0), (5, None, 0), (700, 2, 0)]
+    )
     verdicts, chosen = quality_rules.judged(docs, labels)
     columns = ["doc_id", *quality_rules.COUNTS, "base_failed", "kept", "n_lines", "n_shouts"]
     assert rows_of(verdicts, columns) == in_duckdb(spark, quality_rules.sql(), documents=docs, labels=labels)
