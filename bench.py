@@ -95,7 +95,9 @@ def main() -> None:
             cutoff = F.lit("2024-01-20 12:00:00").cast("timestamp")
             existing = serving(ev.filter(F.col("event_time") < cutoff))
             updates = serving(ev.filter(F.col("event_date") >= F.lit("2024-01-20").cast("date")))
-            noop(upsert_by_key(existing, updates, "daily_engagement_by_game_day"))
+            staged = scratch_path(spark, "bench-upsert")
+            updates.write.parquet(staged)
+            noop(upsert_by_key(existing, spark.read.schema(updates.schema).parquet(staged), "daily_engagement_by_game_day"))
 
         def stream_ingest():
             cfg = JobConfig(

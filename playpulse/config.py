@@ -6,6 +6,7 @@ overridden by ``--name=value`` arguments; see :func:`argument`.
 
 from __future__ import annotations
 
+import argparse
 import datetime as _dt
 import json
 import os
@@ -51,7 +52,7 @@ class JobConfig:
     watermark: str = "24 hours"
     dedup_mode: str = "watermark"
     state_store: str = "rocksdb"
-    max_offsets_per_trigger: int | None = None
+    max_offsets_per_trigger: int | None = 10_000_000  # what one micro-batch, and so one dedup task, can receive
     state_partitions: int | None = None
 
     def __post_init__(self) -> None:
@@ -80,9 +81,7 @@ class JobConfig:
             serving_options=json.loads(env.get("SERVING_OPTIONS", "{}")),
             dedup_mode=env.get("DEDUP_MODE", d.dedup_mode),
             state_store=env.get("STATE_STORE", d.state_store),
-            max_offsets_per_trigger=int(env["MAX_OFFSETS_PER_TRIGGER"])
-            if env.get("MAX_OFFSETS_PER_TRIGGER")
-            else None,
+            max_offsets_per_trigger=int(env.get("MAX_OFFSETS_PER_TRIGGER", str(d.max_offsets_per_trigger))) or None,
             state_partitions=int(env["STATE_PARTITIONS"]) if env.get("STATE_PARTITIONS") else None,
         )
 
@@ -97,12 +96,10 @@ class JobConfig:
 
 
 def argument(args: Sequence[str], name: str, default: str) -> str:
-    """Value of ``--name=value`` in ``args``; the first occurrence wins."""
-    prefix = f"--{name}="
-    for a in args:
-        if a.startswith(prefix):
-            return a[len(prefix):]
-    return default
+    """Value of the option ``--name=value`` (or ``--name value``) in ``args``; the first one wins."""
+    parser = argparse.ArgumentParser(add_help=False, allow_abbrev=False)
+    parser.add_argument(f"--{name}", dest="values", action="append", default=[])
+    return (parser.parse_known_args(list(args))[0].values or [default])[0]
 
 
 def default_run_date(today: _dt.date | None = None) -> str:

@@ -71,6 +71,7 @@ MIN_RETENTION = 10
 MIN_FUNNEL = 2
 MIN_ECONOMY = 5
 MIN_LEVEL_STARTS = 75
+MIN_EXTRA = 5
 PRIVACY_EVENTS = 180
 GATE_RUN_DATE = "2024-01-15"
 
@@ -459,7 +460,9 @@ def q_upsert_by_key(spark, sf_dir):
     ev = _cur(spark, sf_dir)
     existing = _serving_engagement_of(ev.filter(F.col("event_time") < F.lit(UPSERT_CUTOFF).cast("timestamp")))
     updates = _serving_engagement_of(ev.filter(F.col("event_date") >= F.lit(UPSERT_FROM).cast("date")))
-    return upsert_by_key(existing, updates, "daily_engagement_by_game_day")
+    staged = scratch_path(spark, "upsert")  # both sides of the merge read the updates
+    updates.write.parquet(staged)
+    return upsert_by_key(existing, spark.read.schema(updates.schema).parquet(staged), "daily_engagement_by_game_day")
 
 
 # ---- K10 / T4 keyed read ------------------------------------------------------------
@@ -711,6 +714,18 @@ def q_placement_exposure_varied(spark, sf_dir):
     return build_placement_exposure(_varied(spark, sf_dir), MIN_FUNNEL)
 
 
+@register(
+    "release_view_varied",
+    f"""{VARIED_SQL}, s AS ({O.sessions_body().replace("FROM cur", "FROM varied")})
+    SELECT * FROM (SELECT game_id, event_date, build, count(DISTINCT player_key) AS dau,
+        count(DISTINCT session_id) AS sessions, avg(session_seconds) AS avg_session_seconds,
+        CAST(1.0 AS DOUBLE) - avg(CAST(has_error AS DOUBLE)) AS crash_free_session_rate
+      FROM s GROUP BY game_id, event_date, build) WHERE dau >= {MIN_EXTRA}""",
+)
+def q_release_view_varied(spark, sf_dir):
+    return build_release_view(build_sessions(_varied(spark, sf_dir)), MIN_EXTRA)
+
+
 @register(
     "daily_engagement_null_dimensions",
     f"""{VARIED_SQL}, s AS ({O.sessions_body().replace("FROM cur", "FROM varied")})
@@ -779,9 +794,6 @@ def q_ingest_stream_late(spark, sf_dir):
 
 
 # ---- X2-X4 ----------------------------------------------------------------------------
-MIN_EXTRA = 5
-
-
 @register(
     "monetization",
     f"""{CUR}, s AS (

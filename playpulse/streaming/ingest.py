@@ -106,8 +106,9 @@ def read_kafka_stream(spark: SparkSession, config: JobConfig, **options: str) ->
     return reader.load().select(F.col("value").cast("string").alias("value"))
 
 
-def read_json_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """JSON-lines files landing in a folder, as a stream of ``value`` lines."""
+def read_json_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = 1000) -> DataFrame:
+    """JSON-lines files landing in a folder, as a stream of ``value`` lines; a micro-batch takes a
+    bounded number of files."""
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
