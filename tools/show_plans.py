@@ -61,7 +61,7 @@ def main() -> None:
     facts = session_facts(ev)
     jobs = {
         "ingest (JSON lines -> curated rows)": ingest(spark.read.text(lines_path), "salt"),
-        "daily engagement (session facts, one scan)": build_daily_engagement(facts, minimum_group_size=20),
+        "daily engagement (session facts, unstaged)": build_daily_engagement(facts, minimum_group_size=20),
         "cohort retention": build_retention(ev, 20),
         "level progression": build_progression_funnel(ev, 20),
         "economy flows": build_economy_flows(ev, 20),
