@@ -65,18 +65,20 @@ class Writer:
         return f'<div class="{self.r.choice(["c1", "x", "box", "row", "wrap"])}"{extra}>{inner}</div>'
 
     def ad(self) -> str:
-        text = f"<p>{self.sentence()}</p>" if self.some(0.4) else self.sentence(2, 12)
+        text = f"<p>{self.sentence()}</p>" if self.some(0.4) else self.sentence(2, 12) if self.some(0.7) else self.prose()
         return f'<div class="{self.r.choice("ad ads advert sponsored promo ad-slot banner".split())}"{PLAIN}>{text}</div>'
 
     def notice(self) -> str:
         names = self.r.choice("notice cookie-notice consent alert popup cookie-banner message".split())
         role = ' role="alert"' if self.some(0.3) else ""
-        return f'<div class="{names}"{role}{PLAIN}><p>{self.sentence()} {self.sentence()}</p><button>{self.word()}</button></div>'
+        text = f"<p>{self.sentence()} {self.sentence()}</p>" if self.some(0.6) else self.prose()
+        button = f"<button>{self.word()}</button>" if self.some(0.6) else ""
+        return f'<div class="{names}"{role}{PLAIN}>{text}{button}</div>'
 
     def form(self) -> str:
         inner = f"<label>{self.words(1, 3)}</label><input name=q><button>{self.word()}</button>"
         if self.some(0.5):
-            inner = f"<p>{self.sentence()}</p>" + inner
+            inner = (f"<p>{self.sentence()}</p>" if self.some(0.7) else f"<label>{self.prose()}</label>") + inner
         if self.some(0.2):
             inner += f"<select><option>{self.word()}<option>{self.word()}</select>"
         form = f"<form action=/s{PLAIN}>{inner}</form>"
@@ -98,7 +100,15 @@ class Writer:
         return f'<{tag} {self.r.choice(["class", "id"])}="{names}"{PLAIN}>{heading}{items}{form}</{tag}>'
 
     def sidebar(self) -> str:
-        inner = f"<h3>{self.words(1, 3)}</h3>{self.links()}" + (f"<p>{self.sentence()}</p>" if self.some(0.5) else "")
+        """With links, prose or both; one without a telling name has links."""
+        told = self.style in ("semantic", "classes")
+        prose = "".join(f"<p>{self.prose()}</p>" if self.some(0.8) else f"<div>{self.prose()}</div>" for _ in range(self.r.randint(1, 3)))
+        inner = f"<h3>{self.words(1, 3)}</h3>" if self.some(0.6) else ""
+        inner += self.links() if self.some(0.6) or not told else ""
+        inner += prose if told and self.some(0.7) else f"<p>{self.sentence()}</p>"
+        if told:
+            name = self.r.choice("sidebar widget related rail aside".split())
+            return f"<aside{PLAIN}>{inner}</aside>" if self.some(0.5) else f'<div {self.r.choice(["class", "id"])}="{name}"{PLAIN}>{inner}</div>'
         return self.box("aside", "sidebar widget related rail", inner, PLAIN) if self.style != "bare" or self.some(0.5) else ""
 
     def body(self) -> str:
@@ -131,7 +141,12 @@ class Writer:
     def article(self) -> str:
         title = f"<h1>{self.words(2, 9)}</h1>" if self.some(0.85) else ""
         byline = f'<div class="{self.r.choice("byline meta author date".split())}"{PLAIN}>{self.words(2, 5)} {self.r.randint(1, 31)}.{self.r.randint(1, 12)}.</div>' if self.some(0.25) else ""
+        if self.some(0.12):
+            title = f"<header>{title}</header>"
         inner = title + byline + self.body()
+        if self.some(0.12):
+            tags = self.r.choice([f"{self.words(1, 2)}: {self.links(1, 3)}", f"<p>{self.sentence()}</p>", self.words(2, 6)])
+            inner += f"<footer{PLAIN}>{tags}</footer>"
         after = "".join(f() for f, c in ((self.share, 0.15), (self.comments, 0.15), (self.sidebar, 0.1)) if self.some(c))
         element = self.r.choice(["article", "article", "main"])
         return self.box(element, "content article post entry story post-body main article-content", inner + after, MAIN)
@@ -143,7 +158,7 @@ class Writer:
             (lambda: self.box("nav", "nav menu navbar breadcrumbs", self.links(), PLAIN), 0.85), (self.form, 0.2), (self.ad, 0.4), (self.sidebar, 0.15),
         ]
         foot = self.r.choice(["&copy; ", "© ", "Copyright ", ""]) + f"{self.word()}.example.org &middot; {self.sentence()}"
-        foot += self.links(2, 4) if self.some(0.3) else ""
+        foot += self.links(2, 4) if self.some(0.3) else self.prose() if self.some(0.3) else ""
         after = [
             (self.ad, 0.25), (self.comments, 0.35), (self.sidebar, 0.3), (self.form, 0.15), (self.notice, 0.1),
             (lambda: self.box("footer", "footer copyright legal bottom", foot if self.some(0.6) else f"<p>{foot}</p>", PLAIN), 0.9),
