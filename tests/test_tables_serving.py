@@ -315,3 +315,26 @@ def test_retention_reads_stored_player_days(spark, tmp_dir):
     full = build_retention(ev, 1)._jdf.queryExecution().executedPlan().toString()
     assert full.count("Exchange hashpartitioning") == 3
     assert sorted(map(tuple, tables["cohort_retention"].collect())) == sorted(map(tuple, build_retention(ev, 1).collect()))
+
+
+def test_write_layout(spark, tmp_dir):
+    """Rebalanced writes aim at the session's advisory size; serving files are sorted by key."""
+    import pyarrow.parquet as pq
+
+    from playpulse.config import WRITE_BYTES
+    from playpulse.sources.serving import publish_partitions
+
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == WRITE_BYTES
+    path = os.path.join(tmp_dir, "events")
+    ev = curated(spark, [dict(event_uuid=f"e{i}", event_time=f"2024-01-01 10:00:{i % 60:02d}") for i in range(300)])
+    write_table(ev.repartition(20), "game_events", path, "static")
+    assert file_count(spark, path) == 1  # twenty small partitions, one file
+    table = "daily_engagement_by_game_day"
+    rows = [(g, dt.date(2024, 1, d), p, "1", "US", 20, 1, 1.0, 1, 1.0, 0.0) for g in "cab" for d in (3, 1, 2) for p in ("ios", "android")]
+    serving = os.path.join(tmp_dir, "serving")
+    publish_partitions(spark, _engagement_rows(spark, rows), table, serving)
+    month = os.path.join(serving, "activity_month=2024-01")
+    for f in os.listdir(month):
+        if f.endswith(".parquet"):
+            t = pq.read_table(os.path.join(month, f)).select(["game_id", "activity_date", "platform"]).to_pylist()
+            assert t == sorted(t, key=lambda r: tuple(r.values()))
