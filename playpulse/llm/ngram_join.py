@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from playpulse.llm.common import free_name, id_and_text, shared_setting, ship_code, slices, staged, text_of
+from playpulse.llm.common import SLICE_BYTES, free_name, id_and_text, shared_setting, ship_code, slices, staged, text_of
 from playpulse.llm.components import components
 from playpulse.llm.shingles import WORDS, set_keys, shingle_sets
 
@@ -136,10 +136,11 @@ def prefixes(docs: DataFrame, words: int, percent: int, ranges: int, slot_counts
     bits = int(math.log2(ranges))
     slot_bits = int(math.log2(len(slot_counts)))
     gram_shift = np.uint64(64 - bits - GRAM_BITS)
+    block_bytes = SLICE_BYTES * min(8, max(1, ranges // 4096))  # with many ranges, larger blocks for rows that are worth it
 
     def dealt(batches):
         task, seen, made = TaskContext.get().partitionId(), set(), 0
-        for whole in slices(batches, "text"):
+        for whole in slices(batches, "text", block_bytes):
             for start in range(0, whole.num_rows, BLOCK_DOCS):
                 part = whole.slice(start, BLOCK_DOCS)
                 block = (task << 32) + made

@@ -29,7 +29,7 @@ from playpulse.llm.common import ship_code, staged
 
 K = 5
 SHARD_ROWS = 8192
-QUERY_BLOCK = 256
+QUERY_BLOCK = 512
 LEAF = 128
 EXACT = 2.0**53  # whole numbers below it are exact as doubles
 
@@ -162,11 +162,14 @@ def top_k(
     )
 
     def searched(batches):
+        tree = built = None  # rows of one shard follow one another
         for batch in batches:
             for r in range(batch.num_rows):
                 dim, ids, points, query_ids, asked, least = (batch.column(i)[r].as_py() for i in range(6))
-                ids, query_ids = np.frombuffer(ids, "<i8"), np.frombuffer(query_ids, "<i8")
-                tree = Tree(np.frombuffer(points, "<f8").reshape(len(ids), dim), ids, leaf)
+                query_ids = np.frombuffer(query_ids, "<i8")
+                if built != (dim, ids):
+                    n = len(ids) // 8
+                    tree, built = Tree(np.frombuffer(points, "<f8").reshape(n, dim), np.frombuffer(ids, "<i8"), leaf), (dim, ids)
                 known = {x["query_id"]: x["least"] for x in least or ()}
                 found = search(
                     tree, query_ids, np.frombuffer(asked, "<f8").reshape(len(query_ids), dim), [known.get(q) for q in query_ids.tolist()], k
