@@ -577,21 +577,33 @@ def q_daily_rerun_suppressed(spark, sf_dir):
 LATE_CUTOFF = "2024-01-15 08:00:00"  # what had landed when the first day was run
 
 
-@register(
-    "daily_run_late",
-    f"""{CUR}, days AS (SELECT * FROM cur WHERE event_date BETWEEN DATE '{DAILY_FIRST_DATE}' AND DATE '{DAILY_NEXT_DATE}')
-    {O.sessions_body().replace("FROM cur", "FROM days")}""",
-)
-def q_daily_run_late(spark, sf_dir):
-    """A day run while part of it is still to land, the rest appended, the next day run:
-    the sessions of all days that the two runs took are those of a full build."""
-    events = _cur(spark, sf_dir)
-    early = F.col("event_time") < F.lit(LATE_CUTOFF).cast("timestamp")
-    config = _landed(spark, events.filter(early), MIN_ENGAGEMENT)
-    run_daily(spark, config, DAILY_RUN_DATE)
-    write_table(events.filter(~early), "game_events", config.table_path(config.raw_table), "append")
-    result = run_daily(spark, config, DAILY_NEXT_DATE)
-    return read_table_path(spark, result.tables["player_sessions"], "player_sessions")
+LATE_DAYS = f"{CUR}, days AS (SELECT * FROM cur WHERE event_date BETWEEN DATE '{DAILY_FIRST_DATE}' AND DATE '{DAILY_NEXT_DATE}')"
+LATE_SQL = {
+    "player_sessions": O.sessions_body(),
+    "daily_engagement": f", s AS ({O.sessions_body()}) {O.engagement_body(MIN_FUNNEL)}",
+    "level_progression": O.funnel_body(MIN_FUNNEL),
+    "economy_flows": O.economy_body(MIN_FUNNEL),
+}
+
+
+def _late(table):
+    """A day run while part of it is still to land, the rest appended, the next day run: the
+    table's rows of all days that the two runs took are those of a full build."""
+
+    def run(spark, sf_dir):
+        events = _cur(spark, sf_dir)
+        early = F.col("event_time") < F.lit(LATE_CUTOFF).cast("timestamp")
+        config = _landed(spark, events.filter(early), MIN_FUNNEL)
+        run_daily(spark, config, DAILY_RUN_DATE)
+        write_table(events.filter(~early), "game_events", config.table_path(config.raw_table), "append")
+        result = run_daily(spark, config, DAILY_NEXT_DATE)
+        return read_table_path(spark, result.tables[table], table)
+
+    return run
+
+
+for _name, _sql in LATE_SQL.items():
+    register(f"daily_run_late_{_name}", f"{LATE_DAYS} {_sql.replace('FROM cur', 'FROM days')}")(_late(_name))
 
 
 @register(
