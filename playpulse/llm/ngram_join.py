@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from playpulse.llm.common import SLICE_BYTES, free_name, id_and_text, shared_setting, ship_code, slices, staged, text_of
+from playpulse.llm.common import free_name, id_and_text, shared_setting, ship_code, slices, staged, text_of
 from playpulse.llm.components import components
 from playpulse.llm.shingles import WORDS, set_keys, shingle_sets
 
@@ -46,6 +46,7 @@ PERCENT = 75
 HOT = 8  # times the mean of a slot
 CENTRES = 2
 PIVOTS = 64
+SLICE_BYTES = 4 << 20  # of text at once; its shingles take some thirty times as much
 FILTER_BITS = 1 << 24  # of the filter that spares documents without a candidate; larger inputs only spare less
 
 
@@ -59,7 +60,7 @@ def signatures(docs: DataFrame, words: int, slots: int) -> DataFrame:
 
     def signed(batches):
         counts = np.zeros(slots, np.int64)
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SLICE_BYTES):
             hashes, begins = shingle_sets(part.column(1), words)
             counts += np.bincount((hashes >> shift).astype(np.int64), minlength=slots)
             key, check = set_keys(hashes, begins)
@@ -249,7 +250,7 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
         for batch in batches:
             where = batch.column(1).to_numpy(zero_copy_only=False)
             hit = (bits[where >> 3] >> (where & 7).astype(np.uint8)) & 1
-            for part in slices([batch.filter(pa.array(hit.astype(bool)))], "text"):
+            for part in slices([batch.filter(pa.array(hit.astype(bool)))], "text", SLICE_BYTES):
                 hashes, begins = shingle_sets(part.column(0), words)
                 key, _ = set_keys(hashes, begins)
                 for i in np.flatnonzero(np.diff(begins)).tolist():
