@@ -2,7 +2,8 @@
 
 Five stages, each over all that the one before it kept: quality rules drop documents, one
 document of each group of near duplicates stays, secrets are masked in the texts, sources are
-mixed to their target shares (rows in that order), and the texts are packed into sequences.
+mixed to their target shares (rows in that order), and the texts are packed into sequences
+that follow the mix; ``sequence_position`` is the order to read them in.
 All but the last return the columns of ``documents``.
 """
 
@@ -12,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from playpulse.llm.common import staged
-from playpulse.llm.mixing import in_mix_order
+from playpulse.llm.mixing import RECIPE, in_mix_order
 from playpulse.llm.ngram_join import one_of_each_group
 from playpulse.llm.packing import pack_documents
 from playpulse.llm.quality_rules import kept_documents
@@ -41,8 +42,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of tokens (operator 6)."""
-    return pack_documents(docs, public_tokenizers.path(TOKENIZER))
+    """Sequences of tokens (operator 6), filled and numbered in the order of the mix."""
+    return pack_documents(docs, public_tokenizers.path(TOKENIZER), weights=RECIPE)
 
 
 STAGES = [

@@ -60,9 +60,9 @@ def text_of(column: str) -> Column:
     return F.coalesce(F.col(f"`{column}`"), F.lit(""))
 
 
-def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id long, text string not null); all further columns are left out."""
-    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_of(text_col).alias("text"))
+def id_and_text(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
+    """(doc_id long, text string not null) and ``more``; all further columns are left out."""
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_of(text_col).alias("text"), *more)
 
 
 def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

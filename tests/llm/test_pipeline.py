@@ -6,6 +6,7 @@ import public_tokenizers
 
 import corpus_pipeline
 from playpulse.llm import mixing, quality_rules, secret_scan
+from playpulse.llm.packing import CLASS_IDS, pack_documents
 from playpulse.llm.tokens import load
 
 from . import odd
@@ -66,3 +67,44 @@ def test_empty_tables(spark, tmp_path):
     odd.empty(spark).write.parquet(f"{tmp_path}/documents.parquet")
     odd.labels(spark).write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def sequences(rows):
+    out = {}
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        out.setdefault(r.sequence_id, []).append(r)
+    return out
+
+
+def test_packing_follows_the_mix(spark):
+    rows = [(i, odd.prose(i, 20 + i * 7 % 900), None, "hot" if i % 10 else f"src{i % 3}", 1, *["x"] * len(odd.CLASHES)) for i in range(400)]
+    docs = spark.createDataFrame(rows, odd.SCHEMA)
+    orders = {}
+    for name, weights in (("recipe", mixing.RECIPE), ("flat", {"hot": 9, "*": 1})):
+        position = {r.doc_id: r.position for r in mixing.mix_sources(docs, weights).collect()}
+        out = pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), weights=weights).collect()
+        assert {r.doc_id for r in out} == set(position)
+        found = sequences(out)
+        last = {}
+        for s, pieces in found.items():
+            first = min(position[r.doc_id] for r in pieces)
+            assert {r.sequence_position for r in pieces} == {first}
+            k = s // CLASS_IDS
+            if k:  # filled by one class: in the order of the mix within and between sequences
+                at = [(position[r.doc_id], r.start) for r in pieces]
+                assert at == sorted(at) and at[0] > last.get(k, (-1, 0))
+                last[k] = at[-1]
+        assert len(last) > 5
+        orders[name] = {(r.doc_id, r.start): (r.sequence_id, r.offset) for r in out}
+    assert orders["recipe"].keys() == orders["flat"].keys() and orders["recipe"] != orders["flat"]
+
+
+def test_stages_pack_by_the_recipe(spark, tmp_path, monkeypatch):
+    docs = spark.createDataFrame(
+        [(i, odd.prose(i, 20 + i % 90), "en", f"src{i % 2}", 1, *["x"] * len(odd.CLASHES)) for i in range(200)], odd.SCHEMA
+    )
+    got = []
+    for weights in (corpus_pipeline.RECIPE, {"src1": 9, "*": 1}):
+        monkeypatch.setattr(corpus_pipeline, "RECIPE", weights)
+        got.append({(r.doc_id, r.start): (r.sequence_id, r.offset) for r in corpus_pipeline.packed(spark, docs, str(tmp_path)).collect()})
+    assert got[0].keys() == got[1].keys() and got[0] != got[1]
