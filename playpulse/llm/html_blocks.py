@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 from html import unescape
 
-#: Fixed values of HTML: elements that start a new block, that have no content, whose content is no text.
+#: Fixed values of HTML: elements that start a new block, that have no content, whose content is no text
+#: and, of these, those that only their own end tag ends.
 BLOCK = set(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form"
     " frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav noscript ol optgroup option p pre search section"
     " select summary table tbody td tfoot th thead title tr ul".split()
 )
 VOID = set("area base br col embed frame hr img input link meta param source track wbr".split())
-SKIPPED = set("applet audio canvas iframe math noembed noframes object script style svg template textarea video".split())
+SKIPPED = set("applet audio canvas iframe noembed noframes object script style svg template textarea video".split())
+RAW = set("iframe noembed noframes script style textarea".split())
 #: Opening one of these ends an open one of its group.
 SIBLINGS = {x: g for g in (("li",), ("dt", "dd"), ("td", "th"), ("tr",), ("option",), ("thead", "tbody", "tfoot")) for x in g}
 
@@ -57,13 +60,54 @@ def hints_of(attrs: str) -> frozenset[str]:
     return frozenset(HINT_OF[w] for _, value in ATTRIBUTE.findall(attrs) for w in WORD.findall(value.lower()) if w in HINT_OF)
 
 
+def opens_skipped(tag: str, attrs: str) -> bool:
+    return tag in SKIPPED and (not attrs.rstrip().endswith("/") or tag in ("script", "style", "textarea"))
+
+
+def raw_end(html: str, tag: str, at: int) -> int:
+    end = re.compile(f"</{tag}\\b[^>]*>?", re.I).search(html, at)
+    return end.end() if end else len(html)
+
+
+def skipped_ends(html: str, at: int, blocks: list[str]) -> dict[int, int]:
+    """Start and end of the skipped elements from ``at`` on, but raw ones, whose end tag comes before that of a block around them.
+
+    ``blocks`` are open at the start. One pass, so many elements without an end cost no more.
+    """
+    ends: dict[int, int] = {}
+    stack = [(b, -1) for b in blocks]
+    held = Counter(blocks)
+    while m := TAG.search(html, at):
+        at = m.end()
+        tag = (m["name"] or "").lower()
+        if m["close"]:
+            if held[tag]:
+                name, start = "", 0
+                while name != tag:
+                    name, start = stack.pop()
+                    held[name] -= 1
+                if tag in SKIPPED:
+                    ends[start] = at
+        elif tag in RAW and opens_skipped(tag, m["attrs"]):
+            at = raw_end(html, tag, at)
+        elif tag in BLOCK and tag not in VOID or opens_skipped(tag, m["attrs"] or ""):
+            stack.append((tag, m.start()))
+            held[tag] += 1
+    return ends
+
+
 def parse(html: str) -> list[Block]:
-    """The blocks of a page in order; character references are decoded, white space is one space."""
+    """The blocks of a page in order; character references are decoded, white space is one space.
+
+    A skipped element without an end tag of its own runs to the end of the page if it is raw;
+    of others only the tag is skipped.
+    """
     blocks: list[Block] = []
     stack: list[tuple[str, frozenset[str], bool]] = []  # tag, hints so far, marked
     buffer: list[str] = []
     linked = 0
     link_at = -1  # depth of the stack where a link opened
+    ends: dict[int, int] | None = None  # of skipped elements, from the first one on
 
     def flush() -> None:
         nonlocal linked
@@ -110,9 +154,13 @@ def parse(html: str) -> list[Block]:
                 if depth is not None:
                     close(depth)
         elif tag in SKIPPED:
-            if not m["attrs"].rstrip().endswith("/") or tag in ("script", "style", "textarea"):
-                end = re.compile(f"</{tag}\\b[^>]*>?", re.I).search(html, at)
-                at = end.end() if end else len(html)
+            if opens_skipped(tag, m["attrs"]):
+                if tag in RAW:
+                    at = raw_end(html, tag, at)
+                else:
+                    if ends is None:
+                        ends = skipped_ends(html, m.start(), [s[0] for s in stack])
+                    at = ends.get(m.start(), at)
         elif tag == "a":
             link_at = len(stack)
         elif tag in BLOCK:

@@ -99,6 +99,23 @@ def test_parse():
     assert [b.text for b in parse("a < b &amp; c <d")] == ["a < b & c"]
 
 
+def test_skipped_elements_without_an_end_keep_the_text_behind_them():
+    def texts(html):
+        return [b.text for b in parse(html)]
+
+    for tag in ("applet", "audio", "canvas", "object", "svg", "template", "video"):
+        assert texts(f"<article><p>A</p><div><{tag} src=x></div><p>B</p>") == ["A", "B"]
+        assert texts(f"<div><{tag} src=x></div><p>B</p><div><{tag} src=y>no<div>no</div></{tag}></div><p>C") == ["B", "C"]
+        assert texts(f"<div>A<{tag}>no<div>no</div><{tag}>no</{tag}>no</{tag}> B</div>") == ["A B"]
+        assert texts(f"A<{tag}> B") == ["A B"]
+        assert texts(f"<p>A<{tag}/> B</p>") == ["A B"]
+        assert texts(f"<p>A<{tag}><script>'</{tag}>'</script>no</{tag}> B</p>") == ["A B"]
+    for tag in ("iframe", "noembed", "noframes", "script", "style", "textarea"):
+        assert texts(f"<div>A<{tag}>no</div><p>no") == ["A"]
+    assert texts("<p>If <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</p>") == ["If x=1 holds"]
+    assert texts("<div><video></div><p>B</p>" * 20_000) == ["B"] * 20_000
+
+
 def test_extraction(spark):
     rows = [(1, "u", PAGE, 7), (2, None, None, 7), (None, "v", "", 7), (3, "w", "<p>", 7), (1, "u", PAGE, 7), (4, "x", "<div>" * 3000 + "y" * 100_000, 7)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text int")
