@@ -232,7 +232,7 @@ def prefixes(docs: DataFrame, words: int, percent: int, ranges: int, slot_counts
 
 def whole_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """(key, hashes) of the documents whose ids are ``wanted``, and of a few more."""
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)) + 1  # bitmap buckets are numbered 0 for 0, 1 from 1 on
     rows = (
         wanted.select(slot.alias("slot"))
         .groupBy(F.bitmap_bucket_number("slot").alias("b"))

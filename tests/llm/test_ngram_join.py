@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 
 from playpulse.llm.components import components
-from playpulse.llm.ngram_join import jaccard_components, overlap_bound, packed_grams, packed_steps, unpacked_grams, unpacked_steps
+from playpulse.llm.ngram_join import FILTER_BITS, jaccard_components, overlap_bound, packed_grams, packed_steps, unpacked_grams, unpacked_steps
 from playpulse.llm.shingles import shingle_sets
 
 from . import odd
@@ -83,6 +83,16 @@ def test_odd_documents(spark):
     assert jaccard_components(odd.empty(spark)).count() == 0
 
 
+def test_first_slot_of_the_filter(spark):
+    """xxhash64 of this id is a multiple of FILTER_BITS."""
+    words = odd.prose(7, 60).split()
+    rows = [(25317696, " ".join(words)), (25317697, " ".join([*words[:30], "changed", *words[31:]])), (25317698, odd.prose(8, 60))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert docs.where(f"pmod(xxhash64(doc_id), {FILTER_BITS}) = 0").count() == 1
+    assert found(jaccard_components(docs)) == brute(rows)
+    assert len({c for _, _, c in found(jaccard_components(docs))}) == 2
+
+
 def test_against_all_pairs(spark):
     """Copies, near copies in chains, and a passage that many documents share."""
     r, rows = random.Random(3), []
