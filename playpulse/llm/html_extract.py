@@ -53,10 +53,9 @@ def block_features(blocks: list[Block]) -> np.ndarray:
             row[hint_at[h]] = 1
         text, size = b.text, max(1, b.size)
         spaces = text.count(" ")
-        start = text[:200]
         row[base : base + 13] = (
-            np.log1p(len(text)), np.log1p(spaces), b.linked / size, text.endswith(ENDS), start.count(",") > 0, "©" in start or "opyright" in start,
-            sum(c.isdigit() for c in start) / len(start), i / n, i == 0, i == n - 1, len(b.tags) / 8, len(text) > 200, b.linked >= size,
+            np.log1p(len(text)), np.log1p(spaces), b.linked / size, text.endswith(ENDS), "," in text, "©" in text or "opyright" in text,
+            sum(map(str.isdigit, text)) / len(text), i / n, i == 0, i == n - 1, len(b.tags) / 8, len(text) > 200, b.linked >= size,
         )
     before, behind = np.zeros((n, 3)), np.zeros((n, 3))
     near = own[:, [base, base + 2, own_at["p"]]]

@@ -116,6 +116,14 @@ def test_skipped_elements_without_an_end_keep_the_text_behind_them():
     assert texts("<div><video></div><p>B</p>" * 20_000) == ["B"] * 20_000
 
 
+def test_features_of_the_whole_text():
+    head = "word " * 50
+    plain, other = (html_extract.block_features(parse(f"<p>{head + tail}</p>"))[0] for tail in ("abcdefghijklm", "© a, 1234567"))
+    at = len(html_extract.ANCESTORS) + len(html_extract.OWN) + len(html_extract.HINTS) + 4
+    assert plain[at : at + 3].tolist() == [0, 0, 0]
+    assert other[at : at + 3].tolist() == [1, 1, 7 / len(head + "© a, 1234567")]
+
+
 def test_extraction(spark):
     rows = [(1, "u", PAGE, 7), (2, None, None, 7), (None, "v", "", 7), (3, "w", "<p>", 7), (1, "u", PAGE, 7), (4, "x", "<div>" * 3000 + "y" * 100_000, 7)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text int")
