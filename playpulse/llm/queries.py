@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playpulse.llm import mixing, quality_rules, topk_search
+from playpulse.llm import mixing, quality_rules, spelling, topk_search
+from playpulse.llm.best_fit import best_fit
 from playpulse.llm.html_extract import extract_text
 from playpulse.llm.ngram_join import jaccard_components
 from playpulse.llm.packing import pack_documents
@@ -19,6 +20,7 @@ from playpulse.llm.url_filter import judge_urls
 
 TOKENIZER = "word_bpe_49k.json"
 QUERY_DIVISOR = 50  # queries are the vectors whose id it divides
+SLIP_DIVISOR = 199  # a document drops a letter of the words whose hash with its id it divides
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,13 +67,23 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % QUERY_DIVISOR == 0)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.count_words(table(spark, sf_dir, "documents"), slip_divisor=SLIP_DIVISOR)
+    return spelling.spelling_variants(words.where(F.col("n") >= spelling.LEAST_COUNT))
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_token_counts, op2_url_filters, op3_mixing, op4_quality_classifier, op5_html_extraction,
         op6_packing, op7_quality_rules, op8_ngram_join,
-        op9_secret_scans, op10_topk_search)
+        op9_secret_scans, op10_topk_search, op11_spelling_variants, op12_best_fit_packing)
 }
 SQL: dict[str, str] = {
     "op3_mixing": mixing.sql(),
     "op7_quality_rules": quality_rules.sql(),
     "op10_topk_search": topk_search.sql(QUERY_DIVISOR),
+    "op11_spelling_variants": spelling.sql(SLIP_DIVISOR),
 }
