@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playpulse.llm import mixing, quality_rules, spelling, topk_search
+from playpulse.llm import mixing, prefix_trie, quality_rules, spelling, topk_search
 from playpulse.llm.best_fit import best_fit
 from playpulse.llm.html_extract import extract_text
 from playpulse.llm.ngram_join import jaccard_components
@@ -76,14 +76,20 @@ def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"), shape=prefix_trie.rebuilt)
+
+
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_token_counts, op2_url_filters, op3_mixing, op4_quality_classifier, op5_html_extraction,
         op6_packing, op7_quality_rules, op8_ngram_join,
-        op9_secret_scans, op10_topk_search, op11_spelling_variants, op12_best_fit_packing)
+        op9_secret_scans, op10_topk_search, op11_spelling_variants, op12_best_fit_packing,
+        op13_conversation_trie)
 }
 SQL: dict[str, str] = {
     "op3_mixing": mixing.sql(),
     "op7_quality_rules": quality_rules.sql(),
     "op10_topk_search": topk_search.sql(QUERY_DIVISOR),
     "op11_spelling_variants": spelling.sql(SLIP_DIVISOR),
+    "op13_conversation_trie": prefix_trie.sql(),
 }
