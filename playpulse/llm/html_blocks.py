@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 from html import unescape
 
@@ -44,20 +45,63 @@ HINTS = {
 HINT_OF = {w: h for h, words in HINTS.items() for w in words.split()}
 
 
+#: What follows one of these in a name tells of something beside the element or missing in it.
+BESIDE = {"has", "no", "not", "with", "without", "hide", "hides", "show", "shows"}
+#: Names on the whole page tell of its layout, not of its text.
+ROOTS = {"html", "body"}
+
+
+@dataclass(slots=True, eq=False)
+class Element:
+    tag: str
+    hints: frozenset[str]  # of its own names
+    parent: Element | None
+    depth: int
+    marked: bool
+    text: int = 0  # characters of text outside of links, at the end with those of all elements in it
+    holds: bool = False  # a headline of the page or a main element
+
+
 @dataclass(slots=True)
 class Block:
-    tags: tuple[str, ...]  # from the root to the block's own element
-    hints: frozenset[str]  # of all its elements
+    at: Element | None  # its own element
     text: str
     linked: int  # characters within links, of the undecoded text
     size: int
-    marked: bool
+
+    @property
+    def marked(self) -> bool:
+        return self.at is not None and self.at.marked
+
+    @property
+    def tags(self) -> tuple[str, ...]:
+        """From the root to the block's own element."""
+        return tuple(e.tag for e in reversed(list(self.way())))
+
+    @property
+    def hints(self) -> frozenset[str]:
+        """Of all its elements."""
+        return frozenset(h for e in self.way() for h in e.hints)
+
+    def way(self) -> Iterator[Element]:
+        e = self.at
+        while e is not None:
+            yield e
+            e = e.parent
 
 
-def hints_of(attrs: str) -> frozenset[str]:
-    if not attrs:
+def hints_of(tag: str, attrs: str) -> frozenset[str]:
+    if not attrs or tag in ROOTS:
         return frozenset()
-    return frozenset(HINT_OF[w] for _, value in ATTRIBUTE.findall(attrs) for w in WORD.findall(value.lower()) if w in HINT_OF)
+    found = set()
+    for _, value in ATTRIBUTE.findall(attrs):
+        for name in value.strip("\"'").split():
+            for word in WORD.findall(name.lower()):
+                if word in BESIDE:
+                    break
+                if word in HINT_OF:
+                    found.add(HINT_OF[word])
+    return frozenset(found)
 
 
 def opens_skipped(tag: str, attrs: str) -> bool:
@@ -103,7 +147,8 @@ def parse(html: str) -> list[Block]:
     of others only the tag is skipped.
     """
     blocks: list[Block] = []
-    stack: list[tuple[str, frozenset[str], bool]] = []  # tag, hints so far, marked
+    stack: list[Element] = []
+    made: list[Element] = []
     buffer: list[str] = []
     linked = 0
     link_at = -1  # depth of the stack where a link opened
@@ -114,8 +159,10 @@ def parse(html: str) -> list[Block]:
         if buffer:
             text = " ".join("".join(buffer).split())
             if text:
-                _, hints, marked = stack[-1] if stack else ("", frozenset(), False)
-                blocks.append(Block(tuple(s[0] for s in stack), hints, text, linked, sum(map(len, buffer)), marked))
+                size = sum(map(len, buffer))
+                blocks.append(Block(stack[-1] if stack else None, text, linked, size))
+                if stack:
+                    stack[-1].text += max(0, size - linked)
             buffer.clear()
         linked = 0
 
@@ -150,7 +197,7 @@ def parse(html: str) -> list[Block]:
                 link_at = -1
             elif tag in BLOCK:
                 flush()
-                depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
+                depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == tag), None)
                 if depth is not None:
                     close(depth)
         elif tag in SKIPPED:
@@ -159,19 +206,25 @@ def parse(html: str) -> list[Block]:
                     at = raw_end(html, tag, at)
                 else:
                     if ends is None:
-                        ends = skipped_ends(html, m.start(), [s[0] for s in stack])
+                        ends = skipped_ends(html, m.start(), [e.tag for e in stack])
                     at = ends.get(m.start(), at)
         elif tag == "a":
             link_at = len(stack)
         elif tag in BLOCK:
             flush()
-            if stack and stack[-1][0] == "p":
+            if stack and stack[-1].tag == "p":
                 close(len(stack) - 1)
-            if stack and tag in SIBLINGS and stack[-1][0] in SIBLINGS and SIBLINGS[stack[-1][0]] == SIBLINGS[tag]:
+            if stack and tag in SIBLINGS and stack[-1].tag in SIBLINGS and SIBLINGS[stack[-1].tag] == SIBLINGS[tag]:
                 close(len(stack) - 1)
             if tag not in VOID:
-                attrs = m["attrs"]
-                hints, marked = (stack[-1][1], stack[-1][2]) if stack else (frozenset(), False)
-                stack.append((tag, hints | hints_of(attrs), (marked or MARK + '="1"' in attrs) and MARK + '="0"' not in attrs))
+                attrs, over = m["attrs"], stack[-1] if stack else None
+                marked = (over is not None and over.marked or MARK + '="1"' in attrs) and MARK + '="0"' not in attrs
+                stack.append(Element(tag, hints_of(tag, attrs), over, len(stack), marked))
+                made.append(stack[-1])
     flush()
+    for e in reversed(made):  # what an element holds, its parent holds
+        e.holds |= e.tag in ("h1", "main")
+        if e.parent is not None:
+            e.parent.text += e.text
+            e.parent.holds |= e.holds
     return blocks

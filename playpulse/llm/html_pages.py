@@ -1,7 +1,9 @@
 """Labelled pages to train on: layouts written by hand, filled with invented words.
 
 Elements whose text is main text carry ``data-main="1"``; inside them ``data-main="0"`` takes
-it back. Layouts use semantic elements, telling or meaningless class names, or old tables.
+it back. Layouts use semantic elements, telling or meaningless class names, or old tables; some
+pages are an article alone, in one element or in none. Names can mislead: themes name the page,
+or a wrapper of the article, after parts that stand beside it. Prose can be one whole link.
 """
 
 from __future__ import annotations
@@ -42,6 +44,8 @@ class Writer:
 
     def prose(self) -> str:
         text = " ".join(self.sentence() for _ in range(self.r.choice([1, 1, 2, 3, 5, 9])))
+        if self.some(0.07):
+            return f'<a href="/{self.word()}">{text}</a>'
         if self.some(0.2):
             text = text.replace(" ", f' <a href="/{self.word()}">{self.word()}</a> ', 1)
         if self.some(0.25):
@@ -51,7 +55,8 @@ class Writer:
         return text
 
     def links(self, a: int = 3, b: int = 8) -> str:
-        items = "".join(f'<li><a href="/{self.word()}">{self.words(1, 3)}</a></li>' for _ in range(self.r.randint(a, b)))
+        end = self.r.choice(["", "", "", ".", ",", " |"])
+        items = "".join(f'<li><a href="/{self.word()}">{self.words(1, 3)}{end if self.some(0.3) else ""}</a></li>' for _ in range(self.r.randint(a, b)))
         return f"<ul>{items}</ul>" if self.some(0.8) else items.replace("<li>", " ").replace("</li>", " | ")
 
     def box(self, element: str, names: str, inner: str, extra: str = "") -> str:
@@ -113,9 +118,12 @@ class Writer:
 
     def body(self) -> str:
         parts = []
+        plain = self.some(0.12)  # paragraphs are mere divisions
         for _ in range(self.r.choice([1, 2, 3, 4, 6, 9, 14])):
             kind = self.r.random()
-            if kind < 0.72:
+            if kind < 0.72 and plain:
+                parts.append(f"<div>{self.prose()}</div>")
+            elif kind < 0.72:
                 end = self.r.choice(["</p>", "</p>", "</p>", "<br>", ""])
                 parts.append(f"<p>{self.prose()}{end}")
             elif kind < 0.78:
@@ -138,12 +146,37 @@ class Writer:
                 parts.append(self.r.choice([self.ad, self.share, self.form, self.notice])())
         return "".join(parts)
 
+    def theme(self) -> str:
+        """A name that speaks of other parts than the element that bears it."""
+        form = self.r.choice(["has-{}", "no-{}", "with-{}", "{}-layout", "{}-page", "{}", "content-{}", "right-{}"])
+        clear = "sidebar ads comments footer nav menu " if form not in ("{}", "content-{}", "right-{}") else ""  # alone they mean what they say
+        return form.format(self.r.choice((clear + "header banner widget social message modal form share popup top").split()))
+
+    def wrapped(self, inner: str) -> str:
+        """In an element with a misleading name, now and then."""
+        if not self.some(0.25):
+            return inner
+        more = self.r.choice(["", "", " body", " main", " post", " single"])
+        return f'<div {self.r.choice(["class", "class", "id"])}="{self.theme()}{more}">{inner}</div>'
+
+    def alone(self) -> str:
+        """An article and nothing else."""
+        inner = self.r.choice([
+            lambda: self.body(), lambda: f"<h1>{self.words(2, 9)}</h1>{self.body()}", lambda: self.sentence(), lambda: self.prose(),
+            lambda: f"<p>{self.prose()}</p>", lambda: "".join(f"<p>{self.prose()}</p>" for _ in range(self.r.randint(2, 6))),
+            lambda: "<br><br>".join(self.prose() for _ in range(self.r.randint(1, 5))),
+        ])()
+        tag = self.r.choice(["", "", "div", "div", "article", "main", "section", "td"])
+        inner = f"<table><tr><td>{inner}</td></tr></table>" if tag == "td" else f"<{tag}>{inner}</{tag}>" if tag else inner
+        head = f"<head><title>{self.words(2, 9)}</title></head>" if self.some(0.5) else ""
+        return f"<html>{head}<body{MAIN}>{self.wrapped(inner)}</body></html>"
+
     def article(self) -> str:
         title = f"<h1>{self.words(2, 9)}</h1>" if self.some(0.85) else ""
         byline = f'<div class="{self.r.choice("byline meta author date".split())}"{PLAIN}>{self.words(2, 5)} {self.r.randint(1, 31)}.{self.r.randint(1, 12)}.</div>' if self.some(0.25) else ""
         if self.some(0.12):
             title = f"<header>{title}</header>"
-        inner = title + byline + self.body()
+        inner = title + byline + self.wrapped(self.body())
         if self.some(0.12):
             tags = self.r.choice([f"{self.words(1, 2)}: {self.links(1, 3)}", f"<p>{self.sentence()}</p>", self.words(2, 6)])
             inner += f"<footer{PLAIN}>{tags}</footer>"
@@ -152,6 +185,8 @@ class Writer:
         return self.box(element, "content article post entry story post-body main article-content", inner + after, MAIN)
 
     def page(self) -> str:
+        if self.some(0.12):
+            return self.alone()
         logo = f"<a href=/>{self.words(1, 2)}</a>" + (f"<p>{self.words(2, 6)}</p>" if self.some(0.4) else "")
         before = [
             (self.notice, 0.25), (lambda: self.box("header", "header masthead top branding", logo, PLAIN), 0.5),
@@ -165,11 +200,14 @@ class Writer:
         ]
         self.r.shuffle(before)
         part = lambda parts: "".join(f() for f, c in parts if self.some(c))
-        main = part(before) + "<!-- x -->" + self.article() + part(after)
+        open_ = self.some(0.08)  # the article stands in the page itself
+        article = f"<h1>{self.words(2, 9)}</h1>" * self.some(0.7) + self.body() if open_ else self.wrapped(self.article())
+        main = self.wrapped(part(before) + "<!-- x -->" + article + part(after))
         if self.some(0.3):
             main = f'<div class="{self.r.choice(["wrap", "container", "page", "site"])}">{main}</div>'
         head = f"<head><meta charset=utf-8><title>{self.words(2, 9)}</title><script>var a = '<p>';</script><style>p{{}}</style></head>"
-        return f"<!DOCTYPE html><html>{head}<body>{main}" + ("</body></html>" if self.some(0.8) else "")
+        theme = f' class="{self.theme()} {self.theme()}"' if self.some(0.4) else ""
+        return f"<!DOCTYPE html><html>{head}<body{theme}{MAIN if open_ else ''}>{main}" + ("</body></html>" if self.some(0.8) else "")
 
 
 def labelled_pages(n: int, seed: int = 1) -> list[str]:

@@ -119,7 +119,7 @@ def test_skipped_elements_without_an_end_keep_the_text_behind_them():
 def test_features_of_the_whole_text():
     head = "word " * 50
     plain, other = (html_extract.block_features(parse(f"<p>{head + tail}</p>"))[0] for tail in ("abcdefghijklm", "© a, 1234567"))
-    at = len(html_extract.ANCESTORS) + len(html_extract.OWN) + len(html_extract.HINTS) + 4
+    at = len(html_extract.ANCESTORS) + len(html_extract.OWN) + 2 * len(html_extract.HINTS) + 4
     assert plain[at : at + 3].tolist() == [0, 0, 0]
     assert other[at : at + 3].tolist() == [1, 1, 7 / len(head + "© a, 1234567")]
 
