@@ -2,15 +2,15 @@
 
 Each document's ids, closed by an end id, are cut into whole sequences of ``capacity`` and,
 of the rest, pieces of capacity/2, /4, ... down to ``finest``; what remains is the tail. A
-piece of length L belongs to the reciprocal-capacity class k = capacity // L (k at most
-``last_class``): any k pieces of class k fit one bin, so bins are filled by counting alone.
-Exact fractions fill their bins without padding; a tail class k wastes less than 1/(k+1).
+piece of length L belongs to the reciprocal-capacity class k = capacity // L: any k pieces of
+class k fit one bin, so bins are filled by counting alone. Exact fractions fill their bins
+without padding; a tail class k wastes less than 1/(k+1).
 
-Workers number the pieces of a class per bucket; the counts of all (class, bucket) pairs,
-at most ``last_class`` times the buckets, turn these numbers into a class-wide rank r, bin
-r // k. No piece waits for another and no class is gathered anywhere. The last pieces of
-each class that don't fill a bin, under ``last_class`` squared in all at any size of the
-input, are packed together first-fit by falling length.
+Workers number the pieces of a class per bucket; the counts of all (class, bucket) pairs turn
+these numbers into a class-wide rank r, bin r // k. There are less than twice the root of the
+capacity classes. No piece waits for another and no class is gathered anywhere. The last pieces
+of each class that don't fill a bin, fewer than the sum of all k (about 11,000 at a capacity of
+2,048, at any size of the input), are packed together first-fit by falling length.
 
 Without ``weights`` the pieces of a class are numbered by a hash. With them documents take
 their positions in the mix (``mixing.placed``) and the pieces of a class are numbered by
@@ -38,7 +38,6 @@ from playpulse.llm.tokens import token_bytes
 
 CAPACITY = 2048
 FINEST = 128
-LAST_CLASS = 64
 END_ID = 1
 CLASS_IDS = 1 << 40  # sequence ids of class k start at k times this
 
@@ -57,7 +56,7 @@ def cut_lengths(n: int, capacity: int, finest: int) -> list[int]:
     return [*out, n] if n else out
 
 
-def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int, finest: int, last_class: int, end_id: int, by_word: bool) -> DataFrame:
+def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int, finest: int, end_id: int, by_word: bool) -> DataFrame:
     """``docs`` with the pieces of each text in its place."""
     end = np.asarray([end_id], "<u4").tobytes()
     kept = [c for c in docs.columns if c != "text"]
@@ -69,7 +68,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int, finest: int, last
                 ids, start, n = ids + end, 0, len(ids) // 4 + 1
                 for length in cut_lengths(n, capacity, finest):
                     crc = zlib.crc32(ids[4 * start : 4 * (start + length)])
-                    rows.append((start, length, crc, min(capacity // length, last_class)))
+                    rows.append((start, length, crc, capacity // length))
                     start += length
                 begins.append(len(rows))
                 tokens.append(n)
@@ -121,7 +120,6 @@ def pack_documents(
     tokenizer: str,
     capacity: int = CAPACITY,
     finest: int = FINEST,
-    last_class: int = LAST_CLASS,
     end_id: int = END_ID,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -138,7 +136,7 @@ def pack_documents(
     buckets = max(32, shared_setting(docs.sparkSession, "spark.sql.shuffle.partitions", 200))
     source = [F.col(f"`{source_col}`").cast("string").alias("source")] if weights else []
     texts = id_and_text(docs, id_col, text_col, *source)
-    cut = staged(cut_pieces(texts, tokenizer, capacity, finest, last_class, end_id, by_word), "pieces")
+    cut = staged(cut_pieces(texts, tokenizer, capacity, finest, end_id, by_word), "pieces")
     if weights:
         rows, n = placed(cut, weights, block, "doc_id", "source")
         pieces = staged(rows.select("doc_id", "doc_tokens", F.col(n["position"]).alias("position"), F.inline("pieces")), "mixed-pieces")

@@ -97,3 +97,9 @@ def test_packing_leaves_little_padding(spark):
     lengths = [r[1] for r in rows]
     padding = sum(0 if n & (n - 1) == 0 else CAPACITY - n for n in lengths)
     assert padding < 0.03 * sum(lengths)
+
+
+def test_tiny_documents_fill_their_sequences(spark):
+    docs = spark.createDataFrame([(i, f"{'ab' if i % 2 else 'cd'} ef") for i in range(6400)], "doc_id long, text string")
+    lengths = [r[1] for r in pack_documents(docs, PATH).groupBy("sequence_id").sum("length").collect()]
+    assert sum(lengths) > 0.9 * CAPACITY * len(lengths)
