@@ -6,9 +6,11 @@ language or source. Lines of labelled documents carry the document's label. A do
 score is the mean of its lines' forward-backward marginals of good, weighted by length, over
 the whole text.
 
-Training takes labelled documents outside the held-out fold, ``TRAIN_DOCS`` of them at most,
-chosen by a hash of their id, and runs in one task of that bounded size. Documents labelled
-both good and bad are left out of training; without labels of both kinds every score is the
+Training takes labelled documents outside the held-out fold, about ``TRAIN_DOCS`` of them at
+most, chosen by a hash of their id, of each one row and ``TRAIN_LINES`` lines in a row, from a
+place that the hash gives, of ``TRAIN_CHARS`` characters at most; it runs in one task of that
+bounded size. Labels other than 0 and 1 are ignored, documents labelled both are left out of
+training; without labels of both kinds every score is the
 share of good ones (one half without labels).
 
 Null texts count as empty: one empty line. Null ids are not held out and not learned from;
@@ -29,6 +31,8 @@ from playpulse.llm.crf import Crf, fit
 
 FOLDS = 5
 TRAIN_DOCS = 3000
+TRAIN_LINES = 100
+TRAIN_CHARS = 1000
 CUT = 0.3
 
 #: Classes of bytes: the characters of the first entries, then the rest by ranges.
@@ -108,8 +112,8 @@ def held_out(doc_id: Column) -> Column:
 def train(docs: DataFrame, labels: DataFrame, id_col: str, label_col: str, train_docs: int) -> Crf | float:
     """The field, or the share of good documents where there is only one kind."""
     known = (
-        labels.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{label_col}`").cast("int").alias("label"))
-        .where("doc_id is not null and label is not null").where(~held_out(F.col("doc_id")))
+        labels.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{label_col}`").cast("double").alias("label"))
+        .where("doc_id is not null and label in (0, 1)").withColumn("label", F.col("label").cast("int")).where(~held_out(F.col("doc_id")))
         .groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("other")).where("label = other").drop("other")
     )
     total, good = known.agg(F.count("*"), F.sum("label")).first()
@@ -119,7 +123,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, label_col: str, train
     share = min(wide, int(wide * train_docs / total))
     chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(wide)) < share) if share < wide else known
     # at most about train_docs short rows, whatever the input
-    sample = staged(docs.join(F.broadcast(chosen), "doc_id").select("text", "label"), "labelled-documents")
+    lines = F.split("text", "\n")
+    first = F.pmod(F.xxhash64("doc_id"), F.greatest(F.size(lines) - F.lit(TRAIN_LINES), F.lit(0)) + 1).cast("int")
+    some = F.transform(F.slice(lines, first + 1, TRAIN_LINES), lambda x: F.substring(x, 1, TRAIN_CHARS))
+    short = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", F.array_join(some, "\n").alias("text"))
+    sample = staged(short.groupBy("doc_id", "label").agg(F.min("text").alias("text")), "labelled-documents")
 
     def learn(table: pa.Table) -> pa.Table:
         texts = table.column("text").combine_chunks()

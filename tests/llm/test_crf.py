@@ -146,3 +146,38 @@ def test_extraction_on_held_out_pages():
     labels = crf.decode(x, begins)
     truth = np.array([b.marked for p in pages for b in p])
     assert (labels == truth).mean() > 0.99
+
+
+def test_the_score_of_a_document_against_enumeration(spark, monkeypatch):
+    """Marginals by enumerating all label sequences of a document's lines, weighted by the lines' lengths."""
+    from playpulse.llm import quality_crf
+
+    r = np.random.default_rng(6)
+    rows = [(1, "One good line.\nBAD!! LINE|||\n\nand a third"), (2, "single"), (3, None), (4, "a b c\n" * 5)]
+    width = line_features(pa.array(["x"]))[0].shape[1]
+    crf = Crf(np.zeros(width), np.ones(width), r.normal(size=(width + 1, 2)), r.normal(size=(2, 2)))
+    monkeypatch.setattr(quality_crf, "train", lambda *_: crf)
+    got = {x.doc_id: x for x in score_documents(spark.createDataFrame(rows, "doc_id long, text string"), odd.labels(spark)).collect()}
+    for doc_id, text in rows:
+        x, size, _ = line_features(pa.array([text or ""]))
+        scores = crf.scores(x)
+        paths = list(product((0, 1), repeat=len(x)))
+        weight = np.exp([sum(scores[i, y] for i, y in enumerate(p)) + sum(crf.trans[a, b] for a, b in zip(p, p[1:])) for p in paths])
+        good = [sum(w for w, p in zip(weight, paths) if p[i]) / weight.sum() for i in range(len(x))]
+        assert np.isclose(got[doc_id].score, np.average(good, weights=size + 1.0))
+        assert got[doc_id].n_lines == len(x) and got[doc_id].bad_lines == sum(g < 0.5 for g in good)
+
+
+def test_odd_labels_and_long_repeated_documents(spark, monkeypatch):
+    from playpulse.llm import quality_crf
+
+    docs = documents(spark, 120)
+    labels = docs.select("doc_id", "quality").unionByName(spark.createDataFrame([(i, q) for i in range(120, 130) for q in (2, -1, None)], "doc_id long, quality int"))
+    long = spark.createDataFrame([(6, "a long line of text " * 5000 + "\nand another") for _ in range(50)] + [(7, "x y\n" * 50_000)], "doc_id long, text string")
+    seen = []
+    monkeypatch.setattr(quality_crf, "staged", lambda df, name: seen.append(df) or df)
+    got = score_documents(docs.drop("quality").unionByName(long), labels)
+    assert got.count() == 171
+    sizes = [(r.doc_id, len(r.text), r.text.count("\n")) for r in seen[0].select("doc_id", "text").collect()]
+    assert len({i for i, *_ in sizes}) == len(sizes) and all(i < 120 and i % 1 == 0 for i, *_ in sizes)
+    assert max(n for _, n, _ in sizes) <= quality_crf.TRAIN_LINES * (quality_crf.TRAIN_CHARS + 1) and max(n for *_, n in sizes) < quality_crf.TRAIN_LINES
