@@ -5,12 +5,14 @@ more characters of the usual encodings that mixes digits and letters or cases is
 chi-squared uniformity over its inferred alphabet, runs and serial correlation are combined
 into one value t, uniform on (0, 1) for random tokens and near 0 for words and names.
 
+Where patterns cover part of a run, each uncovered part of 20 or more characters is a candidate
+of its own.
+
 Per encoding and length class, over all documents, candidates with t above ``SURE`` count as
 random; their number tells how many random ones lie between a cutoff and ``SURE``, and what
 there is beyond that counts as false. The lowest cutoff with an estimated false-discovery
 rate of at most ``RATE`` holds for the class, so short classes, where the tests tell little,
-get a higher cutoff than long ones. Candidates above it that touch no pattern's span have the
-kind random.
+get a higher cutoff than long ones. Candidates above it have the kind random.
 
 Spans count code points of the whole text, end exclusive. Null texts count as empty; null and
 repeated ids and repeated rows give a row each; an empty table gives no row; further columns
@@ -20,6 +22,7 @@ are ignored (``redacted`` keeps them).
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -38,6 +41,7 @@ KINDS = ["assign", "access", "hex", "random"]
 #: Texts without a match of this have no span of any kind (its case folding is wider than ASSIGN's).
 ANY = r"(?i:password|passwd|secret|token|api_?key)|AKIA[A-Z0-9]|[A-Za-z0-9+/_-]{20,}"
 CANDIDATE = re.compile("[A-Za-z0-9+/_-]{20,}")
+LEAST_LENGTH = 20
 CLASSES = [24, 32, 48, 64, 128]  # upper ends of the length classes, the last one open
 BINS = 100
 SURE = 0.1
@@ -57,15 +61,35 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def uncovered(a: int, b: int, spans: list[tuple[int, int, int]], at: int) -> Iterator[tuple[int, int]]:
+    """The parts of a .. b outside of ``spans`` (sorted), of which those before ``at`` end before a."""
+    while at < len(spans) and spans[at][0] < b:
+        if a < spans[at][0]:
+            yield a, spans[at][0]
+        a = max(a, spans[at][2])
+        at += 1
+    if a < b:
+        yield a, b
+
+
 def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, str, float]]:
-    """(start, end, encoding and length class, t) of the tokens that touch no span."""
-    out = []
+    """(start, end, encoding and length class, t) of the tokens, or their parts, outside of the spans.
+
+    Tokens and spans rise together, so a text is gone through once.
+    """
+    out, at, furthest = [], 0, 0
     for m in CANDIDATE.finditer(text):
-        encoding = encoding_of(m.group())
-        if encoding and not any(a < m.end() and m.start() < b for a, _, b in spans):
-            n = m.end() - m.start()
-            name = f"{encoding} {sum(n >= c for c in CLASSES)}"
-            out.append((m.start(), m.end(), name, randomness(m.group(), encoding)))
+        while at < len(spans) and spans[at][0] < m.start():
+            furthest = max(furthest, spans[at][2])
+            at += 1
+        for a, b in uncovered(max(m.start(), min(furthest, m.end())), m.end(), spans, at):
+            if b - a < LEAST_LENGTH:
+                continue
+            token = text[a:b]
+            encoding = encoding_of(token)
+            if encoding:
+                name = f"{encoding} {sum(b - a >= c for c in CLASSES)}"
+                out.append((a, b, name, randomness(token, encoding)))
     return out
 
 

@@ -115,3 +115,89 @@ def test_battery():
     ts = [randomness("".join(r.choices(b62, k=r.randint(20, 80))), "base62") for _ in range(2000)]
     assert 0.03 < np.mean(np.array(ts) < 0.05) < 0.09 and 0.42 < np.mean(ts) < 0.56
     assert randomness("averyveryveryverylongname2", "base62") < 0.001
+
+
+def naive_tests(values, size):
+    """The three p-values from their definitions, with tails by numerical integration."""
+    from statistics import NormalDist
+
+    n = len(values)
+    bins = max(2, min(size, n // 5))
+    cell = [v * bins // size for v in range(size)]
+    expected = [n * cell.count(b) / size for b in range(bins)]
+    stat = sum((sum(cell[v] == b for v in values) - e) ** 2 / e for b, e in enumerate(expected))
+    df = bins - 1
+    grid = np.linspace(0, 1, 200_001)[1:-1]
+    tail = lambda x, k: 1.0 if x <= 0 else _chi_tail(x, k, grid)
+    high = [2 * v >= size for v in values]
+    a, b = high.count(True), high.count(False)
+    if a and b and a + b >= 3:
+        runs = len([1 for i in range(n) if i == 0 or high[i] != high[i - 1]])
+        mean, var = 1 + 2 * a * b / n, 2 * a * b * (2 * a * b - n) / (n * n * (n - 1))
+        p_runs = 2 * NormalDist().cdf(-abs(runs - mean) / var**0.5)
+    else:
+        p_runs = 2.0 ** (1 - n)
+    mid = (size - 1) / 2
+    z = sum((x - mid) * (y - mid) for x, y in zip(values, values[1:])) / ((size**2 - 1) / 12 * (n - 1) ** 0.5)
+    return [tail(stat, df), p_runs, 2 * NormalDist().cdf(-abs(z))], tail
+
+
+def _chi_tail(x, k, grid):
+    """Upper tail of chi-squared by integrating its density from x on, t = x / u."""
+    import math
+
+    t = x / grid
+    log = (k / 2 - 1) * np.log(t) - t / 2 - (k / 2) * math.log(2) - math.lgamma(k / 2)
+    return float(np.trapezoid(np.exp(log) * x / grid**2, grid))
+
+
+def test_the_battery_against_its_definitions():
+    from playpulse.llm.randomness import ENCODINGS
+
+    r = random.Random(21)
+    for name, symbols in ENCODINGS.items():
+        for n in (20, 33, 64, 130):
+            for token in ("".join(r.choices(symbols, k=n)), "".join(r.choices(symbols[: len(symbols) // 3], k=n))):
+                ps, tail = naive_tests([symbols.index(c) for c in token], len(symbols))
+                want = tail(-2 * sum(np.log(max(p, 1e-300)) for p in ps), 6)
+                assert abs(randomness(token, name) - want) < 1e-4, (name, token)
+
+
+def test_uncovered_parts_of_a_token_are_tested():
+    r = random.Random(5)
+    b64 = string.ascii_letters + string.digits
+    token = f"v1_{''.join(r.choices('0123456789abcdef', k=32))}_{''.join(r.choices(b64, k=30))}"
+    text = f"x {token} y"
+    spans = secret_scan.base_spans(text)
+    assert [(a, b) for a, _, b in spans] == [(5, 37)]
+    assert [(a, b) for a, b, *_ in secret_scan.candidates(text, spans)] == [(37, 68)]
+    for trial in range(300):  # random spans: what they leave, by marking single characters
+        size = r.randint(20, 120)
+        text = "".join(r.choices(b64, k=size))
+        spans = sorted((a, r.randint(0, 2), min(size, a + r.randint(1, 30))) for a in (r.randrange(size) for _ in range(r.randint(0, 5))))
+        free = "".join("x" if not any(a <= i < b for a, _, b in spans) else " " for i in range(size))
+        want = [(m.start(), m.end()) for m in re.finditer("x{20,}", free) if encoding_of(text[m.start() : m.end()])]
+        assert [(a, b) for a, b, *_ in secret_scan.candidates(text, spans)] == want
+
+
+def test_masking_leaves_nothing_of_a_mixed_token(spark):
+    r = random.Random(9)
+    b64 = string.ascii_letters + string.digits
+    rows = [(i, f"wort v1_{''.join(r.choices('0123456789abcdef', k=32))}_{''.join(r.choices(b64, k=30))} wort") for i in range(80)]
+    out = secret_scan.redacted(spark.createDataFrame(rows, "doc_id long, text string"), length_col=None).collect()
+    assert sum(row.text == "wort v1_[SECRET][SECRET] wort" for row in out) >= 76
+
+
+def test_a_text_of_many_tokens_and_spans_takes_linear_time(spark):
+    import time
+
+    r = random.Random(3)
+    b64 = string.ascii_letters + string.digits
+    text = " ".join(f"{''.join(r.choices(b64, k=40))} {''.join(r.choices('0123456789abcdef', k=40))} wort" for _ in range(100_000))
+    assert len(text) > 8_000_000
+    began = time.time()
+    spans = secret_scan.base_spans(text)
+    tokens = secret_scan.candidates(text, spans)
+    assert len(spans) >= 100_000 and len(tokens) >= 99_000
+    assert len(secret_scan.masked(text, [(a, b) for a, _, b in spans])) < len(text)
+    assert time.time() - began < 60
