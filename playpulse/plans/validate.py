@@ -6,6 +6,8 @@ import os
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from playpulse.config import DEFAULT_MINIMUM_PRIVACY_GROUP, argument, build_session, scratch
 from playpulse.operators.profile import hash_players, parse_lines, validation_summary
@@ -31,12 +33,23 @@ def profile_files(
         parsed = hash_players(parse_lines(read_json_lines(spark, input_path)), salt)
         parsed.write.mode("overwrite").parquet(parsed_path)
         lazy = validation_summary(spark.read.schema(parsed.schema).parquet(parsed_path), salt=None, minimum_group_size=minimum_group_size)
-        summary = spark.createDataFrame(lazy.collect(), lazy.schema)  # one row
+        summary = kept_row(lazy)
     if summary_path:
         summary.coalesce(1).write.mode("overwrite").json(summary_path)
     return summary
 
 
+def kept_row(row: DataFrame) -> DataFrame:
+    """A one-row result as a DataFrame that reads nothing.
+
+    Maps travel as arrays of entries: a Python dict would lose their order on its way back.
+    """
+    maps = [f.name for f in row.schema.fields if isinstance(f.dataType, T.MapType)]
+    flat = row.withColumns({c: F.map_entries(c) for c in maps})
+    kept = row.sparkSession.createDataFrame(flat.collect(), flat.schema)
+    return kept.withColumns({c: F.map_from_entries(c) for c in maps})
+
+
 def main(argv: list[str] | None = None) -> int:
     """``--input=<files> --json=<out dir> [--minimum-group-size=20]``; the salt comes
     from ``--salt=`` or ``PLAYER_HASH_SALT``."""

@@ -1,6 +1,5 @@
 """Every registered query against its DuckDB statement on the smallest tables."""
 
-import math
 import os
 
 import duckdb
@@ -8,6 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 from playpulse import registry
+from tools.check_oracle import duck_rows, ordered_maps, rows_of
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["events"]
@@ -15,27 +15,6 @@ TABLES = ["events"]
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 
 
-def _norm(v):
-    if v is None:
-        return None
-    if isinstance(v, float):
-        return None if math.isnan(v) else float(f"{v:.12g}")
-    if hasattr(v, "asDict"):
-        return _norm(v.asDict())
-    if isinstance(v, dict):
-        return tuple(sorted((k, _norm(x)) for k, x in v.items()))
-    if isinstance(v, (list, tuple)):
-        return tuple(_norm(x) for x in v)
-    if hasattr(v, "isoformat"):
-        return v.isoformat()
-    return v
-
-
-def _rows(cols, records):
-    order = sorted(range(len(cols)), key=lambda i: cols[i])
-    return sorted((tuple(_norm(r[i]) for i in order) for r in records), key=repr)
-
-
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
@@ -59,8 +38,17 @@ def test_every_query_has_an_oracle():
 @pytest.mark.parametrize("name", sorted(registry.SPARK))
 def test_query_matches_duckdb(spark, con, name):
     df = registry.SPARK[name](spark, SF)
-    cols, got = df.columns, [tuple(r) for r in df.collect()]
+    cols, got = df.columns, [tuple(r) for r in ordered_maps(df).collect()]
     cur = con.execute(registry.SQL[name])
     dcols = [d[0] for d in cur.description]
     assert sorted(cols) == sorted(dcols)
-    assert _rows(cols, got) == _rows(dcols, cur.fetchall())
+    assert rows_of(cols, got) == rows_of(dcols, duck_rows(cur))
+
+
+def test_maps_are_compared_in_order(spark, con):
+    """The comparison itself: the same entries in another order are a difference."""
+    cur = con.execute("SELECT MAP {'b': 1, 'a': 2} AS m")
+    want = rows_of(["m"], duck_rows(cur))
+    for sql, same in (("map('b', 1, 'a', 2)", True), ("map('a', 2, 'b', 1)", False)):
+        got = [tuple(r) for r in ordered_maps(spark.sql(f"SELECT {sql} AS m")).collect()]
+        assert (rows_of(["m"], got) == want) == same
