@@ -21,6 +21,48 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(at, True)
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty file, the folders above it too."""
+    fs, at = _of(spark, path)
+    fs.create(at, True).close()
+
+
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether a folder holds anything."""
+    fs, at = _of(spark, path)
+    return fs.exists(at) and len(fs.listStatus(at)) > 0
+
+
+def listed(spark: SparkSession, path: str, suffix: str) -> list[str]:
+    """All files below a folder whose names end so."""
+    fs, at = _of(spark, path)
+    files, out = fs.listFiles(at, True), []
+    while files.hasNext():
+        name = files.next().getPath().toString()
+        if name.endswith(suffix):
+            out.append(name)
+    return sorted(out)
+
+
+def move(spark: SparkSession, path: str, to: str) -> None:
+    fs, at = _of(spark, path)
+    if not fs.rename(at, _of(spark, to)[1]):
+        raise OSError(f"{path} could not be moved to {to}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file so that it is there whole or not at all."""
+    fs, at = _of(spark, f"{path}.part")
+    out = fs.create(at, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    move(spark, f"{path}.part", path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    return spark.read.text(path, wholetext=True).first()[0]
+
+
 def is_streamed(spark: SparkSession, path: str) -> bool:
     """Whether a streaming file sink writes to the folder: readers then list its log, not the folder."""
     return exists(spark, f"{path.rstrip('/')}/_spark_metadata")

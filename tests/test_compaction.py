@@ -1,0 +1,113 @@
+"""Size-aware compaction of folders: what is merged, what is left, and a run that ends in between."""
+
+import datetime as dt
+import os
+
+import pandas as pd
+import pytest
+from helpers import curated
+
+from playpulse.sources import compaction
+from playpulse.sources.compaction import compact_small_files, file_sizes, first_fit, small_file_groups
+from playpulse.sources.tables import read_table_path, write_partitioned
+
+DAYS = [dt.date(2024, 1, d) for d in (1, 2, 3)]
+
+
+def small_table(spark, path, n=60, each=4):
+    df = curated(spark, [dict(event_time=f"2024-01-0{1 + i % 3} 10:00:{i % 60:02d}", category=["b", "a", "c"][i % 7 % 3]) for i in range(n)])
+    write_partitioned(df, path, "event_date", "static", max_records_per_file=each)
+    return df
+
+
+def rows_of(df):
+    return sorted(map(repr, (tuple(r[c] for c in sorted(df.columns)) for r in df.collect())))
+
+
+def data_files(path):
+    return {d: sorted(f for f in os.listdir(os.path.join(path, d)) if f.endswith(".parquet")) for d in os.listdir(path) if "=" in d}
+
+
+def test_small_files_become_one_and_a_second_run_writes_none(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "events")
+    want = rows_of(small_table(spark, path))
+    assert {len(f) for f in data_files(path).values()} == {5}
+    assert compact_small_files(spark, path, "game_events", DAYS[:2]) == {DAYS[0]: 5, DAYS[1]: 5}
+    files = data_files(path)
+    assert {d: len(f) for d, f in files.items()} == {"event_date=2024-01-01": 1, "event_date=2024-01-02": 1, "event_date=2024-01-03": 5}
+    assert rows_of(read_table_path(spark, path, "game_events")) == want
+    stamps = {f: os.stat(os.path.join(path, d, f)).st_mtime_ns for d, fs in files.items() for f in fs}
+    assert compact_small_files(spark, path, "game_events", DAYS[:2]) == {}
+    assert data_files(path) == files
+    assert stamps == {f: os.stat(os.path.join(path, d, f)).st_mtime_ns for d, fs in files.items() for f in fs}
+    assert not os.path.exists(os.path.join(path, "_compaction"))
+    one = spark.read.parquet(os.path.join(path, "event_date=2024-01-01"))
+    assert [r.category for r in one.collect()] == sorted(r.category for r in one.collect())  # sorted for row-group skipping
+
+
+def test_large_files_are_left_alone(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "events")
+    want = rows_of(small_table(spark, path, each=4))
+    sizes = sorted(r.length for r in file_sizes(spark, path, "event_date", DAYS).collect())
+    assert compact_small_files(spark, path, "game_events", DAYS, target_bytes=sizes[0]) == {}  # all files are large by this measure
+    target = 2 * sizes[-1] + 10
+    compact_small_files(spark, path, "game_events", DAYS, target_bytes=target)
+    assert {len(f) for f in data_files(path).values()} == {3}  # two and two, one left over
+    assert rows_of(read_table_path(spark, path, "game_events")) == want
+
+
+def test_sizes_come_from_the_listing(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "events")
+    small_table(spark, path)
+    sizes = file_sizes(spark, path, "event_date", [DAYS[1], dt.date(2030, 1, 1)])
+    plan = sizes._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan and "2024-01-01" not in plan
+    got = {os.path.basename(r.path): r.length for r in sizes.collect()}
+    day = os.path.join(path, "event_date=2024-01-02")
+    assert got == {f: os.path.getsize(os.path.join(day, f)) for f in data_files(path)["event_date=2024-01-02"]}
+    assert file_sizes(spark, path, "event_date", []).count() == 0
+
+
+def test_first_fit():
+    rows = pd.DataFrame({"path": list("abcdef"), "length": [60, 50, 40, 30, 20, 100]})
+    packed = first_fit(100)(rows).set_index("path")
+    assert packed["pack"].to_dict() == {"f": 0, "a": 1, "b": 2, "c": 1, "d": 2, "e": 2}
+    assert packed["files"].to_dict() == {"f": 1, "a": 2, "c": 2, "b": 3, "d": 3, "e": 3}
+
+
+def test_groups_of_one_are_no_work(spark):
+    rows = [(DAYS[0], "", "x", 10), (DAYS[1], "", "y", 10), (DAYS[1], "", "z", 10), (DAYS[1], "00001", "q", 10), (DAYS[2], "", "big", 90), (DAYS[2], "", "small", 10)]
+    got = small_file_groups(spark.createDataFrame(rows, "day date, bucket string, path string, length long"), 100)
+    assert sorted(r.path for r in got.collect()) == ["y", "z"]
+
+
+@pytest.mark.parametrize("after", ["write_text", "delete", "move"])
+def test_a_run_that_ends_in_between_loses_and_doubles_nothing(spark, tmp_dir, monkeypatch, after):
+    path = os.path.join(tmp_dir, "events")
+    want = rows_of(small_table(spark, path))
+    done = getattr(compaction, after)
+    calls = []
+
+    def fail(*args):
+        calls.append(args)
+        if after == "write_text" or len(calls) == 3 and (after == "delete" or after == "move"):
+            raise RuntimeError("lost")
+        return done(*args)
+
+    monkeypatch.setattr(compaction, after, fail)
+    with pytest.raises(RuntimeError):
+        compact_small_files(spark, path, "game_events", DAYS)
+    monkeypatch.undo()
+    if after == "write_text":
+        assert rows_of(read_table_path(spark, path, "game_events")) == want  # nothing has happened yet
+    compact_small_files(spark, path, "game_events", DAYS)
+    assert rows_of(read_table_path(spark, path, "game_events")) == want
+    assert {len(f) for f in data_files(path).values()} == {1}
+
+
+def test_a_streamed_folder_is_refused(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "landing")
+    small_table(spark, path)
+    os.makedirs(path + "/_spark_metadata")
+    with pytest.raises(ValueError, match="stream"):
+        compact_small_files(spark, path, "game_events", DAYS)
