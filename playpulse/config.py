@@ -18,15 +18,31 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
 
+from playpulse.schema import BUCKETS
+
 DEFAULT_MINIMUM_PRIVACY_GROUP = 20
 WRITE_BYTES = "256m"
 FIRST_WIDTH = "2000"
 
 
+class CatalogTable(str):
+    """The name (``database.table``) of a table in Spark's catalog, wherever a path or a table is taken."""
+
+    @property
+    def database(self) -> str:
+        return self.rpartition(".")[0]
+
+
 @dataclass(frozen=True)
 class JobConfig:
     """Settings shared by the ingest, build, publish and maintenance jobs.
 
+    With ``catalog`` the tables are addressed by name in Spark's catalog: it is the prefix of
+    the databases (``raw``, ``curated``, ``analytics``), may be empty, and the tables lie below
+    the warehouse in ``buckets`` buckets. With ``replay_days`` a daily run counts the event ids
+    that were sent before, up to so many days earlier (0: ever). A scan that keeps the buckets runs one task for each,
+    so size their number to the cluster. Without it tables are plain folders.
+
     ``raw_table`` is the landing table: only the ingest stream writes to it.
     ``curated_table`` holds its closed days, rebalanced and sorted; gate, build and
     maintenance work on that one. A daily run takes its day and the ``lookback_days``
@@ -54,6 +70,9 @@ class JobConfig:
     state_store: str = "rocksdb"
     max_offsets_per_trigger: int | None = 10_000_000  # what one micro-batch, and so one dedup task, can receive
     state_partitions: int | None = None
+    catalog: str | None = None
+    buckets: int = BUCKETS
+    replay_days: int | None = None
 
     def __post_init__(self) -> None:
         amount, unit = self.watermark.split()
@@ -83,6 +102,9 @@ class JobConfig:
             state_store=env.get("STATE_STORE", d.state_store),
             max_offsets_per_trigger=int(env.get("MAX_OFFSETS_PER_TRIGGER", str(d.max_offsets_per_trigger))) or None,
             state_partitions=int(env["STATE_PARTITIONS"]) if env.get("STATE_PARTITIONS") else None,
+            catalog=env.get("TABLE_CATALOG"),
+            buckets=int(env.get("TABLE_BUCKETS", str(d.buckets))),
+            replay_days=int(env["REPLAY_DAYS"]) if env.get("REPLAY_DAYS") else None,
         )
 
     def table_path(self, name: str) -> str:
@@ -91,6 +113,13 @@ class JobConfig:
             return _join(self.warehouse, name)
         return _join(self.warehouse, self.analytics_namespace, name)
 
+    def table_at(self, name: str) -> str:
+        """Where jobs find a table: its name in the catalog if there is one, else its path."""
+        if self.catalog is None:
+            return self.table_path(name)
+        database, _, table = name.rpartition("/")
+        return CatalogTable(f"{self.catalog}{database or self.analytics_namespace}.{table}")
+
     def serving_path(self, name: str) -> str:
         return _join(self.warehouse, self.serving_namespace, name)
 

@@ -1,4 +1,9 @@
-"""Cohort retention (by signup day and breakdown) and player activity days."""
+"""Cohort retention (by signup day and breakdown), player activity days and activity masks.
+
+A player's activity is kept as one row per attribute set: a bit for each of the days 0 to
+``LAST_DAY`` since signup, and the number of active days outside of them. A day's change sets
+and clears bits, so cohorts follow from these rows and not from the history of all days.
+"""
 
 from __future__ import annotations
 
@@ -11,10 +16,12 @@ from playpulse.functions.rules import safe_rate
 from playpulse.schema import BREAKDOWN_DIMENSIONS, COHORT_RETENTION_COLUMNS
 
 RETENTION_DAYS = (1, 7, 30)
+LAST_DAY = 30
 _ATTRIBUTES = ["signup_date", *BREAKDOWN_DIMENSIONS]
+_PLAYER = ["game_id", "player_key", *_ATTRIBUTES]
 
 
-def player_activity_days(events: DataFrame) -> DataFrame:
+def player_activity_days(events: DataFrame, clustered: bool = False) -> DataFrame:
     """One row per (game, player, active day) with ``day_number`` since signup.
 
     Rows without a signup date are ignored. When a player shows several attribute sets
@@ -26,6 +33,8 @@ def player_activity_days(events: DataFrame) -> DataFrame:
     earliest time (a fixed-width buffer, reduced map side: one row per set and task);
     the pick between sets then runs on those few rows. Carrying the row id for the
     tie-break would turn the first step into a sort-based aggregate over every event.
+
+    ``clustered``: the events come from a table in buckets by player, which all steps keep.
     """
     firsts = (
         events.filter(F.col("signup_date").isNotNull())
@@ -36,8 +45,8 @@ def player_activity_days(events: DataFrame) -> DataFrame:
         F.struct(*[F.col(c) for c in _ATTRIBUTES]),
         F.struct(F.col("first_time"), *[F.col(c) for c in _ATTRIBUTES]),
     )
-    # one shuffle on the player serves this aggregate and the one per player after it
-    firsts = firsts.repartition("game_id", "player_key")
+    if not clustered:  # one shuffle on the player serves this aggregate and the one per player after it
+        firsts = firsts.repartition("game_id", "player_key")
     return (
         firsts.groupBy("game_id", "player_key", "event_date")
         .agg(pick.alias("first"))
@@ -79,7 +88,54 @@ def retention_of_days(
     days: DataFrame, minimum_group_size: int = DEFAULT_MINIMUM_PRIVACY_GROUP
 ) -> DataFrame:
     """:func:`build_retention` from (stored) player activity days."""
-    flags = flags_of_days(days)
+    return cohorts(flags_of_days(days), minimum_group_size)
+
+
+def activity_of_days(days: DataFrame) -> DataFrame:
+    """Activity masks of all of a player's days: (game, player, attributes, ``days``, ``other_days``)."""
+    return _masks(days).select(*_PLAYER, "days", "other_days")
+
+
+def _masks(days: DataFrame) -> DataFrame:
+    inside = F.col("day_number").between(0, LAST_DAY)
+    return days.groupBy(*_PLAYER).agg(
+        F.coalesce(F.bit_or(F.when(inside, F.expr("shiftleft(1L, day_number)"))), F.lit(0)).cast("long").alias("days"),
+        F.count_if(~inside).cast("int").alias("other_days"),
+    )
+
+
+def activity_change(old_days: DataFrame, new_days: DataFrame) -> DataFrame:
+    """What replacing ``old_days`` by ``new_days`` (the same days) does to activity masks: bits to
+    clear, bits to set, change of ``other_days``; a row per player and attribute set with a change."""
+    zero = F.lit(0).cast("long")
+    old = _masks(old_days).select(*_PLAYER, F.col("days").alias("cleared"), zero.alias("added"), (-F.col("other_days")).alias("other_days"))
+    new = _masks(new_days).select(*_PLAYER, zero.alias("cleared"), F.col("days").alias("added"), "other_days")
+    return old.unionByName(new).groupBy(*_PLAYER).agg(
+        F.bit_or("cleared").alias("cleared"), F.bit_or("added").alias("added"), F.sum("other_days").cast("int").alias("other_days")
+    ).where("cleared != added OR other_days != 0")
+
+
+def merge_activity(activity: DataFrame, change: DataFrame) -> DataFrame:
+    """``activity`` after a change; players without a day left are gone. Rows meet by grouping, so null attributes do too."""
+    zero = F.lit(0).cast("long")
+    rows = activity.select(*_PLAYER, "days", zero.alias("cleared"), zero.alias("added"), "other_days").unionByName(
+        change.select(*_PLAYER, zero.alias("days"), "cleared", "added", "other_days")
+    )
+    kept = F.bit_or("days").bitwiseAND(F.bitwise_not(F.bit_or("cleared")))
+    merged = rows.groupBy(*_PLAYER).agg(kept.bitwiseOR(F.bit_or("added")).alias("days"), F.sum("other_days").cast("int").alias("other_days"))
+    return merged.where("days != 0 OR other_days != 0")
+
+
+def retention_of_activity(
+    activity: DataFrame, minimum_group_size: int = DEFAULT_MINIMUM_PRIVACY_GROUP
+) -> DataFrame:
+    """:func:`build_retention` from activity masks, which are one row per player of a cohort already."""
+    bit = lambda n: F.when(F.col("days").bitwiseAND(F.lit(1 << n)) != 0, 1).otherwise(0)
+    return cohorts(activity.select(*_PLAYER, *[bit(n).alias(f"retained_d{n}") for n in RETENTION_DAYS]), minimum_group_size)
+
+
+def cohorts(flags: DataFrame, minimum_group_size: int) -> DataFrame:
+    """Cohort rows from :func:`player_retention_flags`."""
     cohort = flags.groupBy(
         "game_id", F.col("signup_date").alias("cohort_date"), *BREAKDOWN_DIMENSIONS
     ).agg(

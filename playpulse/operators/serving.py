@@ -7,6 +7,8 @@ whose full key exists replaces it.
 
 from __future__ import annotations
 
+import datetime as _dt
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -86,6 +88,13 @@ def replace_date_range(existing: DataFrame, updates: DataFrame, table: str, star
     return keep.unionByName(good)
 
 
+def replace_dates(existing: DataFrame, updates: DataFrame, table: str, dates: Iterable[_dt.date]) -> DataFrame:
+    """:func:`replace_date_range` for a list of dates."""
+    d = F.col(SERVING_TABLES[table]["date_column"])
+    good, _ = split_null_keys(updates, table)
+    return existing.filter(~d.isin([F.lit(x) for x in dates])).unionByName(good)
+
+
 def read_serving(
     rows: DataFrame, table: str, game_id: str, period: str
 ) -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as _dt
 import sys
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from playpulse.config import (
@@ -18,17 +19,51 @@ from playpulse.config import (
 )
 from playpulse.operators.engagement import build_daily_engagement
 from playpulse.operators.funnel import build_economy_flows, build_progression_funnel
-from playpulse.operators.retention import player_activity_days, retention_of_days
+from playpulse.operators.retention import (
+    activity_change,
+    activity_of_days,
+    merge_activity,
+    player_activity_days,
+    retention_of_activity,
+    retention_of_days,
+)
 from playpulse.operators.sessions import session_facts
 from playpulse.schema import PLAYER_SESSIONS_COLUMNS
-from playpulse.sources.tables import read_table_path, replace_days, write_table
+from playpulse.sources.files import delete, exists, has_files, touch
+from playpulse.sources.tables import (
+    ensure_table,
+    in_days,
+    location_of,
+    observed_days,
+    read_table_path,
+    replace_partitions,
+    write_table,
+)
 
 TABLES = ("player_sessions", "daily_engagement", "cohort_retention", "level_progression", "economy_flows")
+KEPT = ("player_days", "player_activity")  # what retention is kept in between runs
+
+
+def tables_at(spark: SparkSession, config: JobConfig) -> dict[str, str]:
+    """Where the job's tables are; those of a catalog are created if they are missing."""
+    for t in (*TABLES, *KEPT):
+        ensure_table(spark, config.table_at(t), t, config.table_path(t), config.buckets)
+    return {t: config.table_at(t) for t in (*TABLES, *KEPT)}
 
 
 @dataclass
 class BuiltTables:
+    """Where the tables are, the days that were built, and the cohorts that were (None: all)."""
+
     paths: dict[str, str]
+    days: set[_dt.date]
+    cohorts: set[_dt.date] | None
+
+
+def curated_at(spark: SparkSession, config: JobConfig) -> str:
+    """Where the curated table is; one of a catalog is created if it is missing."""
+    ensure_table(spark, config.table_at(config.curated_table), "game_events", config.table_path(config.curated_table), config.buckets)
+    return config.table_at(config.curated_table)
 
 
 def _in_range(events: DataFrame, start: str | None, end: str | None) -> DataFrame:
@@ -74,50 +109,112 @@ def build_and_write(
     start: str | None = None,
     end: str | None = None,
     mode: str = "static",
+    clustered: bool = False,
 ) -> BuiltTables:
-    """Compute and write all five tables and the player activity days behind retention.
+    """Compute and write all five tables, and the player days and activity masks behind retention.
 
-    With ``start``/``end`` the days of that range are replaced, days left without rows
-    included; player activity days are kept in ``paths["player_days"]`` (default: beside the
-    sessions), so cohorts come from all of them and not from all events. Without a range
-    every table is rebuilt from all of ``events`` (``mode="static"``, or ``"dynamic"`` to
-    leave days without events as they are).
+    Without a range every table is rebuilt from all of ``events`` (``mode="static"``, or
+    ``"dynamic"`` to leave days without events as they are). With ``start``/``end`` the days of
+    the range that have events are replaced; a day that ``events`` no longer holds keeps what
+    was built of it. Player days and masks are kept in ``paths["player_days"]`` and
+    ``paths["player_activity"]`` (default: beside the sessions). Of the cohorts only those are
+    read and rewritten that have a player whose days changed.
 
     Session facts are computed once, written to the shared checkpoint folder (which
     cuts the lineage: a lost executor recomputes from those files, not from the raw
-    events), and both the sessions table and engagement read them. The five writes run as
-    concurrent jobs.
+    events), and both the sessions table and engagement read them. Writes that don't wait for
+    one another run as concurrent jobs. ``clustered``: see :func:`player_activity_days`.
     """
-    days_path = paths.get("player_days", f"{paths['player_sessions'].rstrip('/')}_days")
+    beside = paths["player_sessions"].rstrip("/")
+    paths = {"player_days": f"{beside}_days", "player_activity": f"{beside}_activity", **paths}
     ranged = start is not None and end is not None
-    with scratch(spark) as s:
-        facts_path = s.path("session-facts")
-        session_facts(_in_range(events, start, end)).write.mode("overwrite").parquet(facts_path)
-        days = player_activity_days(_in_range(events, start, end))
+    day_events = _in_range(events, start, end)
+    player_days = player_activity_days(day_events, clustered)
+    with scratch(spark) as s, ThreadPoolExecutor(max_workers=len(TABLES)) as pool:
+        facts_path, days_path = s.path("session-facts"), s.path("player-days")
+        seen = Observation()
+        facts = session_facts(day_events).observe(seen, F.collect_set("event_date").alias("days"))
         if ranged:
-            replace_days(days, "player_days", days_path, start, end)
+            new_days = pool.submit(player_days.write.parquet, days_path)
         else:
-            write_table(days, "player_days", days_path, mode)
+            write_days = pool.submit(write_table, player_days, "player_days", paths["player_days"], mode)
+        facts.write.mode("overwrite").parquet(facts_path)
+        present = observed_days(seen, "days")
         outputs = build_tables(
-            events, minimum_group_size, start, end,
-            facts=spark.read.parquet(facts_path), player_days=read_table_path(spark, days_path, "player_days"),
+            events, minimum_group_size, start, end, facts=spark.read.schema(facts.schema).parquet(facts_path), player_days=player_days
         )
 
         def write(name: str) -> None:
-            if name == "cohort_retention":
-                write_table(outputs[name], name, paths[name], "static")  # every cohort, those below the threshold gone
-            elif ranged:
-                replace_days(outputs[name], name, paths[name], start, end)
+            if ranged:
+                replace_partitions(outputs[name], name, paths[name], present)
             else:
                 write_table(outputs[name], name, paths[name], mode)
 
-        # The five writes are independent: submitted together, their stages share the
+        def retention() -> set[_dt.date] | None:
+            if not ranged:
+                write_days.result()
+                return rebuild_cohorts(spark, paths, minimum_group_size)
+            new_days.result()
+            days = spark.read.schema(player_days.schema).parquet(days_path)
+            return replace_cohorts(spark, days, present, paths, minimum_group_size)
+
+        # The writes are independent: submitted together, their stages share the
         # executors instead of queueing behind each other's tail tasks.
-        with ThreadPoolExecutor(max_workers=len(TABLES)) as pool:
-            futures = [pool.submit(write, n) for n in TABLES]
-            for f in futures:
-                f.result()  # re-raises a failed write
-    return BuiltTables(paths={**paths, "player_days": days_path})
+        changed = pool.submit(retention)
+        futures = [pool.submit(write, n) for n in TABLES if n != "cohort_retention"]
+        for f in futures:
+            f.result()  # re-raises a failed write
+        return BuiltTables(paths, present, changed.result())
+
+
+def rebuild_cohorts(spark: SparkSession, paths: dict[str, str], minimum_group_size: int) -> None:
+    """Activity masks and cohorts from all stored player days."""
+    days = read_table_path(spark, paths["player_days"], "player_days")
+    write_table(activity_of_days(days), "player_activity", paths["player_activity"], "static")
+    activity = read_table_path(spark, paths["player_activity"], "player_activity")
+    write_table(retention_of_activity(activity, minimum_group_size), "cohort_retention", paths["cohort_retention"], "static")
+    delete(spark, pending_mark(spark, paths))
+
+
+def pending_mark(spark: SparkSession, paths: dict[str, str]) -> str:
+    """Present while player days and masks may disagree: a run that ended in between left it."""
+    return f"{location_of(spark, paths['player_activity']).rstrip('/')}_pending"
+
+
+def replace_cohorts(
+    spark: SparkSession, days: DataFrame, present: set[_dt.date], paths: dict[str, str], minimum_group_size: int
+) -> set[_dt.date] | None:
+    """Replace the stored player days of the days ``present`` by ``days`` and bring masks and cohorts up to date.
+
+    Old and new days are compared first; only the signup days of players with a change are
+    read from the masks, merged and written, and only their cohorts are computed. The signup
+    days come to the driver (one value a day of the game's life). Returns them, or None where
+    all cohorts were rebuilt: at the first run, and after a run that ended between the writes.
+    """
+    mark = pending_mark(spark, paths)
+    activity_location = location_of(spark, paths["player_activity"])
+    whole = exists(spark, mark) or not has_files(spark, activity_location)
+    with scratch(spark) as s:
+        if not whole:
+            change_path, merged_path = s.path("activity-change"), s.path("activity")
+            old = read_table_path(spark, paths["player_days"], "player_days").where(in_days("event_date", present))
+            change = activity_change(old, days)
+            change.write.parquet(change_path)
+            change = spark.read.schema(change.schema).parquet(change_path)
+            changed = {r[0] for r in change.select("signup_date").distinct().collect()}
+        touch(spark, mark)
+        replace_partitions(days, "player_days", paths["player_days"], present)
+        if whole:
+            return rebuild_cohorts(spark, paths, minimum_group_size)
+        if changed:
+            activity = read_table_path(spark, paths["player_activity"], "player_activity").where(in_days("signup_date", changed))
+            merged = merge_activity(activity, change)
+            merged.write.parquet(merged_path)
+            merged = spark.read.schema(merged.schema).parquet(merged_path)
+            replace_partitions(merged, "player_activity", paths["player_activity"], changed)
+            replace_partitions(retention_of_activity(merged, minimum_group_size), "cohort_retention", paths["cohort_retention"], changed)
+        delete(spark, mark)
+        return changed
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -126,12 +223,12 @@ def main(argv: list[str] | None = None) -> int:
     argv = sys.argv[1:] if argv is None else argv
     config = JobConfig.from_env()
     spark = build_session("playpulse-build")
-    events = read_table_path(spark, config.table_path(config.curated_table), "game_events")
+    events = read_table_path(spark, curated_at(spark, config), "game_events")
     start = argument(argv, "start", "") or None
     end = argument(argv, "end", "") or None
     mode = argument(argv, "mode", "static")
-    paths = {t: config.table_path(t) for t in TABLES}
-    build_and_write(spark, events, paths, config.minimum_privacy_group, start, end, mode)
+    paths = tables_at(spark, config)
+    build_and_write(spark, events, paths, config.minimum_privacy_group, start, end, mode, config.catalog is not None)
     return 0
 
 

@@ -2,7 +2,8 @@
 
 Only the ingest stream writes to the landing table, and no job rewrites it: its readers list
 the stream's log, and rows may arrive at any time. The days that are copied are replaced as
-a whole, rebalanced into files of the advisory size and sorted for row-group skipping.
+a whole, rebalanced into files of the advisory size and sorted for row-group skipping. A day
+that the landing table no longer holds stays in the curated table: landed files expire.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from playpulse.config import JobConfig, argument, build_session, default_run_date
+from playpulse.plans.build import curated_at
 from playpulse.sources.tables import read_table_path, replace_days
 
 
@@ -22,10 +24,11 @@ def first_day(run_date: str, config: JobConfig) -> str:
     return (_dt.date.fromisoformat(run_date) - _dt.timedelta(days=config.lookback_days)).isoformat()
 
 
-def curate_days(spark: SparkSession, config: JobConfig, start: str, end: str) -> None:
-    landed = read_table_path(spark, config.table_path(config.raw_table), "game_events")
+def curate_days(spark: SparkSession, config: JobConfig, start: str, end: str) -> set[_dt.date]:
+    """Copy the days ``start`` .. ``end``; returns those that the landing table holds."""
+    landed = read_table_path(spark, config.table_at(config.raw_table), "game_events")
     wanted = F.col("event_date").between(F.to_date(F.lit(start)), F.to_date(F.lit(end)))
-    replace_days(landed.filter(wanted), "game_events", config.table_path(config.curated_table), start, end)
+    return replace_days(landed.filter(wanted), "game_events", curated_at(spark, config), start, end, drop_missing=False)
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -6,6 +6,7 @@ import sys
 
 from playpulse.config import JobConfig, argument, build_session, default_run_date
 from playpulse.operators.quality import QualityGateError, run_quality_gate
+from playpulse.plans.build import curated_at
 from playpulse.sources.tables import read_table_path
 
 # The prefixes of the job's output lines.
@@ -18,7 +19,7 @@ def main(argv: list[str] | None = None) -> int:
     config = JobConfig.from_env()
     run_date = argument(argv, "run-date", default_run_date())
     spark = build_session("playpulse-quality-gate")
-    events = read_table_path(spark, config.table_path(config.curated_table), "game_events")
+    events = read_table_path(spark, curated_at(spark, config), "game_events")
     try:
         n = run_quality_gate(events, run_date)
     except QualityGateError as e:

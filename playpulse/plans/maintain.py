@@ -1,16 +1,16 @@
-"""Maintenance job: compact the given days of the curated and daily tables in place.
+"""Maintenance job: merge the small files of the given days of the curated and built tables in place.
 
 The landing table is left to the stream that writes it.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
 import sys
 
 from playpulse.config import JobConfig, argument, build_session, default_run_date
-from playpulse.plans.build import TABLES
-from playpulse.schema import TABLE_PARTITION_COLUMN
-from playpulse.sources.tables import compact_partitions
+from playpulse.plans.build import curated_at, tables_at
+from playpulse.sources.compaction import compact_small_files
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -19,10 +19,10 @@ def main(argv: list[str] | None = None) -> int:
     config = JobConfig.from_env()
     spark = build_session("playpulse-maintenance")
     dates = argument(argv, "dates", default_run_date()).split(",")
-    targets = {"game_events": config.table_path(config.curated_table)}
-    targets.update({t: config.table_path(t) for t in TABLES})
-    for table, path in targets.items():
-        compact_partitions(spark, path, TABLE_PARTITION_COLUMN[table], dates, table=table)
+    days = {_dt.date.fromisoformat(d) for d in dates}
+    for table, at in {"game_events": curated_at(spark, config), **tables_at(spark, config)}.items():
+        merged = compact_small_files(spark, at, table, days)
+        print(f"{table}: {sum(merged.values())} small files of {len(merged)} days merged")
     return 0
 
 

@@ -8,12 +8,12 @@ both engines compare zone-free values.
 
 from __future__ import annotations
 
-import time
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +33,7 @@ from playpulse.operators.funnel import build_economy_flows, build_progression_fu
 from playpulse.operators.quality import quality_gate, quality_gate_by_date
 from playpulse.operators.retention import (
     build_retention,
+    flags_of_days,
     player_activity_days,
     player_retention_flags,
 )
@@ -45,9 +46,11 @@ from playpulse.operators.serving import (
     upsert_by_key,
 )
 from playpulse.operators.sessions import build_sessions, session_facts
-from playpulse.plans.build import TABLES, build_and_write
+from playpulse.plans.build import TABLES, build_and_write, curated_at, tables_at
+from playpulse.plans.curate import curate_days
 from playpulse.plans.daily import run_daily
 from playpulse.plans.publish import publish_all
+from playpulse.plans.replays import index_days, replayed_on
 from playpulse.schema import CURATED_EVENT_COLUMNS
 from playpulse.sources.fixtures import (
     curated_events,
@@ -57,10 +60,21 @@ from playpulse.sources.fixtures import (
     load_json_lines,
     read_table,
 )
+from playpulse.sources.compaction import compact_small_files
 from playpulse.sources.jsonlines import read_json_lines, write_json_lines
 from playpulse.sources.serving import read_serving_table
-from playpulse.sources.tables import compact, compact_partitions, read_table_path, write_partitioned, write_table
+from playpulse.sources.tables import (
+    compact,
+    compact_partitions,
+    days_between,
+    drop_partitions,
+    ensure_table,
+    read_table_path,
+    write_partitioned,
+    write_table,
+)
 from playpulse.streaming.ingest import ingest, ingest_writer, read_json_stream, start_ingest, state_partitions
+from playpulse.streaming.metrics import recorded
 
 # Salt used for the fixture runs (jobs take theirs from configuration).
 FIXTURE_SALT = "fixture-salt"
@@ -519,6 +533,18 @@ def q_compact_table(spark, sf_dir):
     return compact(spark, src, dst, "event_date").select(*NO_INGEST_TIME)
 
 
+@register("compact_small_files", CURATED_SQL)
+def q_compact_small_files(spark, sf_dir):
+    """The curated table written as many small files; those of ten days merged, twice (the second
+    run finds nothing to do); the whole table read back."""
+    path = scratch_path(spark, "events-small")
+    write_partitioned(_cur(spark, sf_dir), path, "event_date", "static", max_records_per_file=50)
+    days = days_between("2024-01-10", "2024-01-19")
+    if not compact_small_files(spark, path, "game_events", days) or compact_small_files(spark, path, "game_events", days):
+        raise AssertionError("the first run merges files, the second none")
+    return read_table_path(spark, path, "game_events").select(*NO_INGEST_TIME)
+
+
 @register("compact_partitions", CURATED_SQL)
 def q_compact_partitions(spark, sf_dir):
     """The curated table written as many small files; ten days of it compacted in
@@ -536,13 +562,19 @@ def q_compact_partitions(spark, sf_dir):
 DAILY_FIRST_DATE, DAILY_RUN_DATE, DAILY_NEXT_DATE = "2024-01-14", "2024-01-15", "2024-01-16"
 
 
-def _landed(spark, events, minimum):
+def _landed(spark, events, minimum, **more):
     """A new warehouse with the events in its landing table."""
-    config = JobConfig(warehouse=scratch_path(spark, "warehouse"), player_salt=FIXTURE_SALT, minimum_privacy_group=minimum)
-    write_table(events, "game_events", config.table_path(config.raw_table), "static")
+    config = JobConfig(warehouse=scratch_path(spark, "warehouse"), player_salt=FIXTURE_SALT, minimum_privacy_group=minimum, **more)
+    ensure_table(spark, config.table_at(config.raw_table), "game_events", config.table_path(config.raw_table), buckets=0)
+    write_table(events, "game_events", config.table_at(config.raw_table), "append")
     return config
 
 
+def _named():
+    """Settings that put all tables into databases of their own in the session's catalog."""
+    return {"catalog": f"w{uuid.uuid4().hex[:10]}_"}
+
+
 @register(
     "daily_run",
     f"""{SESSIONS_CTE} SELECT * FROM ({SERVING_ENGAGEMENT_BODY})
@@ -574,6 +606,112 @@ def q_daily_rerun_suppressed(spark, sf_dir):
     return published.unionByName(built).distinct()
 
 
+DAILY_SQL = f"""{SESSIONS_CTE} SELECT * FROM ({SERVING_ENGAGEMENT_BODY})
+    WHERE activity_date BETWEEN DATE '{DAILY_FIRST_DATE}' AND DATE '{DAILY_RUN_DATE}'"""
+
+
+@register("daily_run_on_names", DAILY_SQL)
+def q_daily_run_on_names(spark, sf_dir):
+    """The daily run with all tables in the catalog: landing, curated and built tables are
+    addressed by name alone, bucketed, written with insertInto."""
+    config = _landed(spark, _cur(spark, sf_dir), MIN_ENGAGEMENT, **_named())
+    result = run_daily(spark, config, DAILY_RUN_DATE)
+    table = "daily_engagement_by_game_day"
+    return read_serving_table(spark, result.serving[table], table)
+
+
+@register("curated_by_name", f"{CUR} SELECT * FROM cur WHERE event_date BETWEEN DATE '{DAILY_FIRST_DATE}' AND DATE '{DAILY_NEXT_DATE}'")
+def q_curated_by_name(spark, sf_dir):
+    """Days curated into a bucketed catalog table in two runs that overlap by a day, compacted, read by name."""
+    config = _landed(spark, _cur(spark, sf_dir), MIN_ENGAGEMENT, **_named())
+    curate_days(spark, config, DAILY_FIRST_DATE, DAILY_RUN_DATE)
+    days = curate_days(spark, config, DAILY_RUN_DATE, DAILY_NEXT_DATE)
+    at = curated_at(spark, config)
+    compact_small_files(spark, at, "game_events", days)
+    return spark.table(str(at)).select(*NO_INGEST_TIME)
+
+
+@register("sessions_of_buckets", f"{CUR} {O.sessions_body()}")
+def q_sessions_of_buckets(spark, sf_dir):
+    """Sessions from the curated table in buckets by player: no shuffle between scan and result."""
+    config = _landed(spark, _cur(spark, sf_dir), MIN_ENGAGEMENT, **_named())
+    at = curated_at(spark, config)
+    write_table(_cur(spark, sf_dir), "game_events", at, "static")
+    return build_sessions(read_table_path(spark, at, "game_events"))
+
+
+@register("player_flags_of_buckets", f"{CUR} {O.retention_flags_body()}")
+def q_player_flags_of_buckets(spark, sf_dir):
+    """Player days and retention flags from bucketed tables, both steps without a shuffle."""
+    config = _landed(spark, _cur(spark, sf_dir), MIN_ENGAGEMENT, **_named())
+    at, tables = curated_at(spark, config), tables_at(spark, config)
+    write_table(_cur(spark, sf_dir), "game_events", at, "static")
+    days = player_activity_days(read_table_path(spark, at, "game_events"), clustered=True)
+    write_table(days, "player_days", tables["player_days"], "static")
+    return flags_of_days(read_table_path(spark, tables["player_days"], "player_days"))
+
+
+@register("daily_rerun_after_expiry", DAILY_SQL)
+def q_daily_rerun_after_expiry(spark, sf_dir):
+    """A day run, run again after the landing table has lost the day before it: what was curated,
+    built and published of that day stays."""
+    config = _landed(spark, _cur(spark, sf_dir), MIN_ENGAGEMENT)
+    run_daily(spark, config, DAILY_RUN_DATE)
+    drop_partitions(spark, config.table_at(config.raw_table), "event_date", days_between(DAILY_FIRST_DATE, DAILY_FIRST_DATE))
+    result = run_daily(spark, config, DAILY_RUN_DATE)
+    table = "daily_engagement_by_game_day"
+    built = serving_engagement(read_table_path(spark, result.tables["daily_engagement"], "daily_engagement"))
+    return read_serving_table(spark, result.serving[table], table).unionByName(built).distinct()
+
+
+# ---- A4-A6 by activity masks ---------------------------------------------------------------
+STEPS = [("2024-01-11", "2024-01-13"), ("2024-01-14", "2024-01-20"), ("2024-01-19", "2024-01-31")]
+
+
+@register("cohorts_day_by_day", f"{CUR} {O.retention_body(MIN_RETENTION)}")
+def q_cohorts_day_by_day(spark, sf_dir):
+    """The first ten days built whole, the others range by range (two ranges overlap, part of a
+    day lands late): cohorts from merged activity masks are those of all events."""
+    events = _cur(spark, sf_dir)
+    base = scratch_path(spark, "warehouse")
+    paths = {t: f"{base}/{t}" for t in TABLES}
+    early = events.filter(F.col("event_time") < F.lit("2024-01-19 12:00:00").cast("timestamp"))
+    build_and_write(spark, early.filter(F.col("event_date") <= F.lit("2024-01-10").cast("date")), paths, MIN_RETENTION)
+    for i, (start, end) in enumerate(STEPS):
+        build_and_write(spark, events if i == len(STEPS) - 1 else early, paths, MIN_RETENTION, start, end)
+    return read_table_path(spark, paths["cohort_retention"], "cohort_retention")
+
+
+# ---- A11 A14 G2 across days ------------------------------------------------------------------
+REPLAYED = "CAST(substr(event_uuid, 3) AS BIGINT) % 40 = 0"
+
+
+@register(
+    "replayed_ids",
+    f"""{CUR}, sent AS (SELECT event_uuid, event_date FROM cur UNION ALL
+      SELECT event_uuid, CAST(event_date + INTERVAL 2 DAY AS DATE) FROM cur WHERE {REPLAYED} UNION ALL
+      SELECT event_uuid, CAST(event_date + INTERVAL 2 DAY AS DATE) FROM cur WHERE {REPLAYED}),
+    firsts AS (SELECT event_uuid, min(event_date) AS first_date FROM sent GROUP BY 1),
+    again AS (SELECT sent.* FROM sent JOIN firsts USING (event_uuid) WHERE first_date < event_date)
+    SELECT d.event_date, count(DISTINCT event_uuid) AS replayed_ids, count(event_uuid) AS replayed_rows
+    FROM (SELECT CAST(unnest(range(DATE '{DAILY_FIRST_DATE}', DATE '{DAILY_NEXT_DATE}' + 1, INTERVAL 1 DAY)) AS DATE) AS event_date) d
+      LEFT JOIN again USING (event_date) GROUP BY 1""",
+)
+def q_replayed_ids(spark, sf_dir):
+    """Some ids are sent again, twice, two days later, past the ingest's watermark: the index of id
+    hashes tells how many of a day's ids earlier days had."""
+    events = _cur(spark, sf_dir)
+    again = events.filter(F.expr(REPLAYED)).withColumns(
+        {"event_time": F.col("event_time") + F.expr("INTERVAL 2 DAYS"), "event_date": F.date_add("event_date", 2)}
+    )
+    sent = events.unionByName(again).unionByName(again)
+    config = _landed(spark, sent, MIN_ENGAGEMENT, replay_days=0, **_named())
+    curate_days(spark, config, "2024-01-01", "2024-02-28")
+    index_days(spark, config, "2024-01-01", "2024-02-28")
+    days = [d.isoformat() for d in days_between(DAILY_FIRST_DATE, DAILY_NEXT_DATE)]
+    return reduce(DataFrame.unionByName, [replayed_on(spark, config, d) for d in days])
+
+
 LATE_CUTOFF = "2024-01-15 08:00:00"  # what had landed when the first day was run
 
 
@@ -784,25 +922,55 @@ def q_file_profile_bad_lines(spark, sf_dir):
 LATE_FROM = "2024-01-20"
 
 
-@register("ingest_stream_late", f"{CUR} SELECT * FROM cur WHERE event_date >= DATE '{LATE_FROM}'")
-def q_ingest_stream_late(spark, sf_dir):
-    """Days in order, then days that the watermark has long passed: these rows are dropped.
+def _stream_of_parts(spark, sf_dir):
+    """Days in order, then days that the watermark has long passed, one run of the stream each.
 
     A micro-batch drops what is behind the watermark of the batch before the last, so two
-    batches come first."""
-    landing, out, ck = (scratch_path(spark, x) for x in ("landing", "ingest-out", "ingest-ck"))
+    parts come first. Returns where the rows and the batches' metrics are."""
+    landing, out, ck, metrics = (scratch_path(spark, x) for x in ("landing", "ingest-out", "ingest-ck", "ingest-metrics"))
     env = events_to_envelope(read_table(spark, sf_dir, "events"))
     day = F.to_date("event_time")
-    parts = [day.between(LATE_FROM, "2024-01-25"), day > "2024-01-25", day < "2024-01-10"]
-    for i, part in enumerate(parts):
-        if i:
-            time.sleep(1.1)  # files are taken by their time
-        write_json_lines(envelope_to_json(env.filter(part)).coalesce(1), landing, mode="append" if i else "overwrite")
-    curated = ingest(read_json_stream(spark, landing, max_files_per_trigger=1), FIXTURE_SALT)
-    with state_partitions(spark, spark.sparkContext.defaultParallelism):
-        query = ingest_writer(curated, ck, available_now=True).start(out)
-    query.awaitTermination()
-    return spark.read.parquet(out).select(*NO_INGEST_TIME)
+    for part in (day.between(LATE_FROM, "2024-01-25"), day > "2024-01-25", day < LATE_FROM):
+        write_json_lines(envelope_to_json(env.filter(part)), landing, mode="append")
+        curated = ingest(read_json_stream(spark, landing, max_files_per_trigger=None), FIXTURE_SALT)
+        with state_partitions(spark, spark.sparkContext.defaultParallelism):
+            query = ingest_writer(curated, ck, available_now=True).start(out)
+        recorded(spark, query, metrics)
+    return out, metrics
+
+
+@register("ingest_stream_late", f"{CUR} SELECT * FROM cur WHERE event_date >= DATE '{LATE_FROM}'")
+def q_ingest_stream_late(spark, sf_dir):
+    """Rows behind the watermark are dropped, all others land."""
+    return spark.read.parquet(_stream_of_parts(spark, sf_dir)[0]).select(*NO_INGEST_TIME)
+
+
+@register(
+    "ingest_dropped_rows",
+    f"""{CUR} SELECT CASE WHEN event_date < DATE '{LATE_FROM}' THEN 3 WHEN event_date <= DATE '2024-01-25' THEN 1 ELSE 2 END AS batch,
+      count(*) AS input_rows, count(*) FILTER (WHERE event_date < DATE '{LATE_FROM}') AS dropped_rows FROM cur GROUP BY 1""",
+)
+def q_ingest_dropped_rows(spark, sf_dir):
+    """What each micro-batch took in and dropped, from the table that the ingest keeps of it."""
+    rows = spark.read.parquet(_stream_of_parts(spark, sf_dir)[1])
+    number = F.row_number().over(Window.partitionBy("query_id").orderBy("batch_id"))  # a row a batch
+    return rows.select(number.alias("batch"), "input_rows", "dropped_rows")
+
+
+@register("ingest_stream_table", CURATED_SQL)
+def q_ingest_stream_table(spark, sf_dir):
+    """The stream into a catalog table, stopped and started again between two deliveries, of which
+    the second sends the first again: every row once. The watermark delay exceeds the data's span."""
+    landing = scratch_path(spark, "landing")
+    config = JobConfig(
+        warehouse=scratch_path(spark, "warehouse"), player_salt=FIXTURE_SALT, checkpoint_location=scratch_path(spark, "ingest-ck"),
+        state_partitions=spark.sparkContext.defaultParallelism, watermark="45 days", lookback_days=45, **_named(),
+    )
+    lines = load_json_lines(spark, sf_dir)
+    for part in (lines.filter(F.hash("value") % 2 == 0), lines):
+        write_json_lines(part, landing, mode="append")
+        start_ingest(read_json_stream(spark, landing), config, available_now=True).awaitTermination()
+    return spark.table(str(config.table_at(config.raw_table))).select(*NO_INGEST_TIME)
 
 
 # ---- X2-X4 ----------------------------------------------------------------------------

@@ -122,6 +122,11 @@ TABLE_DDL = {
         "game_id STRING, player_key STRING, event_date DATE, signup_date DATE, platform STRING, "
         "build STRING, country_code STRING, day_number INT"
     ),
+    "player_activity": (
+        "game_id STRING, player_key STRING, signup_date DATE, platform STRING, build STRING, "
+        "country_code STRING, days BIGINT, other_days INT"
+    ),
+    "event_ids": "id_hash BIGINT, id_check BIGINT, copies BIGINT, event_date DATE",
     "player_sessions": (
         "game_id STRING, player_key STRING, session_id STRING, event_date DATE, "
         "platform STRING, build STRING, country_code STRING, session_started_at TIMESTAMP, "
@@ -154,6 +159,8 @@ TABLE_DDL = {
 TABLE_PARTITION_COLUMN = {
     "game_events": "event_date",
     "player_days": "event_date",
+    "player_activity": "signup_date",
+    "event_ids": "event_date",
     "player_sessions": "event_date",
     "daily_engagement": "event_date",
     "cohort_retention": "cohort_date",
@@ -161,6 +168,21 @@ TABLE_PARTITION_COLUMN = {
     "economy_flows": "event_date",
 }
 
+# Catalog tables are bucketed too: rows of players by the player, so aggregates per player need no
+# shuffle however hot their game is; metric rows by the game that they are read by.
+BUCKETS = 16
+TABLE_BUCKET_COLUMNS = {
+    "game_events": ["player_key"],
+    "player_days": ["player_key"],
+    "player_activity": ["player_key"],
+    "event_ids": ["id_hash", "id_check"],
+    "player_sessions": ["player_key"],
+    "daily_engagement": ["game_id"],
+    "cohort_retention": ["game_id"],
+    "level_progression": ["game_id"],
+    "economy_flows": ["game_id"],
+}
+
 # Serving tables: partition key, clustering key and clustering direction of the date column.
 SERVING_TABLES = {
     "daily_engagement_by_game_day": {

@@ -11,8 +11,8 @@ produced with the merges of :mod:`playpulse.operators.serving`, either
   whole, never overwritten.
 
 ``replace`` says what a publication takes away: nothing (None, rows are upserted by key),
-the days of a range, (start, end), so that groups which the rebuilt days no longer have
-disappear, or everything (``"all"``). A keyed store is only appended to: rows that are no
+the days of a set, so that groups which the rebuilt days no longer have disappear, or
+everything (``"all"``). A keyed store is only appended to: rows that are no
 longer published must expire there by the store's own means.
 
 Rows with a null key part cannot be addressed and reach no store.
@@ -20,17 +20,20 @@ Rows with a null key part cannot be addressed and reach no store.
 
 from __future__ import annotations
 
+import datetime as _dt
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playpulse.config import JobConfig, scratch
-from playpulse.operators.serving import replace_date_range, split_null_keys, upsert_by_key
+from playpulse.operators.serving import replace_dates, split_null_keys, upsert_by_key
 from playpulse.schema import SERVING_DDL, SERVING_TABLES, serving_primary_key
 from playpulse.sources.files import delete, exists
-from playpulse.sources.tables import days_between, write_partitioned
+from playpulse.sources.tables import write_partitioned
 
 ALL = "all"
-Replace = tuple[str, str] | str | None
+Replace = Collection[_dt.date] | str | None
 
 
 def write_keyed_store(df: DataFrame, table: str, fmt: str, options: dict[str, str]) -> None:
@@ -43,7 +46,7 @@ def merged_rows(existing: DataFrame | None, rows: DataFrame, table: str, replace
         return rows
     if replace is None:
         return upsert_by_key(existing, rows, table)
-    return replace_date_range(existing, rows, table, *replace)
+    return replace_dates(existing, rows, table, replace)
 
 
 def publish_parquet(
@@ -66,9 +69,8 @@ def period_column(table: str) -> str:
     return SERVING_TABLES[table]["partition_key"][1]
 
 
-def periods_between(table: str, start: str, end: str) -> set:
-    """The values of the table's period column that hold the days ``start`` .. ``end``."""
-    days = days_between(start, end)
+def periods_of(table: str, days: Collection[_dt.date]) -> set:
+    """The values of the table's period column that hold ``days``."""
     if period_column(table) == SERVING_TABLES[table]["date_column"]:
         return set(days)
     return {d.strftime("%Y-%m") for d in days}
@@ -100,7 +102,7 @@ def publish_partitions(
             return read_serving_table(spark, path, table)
         periods = {r[0] for r in good.select(period).distinct().collect()}
         if replace is not None:
-            periods |= periods_between(table, *replace)
+            periods |= periods_of(table, replace)
         touched = read_serving_table(spark, path, table).filter(F.col(period).isin(list(periods)))
         merged_rows(touched, good, table, replace).write.parquet(merged)
         out = read_serving_table(spark, merged, table)

@@ -5,18 +5,26 @@ exactly the days it recomputed. Before a partitioned write the rows are passed
 through a ``rebalance`` hint on the partition column: adaptive execution splits a hot
 day over several tasks and merges small ones, so a day holding a third of the rows
 does not end up in one task, and small days do not leave a file per task.
+
+A table is a path or a :class:`CatalogTable`, a name in Spark's catalog. Catalog tables are
+read with ``spark.table`` and written with ``insertInto``, so the catalog's partitions follow
+each write; they are bucketed (``schema.TABLE_BUCKET_COLUMNS``), rows of one bucket and day meet
+before the write, and the statistics of the written partitions are brought up to date. A folder
+is used either by path or by name: files of the one aren't in the buckets of the other.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from playpulse.config import scratch
-from playpulse.schema import TABLE_DDL, TABLE_PARTITION_COLUMN
-from playpulse.sources.files import delete, is_streamed
+from playpulse.config import CatalogTable, scratch
+from playpulse.schema import BUCKETS, TABLE_BUCKET_COLUMNS, TABLE_DDL, TABLE_PARTITION_COLUMN
+from playpulse.sources.files import delete, exists, is_streamed
 
 WRITE_MODES = ("dynamic", "static", "append")
 
@@ -30,15 +38,45 @@ def empty_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.createDataFrame([], TABLE_DDL[name])
 
 
-def create_table_sql(name: str, location: str, catalog_table: str | None = None) -> str:
-    """``CREATE TABLE IF NOT EXISTS .. USING parquet PARTITIONED BY (day) LOCATION ..``."""
+def create_table_sql(name: str, location: str, catalog_table: str | None = None, buckets: int = 0) -> str:
+    """``CREATE TABLE IF NOT EXISTS .. USING parquet PARTITIONED BY (day) [CLUSTERED BY ..] LOCATION ..``."""
     part = TABLE_PARTITION_COLUMN[name]
+    clustered = ""
+    if buckets:
+        columns = TABLE_BUCKET_COLUMNS[name]
+        order = ", ".join(TABLE_SORT_COLUMNS.get(name, columns))
+        clustered = f"CLUSTERED BY ({', '.join(columns)}) SORTED BY ({order}) INTO {buckets} BUCKETS "
     return (
         f"CREATE TABLE IF NOT EXISTS {catalog_table or name} ({TABLE_DDL[name]}) "
-        f"USING parquet PARTITIONED BY ({part}) LOCATION '{location}'"
+        f"USING parquet PARTITIONED BY ({part}) {clustered}LOCATION '{location}'"
     )
 
 
+def ensure_table(spark: SparkSession, at: str, name: str, location: str, buckets: int = BUCKETS) -> None:
+    """Create the catalog table ``at`` over ``location`` if it isn't there, with the partitions found there."""
+    if not isinstance(at, CatalogTable) or spark.catalog.tableExists(str(at)):
+        return
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {at.database} LOCATION '{location.rpartition('/')[0]}'")
+    spark.sql(create_table_sql(name, location, at, buckets))
+    if exists(spark, location):
+        spark.sql(f"ALTER TABLE {at} RECOVER PARTITIONS")
+
+
+def location_of(spark: SparkSession, at: str) -> str:
+    """The folder of a table."""
+    if not isinstance(at, CatalogTable):
+        return at
+    return next(r[1] for r in spark.sql(f"DESCRIBE FORMATTED {at}").collect() if r[0] == "Location")
+
+
+def buckets_of(spark: SparkSession, at: CatalogTable) -> tuple[list[str], int] | None:
+    """Bucket columns and number of buckets of a catalog table."""
+    facts = {r[0]: r[1] for r in spark.sql(f"DESCRIBE FORMATTED {at}").collect()}
+    if "Num Buckets" not in facts:
+        return None
+    return [c.strip(" `") for c in facts["Bucket Columns"].strip("[]").split(",")], int(facts["Num Buckets"])
+
+
 def conform(df: DataFrame, name: str) -> DataFrame:
     """Select and cast the table's columns in DDL order (fails on a missing column)."""
     schema = empty_table(df.sparkSession, name).schema
@@ -61,6 +99,8 @@ def write_partitioned(
     """
     if mode not in WRITE_MODES:
         raise ValueError(f"mode must be one of {WRITE_MODES}")
+    if isinstance(path, CatalogTable):
+        return insert_into(df, path, partition_column, mode)
     if partition_column:
         df = df.hint("rebalance", partition_column)
     if sort_within:
@@ -84,33 +124,97 @@ def write_table(df: DataFrame, name: str, path: str, mode: str = "dynamic") -> N
     write_partitioned(conform(df, name), path, TABLE_PARTITION_COLUMN[name], mode)
 
 
+def insert_into(df: DataFrame, at: CatalogTable, partition_column: str, mode: str) -> None:
+    """Write rows into a catalog table; modes as for :func:`write_partitioned`.
+
+    A name has no write option for the overwrite mode, so the session's setting is made
+    dynamic: as ``static`` it would empty the table before a day is written.
+    """
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    rows = df.select(*spark.table(str(at)).columns)
+    bucketed = buckets_of(spark, at)
+    if bucketed:  # rows of one day and bucket meet in one task, a hot one in a few
+        columns, n = bucketed
+        rows = rows.withColumn("bucket_", F.pmod(F.hash(*columns), F.lit(n))).hint("rebalance", partition_column, "bucket_").drop("bucket_")
+    else:
+        rows = rows.hint("rebalance", partition_column)
+    seen = Observation()
+    rows = rows.observe(seen, F.collect_set(partition_column).alias("parts"))
+    rows.write.mode("append" if mode == "append" else "overwrite").insertInto(str(at))
+    written = observed_days(seen, "parts")
+    if mode == "static":
+        drop_partitions(spark, at, partition_column, partitions_of(spark, at) - written)
+    for value in sorted(written):
+        spark.sql(f"ANALYZE TABLE {at} PARTITION ({partition_column} = '{value}') COMPUTE STATISTICS")
+
+
+def observed_days(seen: Observation, name: str) -> set[_dt.date]:
+    """The dates that ``collect_set`` observed in a write that has ended.
+
+    Of an empty input Spark leaves out the whole plan, the observation with it, which then has
+    no row to give.
+    """
+    try:
+        return set(seen.get[name])
+    except Py4JJavaError as error:
+        if "AssertionError" not in str(error.java_exception):
+            raise
+        return set()
+
+
+def partitions_of(spark: SparkSession, at: CatalogTable) -> set[_dt.date]:
+    """The days that the catalog lists for a table."""
+    names = (r[0].partition("=")[2] for r in spark.sql(f"SHOW PARTITIONS {at}").collect())
+    return {_dt.date.fromisoformat(x) for x in names}
+
+
+def drop_partitions(spark: SparkSession, at: str, partition_column: str, values: Iterable[_dt.date]) -> None:
+    """Drop partitions and their files; those that aren't there are no error."""
+    location = location_of(spark, at).rstrip("/")
+    for value in values:
+        if isinstance(at, CatalogTable):
+            spark.sql(f"ALTER TABLE {at} DROP IF EXISTS PARTITION ({partition_column} = '{value}')")
+        delete(spark, f"{location}/{partition_column}={value}")
+
+
 def days_between(start: str, end: str) -> list[_dt.date]:
     first, last = _dt.date.fromisoformat(start), _dt.date.fromisoformat(end)
     return [first + _dt.timedelta(days=i) for i in range((last - first).days + 1)]
 
 
-def replace_days(
-    df: DataFrame, name: str, path: str, start: str, end: str, sort_within: list[str] | None = None
-) -> None:
-    """Replace the days ``start`` .. ``end`` of a day-partitioned table by ``df``.
+def in_days(column: str, days: Iterable[_dt.date]) -> Column:
+    """Whether a date column is one of ``days``; a filter that prunes partitions."""
+    return F.col(column).isin([F.lit(d) for d in days])
 
-    Unlike a dynamic overwrite alone, a day without a row in ``df`` loses its old rows (a
-    group that fell below the privacy threshold, say). ``df`` is staged in the shared
-    folder, so it may come from the table itself.
+
+def replace_partitions(
+    df: DataFrame, name: str, at: str, wanted: Iterable[_dt.date], drop_missing: bool = True, sort_within: list[str] | None = None
+) -> set[_dt.date]:
+    """Replace the partitions ``wanted`` of a table by ``df``, which must not read the table itself.
+
+    A row of any other partition fails the write before anything is replaced. Unlike a dynamic
+    overwrite alone, a wanted partition without a row in ``df`` loses its old rows (a group
+    that fell below the privacy threshold, say), unless ``drop_missing`` is off. Returns the
+    partitions that have rows now.
     """
-    part = TABLE_PARTITION_COLUMN[name]
-    with scratch(df.sparkSession) as s:
-        staged = s.path(f"{name}-days")
-        conform(df, name).write.parquet(staged)
-        rows = read_table_path(df.sparkSession, staged, name)
-        written = {r[0] for r in rows.select(part).distinct().collect()}  # days of the range
-        wanted = days_between(start, end)
-        if not written <= set(wanted):
-            raise ValueError(f"{name}: rows outside {start} .. {end}")
-        write_partitioned(rows, path, part, "dynamic", sort_within=sort_within or TABLE_SORT_COLUMNS.get(name))
-    for day in wanted:
-        if day not in written:
-            delete(df.sparkSession, f"{path.rstrip('/')}/{part}={day.isoformat()}")
+    part, wanted = TABLE_PARTITION_COLUMN[name], set(wanted)
+    other = F.raise_error(F.concat(F.lit(f"{name}: a row of the unwanted partition "), F.coalesce(F.col(part).cast("string"), F.lit("null"))))
+    seen = Observation()
+    rows = conform(df, name).withColumn(part, F.when(in_days(part, wanted), F.col(part)).otherwise(other.cast("date")))
+    rows = rows.observe(seen, F.collect_set(part).alias("parts"))
+    write_partitioned(rows, at, part, "dynamic", sort_within=sort_within or TABLE_SORT_COLUMNS.get(name))
+    written = observed_days(seen, "parts")
+    if drop_missing:
+        drop_partitions(df.sparkSession, at, part, wanted - written)
+    return written
+
+
+def replace_days(
+    df: DataFrame, name: str, path: str, start: str, end: str, sort_within: list[str] | None = None, drop_missing: bool = True
+) -> set[_dt.date]:
+    """:func:`replace_partitions` of the days ``start`` .. ``end``."""
+    return replace_partitions(df, name, path, days_between(start, end), drop_missing, sort_within)
 
 
 def read_table_path(spark: SparkSession, path: str, name: str | None = None) -> DataFrame:
@@ -119,6 +223,8 @@ def read_table_path(spark: SparkSession, path: str, name: str | None = None) ->
     With a table ``name`` the declared schema is used (no inference, and a table whose
     rows were all suppressed, so without data files, still reads as empty).
     """
+    if isinstance(path, CatalogTable):
+        return spark.table(str(path)).select(*empty_table(spark, name).columns if name else "*")
     if name is None:
         return spark.read.parquet(path)
     return spark.read.schema(empty_table(spark, name).schema).parquet(path)
@@ -163,7 +269,7 @@ def compact_partitions(
     A folder that a stream writes to is refused: its readers list the stream's log, which
     knows nothing of rewritten files, and rows may arrive meanwhile.
     """
-    if is_streamed(spark, table_path):
+    if is_streamed(spark, location_of(spark, table_path)):
         raise ValueError(f"{table_path} is written by a stream; copy its closed days to another table")
     wanted = F.col(partition_column).isin([F.lit(v).cast("date") for v in values])
     with scratch(spark) as s:

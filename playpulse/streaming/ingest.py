@@ -32,6 +32,8 @@ from playpulse.config import JobConfig
 from playpulse.functions.privacy import pseudonymize_player_id
 from playpulse.operators.decode import decode_events, validate_events
 from playpulse.schema import CURATED_EVENT_COLUMNS
+from playpulse.sources.tables import ensure_table
+from playpulse.streaming.metrics import recorded
 
 DEDUP_MODES = ("watermark", "state", "none")
 DEFAULT_WATERMARK = "24 hours"
@@ -146,7 +148,11 @@ def start_ingest(
     table: str | None = None,
     available_now: bool = False,
 ) -> StreamingQuery:
-    """Start the ingest stream into a path or a catalog table (the long-running job)."""
+    """Start the ingest stream into a path or a catalog table (the long-running job).
+
+    By default it is the landing table of the configuration. A catalog's landing table is not
+    bucketed, which a stream can't write; it is created if it is missing.
+    """
     if not config.player_salt:
         raise ValueError("PLAYER_HASH_SALT must be set")
     if config.state_store == "rocksdb":
@@ -155,16 +161,21 @@ def start_ingest(
     w = ingest_writer(
         curated, config.checkpoint_location, config.trigger_interval, available_now
     )
+    if path is None and table is None and config.catalog is not None:
+        table = config.table_at(config.raw_table)
+        ensure_table(raw.sparkSession, table, "game_events", config.table_path(config.raw_table), buckets=0)
     with state_partitions(raw.sparkSession, config.state_partitions):
         if table:
-            return w.toTable(table)
+            return w.toTable(str(table))
         return w.start(path or config.table_path(config.raw_table))
 
 
 def run_ingest(spark: SparkSession, config: JobConfig | None = None) -> None:
-    """Entry point of the streaming job: Kafka -> curated table, until stopped."""
+    """Entry point of the streaming job: Kafka -> landing table, until stopped; what each batch
+    took in and dropped is kept beside the landing table."""
     config = config or JobConfig.from_env()
-    start_ingest(read_kafka_stream(spark, config), config).awaitTermination()
+    query = start_ingest(read_kafka_stream(spark, config), config)
+    recorded(spark, query, f"{config.table_path(config.raw_table)}_metrics")
 
 
 if __name__ == "__main__":
