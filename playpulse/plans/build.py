@@ -172,10 +172,22 @@ def rebuild_cohorts(spark: SparkSession, paths: dict[str, str], minimum_group_si
     days = read_table_path(spark, paths["player_days"], "player_days")
     write_table(activity_of_days(days), "player_activity", paths["player_activity"], "static")
     activity = read_table_path(spark, paths["player_activity"], "player_activity")
-    write_table(retention_of_activity(activity, minimum_group_size), "cohort_retention", paths["cohort_retention"], "static")
+    write_cohorts(spark, activity, paths, minimum_group_size)
     delete(spark, pending_mark(spark, paths))
 
 
+def write_cohorts(spark: SparkSession, activity: DataFrame, paths: dict[str, str], minimum_group_size: int) -> None:
+    """All cohorts from all masks; the threshold that they were written with is noted beside them."""
+    write_table(retention_of_activity(activity, minimum_group_size), "cohort_retention", paths["cohort_retention"], "static")
+    noted = threshold_mark(spark, paths, minimum_group_size)
+    delete(spark, noted.rpartition("/")[0])
+    touch(spark, noted)
+
+
+def threshold_mark(spark: SparkSession, paths: dict[str, str], minimum_group_size: int) -> str:
+    return f"{location_of(spark, paths['player_activity']).rstrip('/')}_threshold/{minimum_group_size}"
+
+
 def pending_mark(spark: SparkSession, paths: dict[str, str]) -> str:
     """Present while player days and masks may disagree: a run that ended in between left it."""
     return f"{location_of(spark, paths['player_activity']).rstrip('/')}_pending"
@@ -189,7 +201,8 @@ def replace_cohorts(
     Old and new days are compared first; only the signup days of players with a change are
     read from the masks, merged and written, and only their cohorts are computed. The signup
     days come to the driver (one value a day of the game's life). Returns them, or None where
-    all cohorts were rebuilt: at the first run, and after a run that ended between the writes.
+    all cohorts were rebuilt: from all days at the first run and after a run that ended between
+    the writes, from all masks after a change of ``minimum_group_size``.
     """
     mark = pending_mark(spark, paths)
     activity_location = location_of(spark, paths["player_activity"])
@@ -212,6 +225,10 @@ def replace_cohorts(
             merged.write.parquet(merged_path)
             merged = spark.read.schema(merged.schema).parquet(merged_path)
             replace_partitions(merged, "player_activity", paths["player_activity"], changed)
+        if not exists(spark, threshold_mark(spark, paths, minimum_group_size)):
+            write_cohorts(spark, read_table_path(spark, paths["player_activity"], "player_activity"), paths, minimum_group_size)
+            changed = None
+        elif changed:
             replace_partitions(retention_of_activity(merged, minimum_group_size), "cohort_retention", paths["cohort_retention"], changed)
         delete(spark, mark)
         return changed

@@ -128,3 +128,12 @@ def test_a_table_without_masks_gets_them(spark, tmp_dir):
     shutil.rmtree(paths["player_sessions"] + "_activity")
     assert build_and_write(spark, events, paths, 1, "2024-01-10", "2024-01-12").cohorts is None
     assert rows_of(cohorts_of(spark, paths)) == rows_of(build_retention(events, 1))
+
+
+def test_another_threshold_rebuilds_all_cohorts(spark, tmp_dir):
+    events, paths = events_of(spark, 14, 150), paths_in(tmp_dir)
+    build_and_write(spark, events, paths, 1)
+    for minimum in (2, 1):
+        assert build_and_write(spark, events, paths, minimum, "2024-01-10", "2024-01-11").cohorts is None
+        assert rows_of(cohorts_of(spark, paths)) == rows_of(build_retention(events, minimum))
+    assert build_and_write(spark, events, paths, 1, "2024-01-10", "2024-01-11").cohorts == set()

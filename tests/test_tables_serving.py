@@ -286,7 +286,7 @@ def test_rows_that_land_during_a_run_are_kept(spark, tmp_dir, monkeypatch):
     write_table(curated(spark, [dict(event_time="2024-01-02 10:00:00")]), "game_events", landing, "static")
     late = curated(spark, [dict(event_uuid="late", event_time="2024-01-02 11:00:00")])
     build = daily.build_and_write
-    monkeypatch.setattr(daily, "build_and_write", lambda *a: (write_table(late, "game_events", landing, "append"), build(*a)))
+    monkeypatch.setattr(daily, "build_and_write", lambda *a, **k: (write_table(late, "game_events", landing, "append"), build(*a, **k))[1])
     run_daily(spark, cfg, "2024-01-02")
     monkeypatch.undo()
     assert read_table_path(spark, landing, "game_events").count() == 2
