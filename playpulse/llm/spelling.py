@@ -42,7 +42,7 @@ from playpulse.llm.crc_sql import crc32_sql
 
 LETTERS = "a-zÀ-ÿ"  # after A-Z are lower-cased
 GROUPS = 12
-SHARD_WORDS = 20_000
+SHARD_WORDS = 4_000
 LEAF_PAIRS = 512  # pairs of searching and stored words that are compared without going deeper
 FLUSH_PAIRS = 1 << 20
 LEAST_LENGTH = 6
