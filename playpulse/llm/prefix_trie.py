@@ -5,8 +5,8 @@ both, so texts are read once and never shuffled. Sequences are cut into segments
 ``SEGMENT`` turns; a segment begins at the node where the one before it ends, known by a key
 of all turns before it. Equal segments at one node are counted before anything else.
 
-Segments are dealt to shards by that node and their first turn; a first turn with more than
-``SHARD_SEGMENTS`` of them is dealt to several. A task gives the turns of its shard dense
+Segments are dealt to shards by that node and their first turn; if the most frequent of these
+has more than ``SHARD_SEGMENTS`` of them, each is dealt to several. A task gives the turns of its shard dense
 ids, packs the trie of its segments into the arrays BASE and CHECK (``double_array``) and
 walks it: the number of conversations and the smallest one of every node. Nodes that several
 shards have in common, the upper ones, are merged by their keys.
@@ -159,12 +159,10 @@ def nodes_of(parts: DataFrame, shard_segments: int = SHARD_SEGMENTS) -> DataFram
         ), "segments",
     )
     first = F.get("keys", F.lit(0))
-    total = distinct.count()
-    shards = max(1, -(-total // shard_segments))
-    many = distinct.groupBy("root", first.alias("first")).agg(F.count("*").alias("many")).where(F.col("many") > shard_segments)
-    part = F.pmod(F.xxhash64("end"), F.coalesce(F.ceil(F.col("many") / shard_segments), F.lit(1)))
-    dealt = distinct.withColumn("first", first).join(many, ["root", "first"], "left").withColumn("part", part)
-    shard = F.pmod(F.xxhash64("root", "first", "part"), F.lit(shards))
+    total, most = distinct.groupBy("root", first.alias("first")).agg(F.count("*").alias("n")).agg(F.sum("n"), F.max("n")).first()
+    shards, parts = (max(1, -(-(n or 0) // shard_segments)) for n in (total, most))
+    dealt = distinct.withColumn("part", F.pmod(F.xxhash64("end"), F.lit(parts)))
+    shard = F.pmod(F.xxhash64("root", first, "part"), F.lit(shards))
     found = dealt.select(shard.alias("shard"), "root", "up", "k", "keys", "words", "n", "low").groupBy("shard").applyInArrow(walk_shard, NODE)
     return found.groupBy("key").agg(
         F.first("up").alias("up"), F.first("depth").alias("depth"), F.sum("n").alias("n"), F.min("low").alias("low"), F.first("words").alias("words")
