@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from playpulse.llm.common import id_and_text, ship_code, slices, staged
-from playpulse.llm.tokens import token_bytes
+from playpulse.llm.tokens import splits_safely, token_bytes
 
 CAPACITY = 4096
 END_ID = 1
@@ -145,13 +145,14 @@ def best_fit(
     end_id: int = END_ID,
     id_col: str = "doc_id",
     text_col: str = "text",
-    by_word: bool = True,
+    by_word: bool | None = None,
 ) -> DataFrame:
     """A row per piece: (doc_id, piece, start, length, ids_crc32, sequence_id, offset).
 
     ``sequence_id`` counts the sequences from 0 without a gap.
     """
     ship_code(docs.sparkSession)
+    by_word = splits_safely(tokenizer) if by_word is None else by_word
     pieces = staged(cut_pieces(id_and_text(docs, id_col, text_col), tokenizer, capacity, end_id, by_word), "whole-pieces")
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     counts = pieces.groupBy("length", "task").agg(F.count("*").alias("n"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import zipfile
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playpulse.config import scratch_path
+from playpulse.sources.files import delete
 
 SLICE_BYTES = 8 << 20  # text handled at once inside a task
 
@@ -35,14 +37,32 @@ def ship_code(spark: SparkSession) -> None:
     _shipped.add(spark.sparkContext.applicationId)
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside the block are deleted at its end, but those that are kept; also after an error."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            delete(spark, path)
+
+
+def staged(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` below ``spark.checkpoint.dir`` and read it back.
 
     Cuts the lineage with files that every executor can reach, so a lost executor costs a
-    reread and not a recomputation.
+    reread and not a recomputation. Within ``temporary`` the table goes with the innermost
+    block, with ``keep`` with the one around it.
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
+    around = _scopes[: len(_scopes) - keep]
+    if around:
+        around[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from playpulse.llm.common import id_and_text, shared_setting, ship_code, slices, staged
 from playpulse.llm.mixing import BLOCK, placed
-from playpulse.llm.tokens import token_bytes
+from playpulse.llm.tokens import splits_safely, token_bytes
 
 CAPACITY = 2048
 FINEST = 128
@@ -123,7 +123,7 @@ def pack_documents(
     end_id: int = END_ID,
     id_col: str = "doc_id",
     text_col: str = "text",
-    by_word: bool = True,
+    by_word: bool | None = None,
     weights: dict[str, int] | None = None,
     block: int = BLOCK,
     source_col: str = "source",
@@ -133,6 +133,7 @@ def pack_documents(
     With ``weights`` the sequences follow the mix of the sources, and sequence_position is the last column.
     """
     ship_code(docs.sparkSession)
+    by_word = splits_safely(tokenizer) if by_word is None else by_word
     buckets = max(32, shared_setting(docs.sparkSession, "spark.sql.shuffle.partitions", 200))
     source = [F.col(f"`{source_col}`").cast("string").alias("source")] if weights else []
     texts = id_and_text(docs, id_col, text_col, *source)

@@ -16,15 +16,19 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from playpulse.llm.common import id_and_text, ship_code, slices
-from playpulse.llm.tokens import token_lengths
+from playpulse.llm.tokens import splits_safely, token_lengths
 
 CONTEXT = 2048
 
 
 def count_tokens(
-    docs: DataFrame, tokenizer: str, limit: int = CONTEXT, id_col: str = "doc_id", text_col: str = "text", by_word: bool = True
+    docs: DataFrame, tokenizer: str, limit: int = CONTEXT, id_col: str = "doc_id", text_col: str = "text", by_word: bool | None = None
 ) -> DataFrame:
-    """(doc_id, n_bytes, n_tokens, over_limit) of every row; ``over_limit``: more than ``limit`` tokens."""
+    """(doc_id, n_bytes, n_tokens, over_limit) of every row; ``over_limit``: more than ``limit`` tokens.
+
+    ``by_word`` (None: found out by trying): whether the tokenizer may be used word by word.
+    """
+    by_word = splits_safely(tokenizer) if by_word is None else by_word
 
     def counted(batches):
         for part in slices(batches, "text"):

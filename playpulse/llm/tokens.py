@@ -6,7 +6,7 @@ long texts. So is the place between a letter and a full stop or comma that ends
 lower and upper case Latin letters give the same ids. A worker encodes each distinct word of
 a slice once, in one batch call, and remembers words up to a fixed number; tokenizers whose
 pieces depend on case or on the white space around them are used on whole texts instead
-(``by_word=False``).
+(``by_word=False``; ``splits_safely`` tells by trying).
 """
 
 from __future__ import annotations
@@ -43,6 +43,19 @@ def load(path: str):
     return lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
+#: Texts whose ids change if their words' ids depend on white space, case, marks or neighbours.
+PROBES = [
+    "a b", "A b. C, d", "two  spaces\nline\tx", " before and after ", "ÉCOLE École école", "don't stop", "1 2 34", "The the THE", "x.y z,", "end.\n\nNew", "word" * 9 + " w",
+]
+
+
+@lru_cache(maxsize=8)
+def splits_safely(path: str) -> bool:
+    """Whether the ids of a text are those of its words, case and final marks apart, one after another."""
+    probes = pa.array(PROBES)
+    return token_bytes(probes, path, True) == token_bytes(probes, path, False)
+
+
 class WordCache:
     """Word to what ``of_ids`` makes of its ids; forgets everything when it is full."""
 

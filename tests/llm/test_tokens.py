@@ -103,3 +103,15 @@ def test_tiny_documents_fill_their_sequences(spark):
     docs = spark.createDataFrame([(i, f"{'ab' if i % 2 else 'cd'} ef") for i in range(6400)], "doc_id long, text string")
     lengths = [r[1] for r in pack_documents(docs, PATH).groupBy("sequence_id").sum("length").collect()]
     assert sum(lengths) > 0.9 * CAPACITY * len(lengths)
+
+
+def test_whether_words_may_be_used_is_found_out(spark):
+    from playpulse.llm.tokens import splits_safely
+
+    names = ("word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model")
+    assert [splits_safely(public_tokenizers.path(n)) for n in names] == [True, False, False]
+    for name in names[1:]:
+        path = public_tokenizers.path(name)
+        got = count_tokens(odd.documents(spark).where("doc_id in (7, 12, 15, 16)"), path).collect()
+        want = sorted((i, len(load(path)([t])[0])) for i, t in odd.texts() if i in (7, 12, 15, 16))
+        assert sorted((r.doc_id, r.n_tokens) for r in got) == want
