@@ -12,13 +12,15 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from playpulse.llm.common import staged
+from playpulse.config import scratch_path
+from playpulse.llm.common import temporary
 from playpulse.llm.mixing import RECIPE, in_mix_order
 from playpulse.llm.ngram_join import one_of_each_group
 from playpulse.llm.packing import pack_documents
 from playpulse.llm.quality_rules import kept_documents
 from playpulse.llm.queries import TOKENIZER, table
 from playpulse.llm.secret_scan import redacted
+from playpulse.sources.files import delete
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,8 +60,23 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages after one another over ``documents``; each is written and read again."""
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """All stages after one another over ``documents``; each is written and read again.
+
+    What a stage staged for itself is deleted once its rows are written, and these once the
+    next stage's are, so no text, masked or not, is left behind, also after an error. The last
+    stage has read its texts when it returns; its rows come from pieces without text.
+    """
+    docs, texts = table(spark, sf_dir, "documents"), []
+    try:
+        for name, stage in STAGES[:-1]:
+            with temporary(spark):
+                rows = stage(spark, docs, sf_dir)
+                texts.append(scratch_path(spark, f"llm-{name.replace(' ', '-')}"))
+                rows.write.parquet(texts[-1])
+            docs = spark.read.schema(rows.schema).parquet(texts[-1])
+            for path in texts[:-1]:
+                delete(spark, path)
+        return STAGES[-1][1](spark, docs, sf_dir)
+    finally:
+        for path in texts:
+            delete(spark, path)
