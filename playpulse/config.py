@@ -64,6 +64,7 @@ class JobConfig:
     minimum_privacy_group: int = DEFAULT_MINIMUM_PRIVACY_GROUP
     serving_format: str = "parquet"
     serving_options: Mapping[str, str] = field(default_factory=dict)
+    serving_delete_options: Mapping[str, str] | None = None  # what makes a keyed store delete the rows it is sent
     trigger_interval: str = "1 minute"
     watermark: str = "24 hours"
     dedup_mode: str = "watermark"
@@ -98,6 +99,7 @@ class JobConfig:
             ),
             serving_format=env.get("SERVING_FORMAT", d.serving_format),
             serving_options=json.loads(env.get("SERVING_OPTIONS", "{}")),
+            serving_delete_options=json.loads(env["SERVING_DELETE_OPTIONS"]) if env.get("SERVING_DELETE_OPTIONS") else None,
             dedup_mode=env.get("DEDUP_MODE", d.dedup_mode),
             state_store=env.get("STATE_STORE", d.state_store),
             max_offsets_per_trigger=int(env.get("MAX_OFFSETS_PER_TRIGGER", str(d.max_offsets_per_trigger))) or None,

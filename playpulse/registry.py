@@ -22,6 +22,8 @@ from playpulse.config import JobConfig, scratch_path
 from playpulse.functions.privacy import pseudonymize_player_id, suppress_small_groups
 from playpulse.functions.rules import is_valid_progression_status
 from playpulse.operators import profile as P
+from playpulse.operators.bitmaps import dense_ids, distinct_bitmaps, distinct_counts, session_sums
+from playpulse.operators.bitmaps import release_view as bitmap_release_view
 from playpulse.operators.decode import decode_events
 from playpulse.operators.engagement import build_daily_engagement, build_daily_revenue
 from playpulse.operators.extras import (
@@ -51,7 +53,7 @@ from playpulse.plans.curate import curate_days
 from playpulse.plans.daily import run_daily
 from playpulse.plans.publish import publish_all
 from playpulse.plans.replays import index_days, replayed_on
-from playpulse.schema import CURATED_EVENT_COLUMNS
+from playpulse.schema import BREAKDOWN_DIMENSIONS, CURATED_EVENT_COLUMNS, SERVING_DDL, serving_primary_key
 from playpulse.sources.fixtures import (
     curated_events,
     envelope_to_json,
@@ -62,7 +64,7 @@ from playpulse.sources.fixtures import (
 )
 from playpulse.sources.compaction import compact_small_files
 from playpulse.sources.jsonlines import read_json_lines, write_json_lines
-from playpulse.sources.serving import read_serving_table
+from playpulse.sources.serving import ALL, publish, read_serving_table
 from playpulse.sources.tables import (
     compact,
     compact_partitions,
@@ -93,6 +95,13 @@ SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def zone_free(df: DataFrame) -> DataFrame:
     """Cast every TIMESTAMP column to TIMESTAMP_NTZ (UTC wall clock)."""
     return df.select(
@@ -506,6 +515,35 @@ def q_serving_read_day(spark, sf_dir):
     return read_serving(rows, "level_progression_by_game_day", READ_GAME, READ_DAY)
 
 
+@register(
+    "serving_read_published",
+    f"""{SESSIONS_CTE} SELECT * FROM ({_engagement_serving_sql(MIN_ECONOMY)})
+    WHERE game_id = '{READ_GAME}' AND activity_month = '{READ_MONTH}'""",
+)
+def q_serving_read_published(spark, sf_dir):
+    """A game's month read from the published table, through its order and Bloom filters."""
+    table = "daily_engagement_by_game_day"
+    return read_serving(_published(table)(spark, sf_dir), table, READ_GAME, READ_MONTH)
+
+
+@register(
+    "keyed_store_deletions",
+    f"""{SESSIONS_CTE}, wide AS ({_engagement_serving_sql(1)}), narrow AS ({_engagement_serving_sql(MIN_ENGAGEMENT)})
+    SELECT {ENGAGEMENT_KEY} FROM wide ANTI JOIN narrow USING ({ENGAGEMENT_KEY})""",
+)
+def q_keyed_store_deletions(spark, sf_dir):
+    """Engagement published to a keyed store, then again under a higher privacy threshold: the keys
+    sent for deletion are those of the groups below it."""
+    store, deleted = scratch_path(spark, "store"), scratch_path(spark, "deleted")
+    config = JobConfig(
+        warehouse=scratch_path(spark, "warehouse"), serving_format="json", serving_options={"path": store}, serving_delete_options={"path": deleted}
+    )
+    table, facts = "daily_engagement_by_game_day", session_facts(_cur(spark, sf_dir))
+    for minimum in (1, MIN_ENGAGEMENT):
+        publish(spark, serving_engagement(build_daily_engagement(facts, minimum_group_size=minimum)), table, config, replace=ALL)
+    return spark.read.schema(SERVING_DDL[table]).json(deleted).select(*serving_primary_key(table))
+
+
 # ---- K6 dynamic partition overwrite, K11 compaction ----------------------------------
 OVERWRITE_CUTOFF = "2024-01-25 12:00:00"
 OVERWRITE_FROM = "2024-01-25"
@@ -1004,6 +1042,42 @@ def q_release_view(spark, sf_dir):
     return build_release_view(build_sessions(_cur(spark, sf_dir)), MIN_EXTRA)
 
 
+def _bitmaps(spark, sf_dir):
+    """Bitmaps and sums per day and dimensions, stored; ids of late players are added to those of the first days."""
+    sessions = build_sessions(_varied(spark, sf_dir))
+    early = sessions.filter(F.col("event_date") < F.lit(LATE_FROM).cast("date"))
+    ids = {c: dense_ids(sessions, c, known=staged(dense_ids(early, c), f"ids-{c}")) for c in ("player_key", "session_id")}
+    by = ["game_id", "event_date", *BREAKDOWN_DIMENSIONS]
+    return staged(distinct_bitmaps(sessions, by, ids), "bitmaps"), staged(session_sums(sessions, by), "sums")
+
+
+@register("release_view_of_bitmaps", SQL["release_view_varied"])
+def q_release_view_of_bitmaps(spark, sf_dir):
+    """The release view from stored bitmaps: equal to the recount of the sessions."""
+    return bitmap_release_view(*_bitmaps(spark, sf_dir), MIN_EXTRA)
+
+
+@register(
+    "monthly_players_of_bitmaps",
+    f"""{VARIED_SQL}, s AS ({O.sessions_body().replace("FROM cur", "FROM varied")})
+    SELECT game_id, strftime(event_date, '%Y-%m') AS month, platform, count(DISTINCT player_key) AS players,
+      count(DISTINCT session_id) AS sessions FROM s GROUP BY ALL""",
+)
+def q_monthly_players_of_bitmaps(spark, sf_dir):
+    """Distinct players and sessions per month and platform, OR-ed from the days' bitmaps."""
+    by = ["game_id", F.date_format("event_date", "yyyy-MM").alias("month"), "platform"]
+    counts = distinct_counts(_bitmaps(spark, sf_dir)[0], by, ["player_key", "session_id"])
+    return counts.withColumnsRenamed({"player_key": "players", "session_id": "sessions"})
+
+
+@register("profile_distincts_of_bitmaps", f"{VALID} SELECT count(DISTINCT user_id) AS players, count(DISTINCT session_id) AS sessions FROM v")
+def q_profile_distincts_of_bitmaps(spark, sf_dir):
+    """Players and sessions of the file profile from one bitmap per day."""
+    rows = staged(P.valid_rows(_parsed(spark, sf_dir)).select("event_day", "user_id", "session_id"), "valid")
+    days = staged(distinct_bitmaps(rows, ["event_day"], {c: dense_ids(rows, c) for c in ("user_id", "session_id")}), "bitmaps")
+    return distinct_counts(days, [], ["user_id", "session_id"]).withColumnsRenamed({"user_id": "players", "session_id": "sessions"})
+
+
 @register(
     "placement_exposure",
     f"""{CUR} SELECT * FROM (SELECT {O.DIMS}, category, event_id, count(*) AS events,

@@ -16,7 +16,7 @@ is used either by path or by name: files of the one aren't in the buckets of the
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -89,7 +89,8 @@ def write_partitioned(
     partition_column: str | None,
     mode: str = "dynamic",
     max_records_per_file: int | None = None,
-    sort_within: list[str] | None = None,
+    sort_within: list[str | Column] | None = None,
+    options: Mapping[str, str] | None = None,
 ) -> None:
     """Write Parquet partitioned by ``partition_column``.
 
@@ -107,7 +108,7 @@ def write_partitioned(
         # clusters values inside each file: Parquet min/max statistics then let pushed
         # filters on these columns skip row groups
         df = df.sortWithinPartitions(*([partition_column] if partition_column else []), *sort_within)
-    w = df.write.format("parquet")
+    w = df.write.format("parquet").options(**(options or {}))
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", str(max_records_per_file))
     if mode == "append":

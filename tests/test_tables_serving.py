@@ -337,4 +337,4 @@ def test_write_layout(spark, tmp_dir):
     for f in os.listdir(month):
         if f.endswith(".parquet"):
             t = pq.read_table(os.path.join(month, f)).select(["game_id", "activity_date", "platform"]).to_pylist()
-            assert t == sorted(t, key=lambda r: tuple(r.values()))
+            assert t == sorted(t, key=lambda r: (r["game_id"], -r["activity_date"].toordinal(), r["platform"]))
