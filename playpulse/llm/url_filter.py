@@ -2,11 +2,13 @@
 
 A rule is a host and a path: it fits the host and its subdomains if the path starts with the
 rule's. The rule whose text is longest decides. URLs that no rule fits are judged by
-gradient-boosted trees (Spark ML, on the JVM) trained on labelled URLs: by default the
-distinct URLs that the rules decide, ``TRAIN_ROWS`` of them at most, chosen by a hash.
+gradient-boosted trees (Spark ML, on the JVM) trained on labelled URLs: a table of them, or
+without one the distinct URLs that the rules decide. About ``TRAIN_ROWS`` of them at most are
+learned from, half of them of each verdict as far as there are so many, chosen by a hash.
 Features: length, depth, digit ratio, entropy, parameter count, the host's labels and hyphens,
 and for the host's suffix and the path's first part the share of blocked ones among the
-labelled URLs that have it, smoothed towards one half. Both verdicts weigh the same in training,
+labelled URLs that have it, smoothed towards one half; for a URL that is learned from, its own
+label is left out of these shares. Both verdicts weigh the same in training,
 so a URL that resembles neither is not judged by which verdict has more labels.
 
 Null URLs and URLs without ``://`` have an empty host and path and are judged by the trees on
@@ -82,10 +84,12 @@ def with_features(df: DataFrame) -> DataFrame:
     )
 
 
-def with_statistics(df: DataFrame, statistics: dict[str, DataFrame]) -> DataFrame:
+def with_statistics(df: DataFrame, statistics: dict[str, DataFrame], own_label: bool = False) -> DataFrame:
+    """``df`` with the smoothed share of blocked URLs of each group, of rows with a label without their own."""
+    bad, one = (F.col("label"), F.lit(1)) if own_label else (F.lit(0), F.lit(0))
     for g in GROUPS:
         df = df.join(statistics[g], g, "left").withColumns({
-            f"{g}_rate": (F.coalesce(F.col(f"{g}_bad"), F.lit(0)) + SMOOTHING / 2) / (F.coalesce(F.col(f"{g}_n"), F.lit(0)) + SMOOTHING),
+            f"{g}_rate": (F.coalesce(F.col(f"{g}_bad"), F.lit(0)) - bad + SMOOTHING / 2) / (F.coalesce(F.col(f"{g}_n"), F.lit(0)) - one + SMOOTHING),
         })
     return df
 
@@ -125,13 +129,12 @@ def judge_urls(
         g: staged(known.groupBy(g).agg(F.count("*").alias(f"{g}_n"), F.sum("label").alias(f"{g}_bad")), f"{g}-statistics") for g in GROUPS
     }
     wide = 1 << 20
-    share = min(wide, int(wide * train_rows / total))
-    train = known.where(F.pmod(F.xxhash64("url"), F.lit(wide)) < share) if share < wide else known
-    weight = F.when(F.col("label") == 1, 0.5 / bad).otherwise(0.5 / (total - bad)) * float(total)
+    of_verdict = F.when(F.col("label") == 1, F.lit(bad)).otherwise(F.lit(total - bad))
+    share = F.least(F.lit(wide), F.ceil(wide * train_rows / 2 / of_verdict))
+    weight = F.when(F.col("label") == 1, 0.5 / bad).otherwise(0.5 / (total - bad)) * F.lit(float(total)) * wide / share
     assemble = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    train = assemble.transform(with_statistics(train, statistics)).select("features", "label", weight.alias("weight"))
-    if train.select("label").distinct().count() < 2:  # a sample without one of the verdicts: take all
-        train = assemble.transform(with_statistics(known, statistics)).select("features", "label", weight.alias("weight"))
+    train = with_statistics(known.where(F.pmod(F.xxhash64("url"), F.lit(wide)) < share), statistics, own_label=True)
+    train = assemble.transform(train).select("features", "label", weight.alias("weight"))
     trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, maxBins=32, weightCol="weight").fit(train)
     scored = trees.transform(assemble.transform(with_statistics(rows, statistics)))
     score = vector_to_array(F.col("probability"))[1]

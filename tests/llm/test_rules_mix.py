@@ -1,4 +1,5 @@
 import math
+import random
 import re
 
 import duckdb
@@ -132,3 +133,76 @@ def test_url_trees_learn_from_labelled_urls(spark):
     test = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(rows[400:])], "page_id long, url string")
     got = judge_urls(test, rules=[], labelled=labelled).collect()
     assert sum(r.verdict == rows[400 + r.page_id][1] for r in got) >= 0.95 * len(got)
+
+
+def tree_value(lines, x):
+    """The prediction of a tree from its printed form."""
+    depth = len(lines[0]) - len(lines[0].lstrip())
+    if (m := re.match(r"\s*Predict: (\S+)", lines[0])):
+        return float(m[1])
+    m = re.match(r"\s*If \(feature (\d+) <= (\S+)\)", lines[0])
+    other = next(i for i, line in enumerate(lines) if line.startswith(" " * depth + "Else"))
+    return tree_value(lines[1:other], x) if x[int(m[1])] <= float(m[2]) else tree_value(lines[other + 1 :], x)
+
+
+def test_verdicts_without_a_rule_against_the_printed_trees(spark, monkeypatch):
+    """Features, leave-one-out shares of the labelled URLs, and the trees' sum, all computed anew."""
+    from collections import Counter
+
+    from playpulse.llm import url_filter as U
+
+    r = random.Random(12)
+    urls = sorted({f"http{'s' * r.randint(0, 1)}://{r.choice(['a-b.', '', 'x.y.'])}{r.choice(['spam', 'news', 'shop9'])}.{r.choice(['net', 'org', 'com'])}/{r.choice(['en', 'es', 'fr', ''])}/{r.randrange(500)}{r.choice(['', '?a=1&b=2', '?q'])}" for _ in range(700)})
+    labelled = [(u, "block" if "spam" in u or r.random() < 0.1 else "allow") for u in urls[:500]]
+    models = []
+
+    class Kept(U.GBTClassifier):
+        def fit(self, df):
+            self.seen = df.select("features", "label").collect()
+            models.append((super().fit(df), self.seen))
+            return models[-1][0]
+
+    monkeypatch.setattr(U, "GBTClassifier", Kept)
+    test = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {x.page_id: x for x in judge_urls(test, rules=[], labelled=spark.createDataFrame(labelled, "url string, verdict string")).collect()}
+    model, seen = models[0]
+
+    def entropy(u):
+        return -sum(c / len(u) * math.log2(c / len(u)) for c in Counter(u).values())
+
+    def features(u, own=None):
+        host, path = re.match(r"[^:]*://([^/?#]*)([^?#]*)", u).groups()
+        query = re.search(r"\?([^#]*)", u)
+        groups = []
+        for part in (lambda h, p: h.rpartition(".")[2], lambda h, p: (re.match("/([^/]*)", p) or ["", ""])[1]):
+            mine = part(host, path)
+            same = [v == "block" for w, v in labelled if w != own and part(*re.match(r"[^:]*://([^/?#]*)([^?#]*)", w).groups()) == mine]
+            groups.append((sum(same) + U.SMOOTHING / 2) / (len(same) + U.SMOOTHING))
+        return [len(u), len(host), len(re.findall("/[^/]", path)), sum(c.isdigit() for c in u) / len(u), entropy(u), query[1].count("&") + 1 if query and query[1] else 0, host.count(".") + 1, host.count("-"), *groups]
+
+    want = sorted([*[round(x, 9) for x in features(u, own=u)], float(v == "block")] for u, v in labelled)
+    assert sorted([*[round(float(x), 9) for x in s.features], s.label] for s in seen) == want
+    trees = [[line for line in t.toDebugString.splitlines()[1:]] for t in model.trees]
+    for i, u in enumerate(urls):
+        raw = sum(w * tree_value(t, features(u)) for w, t in zip(model.treeWeights, trees))
+        p = 1 / (1 + math.exp(-2 * raw))
+        assert abs(got[i].block_score - p) < 1e-6
+        if abs(p - 0.5) > 1e-6:
+            assert got[i].verdict == ("block" if p > 0.5 else "allow")
+
+
+def test_a_sample_has_both_verdicts(spark, monkeypatch):
+    from playpulse.llm import url_filter as U
+
+    rows = [(f"http://a{i}.org/{i}", "allow") for i in range(3000)] + [(f"http://bad{i}.net/x{i}/?y=1", "block") for i in range(4)]
+    sizes = []
+
+    class Kept(U.GBTClassifier):
+        def fit(self, df):
+            sizes.append({x.label: x["count"] for x in df.groupBy("label").count().collect()})
+            return super().fit(df)
+
+    monkeypatch.setattr(U, "GBTClassifier", Kept)
+    test = spark.createDataFrame([(1, "http://bad9.net/x9/?y=1"), (2, "http://a9.org/77")], "page_id long, url string")
+    got = {x.page_id: x.verdict for x in judge_urls(test, rules=[], labelled=spark.createDataFrame(rows, "url string, verdict string"), train_rows=400).collect()}
+    assert got == {1: "block", 2: "allow"} and sizes[0][1.0] == 4 and 120 < sizes[0][0.0] < 280
