@@ -206,3 +206,13 @@ def test_a_sample_has_both_verdicts(spark, monkeypatch):
     test = spark.createDataFrame([(1, "http://bad9.net/x9/?y=1"), (2, "http://a9.org/77")], "page_id long, url string")
     got = {x.page_id: x.verdict for x in judge_urls(test, rules=[], labelled=spark.createDataFrame(rows, "url string, verdict string"), train_rows=400).collect()}
     assert got == {1: "block", 2: "allow"} and sizes[0][1.0] == 4 and 120 < sizes[0][0.0] < 280
+
+
+def test_mixing_of_repeated_rows_equals_sql(spark):
+    """Repeated rows get a place each; which of two equal rows gets which cannot be told apart."""
+    rows = [(i % 40, None, f"src{i % 40 % 5}", None) for i in range(200)] + [(None, "x", "src0", None)] * 5
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, slot string")
+    columns = ["doc_id", "source", "mix_source", "block", "slot", "position"]
+    mixed = mixing.mix_sources(docs, block=4)
+    assert rows_of(mixed, columns) == in_duckdb(spark, mixing.sql(block=4), documents=docs)
+    assert mixed.select("position").distinct().count() == len(rows)
