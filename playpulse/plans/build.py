@@ -66,6 +66,12 @@ def curated_at(spark: SparkSession, config: JobConfig) -> str:
     return config.table_at(config.curated_table)
 
 
+def landing_at(spark: SparkSession, config: JobConfig) -> str:
+    """Where the landing table is; one of a catalog is created if it is missing, without buckets, which a stream can't write."""
+    ensure_table(spark, config.table_at(config.raw_table), "game_events", config.table_path(config.raw_table), buckets=0)
+    return config.table_at(config.raw_table)
+
+
 def _in_range(events: DataFrame, start: str | None, end: str | None) -> DataFrame:
     if start is None or end is None:
         return events

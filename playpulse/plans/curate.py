@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from playpulse.config import JobConfig, argument, build_session, default_run_date
-from playpulse.plans.build import curated_at
+from playpulse.plans.build import curated_at, landing_at
 from playpulse.sources.tables import read_table_path, replace_days
 
 
@@ -26,7 +26,7 @@ def first_day(run_date: str, config: JobConfig) -> str:
 
 def curate_days(spark: SparkSession, config: JobConfig, start: str, end: str) -> set[_dt.date]:
     """Copy the days ``start`` .. ``end``; returns those that the landing table holds."""
-    landed = read_table_path(spark, config.table_at(config.raw_table), "game_events")
+    landed = read_table_path(spark, landing_at(spark, config), "game_events")
     wanted = F.col("event_date").between(F.to_date(F.lit(start)), F.to_date(F.lit(end)))
     return replace_days(landed.filter(wanted), "game_events", curated_at(spark, config), start, end, drop_missing=False)
 

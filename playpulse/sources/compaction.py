@@ -80,10 +80,13 @@ def first_fit(target_bytes: int):
     return pack
 
 
+def small_files(sizes: DataFrame, target_bytes: int) -> DataFrame:
+    return sizes.where(F.col("length") < F.lit(int(SMALL * target_bytes)))
+
+
 def small_file_groups(sizes: DataFrame, target_bytes: int = TARGET_BYTES) -> DataFrame:
     """(day, bucket, path, length, pack, files): the small files that are worth merging; one pack becomes one file."""
-    small = sizes.where(F.col("length") < F.lit(int(SMALL * target_bytes)))
-    return small.groupBy("day", "bucket").applyInPandas(first_fit(target_bytes), GROUPS).where("files > 1")
+    return small_files(sizes, target_bytes).groupBy("day", "bucket").applyInPandas(first_fit(target_bytes), GROUPS).where("files > 1")
 
 
 def compact_small_files(
@@ -98,7 +101,11 @@ def compact_small_files(
     if is_streamed(spark, location):
         raise ValueError(f"{location} is written by a stream; copy its closed days to another table")
     finish(spark, location)
-    groups = small_file_groups(file_sizes(spark, location, part, days), target_bytes)
+    several = small_files(file_sizes(spark, location, part, days), target_bytes).groupBy("day", "bucket").count().where("count > 1")
+    busy = {r[0] for r in several.select("day").distinct().collect()}
+    if not busy:
+        return {}
+    groups = small_file_groups(file_sizes(spark, location, part, busy), target_bytes)
     with scratch(spark) as s:
         path = s.path("small-files")
         groups.write.parquet(path)
