@@ -171,11 +171,8 @@ def judged(
         text_of(text_col).alias("text"),
     )
     counts = staged(with_counts(rows, F.col("text"), "c").select("doc_id", "stratum", "c"), "rule-counts")
-    values = counts.select(
-        "doc_id", "stratum", "c.*", base_failed(F.col("c")).alias("base_failed"), *[per_thousand(F.col("c"), r).alias(r) for r in RULES]
-    )
-    labelled = values.where(~F.col("base_failed")).join(labels_of(labels, id_col, label_col), "doc_id")
-    chosen = staged(choose_cutoffs(labelled, alpha, delta, cutoffs), "rule-cutoffs")
+    values = values_of(counts)
+    chosen = staged(choose_cutoffs(labelled_values(values, labels, id_col, label_col), alpha, delta, cutoffs), "rule-cutoffs")
     passed = ~F.col("base_failed")
     for r in RULES:
         passed = passed & (F.col(r) <= F.coalesce(F.col(f"max_{r}"), F.lit(1000)))
@@ -185,26 +182,45 @@ def judged(
     return verdicts, chosen
 
 
+def values_of(counts: DataFrame) -> DataFrame:
+    """Counts (doc_id, stratum, c) spread out, with what the rules make of them."""
+    return counts.select(
+        "doc_id", "stratum", "c.*", base_failed(F.col("c")).alias("base_failed"), *[per_thousand(F.col("c"), r).alias(r) for r in RULES]
+    )
+
+
+def labelled_values(values: DataFrame, labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
+    return values.where(~F.col("base_failed")).join(labels_of(labels, id_col, label_col), "doc_id")
+
+
 def kept_documents(
-    docs: DataFrame, labels: DataFrame, text_col: str = "text", stratum_col: str = "lang", **options
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    stratum_col: str = "lang",
+    label_col: str = "quality",
+    alpha: float = ALPHA,
+    delta: float = DELTA,
+    cutoffs: list[int] = CUTOFFS,
 ) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns.
 
-    Counts are taken again in the scan that writes the rows, so no text is shuffled.
+    The rows are written once with their counts; cutoffs are found on the counts alone, and
+    the verdict is taken where the rows are read again. Texts are counted once, none is shuffled.
     """
-    _, chosen = judged(docs, labels, text_col=text_col, stratum_col=stratum_col, **options)
     name, stratum = free_name(docs, "rule_counts"), free_name(docs, "rule_stratum")
     limits = {r: free_name(docs, f"rule_max_{r}") for r in RULES}
-    chosen = chosen.select(F.col("stratum").alias(stratum), *[F.col(f"max_{r}").alias(v) for r, v in limits.items()])
     rows = with_counts(docs, text_of(text_col), name).withColumn(
         stratum, F.coalesce(F.col(f"`{stratum_col}`").cast("string"), F.lit(""))
     )
-    # each condition needs a column of the other side, else the optimizer would move it below
-    # the columns of with_counts and evaluate their lambdas inside one another
-    passed = F.lit(True)
+    rows = staged(rows, "rule-documents")
+    counts = rows.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(stratum).alias("stratum"), F.col(name).alias("c"))
+    chosen = staged(choose_cutoffs(labelled_values(values_of(counts), labels, id_col, label_col), alpha, delta, cutoffs), "rule-cutoffs")
+    chosen = chosen.select(F.col("stratum").alias(stratum), *[F.col(f"max_{r}").alias(v) for r, v in limits.items()])
+    passed = ~base_failed(F.col(name))
     for r, limit in limits.items():
-        value = F.when(base_failed(F.col(name)), 2000).otherwise(per_thousand(F.col(name), r))
-        passed = passed & (F.coalesce(F.col(limit), F.lit(1000)) >= value)
+        passed = passed & (F.coalesce(F.col(limit), F.lit(1000)) >= per_thousand(F.col(name), r))
     return rows.join(chosen, stratum, "left").where(passed).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
