@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from playpulse.llm.common import free_name, id_and_text, shared_setting, ship_code, slices, staged, text_of
+from playpulse.llm.common import free_name, id_and_text, shared_setting, ship_code, slices, staged, temporary, text_of
 from playpulse.llm.components import components
 from playpulse.llm.shingles import WORDS, set_keys, shingle_sets
 
@@ -47,6 +47,7 @@ HOT = 8  # times the mean of a slot
 CENTRES = 2
 PIVOTS = 64
 SLICE_BYTES = 4 << 20  # of text at once; its shingles take some thirty times as much
+RANGE_SHINGLES = 1 << 19  # shingles of a hash range, which is one group
 FILTER_BITS = 1 << 24  # of the filter that spares documents without a candidate; larger inputs only spare less
 
 
@@ -362,46 +363,46 @@ def jaccard_components(
     spark = docs.sparkSession
     ship_code(spark)
     docs = id_and_text(docs, id_col, text_col)
-    width = power_of_two(shared_setting(spark, "spark.sql.shuffle.partitions", 200))
-    ranges = max(64, 4 * width)
-    slots = max(1 << 14, 4 * ranges)
-    signed = staged(signatures(docs, words, slots), "signatures")
-    keyed = signed.where("kind = 0").drop("kind")
-    if keyed.where("key is not null").groupBy("key").agg(F.min("chk").alias("l"), F.max("chk").alias("h")).where("l != h").limit(1).count():
-        raise ValueError("two different shingle sets have the same 64-bit key")
-    per_slot = signed.where("kind = 1").groupBy(F.col("doc_id").alias("slot")).agg(F.sum("n").alias("n"))
-    total = per_slot.agg(F.sum("n")).first()[0] or 0
-    slot_counts = np.zeros(slots, np.int64)
-    for r in per_slot.where(F.col("n") >= max(HOT, HOT * total / slots)).collect():  # slots / HOT rows at most
-        slot_counts[r["slot"]] = r["n"]
-    entries = staged(prefixes(docs, words, percent, ranges, slot_counts), "prefixes")
-
-    wanted = (
-        entries.join(entries.groupBy("gram").agg(F.count("*").alias("m")).where("m > 1"), "gram", "left_semi").select("key").distinct()
-        .join(keyed.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id")), "key").select("doc_id")
-    )
-    sets = staged(whole_sets(docs, wanted, words), "sets")
-    compared = links = comps = None
-    left = entries.withColumn("comp", F.col("key"))
-    for turn in range(CENTRES):
-        pairs = centre_pairs(left, turn, percent)
-        pairs = staged(pairs if compared is None else pairs.join(compared, ["a", "b"], "left_anti"), "pairs")
-        compared = pairs if compared is None else compared.union(pairs)
-        found = staged(verified(pairs, sets, percent), "links")
-        links = found if links is None else links.union(found)
+    with temporary(spark):
+        slots = max(1 << 14, 16 * power_of_two(shared_setting(spark, "spark.sql.shuffle.partitions", 200)))
+        signed = staged(signatures(docs, words, slots), "signatures")
+        keyed = signed.where("kind = 0").drop("kind")
+        if keyed.where("key is not null").groupBy("key").agg(F.min("chk").alias("l"), F.max("chk").alias("h")).where("l != h").limit(1).count():
+            raise ValueError("two different shingle sets have the same 64-bit key")
+        per_slot = signed.where("kind = 1").groupBy(F.col("doc_id").alias("slot")).agg(F.sum("n").alias("n"))
+        total = per_slot.agg(F.sum("n")).first()[0] or 0
+        slot_counts = np.zeros(slots, np.int64)
+        for r in per_slot.where(F.col("n") >= max(HOT, HOT * total / slots)).collect():  # slots / HOT rows at most
+            slot_counts[r["slot"]] = r["n"]
+        ranges = max(64, power_of_two(total // RANGE_SHINGLES))
+        entries = staged(prefixes(docs, words, percent, ranges, slot_counts), "prefixes")
+
+        wanted = (
+            entries.join(entries.groupBy("gram").agg(F.count("*").alias("m")).where("m > 1"), "gram", "left_semi").select("key").distinct()
+            .join(keyed.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id")), "key").select("doc_id")
+        )
+        sets = staged(whole_sets(docs, wanted, words), "sets")
+        compared = links = comps = None
+        left = entries.withColumn("comp", F.col("key"))
+        for turn in range(CENTRES):
+            pairs = centre_pairs(left, turn, percent)
+            pairs = staged(pairs if compared is None else pairs.join(compared, ["a", "b"], "left_anti"), "pairs")
+            compared = pairs if compared is None else compared.union(pairs)
+            found = staged(verified(pairs, sets, percent), "links")
+            links = found if links is None else links.union(found)
+            comps = components(links)
+            left = crossing(left.select("gram", "key", "n", "pos"), comps)[0]
+        pairs = remaining_pairs(left, percent).join(compared, ["a", "b"], "left_anti")
+        found = staged(verified(staged(pairs, "pairs"), sets, percent), "links")
+        links = staged(links.union(found), "links")
         comps = components(links)
-        left = crossing(left.select("gram", "key", "n", "pos"), comps)[0]
-    pairs = remaining_pairs(left, percent).join(compared, ["a", "b"], "left_anti")
-    found = staged(verified(staged(pairs, "pairs"), sets, percent), "links")
-    links = staged(links.union(found), "links")
-    comps = components(links)
-
-    ends = links.select(F.col("a").alias("key")).union(links.select("b")).groupBy("key").agg(F.count("*").alias("n_verified"))
-    known = staged(comps.join(ends, "key", "left"), "components")
-    placed = staged(keyed.join(known, "key", "left").select("doc_id", "text_hash", "n", F.coalesce("comp", "key").alias("comp"), F.coalesce("n_verified", F.lit(0).cast("long")).alias("n_verified")), "placed")
-    names = staged(
-        placed.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("name"), F.count("*").alias("m")).where("m > 1").drop("m"), "names"
-    )
+
+        ends = links.select(F.col("a").alias("key")).union(links.select("b")).groupBy("key").agg(F.count("*").alias("n_verified"))
+        known = staged(comps.join(ends, "key", "left"), "components")
+        placed = staged(keyed.join(known, "key", "left").select("doc_id", "text_hash", "n", F.coalesce("comp", "key").alias("comp"), F.coalesce("n_verified", F.lit(0).cast("long")).alias("n_verified")), "placed", keep=True)
+        names = staged(
+            placed.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("name"), F.count("*").alias("m")).where("m > 1").drop("m"), "names", keep=True
+        )
     return placed.join(names, "comp", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("name", "doc_id").alias("component_id"), "n_verified", "text_hash"
     )
@@ -426,3 +427,26 @@ def one_of_each_group(
     rows = hashed.join(stays.distinct(), same)
     copy = F.row_number().over(Window.partitionBy(n["id"], n["hash"]).orderBy(n["hash"]))
     return rows.withColumn(n["copy"], copy).where((F.col(n["copy"]) == 1) | F.col(n["empty"])).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def sql(words: int = WORDS, percent: int = PERCENT) -> str:
+    """Components over ``documents`` in DuckDB SQL: all pairs that share a shingle, by an inverted index."""
+    gram = " || ' ' || ".join(f"w[i + {k}]" for k in range(words))
+    return f"""
+WITH RECURSIVE texts AS (
+  SELECT row_number() OVER () AS rid, doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+grams AS MATERIALIZED (
+  SELECT DISTINCT rid, gram FROM (
+    SELECT rid, unnest(CASE WHEN len(w) < {words} THEN [array_to_string(w, ' ')]
+      ELSE list_transform(range(1, len(w) - {words} + 2), lambda i: {gram}) END) AS gram FROM texts WHERE len(w) > 0)),
+sizes AS MATERIALIZED (SELECT rid, count(*) AS n FROM grams GROUP BY rid),
+links AS MATERIALIZED (
+  SELECT a, b FROM (SELECT x.rid AS a, y.rid AS b, count(*) AS shared FROM grams x JOIN grams y ON x.gram = y.gram AND x.rid < y.rid GROUP BY ALL)
+  JOIN sizes p ON p.rid = a JOIN sizes q ON q.rid = b WHERE 100 * shared >= {percent} * (p.n + q.n - shared)),
+edges AS MATERIALIZED (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (
+  SELECT rid, rid AS other FROM texts UNION SELECT reach.rid, edges.b FROM reach JOIN edges ON edges.a = reach.other),
+names AS (SELECT r.rid, min(t.doc_id) AS component_id FROM reach r JOIN texts t ON t.rid = r.other GROUP BY r.rid)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM texts JOIN names USING (rid) LEFT JOIN sizes USING (rid)"""

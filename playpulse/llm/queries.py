@@ -8,10 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playpulse.llm import mixing, prefix_trie, quality_rules, spelling, topk_search
+from playpulse.llm import mixing, ngram_join, prefix_trie, quality_rules, spelling, topk_search
 from playpulse.llm.best_fit import best_fit
 from playpulse.llm.html_extract import extract_text
-from playpulse.llm.ngram_join import jaccard_components
 from playpulse.llm.packing import pack_documents
 from playpulse.llm.quality_crf import score_documents
 from playpulse.llm.secret_scan import scan_secrets
@@ -56,7 +55,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(table(spark, sf_dir, "documents"))
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,6 +88,7 @@ SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 SQL: dict[str, str] = {
     "op3_mixing": mixing.sql(),
     "op7_quality_rules": quality_rules.sql(),
+    "op8_ngram_join": ngram_join.sql(),
     "op10_topk_search": topk_search.sql(QUERY_DIVISOR),
     "op11_spelling_variants": spelling.sql(SLIP_DIVISOR),
     "op13_conversation_trie": prefix_trie.sql(),

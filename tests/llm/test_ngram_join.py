@@ -6,6 +6,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 
+from playpulse.llm import ngram_join
 from playpulse.llm.components import components
 from playpulse.llm.ngram_join import FILTER_BITS, jaccard_components, overlap_bound, packed_grams, packed_steps, unpacked_grams, unpacked_steps
 from playpulse.llm.shingles import shingle_sets
@@ -108,3 +109,22 @@ def test_against_all_pairs(spark):
     r.shuffle(rows)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     assert found(jaccard_components(docs)) == brute(rows)
+
+
+def test_ranges_follow_the_data_and_not_the_session(spark, monkeypatch):
+    """A hash range's group stays near its bound, whatever the number of shuffle partitions is."""
+    docs = spark.createDataFrame([(i, odd.prose(i, 400)) for i in range(300)], "doc_id long, text string")
+    monkeypatch.setattr(ngram_join, "RANGE_SHINGLES", 256)
+    asked = []
+    prefixes = ngram_join.prefixes
+    monkeypatch.setattr(ngram_join, "prefixes", lambda d, w, p, ranges, counts: asked.append((ranges, counts.max())) or prefixes(d, w, p, ranges, counts))
+    results = []
+    for partitions in ("4", "64"):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        try:
+            results.append(sorted(map(tuple, ngram_join.jaccard_components(docs).select("doc_id", "component_id").collect())))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "4")
+    total = 300 * 396
+    assert [r for r, _ in asked] == [512, 512] and total / 512 <= 256
+    assert results[0] == results[1] and len(results[0]) == 300

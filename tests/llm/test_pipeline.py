@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pytest
 
 import corpus_pipeline
 from playpulse.llm import mixing, quality_rules, secret_scan
@@ -108,3 +109,43 @@ def test_stages_pack_by_the_recipe(spark, tmp_path, monkeypatch):
         monkeypatch.setattr(corpus_pipeline, "RECIPE", weights)
         got.append({(r.doc_id, r.start): (r.sequence_id, r.offset) for r in corpus_pipeline.packed(spark, docs, str(tmp_path)).collect()})
     assert got[0].keys() == got[1].keys() and got[0] != got[1]
+
+
+def test_a_run_leaves_no_text(spark, tmp_path):
+    """Every file left in the shared folder after the result is written, looked through for words of the texts."""
+    import glob
+    import os
+
+    import corpus_pipeline
+    import pyarrow.parquet as pq
+
+    from playpulse.config import shared_dir
+
+    if not os.path.isdir("/root/testdata/sf0.001"):
+        pytest.skip("driver tables not present")
+    before = set(os.listdir(shared_dir(spark)))
+    out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    out.write.parquet(str(tmp_path / "out"))
+    left = sorted(set(os.listdir(shared_dir(spark))) - before)
+    for name in left:
+        for f in glob.glob(f"{shared_dir(spark)}/{name}/**/*.parquet", recursive=True):
+            columns = pq.read_schema(f).names
+            assert "text" not in columns and "hashes" not in columns, (name, columns)
+    assert spark.read.parquet(str(tmp_path / "out")).count() > 0
+
+
+def test_temporary_tables_go_and_kept_ones_stay(spark):
+    import os
+
+    from playpulse.llm.common import staged, temporary
+
+    with pytest.raises(RuntimeError):
+        with temporary(spark):
+            with temporary(spark):
+                inner, kept = staged(spark.range(3), "inner"), staged(spark.range(4), "kept", keep=True)
+                paths = [os.path.dirname(df.inputFiles()[0].removeprefix("file://")) for df in (inner, kept)]
+            assert [os.path.exists(p) for p in paths] == [False, True] and kept.count() == 4
+            raise RuntimeError
+    assert not os.path.exists(paths[1])
+    last = staged(spark.range(2), "last")
+    assert last.count() == 2

@@ -65,7 +65,7 @@ def talk(seed, n, texts=3, longest=6):
 ODD = [
     (1, None, "user", "first\tof all"), (1, 0, None, "x"), (1, 1, "user", None), (1, 1, "user", None), (1, 1, "bot", "tie"),
     (None, 0, "user", "nobody"), (2, 5, "user", "late start"), (-5, 0, "user", "negative"), (-20, 0, "user", "negative"), (3, 0, "", ""), (3, 0, "", ""),
-    *[(20, t, "user", f"turn {t} " * 5) for t in range(300)], *[(41, t, "user", f"turn {t} " * 5) for t in range(200)], *[(44, t, "user", f"turn {t} " * 5) for t in range(130)],
+    *[(20, t, "user", f"turn {t} " * 5) for t in range(150)], *[(41, t, "user", f"turn {t} " * 5) for t in range(140)], *[(44, t, "user", f"turn {t} " * 5) for t in range(130)],
     (60, 0, "user", "word " * 50_000), (61, 0, "user", "word " * 50_000), (62, 0, "x", "word"),
 ]
 
@@ -83,11 +83,12 @@ def test_odd_rows(spark):
     assert prefix_trie(frame(spark, ODD).where("false"), shape=rebuilt).count() == 0
 
 
-def test_one_conversation_in_most_rows(spark):
-    """One long conversation, one that many share, and a first turn that most begin with."""
-    rows = [(7, t, "user", f"step {t}") for t in range(3000)]
+def test_one_conversation_in_most_rows(spark, monkeypatch):
+    """One long conversation, over many slabs, one that many share, and a first turn that most begin with."""
+    monkeypatch.setattr("playpulse.llm.prefix_trie.SLAB", 16)
+    rows = [(7, t, "user", f"step {t}") for t in range(200)]
     rows += [(c, t, "user", f"hello {t}") for c in range(100, 400) for t in range(3)]
-    rows += [(c, t, "user", f"hello 0" if t == 0 else f"{c} {t}") for c in range(400, 700) for t in range(3)]
+    rows += [(c, t, "user", "hello 0" if t == 0 else f"{c} {t}") for c in range(400, 700) for t in range(3)]
     assert result(prefix_trie(frame(spark, rows), shard_segments=20)) == brute(rows)
 
 
