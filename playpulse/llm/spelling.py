@@ -133,13 +133,13 @@ def letter_groups(words: DataFrame, groups: int) -> list[str]:
 
 def vector(word: Column, groups: list[str]) -> Column:
     left = [F.length(F.translate(word, g, "")) if g else F.length(word) for g in groups]
-    return F.array(*[(F.length(word) - x).cast("short") for x in left])
+    return F.array(*[(F.length(word) - x).cast("int") for x in left])
 
 
 def reachable(vec: Column, depth: int) -> Column:
     """All beginnings of ``depth`` counts that a surplus of one and, behind it, a deficit of one make of a vector."""
     moves = [{}, *[{i: 1} for i in range(depth)], *[{i: 1, j: -1} for i in range(depth) for j in range(i + 1, depth)]]
-    cell = lambda i, d: (F.get(vec, F.lit(i)) + F.lit(d)).cast("short")
+    cell = lambda i, d: (F.get(vec, F.lit(i)) + F.lit(d)).cast("int")
     made = F.array(*[F.array(*[cell(i, m.get(i, 0)) for i in range(depth)]) for m in moves])
     return F.filter(made, lambda x: F.forall(x, lambda c: c >= 0))
 
@@ -214,7 +214,8 @@ def pairs_of_shard(rows: pa.Table) -> pa.Table:
     sides = []
     for part in (rows.filter(searching), rows.filter(pc.invert(searching))):
         flat = part.column("vec").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.int32)
-        sides.append((part.column("word").to_pylist(), part.column("n").to_numpy(), flat.reshape(part.num_rows, -1)))
+        vectors = flat.reshape(part.num_rows, len(flat) // max(1, part.num_rows))  # a block may have none on one side
+        sides.append((part.column("word").to_pylist(), part.column("n").to_numpy(), vectors))
     (words, n, vec), (others, other_n, other_vec) = sides
     found = []
     if words and others:

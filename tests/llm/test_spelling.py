@@ -107,7 +107,7 @@ def test_the_trie_opens_few_leaves():
     r = np.random.default_rng(4)
     vectors = r.integers(0, 3, (20_000, 12))
     reached = sum(len(i) for i, _ in Trie(vectors).search(vectors[:200]))
-    assert reached < 0.01 * 200 * 20_000
+    assert reached < 0.03 * 200 * 20_000  # leaves hold up to LEAF_PAIRS pairs that are compared at once
     all_pairs = {(i, j) for a, b in Trie(vectors).search(vectors[:50]) for i, j in zip(a.tolist(), b.tolist())}
     assert {(i, i) for i in range(50)} <= all_pairs
 
