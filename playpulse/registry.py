@@ -63,6 +63,7 @@ from playpulse.sources.fixtures import (
     read_table,
 )
 from playpulse.sources.compaction import compact_small_files
+from playpulse.sources.files import exists
 from playpulse.sources.jsonlines import read_json_lines, write_json_lines
 from playpulse.sources.serving import ALL, publish, read_serving_table
 from playpulse.sources.tables import (
@@ -541,7 +542,9 @@ def q_keyed_store_deletions(spark, sf_dir):
     table, facts = "daily_engagement_by_game_day", session_facts(_cur(spark, sf_dir))
     for minimum in (1, MIN_ENGAGEMENT):
         publish(spark, serving_engagement(build_daily_engagement(facts, minimum_group_size=minimum)), table, config, replace=ALL)
-    return spark.read.schema(SERVING_DDL[table]).json(deleted).select(*serving_primary_key(table))
+    # a store that was sent no deletion has no folder
+    sent = spark.read.schema(SERVING_DDL[table]).json(deleted) if exists(spark, deleted) else spark.createDataFrame([], SERVING_DDL[table])
+    return sent.select(*serving_primary_key(table))
 
 
 # ---- K6 dynamic partition overwrite, K11 compaction ----------------------------------

@@ -3,7 +3,9 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
+from playpulse import registry
 from playpulse.config import JobConfig
 from playpulse.operators.serving import read_serving, serving_engagement
 from playpulse.schema import serving_primary_key
@@ -111,6 +113,15 @@ def test_vanished_keys_are_deleted_from_a_keyed_store(spark, tmp_dir, monkeypatc
     assert set(serving_primary_key(TABLE)) <= set(known.columns)
 
 
+def test_a_store_that_is_sent_no_deletion(spark, tmp_dir):
+    """All groups are above the privacy threshold: the second publication takes nothing away."""
+    rows = [(i, dt.datetime(2024, 1, 2, 10, 0, i % 60), i, "view", 1.0, '{"k": 1}') for i in range(400)]
+    schema = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).withColumn("ts", F.col("ts").cast("timestamp_ntz")).write.parquet(f"{tmp_dir}/events.parquet")
+    out = registry.SPARK["keyed_store_deletions"](spark, tmp_dir)
+    assert out.columns == serving_primary_key(TABLE) and out.collect() == []
+
+
 def test_a_publication_that_failed_forgets_no_key(spark, tmp_dir, monkeypatch):
     cfg = JobConfig(warehouse=tmp_dir, serving_format="store", serving_delete_options={"ttl": "1"})
     sent = []
