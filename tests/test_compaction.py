@@ -105,6 +105,53 @@ def test_a_run_that_ends_in_between_loses_and_doubles_nothing(spark, tmp_dir, mo
     assert {len(f) for f in data_files(path).values()} == {1}
 
 
+def test_old_files_go_at_the_cost_of_one_deletion_a_day(spark, tmp_dir, monkeypatch):
+    path = os.path.join(tmp_dir, "events")
+    want = rows_of(small_table(spark, path, n=90, each=1))
+    deleted, done = [], compaction.delete
+    monkeypatch.setattr(compaction, "delete", lambda spark, p: (deleted.append(p), done(spark, p)))
+    assert compact_small_files(spark, path, "game_events", DAYS) == {d: 30 for d in DAYS}
+    assert len(deleted) == len(DAYS) + 1  # the log too
+    assert rows_of(read_table_path(spark, path, "game_events")) == want
+
+
+@pytest.mark.parametrize("few", [-1, 10])
+def test_files_that_stay_or_came_since_are_kept(spark, tmp_dir, monkeypatch, few):
+    path = os.path.join(tmp_dir, "events")
+    want = rows_of(small_table(spark, path))
+    monkeypatch.setattr(compaction, "FEW", few)
+    day = "file:" + os.path.join(path, "event_date=2024-01-01")
+    first, *rest = data_files(path)["event_date=2024-01-01"]
+    lost = rows_of(spark.read.schema(read_table_path(spark, path, "game_events").schema).option("basePath", path).parquet(*[f"{day}/{f}" for f in rest]))
+    for _ in range(2):  # the second time there is nothing to do
+        compaction.take_out(spark, day, {*rest, "gone-before"}, os.path.join(path, "_compaction", "x-old"))
+        assert data_files(path)["event_date=2024-01-01"] == [first]
+    assert rows_of(read_table_path(spark, path, "game_events")) == sorted(set(want) - set(lost))
+
+
+@pytest.mark.parametrize("step", ["make_folder", "move", "delete"])
+@pytest.mark.parametrize("call", [1, 2, 3, 4])
+def test_a_replacement_that_ends_at_any_step_is_finished_by_the_next(spark, tmp_dir, monkeypatch, step, call):
+    path = os.path.join(tmp_dir, "events")
+    want = rows_of(small_table(spark, path))
+    done, calls = getattr(compaction, step), []
+
+    def fail(*args):
+        calls.append(args)
+        if len(calls) == call:
+            raise RuntimeError("lost")
+        return done(*args)
+
+    monkeypatch.setattr(compaction, step, fail)
+    with pytest.raises(RuntimeError):
+        compact_small_files(spark, path, "game_events", DAYS)
+    monkeypatch.undo()
+    compact_small_files(spark, path, "game_events", DAYS)
+    assert rows_of(read_table_path(spark, path, "game_events")) == want
+    assert {len(f) for f in data_files(path).values()} == {1}
+    assert not os.path.exists(os.path.join(path, "_compaction"))
+
+
 def test_a_streamed_folder_is_refused(spark, tmp_dir):
     path = os.path.join(tmp_dir, "landing")
     small_table(spark, path)
