@@ -16,6 +16,7 @@ is used either by path or by name: files of the one aren't in the buckets of the
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Iterable, Mapping
 
 from py4j.protocol import Py4JJavaError
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from playpulse.config import CatalogTable, scratch
 from playpulse.schema import BUCKETS, TABLE_BUCKET_COLUMNS, TABLE_DDL, TABLE_PARTITION_COLUMN
-from playpulse.sources.files import delete, exists, is_streamed
+from playpulse.sources.files import delete, delete_all, exists, folders, is_streamed, make_folder, move
 
 WRITE_MODES = ("dynamic", "static", "append")
 
@@ -262,27 +263,67 @@ def compact_partitions(
 ) -> None:
     """Rewrite only the given partitions of a table in place (a daily job's days).
 
-    The partitions' rows are first copied to a fresh folder below the shared
-    checkpoint folder, then written back with dynamic partition overwrite: only those
-    partitions are replaced, the rest of the table is not read or rewritten, and the
-    job never reads the path it overwrites. The row multiset is unchanged.
+    The partitions' rows are written once, to a new folder of the table that readers skip; then
+    each partition's folder is moved aside and the new one into its place, and what was moved
+    aside is deleted. The rest of the table is not read or rewritten, and the job never reads
+    the path it overwrites. A partition without rows stays as it is. The row multiset is
+    unchanged. A catalog table gets its rows back from a copy below the shared checkpoint
+    folder, with dynamic partition overwrite.
 
     A folder that a stream writes to is refused: its readers list the stream's log, which
     knows nothing of rewritten files, and rows may arrive meanwhile.
     """
-    if is_streamed(spark, location_of(spark, table_path)):
+    location = location_of(spark, table_path).rstrip("/")
+    if is_streamed(spark, location):
         raise ValueError(f"{table_path} is written by a stream; copy its closed days to another table")
     wanted = F.col(partition_column).isin([F.lit(v).cast("date") for v in values])
-    with scratch(spark) as s:
-        staged = s.path("compact-stage")
-        source = read_table_path(spark, table_path, table).filter(wanted)
-        source.write.parquet(staged)
-        rows = spark.read.schema(source.schema).parquet(staged)
-        if table is not None:
-            rows = conform(rows, table)
-        if sort_within is None and table is not None:
-            sort_within = TABLE_SORT_COLUMNS.get(table)
-        write_partitioned(rows, table_path, partition_column, "dynamic", max_records_per_file, sort_within)
+    source = read_table_path(spark, table_path, table).filter(wanted)
+    if sort_within is None and table is not None:
+        sort_within = TABLE_SORT_COLUMNS.get(table)
+
+    def write(rows: DataFrame, to: str, mode: str) -> None:
+        rows = rows if table is None else conform(rows, table)
+        write_partitioned(rows, to, partition_column, mode, max_records_per_file, sort_within)
+
+    if isinstance(table_path, CatalogTable):
+        with scratch(spark) as s:
+            staged = s.path("compact-stage")
+            source.write.parquet(staged)
+            write(spark.read.schema(source.schema).parquet(staged), table_path, "dynamic")
+        return
+    run = f"{location}/_compact-{uuid.uuid4().hex[:12]}"
+    try:
+        write(source, f"{run}/new", "static")
+    except BaseException:
+        delete(spark, run)
+        raise
+    old = swap_folders(spark, f"{run}/new", location, f"{run}/old")
+    delete_all(spark, old)
+    delete(spark, run)
+    spark.catalog.refreshByPath(location)
+
+
+def swap_folders(spark: SparkSession, new: str, location: str, aside: str) -> list[str]:
+    """Move the folders of ``new`` to ``location``, those of their names there to ``aside``; returns where these are now.
+
+    If one can't be moved in, the one it should replace is moved back.
+    """
+    make_folder(spark, aside)
+    replaced = []
+    for name in folders(spark, new):
+        at, old = f"{location}/{name}", f"{aside}/{name}"
+        there = exists(spark, at)
+        if there:
+            move(spark, at, old)
+        try:
+            move(spark, f"{new}/{name}", at)
+        except BaseException:
+            if there:
+                move(spark, old, at)
+            raise
+        if there:
+            replaced.append(old)
+    return replaced
 
 
 def file_count(spark: SparkSession, path: str) -> int:

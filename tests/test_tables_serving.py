@@ -82,6 +82,61 @@ def test_compact_partitions_in_place(spark, tmp_dir):
     assert sorted(spark.read.parquet(path).select(cols).collect()) == sorted(df.select(cols).collect())
 
 
+def _three_days(spark, path):
+    df = curated(spark, [dict(event_time=f"2024-01-0{1 + i % 3} 10:00:{i % 60:02d}") for i in range(60)])
+    write_partitioned(df, path, "event_date", "static", max_records_per_file=2)
+    cols = sorted(df.columns)
+    return lambda: sorted(spark.read.parquet(path).select(cols).collect()) == sorted(df.select(cols).collect())
+
+
+def test_compact_partitions_writes_rows_once(spark, tmp_dir, monkeypatch):
+    from playpulse.sources import tables
+
+    path = os.path.join(tmp_dir, "events")
+    whole, writes = _three_days(spark, path), []
+    write = tables.write_partitioned
+    monkeypatch.setattr(tables, "write_partitioned", lambda df, to, *a: (writes.append(to), write(df, to, *a)))
+    monkeypatch.setattr(tables, "scratch", lambda spark: pytest.fail("rows are copied before they are compacted"))
+    cached = spark.read.parquet(path).cache()
+    assert cached.count() == 60
+    tables.compact_partitions(spark, path, "event_date", ["2024-01-01", "2024-01-02", "2024-02-01"], table="game_events")
+    assert len(writes) == 1 and writes[0] != path
+    assert whole() and cached.count() == 60
+    cached.unpersist()
+    assert sorted(n for n in os.listdir(path) if n[0] not in "._") == [f"event_date=2024-01-0{d}" for d in (1, 2, 3)]
+    assert not [n for n in os.listdir(path) if n.startswith("_compact")]
+    tables.compact_partitions(spark, path, "event_date", ["2024-02-01"])  # no rows
+    assert whole()
+
+
+def test_compact_partitions_moves_back_what_it_cannot_replace(spark, tmp_dir, monkeypatch):
+    from playpulse.sources import tables
+
+    path = os.path.join(tmp_dir, "events")
+    whole = _three_days(spark, path)
+    move = tables.move
+
+    def failing(spark, at, to):
+        if "/new/event_date=2024-01-02" in at:
+            raise OSError("no space")
+        move(spark, at, to)
+
+    monkeypatch.setattr(tables, "move", failing)
+    with pytest.raises(OSError, match="no space"):
+        tables.compact_partitions(spark, path, "event_date", ["2024-01-01", "2024-01-02", "2024-01-03"], table="game_events")
+    assert whole()
+
+
+def test_a_failed_write_leaves_the_partitions(spark, tmp_dir, monkeypatch):
+    from playpulse.sources import tables
+
+    path = os.path.join(tmp_dir, "events")
+    whole = _three_days(spark, path)
+    with pytest.raises(Exception, match="nowhere"):
+        tables.compact_partitions(spark, path, "event_date", ["2024-01-02"], sort_within=["nowhere"])
+    assert whole() and not [n for n in os.listdir(path) if n.startswith("_compact")]
+
+
 def _engagement_rows(spark, rows):
     schema = ("game_id string, event_date date, platform string, build string, country_code string, "
               "dau long, sessions long, avg_session_seconds double, p95_session_seconds long, "
