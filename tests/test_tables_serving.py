@@ -137,6 +137,22 @@ def test_a_failed_write_leaves_the_partitions(spark, tmp_dir, monkeypatch):
     assert whole() and not [n for n in os.listdir(path) if n.startswith("_compact")]
 
 
+def test_many_small_files_have_no_files_beside_them(spark, tmp_dir, monkeypatch):
+    """Each file of the queries' small-file tables is one file; file sizes stay as asked for."""
+    from playpulse import registry
+
+    rows = curated(spark, [dict(event_time=f"2024-01-0{1 + i % 2} 10:00:{i % 60:02d}") for i in range(300)])
+    monkeypatch.setattr(registry, "_cur", lambda spark, sf_dir: rows)
+    made = []
+    monkeypatch.setattr(registry, "scratch_path", lambda spark, name: made.append(os.path.join(tmp_dir, name)) or made[-1])
+    out = registry.SPARK["compact_table"](spark, tmp_dir)
+    assert sorted(out.collect()) == sorted(rows.select(*out.columns).collect())
+    for day in (1, 2):
+        files = os.listdir(os.path.join(made[0], f"event_date=2024-01-0{day}"))
+        assert len(files) == 3 and all(f.startswith("part-") and f.endswith(".parquet") for f in files)
+    assert {r["count"] for r in spark.read.parquet(made[0]).groupBy(F.input_file_name()).count().collect()} == {50}
+
+
 def _engagement_rows(spark, rows):
     schema = ("game_id string, event_date date, platform string, build string, country_code string, "
               "dau long, sessions long, avg_session_seconds double, p95_session_seconds long, "
