@@ -19,7 +19,9 @@ words, their shards are cut into blocks of words and of searching words, and eve
 meets every other, so no pair is lost and no task gets more than two blocks.
 
 Roots follow the forms by pointer doubling; a form is several times as frequent as its word,
-so chains are short. Everything but the letters' groups and the depth stays distributed.
+so chains are short. Everything but the letters' groups and the depth stays distributed: Spark
+takes a stored table to be as large as its compressed file, also behind an explode, and would
+send it whole through the driver, so joins with such tables ask for a sort-merge join.
 
 Null texts have no words; of null ids no letter is left out; repeated ids and rows count again;
 an empty table gives no row; further columns are ignored.
@@ -264,8 +266,9 @@ def near_words(words: DataFrame, groups: int = GROUPS, shard_words: int = SHARD_
     begin, reach = F.slice("vec", 1, depth), F.explode(reachable(F.col("vec"), depth))
     shards = (
         vectors.groupBy(begin.alias("shard")).agg(F.sum("m").alias("stored"))
-        .join(vectors.select(reach.alias("shard"), "m").groupBy("shard").agg(F.sum("m").alias("searching")), "shard")
+        .join(vectors.select(reach.alias("shard"), "m").groupBy("shard").agg(F.sum("m").alias("searching")).hint("merge"), "shard")
         .select("shard", *[F.ceil(F.col(c) / F.lit(shard_words)).alias(f"{c}_blocks") for c in ("stored", "searching")])
+        .hint("merge")
     )
     block = lambda c: F.pmod(F.xxhash64("word"), F.col(f"{c}_blocks"))
     blocks = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"{c}_blocks") - 1))
@@ -283,7 +286,7 @@ def roots(forms: DataFrame) -> DataFrame:
     at = staged(forms.select("word", F.col("form").alias("root")), "roots")
     while True:
         onward = at.select(F.col("word").alias("root"), F.col("root").alias("onward"))
-        step = staged(at.join(onward, "root", "left").select("word", F.coalesce("onward", "root").alias("root"), F.col("onward").isNotNull().alias("moved")), "roots")
+        step = staged(at.join(onward.hint("merge"), "root", "left").select("word", F.coalesce("onward", "root").alias("root"), F.col("onward").isNotNull().alias("moved")), "roots")
         at = step.select("word", "root")
         if step.where("moved").limit(1).count() == 0:
             return at
@@ -301,11 +304,11 @@ def spelling_variants(words: DataFrame, ratio: int = RATIO, shard_words: int = S
     )
     formed = F.col("near_n") >= ratio * F.col("n")
     known = staged(
-        words.join(best.select("word", "n_near", F.col("best.near").alias("near"), (-F.col("best.less")).alias("near_n")), "word", "left")
+        words.join(best.select("word", "n_near", F.col("best.near").alias("near"), (-F.col("best.less")).alias("near_n")).hint("merge"), "word", "left")
         .select("word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), F.when(formed, F.col("near")).alias("form"), F.when(formed, F.col("near_n")).alias("form_n")),
         "forms",
     )
-    return known.join(roots(known.where("form is not null")), "word", "left").select(
+    return known.join(roots(known.where("form is not null")).hint("merge"), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n"
     )
 

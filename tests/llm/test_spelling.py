@@ -5,6 +5,8 @@ from collections import Counter
 
 import numpy as np
 
+from playpulse.llm import spelling
+from playpulse.llm.common import staged
 from playpulse.llm.spelling import Trie, count_words, near_words, one_apart, roots, spelling_variants
 
 from . import odd
@@ -79,6 +81,17 @@ def test_pairs_come_once_each_way(spark):
     assert got == Counter((a, b, words[b]) for a in words for b in words if near(a, b))
 
 
+def test_no_table_goes_through_the_driver_by_the_size_of_its_file(spark, monkeypatch):
+    """Rows behind an explode are taken to be as few bytes as the file: too low, they mustn't be broadcast."""
+    words = frame(spark, some_words(5, 200))
+    planned = [near_words(staged(words, "words"))]
+    monkeypatch.setattr(spelling, "staged", lambda df, name: planned.append(df) or staged(df, name))
+    planned.append(spelling_variants(words))
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in planned]
+    assert sum("SortMergeJoin" in p for p in plans) > 3
+    assert not [p for p in plans if "Broadcast" in p]
+
+
 def test_words_of_odd_texts(spark):
     rows = [*odd.texts(), (77, "don't STOP-stop Éclair éclair ÀÖØß × a÷b " * 9), (78, "übermäßig " * 300)]
     df = spark.createDataFrame([(i, t, "x", 0) for i, t in rows], "doc_id long, text string, word string, n int")
