@@ -6,10 +6,11 @@ import os
 import pandas as pd
 import pytest
 from helpers import curated
+from pyspark.sql import functions as F
 
-from playpulse.sources import compaction
+from playpulse.sources import compaction, tables
 from playpulse.sources.compaction import compact_small_files, file_sizes, first_fit, small_file_groups
-from playpulse.sources.tables import read_table_path, write_partitioned
+from playpulse.sources.tables import folders_at_once, read_many_files, read_table_path, write_partitioned
 
 DAYS = [dt.date(2024, 1, d) for d in (1, 2, 3)]
 
@@ -158,3 +159,61 @@ def test_a_streamed_folder_is_refused(spark, tmp_dir):
     os.makedirs(path + "/_spark_metadata")
     with pytest.raises(ValueError, match="stream"):
         compact_small_files(spark, path, "game_events", DAYS)
+
+
+def test_the_driver_lists_some_days_at_a_time(spark, tmp_dir, monkeypatch):
+    path = os.path.join(tmp_dir, "events")
+    want = rows_of(small_table(spark, path))
+    monkeypatch.setattr(tables, "FILES_AT_ONCE", 7)  # a day has 5 files
+    listed, sizes, some = [], compaction.file_sizes, compaction.read_folders
+    monkeypatch.setattr(compaction, "file_sizes", lambda *a: (listed.append(len((df := sizes(*a)).inputFiles())), df)[1])
+    monkeypatch.setattr(compaction, "read_folders", lambda *a: (listed.append(len((df := some(*a)).inputFiles())), df)[1])
+    assert compact_small_files(spark, path, "game_events", DAYS) == {d: 5 for d in DAYS}
+    assert listed == [5] * 6  # each day's sizes, then its rows
+    assert {len(f) for f in data_files(path).values()} == {1}
+    assert rows_of(read_table_path(spark, path, "game_events")) == want
+    assert not os.path.exists(os.path.join(path, "_compaction"))
+
+
+def test_a_run_that_ends_between_days_keeps_all_rows(spark, tmp_dir, monkeypatch):
+    path = os.path.join(tmp_dir, "events")
+    want = rows_of(small_table(spark, path))
+    monkeypatch.setattr(tables, "FILES_AT_ONCE", 1)
+    done, calls = compaction.merge_files, []
+
+    def fail(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        return done(*args)
+
+    monkeypatch.setattr(compaction, "merge_files", fail)
+    with pytest.raises(RuntimeError):
+        compact_small_files(spark, path, "game_events", DAYS)
+    assert rows_of(read_table_path(spark, path, "game_events")) == want
+    assert compact_small_files(spark, path, "game_events", DAYS) == {d: 5 for d in DAYS[1:]}
+    assert rows_of(read_table_path(spark, path, "game_events")) == want
+
+
+def test_a_table_of_many_files_is_read_some_days_at_a_time(spark, tmp_dir, monkeypatch):
+    path = os.path.join(tmp_dir, "events")
+    df = curated(spark, [dict(event_time=f"2024-01-0{1 + i % 3} 10:00:{i % 60:02d}", value=float(i)) for i in range(60)])
+    df = df.unionByName(df.limit(4).withColumn("event_date", F.lit(None).cast("date")))  # a day that isn't known is a folder too
+    write_partitioned(df, path, "event_date", "static", max_records_per_file=4)
+    whole = read_table_path(spark, path, "game_events")
+    assert len(read_many_files(spark, path, "game_events").inputFiles()) == 16  # few files are read where they are
+    monkeypatch.setattr(tables, "FILES_AT_ONCE", 7)
+    got = read_many_files(spark, path, "game_events")
+    assert got.schema == whole.schema and len(got.inputFiles()) < 16
+    assert rows_of(got) == rows_of(whole) == rows_of(df)
+
+
+def test_folders_at_once(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(tables, "FILES_AT_ONCE", 5)
+    for name, n in {"a": 2, "b": 3, "c": 1, "d": 9, "e": 0, "f": 5}.items():
+        os.makedirs(os.path.join(tmp_dir, name))
+        for i in range(n):
+            open(os.path.join(tmp_dir, name, str(i)), "w").close()
+    got = folders_at_once(spark, [os.path.join(tmp_dir, x) for x in "abcdef"])
+    assert [[os.path.basename(x) for x in part] for part in got] == [["a", "b"], ["c"], ["d"], ["e", "f"]]
+    assert folders_at_once(spark, []) == []
